@@ -37,29 +37,36 @@ def topn_index(
     ttl: int = C.INDEX_TTL_HOT,
     as_of: int,
     fmt: str = "%d:%f",
+    text_col: str | None = None,
     chunk: int = C.HOT_TOP,
 ) -> DataFrame:
-    """Group -> list sorted by score desc (nulls last, ties by id), first ``top`` kept."""
+    """Group -> list sorted by score desc (nulls last, ties by id), first ``top`` kept.
+
+    Each item is written as ``fmt % (id, score)``, or as the given ``text_col`` when the
+    caller has its own item text.
+    """
     order = [F.col(score_col).desc_nulls_last(), F.col(id_col).asc()]
     rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    ranked = df.select(*keys, id_col, score_col, rn.alias("__rn"))
+    text = F.col(text_col) if text_col else F.format_string(fmt, F.col(id_col), F.col(score_col))
+    ranked = df.select(*keys, id_col, score_col, text.alias("__text"), rn.alias("__rn"))
     if top > 0:
         ranked = ranked.filter(F.col("__rn") <= top).withColumn("__chunk", F.lit(0))
         chunk_keys: list[str] = []
     else:
         ranked = ranked.withColumn("__chunk", F.floor((F.col("__rn") - 1) / chunk).cast("bigint"))
         chunk_keys = ["__chunk"]
-    item = F.struct(F.col("__rn").alias("rn"), F.col(id_col).alias("id"), F.col(score_col).alias("score"))
+    item = F.struct(F.col("__rn").alias("rn"), F.col(id_col).alias("id"), F.col(score_col).alias("score"),
+                    F.col("__text").alias("text"))
     g = ranked.groupBy(*keys, *chunk_keys).agg(F.sort_array(F.collect_list(item)).alias("__items"))
     items = F.transform(F.col("__items"), lambda x: F.struct(x["id"].alias("id"), x["score"].alias("score")))
     out = g.select(
         index_key(prefix, keys).alias("index_key"),
         *([F.col("__chunk").alias("chunk")] if chunk_keys else []),
         items.alias("items"),
+        F.array_join(F.transform(F.col("__items"), lambda x: x["text"]), ",").alias("value"),
     )
     return out.select(
         "*",
-        encode_items(F.col("items"), fmt).alias("value"),
         F.size("items").cast("bigint").alias("n_items"),
         F.lit(as_of + ttl).cast("bigint").alias("expires_at"),
     )
