@@ -1,3 +1,168 @@
-"""Registered queries."""
+"""Registered item-to-item queries: sequences, embeddings, kNN, neighbours, indexes."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.counters import counters_from_columns, post_counters
+from ..operators.embed import item2vec
+from ..operators.knn import knn_exact, knn_lsh
+from ..operators.neighbours import i2i_index, i2i_neighbours, i2i_quality_index, valid_posts
+from ..operators.sequences import behaviour_sequences
+from ..sources import fixtures as X
+from .fixture_sql import with_views
+from .params import AS_OF, EVENTS_AS_OF, I2I_MIN_SCORE, KNN_K
+from .registry import register
+
+SEQ_MAX_DAY = 30
+PREFIX = {
+    "plain": {"video": "index_click_i2i_video_", "img": "index_click_i2i_imgtext_"},
+    "review": {"video": "index_review_i2i_video_", "img": "index_review_i2i_imgtext_"},
+}
+
+
+# ---------------------------------------------------------------- sequences
+def sequences(spark: SparkSession, d: str) -> DataFrame:
+    return behaviour_sequences(X.event_actions(spark, d), as_of=EVENTS_AS_OF, max_day=SEQ_MAX_DAY, mode="full")
+
+
+_SEQ_SQL = with_views("""
+SELECT mid, strftime(day, '%Y-%m-%d') AS day, CAST(part AS BIGINT) AS part, CAST(count(*) AS BIGINT) AS n_items,
+       string_agg(CAST(pid AS VARCHAR), ' ' ORDER BY pos) AS sentence
+FROM (SELECT mid, day, pid, pos, (pos // 1000) AS part
+      FROM (SELECT mid, CAST(ts AS DATE) AS day, pid,
+                   row_number() OVER (PARTITION BY mid, CAST(ts AS DATE) ORDER BY ts, event_id) - 1 AS pos
+            FROM actions WHERE pid IS NOT NULL
+              AND CAST(ts AS DATE) BETWEEN DATE '2023-12-31' AND DATE '2024-01-30') a) b
+GROUP BY mid, day, part""", "actions")
+
+
+@register("behaviour_sequences", _SEQ_SQL)
+def q_behaviour_sequences(spark: SparkSession, d: str) -> DataFrame:
+    s = sequences(spark, d)
+    return s.select("mid", "day", "part", F.size("items").cast("bigint").alias("n_items"),
+                    F.array_join("items", " ").alias("sentence"))
+
+
+# ---------------------------------------------------------------- embeddings (rows-only check)
+@register("item2vec")
+def q_item2vec(spark: SparkSession, d: str) -> DataFrame:
+    return item2vec(sequences(spark, d))
+
+
+# ---------------------------------------------------------------- exact kNN
+_KNN_CTE = f"""knn AS (
+SELECT pid, near_pid, score FROM (
+  SELECT a.pid, b.pid AS near_pid,
+         list_cosine_similarity(CAST(a.vector AS DOUBLE[]), CAST(b.vector AS DOUBLE[])) AS score,
+         row_number() OVER (PARTITION BY a.pid
+                            ORDER BY list_cosine_similarity(CAST(a.vector AS DOUBLE[]), CAST(b.vector AS DOUBLE[])) DESC,
+                                     b.pid) AS rn
+  FROM vectors a JOIN vectors b ON a.pid <> b.pid) z
+WHERE rn <= {KNN_K})"""
+
+
+@register("knn_exact", with_views("SELECT * FROM knn", "vectors", extra=[_KNN_CTE]), ["score"])
+def q_knn_exact(spark: SparkSession, d: str) -> DataFrame:
+    return knn_exact(X.item_vectors(spark, d), k=KNN_K)
+
+
+@register("knn_lsh")
+def q_knn_lsh(spark: SparkSession, d: str) -> DataFrame:
+    return knn_lsh(X.item_vectors(spark, d), k=KNN_K, min_score=I2I_MIN_SCORE)
+
+
+# ---------------------------------------------------------------- validated neighbours
+_VALID_CTE = f"""valid AS (
+SELECT pid, ptype, tid FROM pool
+WHERE status > 0 AND ptype > 0 AND tid > 0 AND NOT ({AS_OF} - ct > 30 * 86400 AND rec < 1000))"""
+_NEIGH_CTE = rf"""neigh AS (
+SELECT k.pid, k.near_pid, round(k.score, 2) AS score, k.score AS sim,
+       CASE WHEN s.ptype = 5 THEN 'video' ELSE 'img' END AS kind,
+       CAST(k.near_pid AS VARCHAR) || ':' ||
+         regexp_replace(regexp_replace(printf('%.2f', round(k.score, 2)), '0+$', ''), '\.$', '.0') AS item
+FROM knn k JOIN valid s ON s.pid = k.pid JOIN valid n ON n.pid = k.near_pid
+WHERE k.score >= {I2I_MIN_SCORE} AND k.pid <> k.near_pid
+  AND ((s.ptype = 5 AND n.ptype = 5) OR (s.ptype <> 5 AND n.ptype BETWEEN 2 AND 4)))"""
+_I2I_VIEWS = ("vectors", "pool", "tax", "counters", "standard")
+_I2I_CTES = [_KNN_CTE, _VALID_CTE, _NEIGH_CTE]
+
+
+def neighbours(spark: SparkSession, d: str) -> DataFrame:
+    pairs = knn_exact(X.item_vectors(spark, d), k=KNN_K)
+    return i2i_neighbours(pairs, valid_posts(X.pool_docs(spark, d), as_of=AS_OF), min_score=I2I_MIN_SCORE)
+
+
+@register("i2i_neighbours", with_views("SELECT * FROM neigh", *_I2I_VIEWS, extra=_I2I_CTES), ["score", "sim"])
+def q_i2i_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return neighbours(spark, d)
+
+
+# ---------------------------------------------------------------- plain index (first 100)
+_INDEX_SQL = with_views(f"""
+SELECT CASE WHEN kind = 'video' THEN '{PREFIX['plain']['video']}' ELSE '{PREFIX['plain']['img']}' END
+         || CAST(pid AS VARCHAR) AS index_key,
+       string_agg(item, ',' ORDER BY rn) AS value, CAST(count(*) AS BIGINT) AS n_items,
+       CAST({AS_OF} + 2 * 86400 AS BIGINT) AS expires_at
+FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY score DESC, sim DESC, near_pid) AS rn FROM neigh) z
+WHERE rn <= 100
+GROUP BY pid, kind""", *_I2I_VIEWS, extra=_I2I_CTES)
+
+
+@register("i2i_index", _INDEX_SQL)
+def q_i2i_index(spark: SparkSession, d: str) -> DataFrame:
+    n = neighbours(spark, d).persist()
+    parts = [i2i_index(n.filter(F.col("kind") == k), prefix=PREFIX["plain"][k], as_of=AS_OF) for k in ("video", "img")]
+    return parts[0].unionByName(parts[1])
+
+
+# ---------------------------------------------------------------- quality-gated index
+def _quality_sql(kind: str) -> str:
+    ptype = 5 if kind == "video" else 2
+    gate = (
+        "ctr > 0.35 AND ((dl >= 2.5 AND lk >= 5) OR (lk >= 9 AND avg_play >= 15) OR meets)"
+        if kind == "video" else "ctr > 0.25 AND ((dl >= 2.5 AND lk >= 5) OR meets)"
+    )
+    key = "'video_' || CAST(part2_id AS VARCHAR)" if kind == "video" else "'img'"
+    return f"""
+q_{kind} AS (
+  SELECT '{PREFIX['review'][kind]}' || CAST(src.pid AS VARCHAR) AS index_key, coalesce(v.value, '') AS value,
+         CAST(coalesce(v.n, 0) AS BIGINT) AS n_items, CAST({AS_OF} + 2 * 86400 AS BIGINT) AS expires_at
+  FROM (SELECT DISTINCT pid FROM neigh WHERE kind = '{kind}') src
+  LEFT JOIN (
+    SELECT pid, string_agg(item, ',' ORDER BY rn) AS value, count(*) AS n FROM (
+      SELECT *, row_number() OVER (PARTITION BY pid ORDER BY score DESC, sim DESC, near_pid) AS rn FROM (
+        SELECT g.*, coalesce((dl >= th_d AND lk >= th_l) OR (dl >= 9 AND lk >= 9) OR ({ptype} <> 5 AND dl >= 9), false) AS meets
+        FROM (
+          SELECT j.*, CASE WHEN s.key IS NULL THEN 9.0 ELSE least(floor(coalesce(s.download_rate, 9.0)), 20.0) END AS th_d,
+                      CASE WHEN s.key IS NULL THEN 9.0 ELSE least(floor(coalesce(s.like_rate, 9.0)), 20.0) END AS th_l
+          FROM (
+            SELECT nb.pid, nb.near_pid, nb.score, nb.sim, nb.item, coalesce(t.part2_id, 72) AS part2_id,
+                   1000 * c.download / (1.0 + c.rec) AS dl, 1000 * c."like" / (1.0 + c.rec) AS lk,
+                   c.sume / (c.rec + 1.0) AS ctr,
+                   CASE WHEN c.play_video > 0 THEN (c.play_dur / 1000) / c.play_video ELSE 0 END AS avg_play
+            FROM neigh nb JOIN counters c ON c.pid = nb.near_pid
+            LEFT JOIN valid pt ON pt.pid = nb.near_pid
+            LEFT JOIN tax t ON t.tid = coalesce(pt.tid, 0)
+            WHERE nb.kind = '{kind}') j
+          LEFT JOIN (SELECT * FROM standard WHERE pcnt >= 10) s ON s.key = {key}) g) x
+      WHERE {gate}) y
+    WHERE rn <= 100 GROUP BY pid) v ON v.pid = src.pid)"""
+
+
+_QUALITY_SQL = with_views("SELECT * FROM q_video UNION ALL SELECT * FROM q_img", *_I2I_VIEWS,
+                          extra=_I2I_CTES + [_quality_sql("video"), _quality_sql("img")])
+
+
+@register("i2i_quality_index", _QUALITY_SQL)
+def q_i2i_quality_index(spark: SparkSession, d: str) -> DataFrame:
+    n = neighbours(spark, d).persist()
+    counters = post_counters(counters_from_columns(X.counters(spark, d)))
+    pt = valid_posts(X.pool_docs(spark, d), as_of=AS_OF)
+    tax, std = X.taxonomy(spark, d), X.post_standard(spark, d)
+    parts = [
+        i2i_quality_index(n, counters, pt, tax, std, kind=k, prefix=PREFIX["review"][k], as_of=AS_OF)
+        for k in ("video", "img")
+    ]
+    return parts[0].unionByName(parts[1])
