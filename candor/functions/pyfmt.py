@@ -12,20 +12,21 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fixed4(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if v is None or v != v else "%.4f" % v)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _short4(x: pd.Series) -> pd.Series:
     # str(float('%.4f' % v)): the rounded value in shortest form ("0.5", "1.0", "0.0123").
     return x.map(lambda v: None if v is None or v != v else str(float("%.4f" % v)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _round_half_even_exact(x: pd.Series, nd: pd.Series) -> pd.Series:
     return pd.Series([None if v is None or v != v else round(float(v), int(n)) for v, n in zip(x, nd)], dtype="float64")
 

@@ -30,7 +30,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
-        return repr(round(v, 6) + 0.0)
+        r = round(v, 6) + 0.0
+        return str(int(r)) if r.is_integer() else repr(r)
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
