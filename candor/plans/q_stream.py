@@ -1,3 +1,30 @@
-"""Registered queries."""
+"""Registered Structured Streaming queries (file source, availableNow)."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..sources import fixtures as X
+from ..streaming.boot_stream import stream_boot
+from ..streaming.counters_stream import stream_counters
+from .fixture_sql import with_views
+from .registry import register
+
+_COUNTERS_SQL = with_views("""
+SELECT pid, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
+       CAST(sum(CASE WHEN counter = 'rec' THEN 1 ELSE 0 END) AS BIGINT) AS rec,
+       CAST(sum(CASE WHEN counter = 'sume' THEN 1 ELSE 0 END) AS BIGINT) AS sume,
+       CAST(sum(CASE WHEN counter = 'download' THEN 1 ELSE 0 END) AS BIGINT) AS download,
+       CAST(sum(CASE WHEN counter = 'like' THEN 1 ELSE 0 END) AS BIGINT) AS "like",
+       CAST(sum(CASE WHEN counter = 'share' THEN 1 ELSE 0 END) AS BIGINT) AS share
+FROM exposures GROUP BY pid, CAST(ts AS DATE)""", "exposures")
+
+
+@register("stream_counters", _COUNTERS_SQL)
+def q_stream_counters(spark: SparkSession, d: str) -> DataFrame:
+    return stream_counters(spark, X.exposure_stream(spark, d))
+
+
+@register("stream_boot")
+def q_stream_boot(spark: SparkSession, d: str) -> DataFrame:
+    return stream_boot(spark, X.exposure_stream(spark, d), X.post_attributes(spark, d))

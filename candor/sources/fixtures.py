@@ -339,3 +339,30 @@ def recall_log(spark: SparkSession, d: str) -> DataFrame:
         (F.col("event_type") == "click").cast("bigint").alias("clicked"),
         F.col("ts"),
     )
+
+
+def exposure_stream(spark: SparkSession, d: str) -> DataFrame:
+    """``exposure_events`` as a file stream over the events table (for Structured Streaming)."""
+    schema = table(spark, d, "events").schema
+    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    m = F.create_map(*[x for kv in EVENT_COUNTER.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    return e.select(
+        F.get_json_object("props", "$.k").cast("bigint").alias("pid"),
+        F.col("user_id").alias("mid"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id"),
+        m[F.col("event_type")].alias("counter"),
+    )
+
+
+def post_attributes(spark: SparkSession, d: str, as_of: int = AS_OF) -> DataFrame:
+    """Static per-post attributes the ladder rules read (pool + taxonomy)."""
+    p = _pool_base(spark, d, as_of)
+    t = F.broadcast(taxonomy(spark, d))
+    j = p.join(t, "tid", "left")
+    from ..constants import MOVER_EXCLUDED_PARTS
+
+    mover = (F.col("mover_level") > 0) & ~F.col("mover_part_id").isin(*MOVER_EXCLUDED_PARTS)
+    return j.select(
+        "pid", "ptype", "vdur", "ct", "step_boot", "step_boot_t", mover.cast("bigint").alias("is_mover"),
+        "mover_support", F.coalesce(F.col("part1_id"), F.lit(0)).alias("part1_id"),
+        F.coalesce(F.col("part2_id"), F.lit(0)).alias("part2_id"),
+    )
