@@ -33,7 +33,7 @@ def _unit(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     ).filter(F.col("vec").isNotNull())
 
 
-def _block_topk(k: int):
+def _block_topk(k: int, exclude_self: bool = True):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"pid": [], "near_pid": [], "score": []})
@@ -42,7 +42,8 @@ def _block_topk(k: int):
         lid = left["pid"].to_numpy()
         rid = right["pid"].to_numpy()
         s = a @ b.T
-        s[lid[:, None] == rid[None, :]] = -np.inf          # never a self neighbour
+        if exclude_self:
+            s[lid[:, None] == rid[None, :]] = -np.inf      # never a self neighbour
         kk = min(k, s.shape[1])
         idx = np.argpartition(-s, kk - 1, axis=1)[:, :kk] if kk < s.shape[1] else np.tile(np.arange(s.shape[1]), (s.shape[0], 1))
         rows = np.repeat(np.arange(s.shape[0]), idx.shape[1])
@@ -62,18 +63,26 @@ def knn_exact(
     vec_col: str = "vector",
     block_rows: int = 4096,
     n_blocks: int | None = None,
+    others: DataFrame | None = None,
 ) -> DataFrame:
-    """Exact top-``k`` cosine neighbours: (pid, near_pid, score), self excluded, ties by near_pid."""
+    """Exact top-``k`` cosine neighbours: (pid, near_pid, score), ties by near_pid.
+
+    Neighbours come from ``vectors`` itself (self excluded) or, when given, from ``others``
+    (e.g. user vectors against item vectors).
+    """
     u = _unit(vectors, id_col, vec_col)
+    o = u if others is None else _unit(others, id_col, vec_col)
     if n_blocks is None:
-        n_blocks = max(1, math.ceil(u.count() / block_rows))
+        n = u.count() if others is None else max(u.count(), o.count())
+        n_blocks = max(1, math.ceil(n / block_rows))
     nb = int(n_blocks)
     blk = F.pmod(F.xxhash64("pid"), F.lit(nb))
     ids = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
     left = u.select("pid", "vec", blk.alias("lb"), ids.alias("rb"))
-    right = u.select("pid", "vec", blk.alias("rb"), ids.alias("lb"))
+    right = o.select("pid", "vec", blk.alias("rb"), ids.alias("lb"))
+    topk = _block_topk(k, exclude_self=others is None)
     part = left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb")).applyInPandas(
-        lambda l, r: _block_topk(k)(l[["pid", "vec"]], r[["pid", "vec"]]), PAIR_SCHEMA
+        lambda l, r: topk(l[["pid", "vec"]], r[["pid", "vec"]]), PAIR_SCHEMA
     )
     w = Window.partitionBy("pid").orderBy(F.col("score").desc(), F.col("near_pid").asc())
     return part.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
