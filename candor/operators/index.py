@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .skew import skew_safe_row_number
 
 
 def index_key(prefix: str, keys: Sequence[str], sep: str = "_") -> Column:
@@ -39,6 +40,7 @@ def topn_index(
     fmt: str = "%d:%f",
     text_col: str | None = None,
     chunk: int = C.HOT_TOP,
+    skew_safe: bool = True,
 ) -> DataFrame:
     """Group -> list sorted by score desc (nulls last, ties by id), first ``top`` kept.
 
@@ -46,9 +48,14 @@ def topn_index(
     caller has its own item text.
     """
     order = [F.col(score_col).desc_nulls_last(), F.col(id_col).asc()]
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     text = F.col(text_col) if text_col else F.format_string(fmt, F.col(id_col), F.col(score_col))
-    ranked = df.select(*keys, id_col, score_col, text.alias("__text"), rn.alias("__rn"))
+    base = df.select(*keys, id_col, score_col, text.alias("__text"))
+    if top > 0 or not skew_safe:
+        # bounded lists: the window limit is applied map-side (WindowGroupLimit) before the shuffle
+        ranked = base.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    else:
+        # keep-all lists: number the rows without sending a whole group to one task
+        ranked = skew_safe_row_number(base, list(keys), order, name="__rn")
     if top > 0:
         ranked = ranked.filter(F.col("__rn") <= top).withColumn("__chunk", F.lit(0))
         chunk_keys: list[str] = []

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .skew import skew_safe_row_number
 from .engagement import CELL_KEYS, IMG_FENCES, NORM_NAME, VIDEO_FENCES, robust_bounds, robust_norm
 
 VIDEO_OUT_NORMS = (
@@ -40,9 +41,16 @@ def weighted_score(table: dict, gender: str = "group_gender", age: str = "group_
 
 
 def rank_cells(scored: DataFrame, *, keys=RANK_KEYS, score: str = "recall_score", tie: str = "pid",
-               name: str = "reviewed_rank") -> DataFrame:
-    """ROW_NUMBER() per cell by score desc (nulls last), ties by pid."""
-    w = Window.partitionBy(*keys).orderBy(F.col(score).desc_nulls_last(), F.col(tie).asc())
+               name: str = "reviewed_rank", skew_safe: bool = True) -> DataFrame:
+    """ROW_NUMBER() per cell by score desc (nulls last), ties by pid.
+
+    Every row of a cell is ranked (no limit), so a hot cell would otherwise be sorted in
+    one task; ``skew_safe`` splits it over range partitions (see ``operators.skew``).
+    """
+    order = [F.col(score).desc_nulls_last(), F.col(tie).asc()]
+    if skew_safe:
+        return skew_safe_row_number(scored, list(keys), order, name=name)
+    w = Window.partitionBy(*keys).orderBy(*order)
     return scored.withColumn(name, F.row_number().over(w).cast("bigint"))
 
 

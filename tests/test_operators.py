@@ -107,3 +107,20 @@ def test_stream_boot_transitions_are_ladder_moves(spark):
     t = REG["stream_boot"].run(spark, SF01)
     assert t.count() > 0
     assert t.filter("step_to % 5 != 0 OR step_to <= step_from AND event != 'jump'").count() == 0
+
+
+def test_skew_safe_row_number_splits_hot_group(spark):
+    from pyspark.sql import Window
+
+    from candor.operators.skew import skew_safe_row_number
+
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 7).cast("string"))).alias("g"),
+        F.col("id").alias("pid"), ((F.col("id") * 7919) % 1000).cast("double").alias("score"))
+    order = [F.col("score").desc(), F.col("pid").asc()]
+    got = skew_safe_row_number(df, ["g"], order, name="rn", num_partitions=8)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert got.select("g", "pid", "rn").exceptAll(want.select("g", "pid", "rn")).count() == 0
+    assert got.count() == 20000
+    parts = got.filter("g = 'hot'").select(F.spark_partition_id()).distinct().count()
+    assert parts > 1   # the hot group was numbered across several partitions
