@@ -76,8 +76,9 @@ def knn_exact(
         n = u.count() if others is None else max(u.count(), o.count())
         n_blocks = max(1, math.ceil(n / block_rows))
     nb = int(n_blocks)
-    blk = F.pmod(F.xxhash64("pid"), F.lit(nb))
-    ids = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
+    # both block ids must have the same type on both sides, or the cogroup keys hash apart
+    blk = F.pmod(F.xxhash64("pid"), F.lit(nb)).cast("bigint")
+    ids = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nb - 1).cast("bigint")))
     left = u.select("pid", "vec", blk.alias("lb"), ids.alias("rb"))
     right = o.select("pid", "vec", blk.alias("rb"), ids.alias("lb"))
     topk = _block_topk(k, exclude_self=others is None)

@@ -147,8 +147,10 @@ _BASE = _CAND_CTES + [_FEAT_CTE, _FEAT2_CTE]
 
 
 def candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Cold-start candidates over the fixture tables (persisted: features, weights and the
+    transition's key set all read them)."""
     return B.boot_candidates(X.pool_docs(spark, d), X.step_override(spark, d), X.taxonomy(spark, d),
-                             as_of=AS_OF, days=BOOT_DAYS)
+                             as_of=AS_OF, days=BOOT_DAYS).persist()
 
 
 @register("boot_candidates", with_views("SELECT * FROM cands", *_VIEWS, extra=_CAND_CTES))
@@ -252,8 +254,8 @@ FROM x5 WHERE changed"""
 
 @register("boot_transition", _transition_sql())
 def q_boot_transition(spark: SparkSession, d: str) -> DataFrame:
-    docs = X.pool_docs(spark, d)
+    docs = X.pool_docs(spark, d).persist()
     return B.boot_transition(
-        candidates(spark, d), X.counters(spark, d), X.serving_budget(spark, d), docs, X.step_override(spark, d),
-        RULES, as_of=AS_OF,
+        candidates(spark, d), X.counters(spark, d).persist(), X.serving_budget(spark, d), docs,
+        X.step_override(spark, d), RULES, as_of=AS_OF,
     )

@@ -18,10 +18,14 @@ BASE = ("ups", "users", "tax", "pool", "posts")
 
 
 def cells(spark: SparkSession, d: str) -> DataFrame:
+    """Engagement cells over the fixture tables, persisted: every hot query reads them twice
+    (bounds aggregate + normalisation join). The pool fixture is derived once for both of
+    its uses (candidate filter and post metadata)."""
+    pool = X.pool(spark, d).persist()
     return E.engagement_cells(
-        X.behaviour(spark, d), X.pool(spark, d), X.posts(spark, d), X.users(spark, d), X.taxonomy(spark, d),
+        X.behaviour(spark, d), pool, pool.select("pid", "tid", "vdur", "ct"), X.users(spark, d), X.taxonomy(spark, d),
         since_day=HOT_SINCE_DAY, behaviour_since_day=None,
-    )
+    ).persist()
 
 
 @register("engagement_cells", with_views("SELECT * FROM cells", *BASE, extra=[O.cells_cte()]), O.CELL_DOUBLES)
@@ -43,7 +47,7 @@ _BOUND_COLS = [f"{m}_{s}" for m in O.VIDEO_ALL for s in ("min", "max")]
     _BOUND_COLS,
 )
 def q_robust_bounds(spark: SparkSession, d: str) -> DataFrame:
-    c = cells(spark, d).persist()
+    c = cells(spark, d)
     bv = E.robust_bounds(c.filter(F.col("ptype") == 5), O.VIDEO_ALL)
     bi = E.robust_bounds(c.filter(F.col("ptype") != 5), O.IMG_ALL)
     return bv.unionByName(bi.select(*bv.columns))

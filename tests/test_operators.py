@@ -124,3 +124,20 @@ def test_skew_safe_row_number_splits_hot_group(spark):
     assert got.count() == 20000
     parts = got.filter("g = 'hot'").select(F.spark_partition_id()).distinct().count()
     assert parts > 1   # the hot group was numbered across several partitions
+
+
+def test_knn_exact_independent_of_blocks_and_shuffle_partitions(spark):
+    from candor.sources import fixtures as X
+
+    v = X.item_vectors(spark, SF01)
+    one = knn_exact(v, k=50, n_blocks=1)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        three = knn_exact(v, k=50, n_blocks=3)
+        assert three.count() == 500 * 50
+        a = one.select("pid", "near_pid", F.round("score", 9).alias("s"))
+        b = three.select("pid", "near_pid", F.round("score", 9).alias("s"))
+        assert a.exceptAll(b).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
