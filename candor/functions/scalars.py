@@ -57,10 +57,25 @@ def fmt4(c: Column | str) -> Column:
     return F.format_string("%.4f", col_(c))
 
 
+def round_half_away(c: Column | str, digits: int) -> Column:
+    """C-library rounding of the binary double: round(x * 10^d) / 10^d, halves away from zero.
+
+    Spark's ``round`` rounds the shortest decimal text of the double instead, so the two
+    differ on values such as 2.7421625 (binary slightly below the tie). This form gives the
+    bit-identical double other SQL engines produce. Huge or non-finite values pass through.
+    """
+    x = col_(c).cast("double")
+    m = float(10 ** digits)
+    y = x * m
+    r = F.when(y >= 0, F.floor(y + 0.5)).otherwise(-F.floor(-y + 0.5)) / m
+    return F.when(F.isnan(x) | (F.abs(y) >= 1e15), x).otherwise(r)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (for value comparison against another engine)."""
     cols = [
-        F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+        round_half_away(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        else F.col(f.name)
         for f in df.schema.fields
     ]
     return df.select(*cols)

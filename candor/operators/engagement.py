@@ -24,6 +24,7 @@ from .. import constants as C
 from ..functions.scalars import capped, clip01, flag, play_rate_denominator
 
 CELL_KEYS = ("ptype", "part2_id", "group_age", "group_gender")
+MICROS = 1000000.0
 
 # metric column -> name of its normalised column
 NORM_NAME = {
@@ -123,24 +124,30 @@ def engagement_cells(
     def rate(x: Column, name: str) -> Column:
         return (F.sum(x) / den).alias(name)
 
+    def dur_rate(x: Column, name: str) -> Column:
+        # Durations are summed as whole microseconds (bigint): exact, so the result does not
+        # depend on how rows are split over partitions or the order partial sums are merged.
+        micros = F.floor(x * MICROS + 0.5).cast("bigint")
+        return (F.sum(micros) / MICROS / den).alias(name)
+
     cells = g.agg(
         F.max(F.when(F.col("b_vdur") > 0, F.col("b_vdur")).otherwise(F.col("a_vdur"))).alias("vdur"),
         F.sum("expose").alias("expose"),
         rate(flag((F.col("play_video_dur") >= 5) | (F.col("stay_img_dur") >= 2) | (F.col("view_img") > 0)), "ctr"),
         rate(flag(F.col("share") > 0), "share_rate"),
         rate(flag(F.col("download") > 0), "download_rate"),
-        rate(capped("stay_time", C.CAP_STAY_TIME), "dur"),
+        dur_rate(capped("stay_time", C.CAP_STAY_TIME), "dur"),
         rate(F.col("like"), "like_rate"),
         rate(F.col("detail_post"), "detail"),
-        rate(capped("detail_post_dur", C.CAP_DETAIL_DUR), "detail_dur"),
-        rate(capped("play_video_dur", C.CAP_PLAY_VIDEO_DUR), "play_video_dur"),
+        dur_rate(capped("detail_post_dur", C.CAP_DETAIL_DUR), "detail_dur"),
+        dur_rate(capped("play_video_dur", C.CAP_PLAY_VIDEO_DUR), "play_video_dur"),
         rate(capped(F.col("create_review") + F.col("reply_review"), C.CAP_REVIEW), "review_rate"),
         rate(F.col("reviews_review"), "review_get_rate"),
         rate(F.col("like_review"), "like_review_rate"),
-        rate(capped("view_img_dur", C.CAP_VIEW_IMG_DUR), "view_img_dur"),
+        dur_rate(capped("view_img_dur", C.CAP_VIEW_IMG_DUR), "view_img_dur"),
         rate(F.col("view_img"), "view_img"),
         rate(flag(F.col("play_video_dur") > 5), "play_video"),
-        rate(capped("view_comment_dur", C.CAP_COMMENT_DUR), "comment_dur"),
+        dur_rate(capped("view_comment_dur", C.CAP_COMMENT_DUR), "comment_dur"),
     )
     return cells.withColumn("play_rate", F.col("play_video_dur") / play_rate_denominator("vdur"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions.scalars import round_half_away
 from .counters import post_standard_gate
 
 
@@ -55,7 +56,7 @@ def i2i_neighbours(
     ok = F.when(video, F.col("near_ptype") == C.VIDEO_PTYPE).otherwise(
         (F.col("near_ptype") >= img_ptypes[0]) & (F.col("near_ptype") <= img_ptypes[1])
     )
-    s2 = F.round(F.col("score"), 2)
+    s2 = round_half_away(F.col("score"), 2)
     return j.filter(ok).select(
         "pid", "near_pid", s2.alias("score"), F.col("score").alias("sim"),
         F.when(video, F.lit("video")).otherwise(F.lit("img")).alias("kind"),

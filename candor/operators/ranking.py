@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions.scalars import round_half_away
 from .skew import skew_safe_row_number
 from .engagement import CELL_KEYS, IMG_FENCES, NORM_NAME, VIDEO_FENCES, robust_bounds, robust_norm
 
@@ -74,7 +75,7 @@ def hot_rank(
     table = weights or weights_table(C.VIDEO_WEIGHTS if video else C.IMG_WEIGHTS)
     scored = normed.select(
         *[F.col(k) for k in RANK_KEYS], "pid",
-        F.round(weighted_score(table), 4).alias("recall_score"),
+        round_half_away(weighted_score(table), 4).alias("recall_score"),
         *[F.col(n) for n in out_norms],
     )
     return rank_cells(scored)

@@ -31,10 +31,16 @@ _AGGS = [
 CELL_DOUBLES = [n for n, _ in _AGGS] + ["play_rate"]
 
 
+_DURATIONS = {"dur", "detail_dur", "play_video_dur", "view_img_dur", "comment_dur"}
+
+
 def cells_cte(since_day: str = HOT_SINCE_DAY) -> str:
-    aggs = ",\n       ".join(
-        f"CAST(sum({e}) AS DOUBLE) / (sum(a.expose) + {C.SMOOTHING_EXPOSE}) AS {n}" for n, e in _AGGS
-    )
+    def agg(n: str, e: str) -> str:
+        if n in _DURATIONS:   # whole microseconds, summed exactly
+            return f"CAST(sum(CAST(floor(({e}) * 1000000.0 + 0.5) AS BIGINT)) AS DOUBLE) / 1000000.0 / (sum(a.expose) + {C.SMOOTHING_EXPOSE}) AS {n}"
+        return f"CAST(sum({e}) AS DOUBLE) / (sum(a.expose) + {C.SMOOTHING_EXPOSE}) AS {n}"
+
+    aggs = ",\n       ".join(agg(n, e) for n, e in _AGGS)
     return f"""cells0 AS (
 SELECT a.pid, CAST(coalesce(d.part2_id, 72) AS BIGINT) AS part2_id, CAST(coalesce(c.age, 0) AS BIGINT) AS group_age,
        CAST(coalesce(c.gender, 0) AS BIGINT) AS group_gender,
