@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import skew_safe_row_number
+
 
 def training_days(as_of: int, *, max_day: int = 30, mode: str = "full") -> tuple[str, str]:
     """Inclusive [first, last] 'yyyy-MM-dd' day window of the training input.
@@ -32,6 +34,7 @@ def behaviour_sequences(
     max_day: int = 30,
     mode: str = "full",
     max_len: int = 1000,
+    skew_safe: bool = True,
 ) -> DataFrame:
     """(mid, pid, ts, event_id) -> (mid, day, part, items array<string>) ordered by (ts, event_id).
 
@@ -44,11 +47,23 @@ def behaviour_sequences(
         (F.col("day") >= F.lit(first).cast("date")) & (F.col("day") <= F.lit(last).cast("date"))
         & F.col("pid").isNotNull()
     )
-    w = Window.partitionBy("mid", "day").orderBy("ts", "event_id")
-    a = a.withColumn("__pos", F.row_number().over(w) - 1)
+    if skew_safe:
+        # a single user-day can be huge (bots): number it without one task holding it all
+        a = skew_safe_row_number(a, ["mid", "day"], [F.col("ts").asc(), F.col("event_id").asc()], name="__pos")
+        a = a.withColumn("__pos", F.col("__pos") - 1)
+    else:
+        w = Window.partitionBy("mid", "day").orderBy("ts", "event_id")
+        a = a.withColumn("__pos", F.row_number().over(w) - 1)
     a = a.withColumn("part", F.floor(F.col("__pos") / max_len).cast("bigint"))
     g = a.groupBy("mid", "day", "part").agg(
         F.sort_array(F.collect_list(F.struct("__pos", F.col("pid").cast("string").alias("tok")))).alias("__s")
     )
     return g.select("mid", F.date_format("day", "yyyy-MM-dd").alias("day"), "part",
                     F.transform("__s", lambda x: x["tok"]).alias("items"))
+
+
+def choose_mode(as_of: int, *, full_done_today: bool, full_hour: int = 3) -> str:
+    """Schedule choice: one full retrain per day at or after ``full_hour`` (UTC), otherwise
+    an incremental run on today's actions."""
+    hour = dt.datetime.fromtimestamp(as_of, dt.timezone.utc).hour
+    return "full" if hour >= full_hour and not full_done_today else "incremental"

@@ -53,9 +53,23 @@ def _rule_ok(rule: str, feats: dict) -> bool:
 def _step_fn(rules: Rules):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pid = int(key[0])
-        frames = list(pdfs)
-        df = pd.concat(frames) if frames else pd.DataFrame()
-        first = df.iloc[0]
+        # Fold the post's new events batch by batch (Arrow batches): memory stays one batch
+        # even when a single post receives a large share of a micro-batch.
+        first = None
+        adds = {c: 0 for c in COUNTER_COLS}
+        t = None
+        for pdf in pdfs:
+            if pdf.empty:
+                continue
+            if first is None:
+                first = pdf.iloc[0]
+            vc = pdf["counter"].value_counts()
+            for c in COUNTER_COLS:
+                adds[c] += int(vc.get(c, 0))
+            mx = int(pdf["t"].max())
+            t = mx if t is None else max(t, mx)
+        if first is None:
+            return
         if state.exists:
             st = dict(zip(STATE_FIELDS, state.get))
         else:
@@ -63,8 +77,7 @@ def _step_fn(rules: Rules):
             st["step_boot"] = int(first["step_boot"])
             st["step_boot_t"] = int(first["step_boot_t"])
         for c in COUNTER_COLS:
-            st[c] += int((df["counter"] == c).sum())
-        t = int(df["t"].max())
+            st[c] += adds[c]
         ptype = int(first["ptype"])
         kind = "video" if ptype == C.VIDEO_PTYPE else "img"
         ladder = rules[kind]

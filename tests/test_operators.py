@@ -141,3 +141,14 @@ def test_knn_exact_independent_of_blocks_and_shuffle_partitions(spark):
         assert a.exceptAll(b).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_training_window_and_schedule():
+    from candor.operators.sequences import choose_mode, training_days
+
+    as_of = 1706659200 + 4 * 3600   # 2024-01-31 04:00 UTC
+    assert training_days(as_of, max_day=30, mode="full") == ("2023-12-31", "2024-01-30")
+    assert training_days(as_of, max_day=7, mode="incremental") == ("2024-01-31", "2024-01-31")
+    assert choose_mode(as_of, full_done_today=False) == "full"
+    assert choose_mode(as_of, full_done_today=True) == "incremental"
+    assert choose_mode(1706659200 + 3600, full_done_today=False) == "incremental"
