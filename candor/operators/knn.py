@@ -61,7 +61,7 @@ def knn_exact(
     k: int = 200,
     id_col: str = "pid",
     vec_col: str = "vector",
-    block_rows: int = 4096,
+    block_rows: int = 2048,
     n_blocks: int | None = None,
     others: DataFrame | None = None,
 ) -> DataFrame:
