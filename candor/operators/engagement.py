@@ -152,6 +152,51 @@ def engagement_cells(
     return cells.withColumn("play_rate", F.col("play_video_dur") / play_rate_denominator("vdur"))
 
 
+def exact_quantiles(
+    df: DataFrame,
+    keys: tuple[str, ...] | list[str],
+    metrics: list[str],
+    probs: tuple[float, ...],
+    *,
+    scale: float = 1.0,
+) -> DataFrame:
+    """Exact linear-interpolation quantiles per group without holding a group in one task.
+
+    The metrics are unpivoted to (keys, metric, value) rows, numbered within each
+    (keys, metric) by ``skew_safe_row_number`` (a range-partitioned sort, so a hot group is
+    spread over many tasks), and for each probability the two neighbouring order statistics
+    are picked and interpolated exactly as Spark's ``percentile`` does:
+    ``(hi - h) * v[lo] + (h - lo) * v[hi]`` with ``h = p * (n - 1)``. NULLs are ignored.
+    Returns keys + one ``array<double>`` column ``__q_<metric>`` (quantiles in ``probs`` order).
+    """
+    from .skew import skew_safe_row_number
+
+    keys = list(keys)
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), (F.col(m).cast("double") * scale).alias("v")) for m in metrics])
+    long = df.select(*keys, F.explode(cells).alias("__s")).select(*keys, "__s.metric", "__s.v").filter(F.col("v").isNotNull())
+    ranked = skew_safe_row_number(long, keys + ["metric"], [F.col("v").asc()], name="rn")
+    sizes = long.groupBy(*keys, "metric").agg(F.count(F.lit(1)).alias("n"))
+    targets = []
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("n") - 1)
+        targets.append(F.struct(F.lit(i).alias("i"), h.alias("h"), (F.floor(h) + 1).alias("lo"), (F.ceil(h) + 1).alias("hi")))
+    t = sizes.select(*keys, "metric", F.explode(F.array(*targets)).alias("t")).select(*keys, "metric", "t.*")
+    # one row per group x metric x probability: bounded by the number of groups, so broadcast
+    pos = t.select(*keys, "metric", "i", F.col("lo").alias("rn")).unionByName(t.select(*keys, "metric", "i", F.col("hi").alias("rn")))
+    picked = ranked.join(F.broadcast(pos.distinct()), keys + ["metric", "rn"], "inner")
+    lo_v = picked.select(*keys, "metric", "i", F.col("rn").alias("lo"), F.col("v").alias("v_lo"))
+    hi_v = picked.select(*keys, "metric", "i", F.col("rn").alias("hi"), F.col("v").alias("v_hi"))
+    q = t.join(lo_v, keys + ["metric", "i", "lo"]).join(hi_v, keys + ["metric", "i", "hi"])
+    frac_lo = F.col("hi") - 1 - F.col("h")
+    frac_hi = F.col("h") - (F.col("lo") - 1)
+    val = F.when(F.col("lo") == F.col("hi"), F.col("v_lo")).otherwise(frac_lo * F.col("v_lo") + frac_hi * F.col("v_hi"))
+    per = q.groupBy(*keys, "metric").agg(F.sort_array(F.collect_list(F.struct("i", val.alias("q")))).alias("__qs"))
+    per = per.select(*keys, "metric", F.transform("__qs", lambda x: x["q"]).alias("qs"))
+    return per.groupBy(*keys).pivot("metric", list(metrics)).agg(F.first("qs")).select(
+        *keys, *[F.col(m).alias(f"__q_{m}") for m in metrics]
+    )
+
+
 def robust_bounds(
     cells: DataFrame,
     fences: dict[str, tuple[float, float]],
@@ -160,22 +205,39 @@ def robust_bounds(
     p_lo: float = C.P_LO,
     p_hi: float = C.P_HI,
     scale: int = C.PERCENTILE_SCALE,
-    approx: bool = False,
+    method: str = "auto",
+    max_cell_rows: int = 1_000_000,
     accuracy: int = 10000,
+    approx: bool = False,
 ) -> DataFrame:
     """One row per cell: ``<m>_min`` (floored at 0) and ``<m>_max`` for every metric.
 
-    min = p_lo - k_lo * (p_hi - p_lo);  max = p_hi + k_hi * (p_hi - p_lo).
-    Percentiles are exact (linear interpolation, partial-aggregated per cell); ``approx=True``
-    switches to the bounded-memory ``percentile_approx`` sketch for very large cells.
+    min = p_lo - k_lo * (p_hi - p_lo);  max = p_hi + k_hi * (p_hi - p_lo), percentiles of
+    ``x * scale`` divided back by ``scale``. ``method``:
+
+    * ``sort`` -- exact, via ``exact_quantiles``: no cell is ever held in one task;
+    * ``percentile`` -- exact ``percentile`` aggregate (a value->count map per cell, merged in
+      one task per cell: fine while cells are small);
+    * ``auto`` (default) -- a size check: ``percentile`` when the largest cell has at most
+      ``max_cell_rows`` rows, otherwise ``sort``. Both are exact and give the same bounds;
+    * ``approx`` -- bounded-memory ``percentile_approx`` sketch.
     """
-    probs = F.array(F.lit(p_lo), F.lit(p_hi))
-    aggs = []
-    for m in fences:
-        x = F.col(m) * scale
-        q = F.percentile_approx(x, probs, accuracy) if approx else F.percentile(x, probs)
-        aggs.append(q.alias(f"__q_{m}"))
-    s = cells.groupBy(*keys).agg(*aggs)
+    if approx:
+        method = "approx"
+    metrics = list(fences)
+    if method == "auto":
+        largest = cells.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        method = "percentile" if largest <= max_cell_rows else "sort"
+    if method == "sort":
+        s = exact_quantiles(cells, keys, metrics, (p_lo, p_hi), scale=float(scale))
+    else:
+        probs = F.array(F.lit(p_lo), F.lit(p_hi))
+        aggs = []
+        for m in metrics:
+            x = F.col(m) * scale
+            q = F.percentile_approx(x, probs, accuracy) if method == "approx" else F.percentile(x, probs)
+            aggs.append(q.alias(f"__q_{m}"))
+        s = cells.groupBy(*keys).agg(*aggs)
     out = [F.col(k) for k in keys]
     for m, (k_lo, k_hi) in fences.items():
         lo = F.col(f"__q_{m}")[0] / scale

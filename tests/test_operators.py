@@ -152,3 +152,15 @@ def test_training_window_and_schedule():
     assert choose_mode(as_of, full_done_today=False) == "full"
     assert choose_mode(as_of, full_done_today=True) == "incremental"
     assert choose_mode(1706659200 + 3600, full_done_today=False) == "incremental"
+
+
+def test_bounds_methods_agree(spark):
+    from candor.operators import engagement as E
+    from candor.plans import q_hot
+
+    c = q_hot.cells(spark, SF01).filter("ptype = 5")
+    a = E.robust_bounds(c, E.VIDEO_FENCES, method="percentile")
+    b = E.robust_bounds(c, E.VIDEO_FENCES, method="sort")
+    cols = [F.round(x, 9).alias(x) if x not in E.CELL_KEYS else F.col(x) for x in a.columns]
+    assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
+    assert E.robust_bounds(c, E.VIDEO_FENCES, method="auto", max_cell_rows=1).count() == a.count()
