@@ -31,10 +31,12 @@ def recent_i2i_recall(actions: DataFrame, neighbours: DataFrame, *, last_n: int
     score = best similarity to any recent action; items already in the recent actions are
     excluded; top ``k`` per user by score, ties by pid.
     """
-    r = recent_actions(actions, last_n=last_n).select("mid", F.col("pid").alias("src"))
+    # score is a max, so repeated actions on one item add nothing: de-duplicate before the
+    # join to cut its fan-out (each source item brings up to k neighbours)
+    r = recent_actions(actions, last_n=last_n).select("mid", F.col("pid").alias("src")).distinct()
     n = neighbours.select(F.col("pid").alias("src"), F.col("near_pid").alias("pid"), F.col("score"))
     c = r.join(n, "src", "inner").groupBy("mid", "pid").agg(F.max("score").alias("score"))
-    seen = r.select("mid", F.col("src").alias("pid")).distinct()
+    seen = r.select("mid", F.col("src").alias("pid"))
     c = c.join(seen, ["mid", "pid"], "left_anti")
     return _top(c, ["mid"], [F.col("score").desc(), F.col("pid").asc()], k).drop("__rn")
 

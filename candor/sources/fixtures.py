@@ -287,10 +287,7 @@ def post_standard(spark: SparkSession, d: str) -> DataFrame:
         (F.col("part2_id") % 12).cast("double").alias("download_rate"),
         (F.col("part2_id") % 25).cast("double").alias("like_rate"),
     )
-    img = t.limit(1).select(
-        F.lit("img").alias("key"), F.lit(50).cast("bigint").alias("pcnt"),
-        F.lit(6.5).alias("download_rate"), F.lit(8.5).alias("like_rate"),
-    )
+    img = spark.createDataFrame([("img", 50, 6.5, 8.5)], "key string, pcnt bigint, download_rate double, like_rate double")
     flat = video.unionByName(img)
     return flat.select(
         "key", "pcnt",
