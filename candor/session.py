@@ -27,9 +27,39 @@ def apply_job_conf(spark: SparkSession) -> SparkSession:
         except Exception:  # static or locked conf on a managed cluster
             pass
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``candor`` importable in the Python workers (pandas UDFs, applyInPandas, state).
+
+    The package source is zipped once per SparkContext and added with ``addPyFile`` -- the
+    programmatic form of ``--py-files`` -- so executors can unpickle functions that live in
+    the package, whatever the driver's working directory.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    stage = tempfile.mkdtemp(prefix="candor-pyfiles-", dir="/tmp")
+    z = os.path.join(stage, "candor.zip")
+    with zipfile.ZipFile(z, "w", zipfile.ZIP_DEFLATED) as f:
+        for dirpath, _, files in os.walk(root):
+            for fn in files:
+                if fn.endswith(".py"):
+                    full = os.path.join(dirpath, fn)
+                    f.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(z)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; only set one when the cluster named none.
 
@@ -61,4 +91,5 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
