@@ -34,19 +34,27 @@ def main() -> None:
     if os.path.isdir(warm):
         reg["engagement_cells"].run(spark, warm).write.format("noop").mode("overwrite").save()
         spark.catalog.clearCache()
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for n in names:
         t0 = time.perf_counter()
-        reg[n].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[n] = round(time.perf_counter() - t0, 3)
+        try:
+            reg[n].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[n] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # keep measuring the others; report the failure
+            times[n] = None
+            errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
         spark.catalog.clearCache()
     sf = sf_dir.rsplit("sf", 1)[-1]
     try:
         sf_val: float | str = float(sf)
     except ValueError:
         sf_val = sf
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf_val, "cpus": int(cpus)}))
+    out = {"metric": "total_query_seconds", "value": round(sum(t for t in times.values() if t is not None), 3),
+           "unit": "sec", "queries": times, "sf": sf_val, "cpus": int(cpus)}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
