@@ -22,13 +22,15 @@ def item2vec(
     num_partitions: int = 1,
     step_size: float = 0.025,
     max_sentence_length: int = 1000,
-) -> DataFrame:
+    return_model: bool = False,
+):
     """Sentences of item ids -> (pid, vector array<float>) for every item seen ``min_count`` times.
 
     Spark ML trains skip-gram with hierarchical softmax; negative sampling, CBOW, frequent-word
     subsampling and warm start are not offered, so a daily model is retrained on the sliding
     window of ``behaviour_sequences`` instead of being updated. Non-numeric tokens are dropped
-    from the output (only digit ids are items).
+    from the output (only digit ids are items). With ``return_model`` the fitted model is
+    returned too, for the daily snapshot sink.
     """
     w2v = Word2Vec(
         vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed,
@@ -37,6 +39,7 @@ def item2vec(
     )
     model = w2v.fit(sequences.select(items_col))
     v = model.getVectors()
-    return v.filter(F.col("word").rlike("^[0-9]+$")).select(
+    out = v.filter(F.col("word").rlike("^[0-9]+$")).select(
         F.col("word").cast("bigint").alias("pid"), vector_to_array("vector", "float32").alias("vector")
     )
+    return (out, model) if return_model else out

@@ -68,8 +68,12 @@ def hot_job(spark: SparkSession, inp: HotInputs, out: str, *, as_of: int, days:
     return paths
 
 
-def community_job(docs: DataFrame, counters: DataFrame, taxonomy: DataFrame, out: str, *, as_of: int) -> None:
+def community_job(spark: SparkSession, docs: DataFrame, counters: DataFrame, taxonomy: DataFrame, out: str, *,
+                  as_of: int) -> dict[str, int]:
+    """Write the community index; returns monitoring counts (posts indexed, keys written)."""
     W.write_index(community_review_index(docs, counters, taxonomy, as_of=as_of), out)
+    m = spark.read.parquet(out).agg(F.sum("n_items").alias("posts"), F.count(F.lit(1)).alias("keys")).first()
+    return {"community_post_cnt": int(m["posts"] or 0), "index_keys": int(m["keys"])}
 
 
 def pool_export_job(docs: DataFrame, step_override: DataFrame, base: str, *, as_of: int, version: str) -> str:
@@ -89,7 +93,9 @@ def i2i_job(
     """Sequences -> item2vec -> top-k neighbours -> validated lists -> (gated) indexes."""
     seq = behaviour_sequences(actions, as_of=as_of, max_day=max_day, mode=mode)
     vectors_path = f"{out}/vectors/{day}"
-    W.replace_table(item2vec(seq), vectors_path)
+    vecs, model = item2vec(seq, return_model=True)
+    W.save_model_snapshot(model, f"{out}/models/{action}", day)
+    W.replace_table(vecs, vectors_path)
     vectors = spark.read.parquet(vectors_path)
     pairs = knn_exact(vectors, k=k) if exact else knn_lsh(vectors, k=k, min_score=min_score)
     valid = valid_posts(docs, as_of=as_of)
@@ -122,4 +128,5 @@ def boot_round_job(
     t = spark.read.parquet(t_path)
     nxt = t.filter("output = 'serving'").select("pid", "remaining", "weight")
     W.replace_table(nxt, f"{out}/serving/{as_of}")
-    return {"transition": t_path, "serving": f"{out}/serving/{as_of}"}
+    counts = {r["output"]: int(r["n"]) for r in t.groupBy("output").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {"transition": t_path, "serving": f"{out}/serving/{as_of}", "counts": counts}

@@ -19,3 +19,20 @@ def test_hot_and_boot_jobs(spark):
     assert spark.read.parquet(r["transition"]).count() > 0
     v = J.pool_export_job(X.pool_docs(spark, d), X.step_override(spark, d), out + "/pool", as_of=AS_OF, version="1")
     assert len(spark.read.parquet(v).columns) == 45
+
+
+def test_i2i_and_community_jobs(spark):
+    out = tempfile.mkdtemp(prefix="candor-job-", dir="/tmp")
+    d = "/root/testdata/sf0.01"
+    from candor.operators.counters import counters_from_columns
+    from candor.plans.params import EVENTS_AS_OF
+
+    J.i2i_job(spark, X.event_actions(spark, d), X.pool_docs(spark, d), counters_from_columns(X.counters(spark, d)),
+              X.taxonomy(spark, d), X.post_standard(spark, d), out + "/i2i", as_of=EVENTS_AS_OF, day="20240131",
+              exact=True, min_score=0.0)
+    assert spark.read.parquet(out + "/i2i/index/video").count() > 0
+    from pyspark.ml.feature import Word2VecModel
+    assert Word2VecModel.load(out + "/i2i/models/review/20240131").getVectors().count() > 0
+    m = J.community_job(spark, X.pool_docs(spark, d), X.counters(spark, d), X.taxonomy(spark, d), out + "/community",
+                        as_of=AS_OF)
+    assert m["index_keys"] == 50
