@@ -26,10 +26,6 @@ def _short4(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if v is None or v != v else str(float("%.4f" % v)))
 
 
-@F.pandas_udf(T.DoubleType())
-def _round_half_even_exact(x: pd.Series, nd: pd.Series) -> pd.Series:
-    return pd.Series([None if v is None or v != v else round(float(v), int(n)) for v, n in zip(x, nd)], dtype="float64")
-
 
 def fixed4(c: Column) -> Column:
     """'%.4f' of the exact double."""
@@ -39,8 +35,3 @@ def fixed4(c: Column) -> Column:
 def short4(c: Column) -> Column:
     """Shortest text of the double rounded to 4 decimals (as Python's str(float('%.4f' % x)))."""
     return _short4(c)
-
-
-def round_exact(c: Column, digits: int) -> Column:
-    """Correctly rounded ``round(x, digits)`` of the exact double (ties to even)."""
-    return _round_half_even_exact(c, F.lit(digits))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,10 +38,6 @@ def play_rate_denominator(vdur: Column | str) -> Column:
     )
 
 
-def ymd_of_epoch(epoch_seconds: Column | str) -> Column:
-    """Epoch seconds -> 'yyyyMMdd' (session time zone is UTC)."""
-    return F.date_format(F.timestamp_seconds(col_(epoch_seconds)), "yyyyMMdd")
-
 
 def ymd_days_before(as_of: int, days: int) -> str:
     """'yyyyMMdd' of ``as_of - days`` (UTC), computed once on the driver as a literal."""
@@ -52,10 +46,6 @@ def ymd_days_before(as_of: int, days: int) -> str:
     return (dt.datetime.fromtimestamp(as_of, dt.timezone.utc) - dt.timedelta(days=days)).strftime("%Y%m%d")
 
 
-def fmt4(c: Column | str) -> Column:
-    """'%.4f' text of a double."""
-    return F.format_string("%.4f", col_(c))
-
 
 def round_half_away(c: Column | str, digits: int) -> Column:
     """C-library rounding of the binary double: round(x * 10^d) / 10^d, halves away from zero.
@@ -79,10 +69,3 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         for f in df.schema.fields
     ]
     return df.select(*cols)
-
-
-def all_true(conds: Iterable[Column]) -> Column:
-    out = None
-    for c in conds:
-        out = c if out is None else (out & c)
-    return F.lit(True) if out is None else out

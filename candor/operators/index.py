@@ -22,11 +22,6 @@ def index_key(prefix: str, keys: Sequence[str], sep: str = "_") -> Column:
     return F.concat(F.lit(prefix), F.concat_ws(sep, *[F.col(k).cast("string") for k in keys]))
 
 
-def encode_items(items: Column, fmt: str = "%d:%f", id_field: str = "id", score_field: str = "score") -> Column:
-    """array<struct<id, score>> -> 'id:score,id:score,...'."""
-    return F.array_join(F.transform(items, lambda x: F.format_string(fmt, x[id_field], x[score_field])), ",")
-
-
 def topn_index(
     df: DataFrame,
     *,
