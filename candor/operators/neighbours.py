@@ -64,6 +64,11 @@ def i2i_neighbours(
     )
 
 
+def neighbour_ids(neigh: DataFrame) -> DataFrame:
+    """Distinct post ids over both ends of the neighbour lists: (pid)."""
+    return neigh.select("pid").unionByName(neigh.select(F.col("near_pid").alias("pid"))).distinct()
+
+
 def _list_order() -> list[Column]:
     return [F.col("score").desc(), F.col("sim").desc(), F.col("near_pid").asc()]
 
@@ -144,6 +149,8 @@ def i2i_quality_index(
     are dropped. Every item of the input keeps a row, with an empty list if nothing passes.
     """
     nb = neigh.filter(F.col("kind") == kind)
+    # only the counters of posts that appear in the lists are needed (semi join first)
+    counters = counters.join(neighbour_ids(nb), "pid", "left_semi")
     c = counters.select(
         F.col("pid").alias("near_pid"), F.col("rec").alias("c_rec"), F.col("sume").alias("c_sume"),
         F.col("download").alias("c_dl"), F.col("like").alias("c_like"),
