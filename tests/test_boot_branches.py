@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from candor import constants as C
 from candor.operators import boot as B
 
 RULES = B.load_rules()
