@@ -5,7 +5,7 @@ Each post's state (step_boot, budget, live counters) lives in the state store ke
 most one transition, as a batch round would: an in-flight post finishes when its step's
 threshold is reached (or it ran past the ladder); a waiting post whose step rule passes
 goes in flight with the missing exposure as budget, or skips ahead when it already passed
-later thresholds. Rule text is evaluated with ``pandas.eval`` on that post's features
+later thresholds; movers are rescued at steps 1 and 2 as in the batch round. Rule text is evaluated with ``pandas.eval`` on that post's features
 (division by zero gives inf/NaN and so fails the comparison, never an error).
 Only the post's own group is in memory; state is checkpointed by Spark.
 """
@@ -102,7 +102,11 @@ def _step_fn(rules: Rules):
                 part2_id=int(first["part2_id"]), gsume=0, detail=0,
                 download_rate=(st["download"] / rec if rec else 0.0), like_rate=(st["like"] / rec if rec else 0.0),
             )
-            if _rule_ok(ladder[step]["rule"], feats):
+            age = t - st["step_boot_t"]
+            rescue = int(first["is_mover"]) == 1 and (
+                (step == 1 and C.MOVER_RESCUE_STEP1[0] < age <= C.MOVER_RESCUE_STEP1[1])
+                or (step == 2 and age > C.MOVER_RESCUE_STEP2_AFTER and int(first["mover_support"]) == 0))
+            if _rule_ok(ladder[step]["rule"], feats) or rescue:
                 lvl = _level(thr, rec)
                 if step >= lvl:
                     left = thr[step] - max(rec, thr[step - 1]) if step > 0 else thr[0] - rec

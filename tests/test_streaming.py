@@ -65,3 +65,21 @@ def test_boot_stream_state_survives_restarts(spark):
     rows = spark.read.schema(OUT_SCHEMA).parquet(out).orderBy("t").collect()
     assert [(r["event"], r["step_from"], r["step_to"], r["remaining"]) for r in rows] == [
         ("start", 0, 5, 90), ("finish", 5, 10, 0), ("start", 10, 15, 95)]
+
+
+def test_boot_stream_mover_rescue(spark):
+    base = tempfile.mkdtemp(prefix="candor-bootstream-", dir="/tmp")
+    src, out, ck = (os.path.join(base, x) for x in ("src", "out", "ck"))
+    os.makedirs(src)
+    t0 = int(dt.datetime(2024, 1, 10, tzinfo=dt.timezone.utc).timestamp())
+    # two posts waiting at step 1 with no engagement (rule fails): only the mover is rescued
+    posts = spark.createDataFrame([(8, 2, 30, t0, 10, t0, 1, 0, 13, 70), (9, 2, 30, t0, 10, t0, 0, 0, 13, 70)],
+                                  "pid long, ptype long, vdur long, ct long, step_boot long, step_boot_t long, "
+                                  "is_mover long, mover_support long, part1_id long, part2_id long")
+    _drop(src, "b1.parquet", [(8, "2024-01-10 02:15", "rec"), (9, "2024-01-10 02:15", "rec")])   # 8100 s later
+    ev = spark.readStream.schema(EVENT_SCHEMA).parquet(src)
+    q = (boot_stream_frame(ev, posts).writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    rows = [(r["pid"], r["event"], r["remaining"]) for r in spark.read.schema(OUT_SCHEMA).parquet(out).collect()]
+    assert rows == [(8, "start", 100)]          # rescued at step 1: 200 - max(rec 1, 100)
