@@ -21,9 +21,10 @@ def cells(spark: SparkSession, d: str) -> DataFrame:
     """Engagement cells over the fixture tables, persisted: every hot query reads them twice
     (bounds aggregate + normalisation join). The pool fixture is derived once for both of
     its uses (candidate filter and post metadata)."""
-    pool = X.pool(spark, d).persist()
+    behaviour = X.behaviour(spark, d).persist()
+    pool = X.pool(spark, d, behaviour_df=behaviour).persist()
     return E.engagement_cells(
-        X.behaviour(spark, d), pool, pool.select("pid", "tid", "vdur", "ct"), X.users(spark, d), X.taxonomy(spark, d),
+        behaviour, pool, pool.select("pid", "tid", "vdur", "ct"), X.users(spark, d), X.taxonomy(spark, d),
         since_day=HOT_SINCE_DAY, behaviour_since_day=None,
     ).persist()
 

@@ -131,9 +131,9 @@ def post_aggregates(b: DataFrame) -> DataFrame:
     )
 
 
-def _pool_base(spark: SparkSession, d: str, as_of: int = AS_OF) -> DataFrame:
+def _pool_base(spark: SparkSession, d: str, as_of: int = AS_OF, b: DataFrame | None = None) -> DataFrame:
     p = table(spark, d, "part").select(F.col("p_partkey").alias("k"), "p_size")
-    a = post_aggregates(behaviour(spark, d))
+    a = post_aggregates(b if b is not None else behaviour(spark, d))
     j = p.join(a, p["k"] == a["pid"], "left")
     k = _k()
     n = F.coalesce(F.col("n"), F.lit(0))
@@ -167,9 +167,9 @@ def _pool_base(spark: SparkSession, d: str, as_of: int = AS_OF) -> DataFrame:
     )
 
 
-def pool(spark: SparkSession, d: str, as_of: int = AS_OF) -> DataFrame:
-    """recpool (flat): the columns the SQL jobs read."""
-    return _pool_base(spark, d, as_of)
+def pool(spark: SparkSession, d: str, as_of: int = AS_OF, behaviour_df: DataFrame | None = None) -> DataFrame:
+    """recpool (flat): the columns the SQL jobs read (``behaviour_df`` reuses a derived behaviour view)."""
+    return _pool_base(spark, d, as_of, behaviour_df)
 
 
 def posts(spark: SparkSession, d: str, as_of: int = AS_OF) -> DataFrame:
