@@ -85,6 +85,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("CANDOR_DRIVER_MEMORY", "16g"))
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
+        # checkpoint files of the skew-safe numbering are removed once no plan references them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in JOB_CONF.items():
         b = b.config(k, v)
