@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .skew import skew_safe_row_number
+from .skew import row_number_by_size
 
 
 def index_key(prefix: str, keys: Sequence[str], sep: str = "_") -> Column:
@@ -49,8 +49,8 @@ def topn_index(
         # bounded lists: the window limit is applied map-side (WindowGroupLimit) before the shuffle
         ranked = base.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     else:
-        # keep-all lists: number the rows without sending a whole group to one task
-        ranked = skew_safe_row_number(base, list(keys), order, name="__rn")
+        # keep-all lists: hot groups are numbered without sending them whole to one task
+        ranked = row_number_by_size(base, list(keys), order, name="__rn")
     if top > 0:
         ranked = ranked.filter(F.col("__rn") <= top).withColumn("__chunk", F.lit(0))
         chunk_keys: list[str] = []

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.scalars import round_half_away
-from .skew import skew_safe_row_number
+from .skew import row_number_by_size
 from .engagement import CELL_KEYS, IMG_FENCES, NORM_NAME, VIDEO_FENCES, robust_bounds, robust_norm
 
 VIDEO_OUT_NORMS = (
@@ -42,15 +42,16 @@ def weighted_score(table: dict, gender: str = "group_gender", age: str = "group_
 
 
 def rank_cells(scored: DataFrame, *, keys=RANK_KEYS, score: str = "recall_score", tie: str = "pid",
-               name: str = "reviewed_rank", skew_safe: bool = True) -> DataFrame:
+               name: str = "reviewed_rank", skew_safe: bool = True, max_group_rows: int = 1_000_000) -> DataFrame:
     """ROW_NUMBER() per cell by score desc (nulls last), ties by pid.
 
     Every row of a cell is ranked (no limit), so a hot cell would otherwise be sorted in
-    one task; ``skew_safe`` splits it over range partitions (see ``operators.skew``).
+    one task; with ``skew_safe`` cells above ``max_group_rows`` are split over range
+    partitions and the rest use the plain window (see ``operators.skew``).
     """
     order = [F.col(score).desc_nulls_last(), F.col(tie).asc()]
     if skew_safe:
-        return skew_safe_row_number(scored, list(keys), order, name=name)
+        return row_number_by_size(scored, list(keys), order, name=name, max_group_rows=max_group_rows)
     w = Window.partitionBy(*keys).orderBy(*order)
     return scored.withColumn(name, F.row_number().over(w).cast("bigint"))
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import skew_safe_row_number
+from .skew import row_number_by_size
 
 
 def training_days(as_of: int, *, max_day: int = 30, mode: str = "full") -> tuple[str, str]:
@@ -49,7 +49,7 @@ def behaviour_sequences(
     )
     if skew_safe:
         # a single user-day can be huge (bots): number it without one task holding it all
-        a = skew_safe_row_number(a, ["mid", "day"], [F.col("ts").asc(), F.col("event_id").asc()], name="__pos")
+        a = row_number_by_size(a, ["mid", "day"], [F.col("ts").asc(), F.col("event_id").asc()], name="__pos")
         a = a.withColumn("__pos", F.col("__pos") - 1)
     else:
         w = Window.partitionBy("mid", "day").orderBy("ts", "event_id")

@@ -57,3 +57,37 @@ def skew_safe_row_number(
     rn = (F.col("__start") + F.col("__off") - F.col("__first") + 1).cast("bigint")
     drop = ["__part", "__off", "__first", "__start", "__pp"] + [f"__pk{i}" for i in range(len(keys))]
     return j.withColumn(name, rn).drop(*drop)
+
+
+def row_number_by_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    *,
+    name: str = "rn",
+    max_group_rows: int = 1_000_000,
+) -> DataFrame:
+    """Per-group row numbers where only the hot groups take the range-partitioned path.
+
+    Group sizes come from one partial-aggregated count. Groups above ``max_group_rows`` --
+    at most ``rows / max_group_rows`` of them, so the list is broadcast with a proven bound --
+    are numbered by ``skew_safe_row_number``; every other group keeps the ordinary window,
+    where one task per group is fine because the group is bounded.
+    """
+    keys = list(keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.filter(F.col("__n") > max_group_rows).select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)])
+    w = Window.partitionBy(*keys).orderBy(*order)
+    if hot.limit(1).count() == 0:
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    cond = None
+    for i, k in enumerate(keys):
+        c = df[k].eqNullSafe(F.col(f"__h{i}"))
+        cond = c if cond is None else cond & c
+    tagged = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), cond, "left")
+    tagged = tagged.drop(*[f"__h{i}" for i in range(len(keys))])
+    cold = tagged.filter(F.col("__hot").isNull()).drop("__hot")
+    hot_rows = tagged.filter(F.col("__hot").isNotNull()).drop("__hot")
+    return cold.withColumn(name, F.row_number().over(w).cast("bigint")).unionByName(
+        skew_safe_row_number(hot_rows, keys, order, name=name)
+    )

@@ -164,3 +164,19 @@ def test_bounds_methods_agree(spark):
     cols = [F.round(x, 9).alias(x) if x not in E.CELL_KEYS else F.col(x) for x in a.columns]
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
     assert E.robust_bounds(c, E.VIDEO_FENCES, method="auto", max_cell_rows=1).count() == a.count()
+
+
+def test_row_number_by_size_routes_only_hot_groups(spark):
+    from pyspark.sql import Window
+
+    from candor.operators.skew import row_number_by_size
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") < 2000, F.lit("hot")).when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit("cold")).alias("g"),
+        F.col("id").alias("pid"), ((F.col("id") * 31) % 97).cast("double").alias("score"))
+    order = [F.col("score").desc(), F.col("pid").asc()]
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    for limit in (100, 10_000):      # hot path taken / not taken
+        got = row_number_by_size(df, ["g"], order, name="rn", max_group_rows=limit)
+        assert got.count() == 3000
+        assert got.select("g", "pid", "rn").exceptAll(want.select("g", "pid", "rn")).count() == 0
