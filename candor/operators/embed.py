@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,9 @@ def item2vec(
     step_size: float = 0.025,
     max_sentence_length: int = 1000,
     return_model: bool = False,
+    method: str = "word2vec",
+    reg: float = 0.05,
+    alpha: float = 10.0,
 ):
     """Sentences of item ids -> (pid, vector array<float>) for every item seen ``min_count`` times.
 
@@ -31,7 +35,14 @@ def item2vec(
     window of ``behaviour_sequences`` instead of being updated. Non-numeric tokens are dropped
     from the output (only digit ids are items). With ``return_model`` the fitted model is
     returned too, for the daily snapshot sink.
+
+    ``method="als"`` is the path for vocabularies too large for Word2Vec's driver-held
+    matrix: see ``cooccurrence`` and ``item2vec_als``.
     """
+    if method == "als":
+        out, model = item2vec_als(sequences, items_col=items_col, size=size, window=window, min_count=min_count,
+                                  epochs=epochs, seed=seed, reg=reg, alpha=alpha)
+        return (out, model) if return_model else out
     w2v = Word2Vec(
         vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed,
         numPartitions=num_partitions, stepSize=step_size, maxSentenceLength=max_sentence_length,
@@ -43,3 +54,56 @@ def item2vec(
         F.col("word").cast("bigint").alias("pid"), vector_to_array("vector", "float32").alias("vector")
     )
     return (out, model) if return_model else out
+
+
+def cooccurrence(sequences: DataFrame, *, items_col: str = "items", window: int = 5, min_count: int = 5) -> DataFrame:
+    """Symmetric windowed co-occurrence counts (item, ctx, n) of items seen ``min_count`` times.
+
+    Each token meets the tokens up to ``window`` positions ahead through an equi-join on
+    (sentence, position + offset), so the fan-out per token is ``window`` -- never all pairs
+    of a sentence -- and the counts are a partial-aggregated group-by.
+    """
+    sent = sequences.select(F.monotonically_increasing_id().alias("sid"), F.col(items_col).alias("items"))
+    tok = sent.select("sid", F.posexplode("items").alias("pos", "item"))
+    freq = tok.groupBy("item").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= min_count).select("item")
+    tok = tok.join(freq, "item", "left_semi")
+    ahead = tok.select("sid", F.col("item").alias("a"),
+                       F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + window)).alias("pos"))
+    pairs = ahead.join(tok.select("sid", "pos", F.col("item").alias("b")), ["sid", "pos"], "inner").filter("a != b")
+    both = pairs.select(F.col("a").alias("item"), F.col("b").alias("ctx")).unionByName(
+        pairs.select(F.col("b").alias("item"), F.col("a").alias("ctx")))
+    return both.groupBy("item", "ctx").agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+
+def item2vec_als(
+    sequences: DataFrame,
+    *,
+    items_col: str = "items",
+    size: int = C.W2V_SIZE,
+    window: int = C.W2V_WINDOW,
+    min_count: int = C.W2V_MIN_COUNT,
+    epochs: int = C.W2V_EPOCHS,
+    seed: int = 42,
+    reg: float = 0.05,
+    alpha: float = 10.0,
+):
+    """Item vectors by implicit-feedback ALS on the co-occurrence matrix -> ((pid, vector), model).
+
+    Factors live in DataFrames partitioned over the cluster, so the vocabulary is not bound
+    by driver memory. ALS needs int ids: item ids are densified with an exact distributed
+    global numbering (no single-task window).
+    """
+    from .skew import skew_safe_row_number
+
+    co = cooccurrence(sequences, items_col=items_col, window=window, min_count=min_count)
+    vocab = co.select("item").distinct()
+    ids = skew_safe_row_number(vocab, [], [F.col("item").asc()], name="iid")
+    ids = ids.select("item", (F.col("iid") - 1).cast("int").alias("iid"))
+    m = co.join(ids, "item").join(ids.select(F.col("item").alias("ctx"), F.col("iid").alias("cid")), "ctx")
+    als = ALS(rank=size, maxIter=epochs, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
+              userCol="iid", itemCol="cid", ratingCol="n", nonnegative=False, coldStartStrategy="drop")
+    model = als.fit(m.select("iid", "cid", "n"))
+    f = model.userFactors.select(F.col("id").alias("iid"), "features")
+    out = f.join(ids, "iid").filter(F.col("item").rlike("^[0-9]+$")).select(
+        F.col("item").cast("bigint").alias("pid"), F.col("features").cast("array<float>").alias("vector"))
+    return out, model

@@ -180,3 +180,19 @@ def test_row_number_by_size_routes_only_hot_groups(spark):
         got = row_number_by_size(df, ["g"], order, name="rn", max_group_rows=limit)
         assert got.count() == 3000
         assert got.select("g", "pid", "rn").exceptAll(want.select("g", "pid", "rn")).count() == 0
+
+
+def test_item2vec_als_path(spark):
+    from candor.operators.embed import cooccurrence, item2vec
+    from candor.plans.q_i2i import sequences
+
+    seq = sequences(spark, SF01)
+    co = cooccurrence(seq, window=2, min_count=1)
+    # symmetric counts, never an item with itself
+    assert co.filter("item = ctx").count() == 0
+    assert co.alias("x").join(co.alias("y"), (F.col("x.item") == F.col("y.ctx")) & (F.col("x.ctx") == F.col("y.item"))
+                              & (F.col("x.n") == F.col("y.n"))).count() == co.count()
+    v = item2vec(seq, method="als", size=8, epochs=3)
+    w = item2vec(seq, size=8, epochs=1)
+    assert v.count() == w.count() == 100     # same vocabulary (all 100 items reach min_count)
+    assert v.filter(F.size("vector") != 8).count() == 0
