@@ -61,9 +61,17 @@ def start_counter_stream(
     return w.start(), out_dir
 
 
+CHANGELOG_SCHEMA = "pid long, day string, " + ", ".join(f"`{c}` long" for c in COUNTERS) + ", batch_id long"
+
+
 def latest_counters(spark: SparkSession, changelog: str) -> DataFrame:
-    """Newest version of each (pid, day) in the changelog."""
-    c = spark.read.parquet(changelog)
+    """Newest version of each (pid, day) in the changelog (empty when no batch wrote yet)."""
+    try:
+        c = spark.read.schema(CHANGELOG_SCHEMA).parquet(changelog)
+    except Exception as e:  # no micro-batch has produced the folder yet
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        c = spark.createDataFrame([], CHANGELOG_SCHEMA)
     w = Window.partitionBy("pid", "day").orderBy(F.col("batch_id").desc())
     return c.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "batch_id")
 

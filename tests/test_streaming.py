@@ -83,3 +83,7 @@ def test_boot_stream_mover_rescue(spark):
     q.awaitTermination(300)
     rows = [(r["pid"], r["event"], r["remaining"]) for r in spark.read.schema(OUT_SCHEMA).parquet(out).collect()]
     assert rows == [(8, "start", 100)]          # rescued at step 1: 200 - max(rec 1, 100)
+
+
+def test_latest_counters_before_any_batch(spark):
+    assert latest_counters(spark, "/tmp/candor-no-such-changelog-xyz").count() == 0
