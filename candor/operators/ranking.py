@@ -60,23 +60,37 @@ def hot_rank(
     cells: DataFrame,
     *,
     video: bool,
-    weights: dict | None = None,
+    weights: dict | DataFrame | None = None,
     approx: bool = False,
 ) -> DataFrame:
     """Rank one post type within each (gender, age, partition) cell.
 
     ``cells`` is the output of ``engagement_cells``; bounds are computed from the same
-    type's cells, normalised, scored with the weights table, rounded to 4 decimals.
+    type's cells, normalised, scored with the weights, rounded to 4 decimals. ``weights``
+    is a {(gender, age): {norm: weight}} dict (compiled to one CASE) or a DataFrame keyed by
+    group_gender, group_age (and optionally part2_id) with one ``<norm>`` weight column each.
     """
     fences = VIDEO_FENCES if video else IMG_FENCES
     out_norms = VIDEO_OUT_NORMS if video else IMG_OUT_NORMS
     typed = cells.filter(F.col("ptype") == C.VIDEO_PTYPE) if video else cells.filter(F.col("ptype") != C.VIDEO_PTYPE)
     bounds = robust_bounds(typed, fences, approx=approx)
     normed = robust_norm(typed, bounds, list(fences))
-    table = weights or weights_table(C.VIDEO_WEIGHTS if video else C.IMG_WEIGHTS)
+    if isinstance(weights, DataFrame):
+        # weights per cell as a table: one row per (gender, age[, part2]) -- bounded by the
+        # number of cells, so broadcast; a cell without a row scores NULL
+        wcols = [c for c in weights.columns if c.endswith("_norm")]
+        keys = [k for k in RANK_KEYS if k in weights.columns]
+        w = F.broadcast(weights.select(*keys, *[F.col(c).alias(f"__w_{c}") for c in wcols]))
+        normed = normed.join(w, keys, "left")
+        score = None
+        for c in wcols:
+            t = F.col(c) * F.col(f"__w_{c}")
+            score = t if score is None else score + t
+    else:
+        score = weighted_score(weights or weights_table(C.VIDEO_WEIGHTS if video else C.IMG_WEIGHTS))
     scored = normed.select(
         *[F.col(k) for k in RANK_KEYS], "pid",
-        round_half_away(weighted_score(table), 4).alias("recall_score"),
+        round_half_away(score, 4).alias("recall_score"),
         *[F.col(n) for n in out_norms],
     )
     return rank_cells(scored)

@@ -196,3 +196,19 @@ def test_item2vec_als_path(spark):
     w = item2vec(seq, size=8, epochs=1)
     assert v.count() == w.count() == 100     # same vocabulary (all 100 items reach min_count)
     assert v.filter(F.size("vector") != 8).count() == 0
+
+
+def test_hot_weights_as_table_equal_dict(spark):
+    from candor import constants as C
+    from candor.operators import ranking as R
+    from candor.plans import q_hot
+
+    cells = q_hot.cells(spark, SF01)
+    rows = [(g, a, *C.VIDEO_WEIGHTS.values()) for g in C.WEIGHT_GENDERS for a in C.WEIGHT_AGES if (g, a) != (1, 3)]
+    wt = spark.createDataFrame(rows, ["group_gender", "group_age", *C.VIDEO_WEIGHTS.keys()])
+    table = R.hot_video_rank(cells, weights=wt)
+    default = R.hot_video_rank(cells)
+    cmp = table.alias("t").join(default.alias("d"), ["group_gender", "group_age", "part2_id", "pid"])
+    same = cmp.filter("NOT (group_gender = 1 AND group_age = 3)").filter("t.recall_score <=> d.recall_score").count()
+    assert same == default.filter("NOT (group_gender = 1 AND group_age = 3)").count()
+    assert table.filter("group_gender = 1 AND group_age = 3 AND recall_score IS NOT NULL").count() == 0
