@@ -31,10 +31,24 @@ Rules = Mapping[str, list[dict]]
 
 # ----------------------------------------------------------------- rules (config)
 def load_rules(text: str = C.STEP_RULES_YAML) -> dict[str, list[dict]]:
-    """Ladder YAML -> {type: [{step, expose_to, rule}, ...]} in step order."""
+    """Ladder YAML -> {type: [{step, expose_to, rule}, ...]} in step order.
+
+    Each type needs steps 0..n-1 with strictly increasing thresholds (the skip-ahead level
+    counts the leading thresholds reached).
+    """
     conf = yaml.safe_load(text)
-    return {t: sorted(({"step": int(s["step"]), "expose_to": int(s["expose_to"]), "rule": s.get("rule") or ""}
-                       for s in steps), key=lambda s: s["step"]) for t, steps in conf.items()}
+    rules = {t: sorted(({"step": int(s["step"]), "expose_to": int(s["expose_to"]), "rule": s.get("rule") or ""}
+                        for s in steps), key=lambda s: s["step"]) for t, steps in conf.items()}
+    for t, steps in rules.items():
+        if [s["step"] for s in steps] != list(range(len(steps))):
+            raise ValueError(f"ladder {t!r}: steps must be 0..{len(steps) - 1}")
+        thr = [s["expose_to"] for s in steps]
+        if any(b <= a for a, b in zip(thr, thr[1:])):
+            raise ValueError(f"ladder {t!r}: thresholds must increase, got {thr}")
+    for t in ("video", "img"):
+        if t not in rules:
+            raise ValueError(f"ladder for {t!r} missing")
+    return rules
 
 
 def rules_frame(spark: SparkSession, rules: Rules) -> DataFrame:

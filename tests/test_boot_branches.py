@@ -181,3 +181,15 @@ def test_transition_states_are_ladder_states(spark):
     bad = out.filter((F.col("output") != "serving") & ~((F.col("step_boot") % 10).isin(0, 5))).count()
     assert bad == 0
     assert out.filter((F.col("output") == "serving") & (F.col("remaining") < 0)).count() == 0
+
+
+def test_rule_config_validation():
+    import pytest
+
+    bad_order = "video:\n  - {step: 0, expose_to: 200, rule: ''}\n  - {step: 1, expose_to: 100, rule: ''}\nimg:\n  - {step: 0, expose_to: 1, rule: ''}\n"
+    with pytest.raises(ValueError):
+        B.load_rules(bad_order)
+    gap = "video:\n  - {step: 0, expose_to: 200, rule: ''}\n  - {step: 2, expose_to: 300, rule: ''}\nimg:\n  - {step: 0, expose_to: 1, rule: ''}\n"
+    with pytest.raises(ValueError):
+        B.load_rules(gap)
+    assert B.load_rules()["video"][2]["expose_to"] == 1000
