@@ -83,3 +83,16 @@ def stream_counters(spark: SparkSession, events: DataFrame, *, timeout_s: int =
     if q.exception() is not None:
         raise q.exception()
     return latest_counters(spark, out)
+
+
+def compact_changelog(spark: SparkSession, changelog: str, base: str, version: str) -> str:
+    """Publish the latest counters as a new version (``base/v=<version>``).
+
+    A long-running stream keeps appending update rows; compacting on a schedule bounds what
+    readers scan: they read the newest compacted version plus the batches after it.
+    """
+    from ..sinks.writers import publish_version
+
+    latest = latest_counters(spark, changelog)
+    last_batch = spark.read.schema(CHANGELOG_SCHEMA).parquet(changelog).agg(F.max("batch_id")).first()[0]
+    return publish_version(latest.withColumn("through_batch", F.lit(last_batch).cast("bigint")), base, version)

@@ -87,3 +87,21 @@ def test_boot_stream_mover_rescue(spark):
 
 def test_latest_counters_before_any_batch(spark):
     assert latest_counters(spark, "/tmp/candor-no-such-changelog-xyz").count() == 0
+
+
+def test_compact_changelog(spark):
+    from candor.sinks.writers import read_latest
+    from candor.streaming.counters_stream import compact_changelog
+
+    base = tempfile.mkdtemp(prefix="candor-compact-", dir="/tmp")
+    src, out, ck = (os.path.join(base, x) for x in ("src", "out", "ck"))
+    os.makedirs(src)
+    _drop(src, "b1.parquet", [(1, "2024-01-10 10:00", "rec")])
+    q, _ = start_counter_stream(spark, spark.readStream.schema(EVENT_SCHEMA).parquet(src), out_dir=out, checkpoint=ck)
+    q.awaitTermination(300)
+    _drop(src, "b2.parquet", [(1, "2024-01-10 11:00", "rec")])
+    q, _ = start_counter_stream(spark, spark.readStream.schema(EVENT_SCHEMA).parquet(src), out_dir=out, checkpoint=ck)
+    q.awaitTermination(300)
+    compact_changelog(spark, out, os.path.join(base, "snap"), "1")
+    r = read_latest(spark, os.path.join(base, "snap")).collect()
+    assert [(x["pid"], x["rec"], x["through_batch"]) for x in r] == [(1, 2, 1)]
