@@ -95,3 +95,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
+
+
+def cluster_profile(input_bytes: float, *, executors: int, cores_per_executor: int,
+                    target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Size-dependent settings for a cluster run (pass them to spark-submit / the builder).
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes`` of the
+    largest shuffle (taken as the input size, an upper bound for these jobs) and at least a
+    few waves of the cluster's cores; AQE then coalesces small ones and splits skewed ones.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(3 * cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        **JOB_CONF,
+    }
