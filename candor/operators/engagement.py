@@ -166,7 +166,8 @@ def exact_quantiles(
     (keys, metric) by ``skew_safe_row_number`` (a range-partitioned sort, so a hot group is
     spread over many tasks), and for each probability the two neighbouring order statistics
     are picked and interpolated exactly as Spark's ``percentile`` does:
-    ``(hi - h) * v[lo] + (h - lo) * v[hi]`` with ``h = p * (n - 1)``. NULLs are ignored.
+    ``(hi - h) * v[lo] + (h - lo) * v[hi]`` with ``h = p * (n - 1)``, and ``v[lo]`` itself
+    when the two neighbours are equal. NULLs are ignored.
     Returns keys + one ``array<double>`` column ``__q_<metric>`` (quantiles in ``probs`` order).
     """
     from .skew import skew_safe_row_number
@@ -189,7 +190,9 @@ def exact_quantiles(
     q = t.join(lo_v, keys + ["metric", "i", "lo"]).join(hi_v, keys + ["metric", "i", "hi"])
     frac_lo = F.col("hi") - 1 - F.col("h")
     frac_hi = F.col("h") - (F.col("lo") - 1)
-    val = F.when(F.col("lo") == F.col("hi"), F.col("v_lo")).otherwise(frac_lo * F.col("v_lo") + frac_hi * F.col("v_hi"))
+    # equal neighbours give the value itself (interpolating a*v + b*v can be 1 ulp off v)
+    val = F.when((F.col("lo") == F.col("hi")) | (F.col("v_lo") == F.col("v_hi")), F.col("v_lo")).otherwise(
+        frac_lo * F.col("v_lo") + frac_hi * F.col("v_hi"))
     per = q.groupBy(*keys, "metric").agg(F.sort_array(F.collect_list(F.struct("i", val.alias("q")))).alias("__qs"))
     per = per.select(*keys, "metric", F.transform("__qs", lambda x: x["q"]).alias("qs"))
     return per.groupBy(*keys).pivot("metric", list(metrics)).agg(F.first("qs")).select(

@@ -66,18 +66,35 @@ FROM cells0
 )"""
 
 
-def bounds_select(src: str, fences: dict) -> str:
-    qs = ",\n       ".join(f"quantile_cont({m} * 100000, [0.15, 0.95]) AS q_{m}" for m in fences)
+def bounds_select(src: str, fences: dict, probs: tuple[float, float] = (0.15, 0.95)) -> str:
+    """Bounds per cell from explicit order statistics (linear interpolation between the two
+    neighbouring values, or the value itself when they are equal)."""
+    keys = ", ".join(CELL_KEYS)
+    ranked = ", ".join(
+        f"{m} * 100000 AS v_{m}, row_number() OVER (PARTITION BY {keys} ORDER BY {m} * 100000 NULLS LAST) AS rn_{m}, "
+        f"count({m}) OVER (PARTITION BY {keys}) AS n_{m}"
+        for m in fences
+    )
+    qs = []
+    for m in fences:
+        for i, p in enumerate(probs):
+            h = f"(CAST({p} AS DOUBLE) * (n_{m} - 1))"
+            v_lo = f"max(CASE WHEN rn_{m} = floor({h}) + 1 THEN v_{m} END)"
+            v_hi = f"max(CASE WHEN rn_{m} = ceil({h}) + 1 THEN v_{m} END)"
+            hh = f"max({h})"
+            qs.append(f"CASE WHEN {v_lo} = {v_hi} THEN {v_lo} "
+                      f"ELSE (ceil({hh}) - {hh}) * {v_lo} + ({hh} - floor({hh})) * {v_hi} END AS q{i}_{m}")
     outs = []
     for m, (k_lo, k_hi) in fences.items():
-        lo, hi = f"(q_{m}[1] / 100000)", f"(q_{m}[2] / 100000)"
+        lo, hi = f"(q0_{m} / 100000)", f"(q1_{m} / 100000)"
         mn = f"{lo} - {k_lo} * ({hi} - {lo})"
         outs.append(f"CASE WHEN {mn} > 0 THEN {mn} ELSE 0 END AS {m}_min")
         outs.append(f"{hi} + {k_hi} * ({hi} - {lo}) AS {m}_max")
-    keys = ", ".join(CELL_KEYS)
     return f"""SELECT {keys},
        {", ".join(outs)}
-FROM (SELECT {keys}, {qs} FROM {src} GROUP BY {keys}) s"""
+FROM (SELECT {keys}, {", ".join(qs)}
+      FROM (SELECT {keys}, {ranked} FROM {src}) r
+      GROUP BY {keys}) s"""
 
 
 def norm_select(src: str, bounds: str, metrics) -> str:
