@@ -3,7 +3,7 @@
 import pytest
 
 from candor.plans.registry import load_all
-from conftest import SF01
+from conftest import SF001, SF01
 from oracle_check import compare
 
 REG = load_all()
@@ -16,6 +16,12 @@ def test_matches_oracle(spark, name):
     assert compare(spark, name, SF01, verbose=True)
 
 
+@pytest.mark.parametrize("name", WITH_SQL)
+def test_matches_oracle_smallest_scale(spark, name):
+    # tiny cells (one or two posts) exercise the degenerate ranges and empty groups
+    assert compare(spark, name, SF001, verbose=True)
+
+
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_rows_only_runs(spark, name):
     assert REG[name].run(spark, SF01).count() > 0
