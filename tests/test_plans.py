@@ -57,3 +57,15 @@ def test_topn_is_limited_before_the_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "WindowGroupLimit" in static or "WindowGroupLimit" in plan
+
+
+def test_hot_path_stays_in_the_jvm(spark):
+    from candor.plans.registry import load_all
+
+    reg = load_all()
+    for name in ("engagement_cells", "hot_video_rank", "pool_clean", "review_board", "boot_features"):
+        df = reg[name].run(spark, SF001)
+        df.collect()                                   # AQE shows codegen stages in the final plan
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan, name
+        assert "isFinalPlan=true" in plan and "*(" in plan, name   # whole-stage codegen stages
