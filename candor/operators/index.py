@@ -45,11 +45,11 @@ def topn_index(
     order = [F.col(score_col).desc_nulls_last(), F.col(id_col).asc()]
     text = F.col(text_col) if text_col else F.format_string(fmt, F.col(id_col), F.col(score_col))
     base = df.select(*keys, id_col, score_col, text.alias("__text"))
-    if top > 0 or not skew_safe:
-        # bounded lists: the window limit is applied map-side (WindowGroupLimit) before the shuffle
+    if not skew_safe:
         ranked = base.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     else:
-        # keep-all lists: hot groups are numbered without sending them whole to one task
+        # bounded groups keep the window (with a map-side WindowGroupLimit under a top);
+        # hot groups are numbered without sending them whole to one task
         ranked = row_number_by_size(base, list(keys), order, name="__rn")
     if top > 0:
         ranked = ranked.filter(F.col("__rn") <= top).withColumn("__chunk", F.lit(0))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .knn import knn_exact
+from .skew import top_per_group
 
 
 def _top(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str = "__rn") -> DataFrame:
@@ -21,8 +22,11 @@ def _top(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str
 
 
 def recent_actions(actions: DataFrame, *, last_n: int = 100) -> DataFrame:
-    """Each user's latest ``last_n`` actions (by ts, then event id)."""
-    return _top(actions, ["mid"], [F.col("ts").desc(), F.col("event_id").desc()], last_n, "recency")
+    """Each user's latest ``last_n`` actions (by ts, then event id).
+
+    A user's history is unbounded (bots), so hot users go through the size-checked path.
+    """
+    return top_per_group(actions, ["mid"], [F.col("ts").desc(), F.col("event_id").desc()], last_n, name="recency")
 
 
 def recent_i2i_recall(actions: DataFrame, neighbours: DataFrame, *, last_n: int = 100, k: int = 50) -> DataFrame:
@@ -63,7 +67,8 @@ def topic_interest_recall(
     a = a.select("mid", "pid").join(p, "pid", "inner")
     topics = a.groupBy("mid", "tid").agg(F.count(F.lit(1)).alias("n"))
     topics = _top(topics, ["mid"], [F.col("n").desc(), F.col("tid").asc()], n_topics).select("mid", "tid")
-    best = _top(scores.join(p, "pid", "inner"), ["tid"], [F.col("score").desc(), F.col("pid").asc()], per_topic)
+    best = top_per_group(scores.join(p, "pid", "inner"), ["tid"], [F.col("score").desc(), F.col("pid").asc()],
+                         per_topic, name="__rn")     # a topic's posts are unbounded
     c = topics.join(best.select("tid", "pid", "score"), "tid", "inner")
     c = c.join(a.select("mid", "pid").distinct(), ["mid", "pid"], "left_anti")
     return _top(c.select("mid", "pid", "score"), ["mid"], [F.col("score").desc(), F.col("pid").asc()], k).drop("__rn")

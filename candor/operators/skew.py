@@ -91,3 +91,22 @@ def row_number_by_size(
     return cold.withColumn(name, F.row_number().over(w).cast("bigint")).unionByName(
         skew_safe_row_number(hot_rows, keys, order, name=name)
     )
+
+
+def top_per_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    *,
+    name: str = "rn",
+    max_group_rows: int = 1_000_000,
+) -> DataFrame:
+    """The first ``n`` rows of every group (with their number in ``name``).
+
+    Bounded groups use the window (Spark adds a map-side ``WindowGroupLimit``). A hot group
+    spread thinly over many partitions would still reach one final task with up to
+    partitions x n rows, so groups above ``max_group_rows`` are numbered by the
+    range-partitioned path before the limit.
+    """
+    return row_number_by_size(df, keys, order, name=name, max_group_rows=max_group_rows).filter(F.col(name) <= n)

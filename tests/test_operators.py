@@ -215,3 +215,16 @@ def test_hot_weights_as_table_equal_dict(spark):
     same = cmp.filter("NOT (group_gender = 1 AND group_age = 3)").filter("t.recall_score <=> d.recall_score").count()
     assert same == default.filter("NOT (group_gender = 1 AND group_age = 3)").count()
     assert table.filter("group_gender = 1 AND group_age = 3 AND recall_score IS NOT NULL").count() == 0
+
+
+def test_top_per_group_with_hot_group(spark):
+    from pyspark.sql import Window
+
+    from candor.operators.skew import top_per_group
+
+    df = spark.range(5000).select(F.when(F.col("id") < 4000, F.lit(1)).otherwise(F.col("id") % 5).alias("g"),
+                                  F.col("id").alias("pid"), ((F.col("id") * 7) % 113).cast("double").alias("s"))
+    order = [F.col("s").desc(), F.col("pid").asc()]
+    got = top_per_group(df, ["g"], order, 10, name="rn", max_group_rows=500)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order))).filter("rn <= 10")
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and want.count() == got.count()
