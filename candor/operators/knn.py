@@ -21,6 +21,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import top_per_group
+
 PAIR_SCHEMA = "pid long, near_pid long, score double"
 
 
@@ -118,8 +120,8 @@ def knn_lsh(
         F.col("datasetA.pid").alias("pid"), F.col("datasetB.pid").alias("near_pid"),
         (F.lit(1.0) - F.col("dist") * F.col("dist") / 2).alias("score"),
     ).filter(F.col("pid") != F.col("near_pid"))
-    w = Window.partitionBy("pid").orderBy(F.col("score").desc(), F.col("near_pid").asc())
-    return pairs.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
+    # an item in a hot bucket can have very many candidates: size-checked top-k
+    return top_per_group(pairs, ["pid"], [F.col("score").desc(), F.col("near_pid").asc()], k, name="__rn").drop("__rn")
 
 
 def knn_recall(approx: DataFrame, exact: DataFrame, *, min_score: float = 0.5) -> DataFrame:
