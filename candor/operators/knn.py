@@ -120,7 +120,9 @@ def knn_lsh(
         F.col("datasetA.pid").alias("pid"), F.col("datasetB.pid").alias("near_pid"),
         (F.lit(1.0) - F.col("dist") * F.col("dist") / 2).alias("score"),
     ).filter(F.col("pid") != F.col("near_pid"))
-    # an item in a hot bucket can have very many candidates: size-checked top-k
+    # an item in a hot bucket can have very many candidates: size-checked top-k. The pairs are
+    # persisted (memory, spilling to disk) so the size check does not repeat the LSH join.
+    pairs = pairs.persist()
     return top_per_group(pairs, ["pid"], [F.col("score").desc(), F.col("near_pid").asc()], k, name="__rn").drop("__rn")
 
 
