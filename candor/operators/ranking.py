@@ -42,7 +42,8 @@ def weighted_score(table: dict, gender: str = "group_gender", age: str = "group_
 
 
 def rank_cells(scored: DataFrame, *, keys=RANK_KEYS, score: str = "recall_score", tie: str = "pid",
-               name: str = "reviewed_rank", skew_safe: bool = True, max_group_rows: int = 1_000_000) -> DataFrame:
+               name: str = "reviewed_rank", skew_safe: bool = True, max_group_rows: int = 1_000_000,
+               sizes: DataFrame | None = None) -> DataFrame:
     """ROW_NUMBER() per cell by score desc (nulls last), ties by pid.
 
     Every row of a cell is ranked (no limit), so a hot cell would otherwise be sorted in
@@ -51,7 +52,7 @@ def rank_cells(scored: DataFrame, *, keys=RANK_KEYS, score: str = "recall_score"
     """
     order = [F.col(score).desc_nulls_last(), F.col(tie).asc()]
     if skew_safe:
-        return row_number_by_size(scored, list(keys), order, name=name, max_group_rows=max_group_rows)
+        return row_number_by_size(scored, list(keys), order, name=name, max_group_rows=max_group_rows, sizes=sizes)
     w = Window.partitionBy(*keys).orderBy(*order)
     return scored.withColumn(name, F.row_number().over(w).cast("bigint"))
 
@@ -93,7 +94,8 @@ def hot_rank(
         round_half_away(score, 4).alias("recall_score"),
         *[F.col(n) for n in out_norms],
     )
-    return rank_cells(scored)
+    # cell sizes from the (cheaper) typed cells: the same groups as the scored rows
+    return rank_cells(scored, sizes=typed.groupBy(*RANK_KEYS).count())
 
 
 def hot_video_rank(cells: DataFrame, **kw) -> DataFrame:

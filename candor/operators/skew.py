@@ -66,16 +66,21 @@ def row_number_by_size(
     *,
     name: str = "rn",
     max_group_rows: int = 1_000_000,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Per-group row numbers where only the hot groups take the range-partitioned path.
 
-    Group sizes come from one partial-aggregated count. Groups above ``max_group_rows`` --
+    Group sizes come from one partial-aggregated count (or from ``sizes``: keys + ``count``,
+    when the caller already has them from a cheaper, equally grouped frame). Groups above ``max_group_rows`` --
     at most ``rows / max_group_rows`` of them, so the list is broadcast with a proven bound --
     are numbered by ``skew_safe_row_number``; every other group keeps the ordinary window,
     where one task per group is fine because the group is bounded.
     """
     keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    else:
+        sizes = sizes.withColumnRenamed("count", "__n")
     hot = sizes.filter(F.col("__n") > max_group_rows).select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)])
     w = Window.partitionBy(*keys).orderBy(*order)
     if hot.limit(1).count() == 0:

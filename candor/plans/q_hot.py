@@ -111,7 +111,7 @@ GROUP BY part2_id, group_age, group_gender"""
     with_views(_TOPN_BODY, *BASE, extra=[O.cells_cte(), O.hot_ctes(True), f"ranked AS ({O.rank_select(True, 'normed')})"]),
 )
 def q_topn_index(spark: SparkSession, d: str) -> DataFrame:
-    ranked = R.hot_video_rank(cells(spark, d))
+    ranked = R.hot_video_rank(cells(spark, d)).persist()     # read by the size check and the index
     return topn_index(
         ranked, keys=["part2_id", "group_age", "group_gender"], id_col="pid", score_col="recall_score",
         top=50000, prefix="index_olduser_video_hot_part2_age_gender_", ttl=30 * 86400, as_of=AS_OF,
