@@ -1,12 +1,13 @@
 """Recall quality reports: exposure share and CTR by source, audience segment and partition.
 
-All three are single group-bys with map-side partial aggregation; the totals they divide
-by come from a one-row aggregate joined back as a broadcast (its size is one row).
+All three are single group-bys with map-side partial aggregation. The totals they divide
+by are window sums over the *aggregated* rows (one row per source / segment / partition,
+so tiny), never a join against a total.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -17,10 +18,10 @@ def recall_source_quality(log: DataFrame) -> DataFrame:
     g = log.groupBy("source").agg(
         F.sum("exposed").cast("bigint").alias("exposed"), F.sum("clicked").cast("bigint").alias("clicked")
     )
-    tot = log.agg(F.sum("exposed").alias("__tot"))
-    return g.join(F.broadcast(tot), how="left").select(
+    tot = F.sum("exposed").over(Window.partitionBy())          # over one row per source
+    return g.select(
         "source", "exposed", "clicked",
-        F.try_divide(F.col("exposed"), F.col("__tot")).alias("exposure_share"),
+        F.try_divide(F.col("exposed"), tot).alias("exposure_share"),
         F.try_divide(F.col("clicked"), F.col("exposed")).alias("ctr"),
     )
 
@@ -39,10 +40,10 @@ def recall_segment_quality(log: DataFrame, users: DataFrame) -> DataFrame:
     g = j.groupBy("source", "gender", "age").agg(
         F.sum("exposed").cast("bigint").alias("exposed"), F.sum("clicked").cast("bigint").alias("clicked")
     )
-    seg = j.groupBy("gender", "age").agg(F.sum("exposed").alias("__seg"))
-    return g.join(F.broadcast(seg), ["gender", "age"], "left").select(
+    seg = F.sum("exposed").over(Window.partitionBy("gender", "age"))
+    return g.select(
         "source", "gender", "age", "exposed", "clicked",
-        F.try_divide(F.col("exposed"), F.col("__seg")).alias("exposure_share"),
+        F.try_divide(F.col("exposed"), seg).alias("exposure_share"),
         F.try_divide(F.col("clicked"), F.col("exposed")).alias("ctr"),
     )
 
@@ -63,7 +64,6 @@ def recall_partition_share(
         F.coalesce(F.col("part2_id"), F.lit(default_part2)).cast("bigint").alias("part2_id"),
     )
     g = j.rollup("part1_id", "part2_id").agg(F.sum("exposed").cast("bigint").alias("exposed"))
-    tot = j.agg(F.sum("exposed").alias("__tot"))
-    return g.join(F.broadcast(tot), how="left").select(
-        "part1_id", "part2_id", "exposed", F.try_divide(F.col("exposed"), F.col("__tot")).alias("post_share")
-    )
+    # the rollup's own grand-total row (both keys NULL) is the denominator
+    tot = F.max(F.when(F.col("part1_id").isNull() & F.col("part2_id").isNull(), F.col("exposed"))).over(Window.partitionBy())
+    return g.select("part1_id", "part2_id", "exposed", F.try_divide(F.col("exposed"), tot).alias("post_share"))

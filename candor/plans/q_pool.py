@@ -55,12 +55,11 @@ def q_taxonomy_flat(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- community review index
 _COMMUNITY_SQL = with_views(f"""
-SELECT 'index_part2_community_review_' || k.kind || '_' || CAST(p.part2_id AS VARCHAR) AS index_key,
+SELECT 'index_part2_community_review_' || k.kind || '_' || CAST(k.part2_id AS VARCHAR) AS index_key,
        CAST(0 AS BIGINT) AS chunk, coalesce(g.value, '') AS value, CAST(coalesce(g.n, 0) AS BIGINT) AS n_items,
        CAST({AS_OF} + 3 * 86400 AS BIGINT) AS expires_at
-FROM (SELECT DISTINCT part2_id FROM tax) p
-CROSS JOIN (SELECT unnest(['video', 'img']) AS kind) k
-LEFT JOIN g ON g.kind = k.kind AND g.part2_id = p.part2_id""", "pool", "counters", "tax", extra=[
+FROM (SELECT part2_id, unnest(['video', 'img']) AS kind FROM (SELECT DISTINCT part2_id FROM tax) t) k
+LEFT JOIN g ON g.kind = k.kind AND g.part2_id = k.part2_id""", "pool", "counters", "tax", extra=[
     f"""d AS (SELECT pid, ptype, tid FROM pool
           WHERE status = 2 AND ct >= {AS_OF - COMMUNITY_DAYS * 86400} AND community_tag IN (1040, 1050))""",
     """j AS (SELECT d.pid, d.ptype, d.tid, coalesce(c.rec, 0) AS rec, coalesce(c.review, 0) AS review

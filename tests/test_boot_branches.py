@@ -149,9 +149,10 @@ def test_candidates_sibling_suppression_and_movers(spark):
       SELECT * FROM VALUES
         (9001L, 12000L, 10L, 40L, 1L), (9002L, 10L, 10L, 0L, 58L), (9003L, 10L, 0L, 0L, 1L), (9004L, 10L, 0L, 1L, 58L)
       AS t(pid, rec, step_boot, mover_level, mover_part_id)""")
-    base = docs.limit(1).drop("pid", "gid", "step_boot", "author", "score_values", "ct", "rec_t", "status",
-                              "resource_status", "subarea_status", "tid")
-    rows = extra.crossJoin(base).select(
+    given = {"pid", "gid", "step_boot", "author", "score_values", "ct", "rec_t", "status", "resource_status",
+             "subarea_status", "tid", "rec", "mover_level", "mover_part_id"}
+    fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields if f.name not in given]
+    rows = extra.select("*", *fill).select(
         "*", F.lit(900).cast("bigint").alias("gid"), F.lit(T0 - 100).cast("bigint").alias("ct"),
         F.lit(0).cast("bigint").alias("resource_status"), F.lit(0).cast("bigint").alias("subarea_status"),
         F.lit(1).cast("bigint").alias("tid"),

@@ -14,15 +14,16 @@ DAY = 86400
 
 def _docs(spark, rows):
     """rows: (pid, ct, rec, download, like, choice_status, gid, ptype, status, tid, tag)."""
-    base = X.pool_docs(spark, SF001).limit(1).drop(
-        "pid", "ct", "score_values", "choice_status", "gid", "ptype", "status", "tid", "community_tag")
+    schema = X.pool_docs(spark, SF001).schema
     d = spark.createDataFrame(rows, "pid long, ct long, rec long, download long, like long, choice_status long, "
                                     "gid long, ptype long, status long, tid long, community_tag long")
     sv = F.struct(F.col("rec"), F.col("download"), F.col("like"), F.lit(0).cast("bigint").alias("review"),
                   F.lit(0).cast("bigint").alias("share"), F.lit(0.0).alias("qscore"), F.lit(0).cast("bigint").alias("real_sume"),
                   F.lit(0.0).alias("ctr"), F.lit(0.0).alias("play_rate"), F.lit(0.0).alias("dtr"),
                   F.lit(0).cast("bigint").alias("detail")).alias("score_values")
-    return d.crossJoin(base).select(*[c for c in X.pool_docs(spark, SF001).columns if c != "score_values"], sv)
+    cols = [F.col(f.name) if f.name in d.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields if f.name != "score_values"]
+    return d.select(*cols, sv)
 
 
 def test_pool_clean_age_and_rate_edges(spark):
