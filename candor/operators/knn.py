@@ -101,25 +101,31 @@ def knn_lsh(
     bucket_length: float = 1.0,
     tables: int = 8,
     seed: int = 42,
+    others: DataFrame | None = None,
 ) -> DataFrame:
     """Approximate top-``k`` neighbours with cosine >= ``min_score`` via random-projection LSH.
 
+    Neighbours come from ``vectors`` itself (self excluded) or from ``others``.
+
     On unit vectors ``cos >= t`` is ``euclidean <= sqrt(2 - 2t)``, so the LSH similarity join
     with that distance threshold returns candidate pairs whose exact cosine is then computed;
     a window limit keeps the top ``k`` per item. Recall against ``knn_exact`` is measured by
     ``knn_recall``.
     """
     u = _unit(vectors, id_col, vec_col).select("pid", array_to_vector("vec").alias("features"))
+    o = u if others is None else _unit(others, id_col, vec_col).select("pid", array_to_vector("vec").alias("features"))
     lsh = BucketedRandomProjectionLSH(
         inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
     )
-    model = lsh.fit(u)
+    model = lsh.fit(o)
     thr = math.sqrt(max(0.0, 2.0 - 2.0 * min_score))
-    j = model.approxSimilarityJoin(u, u, thr + 1e-9, distCol="dist")
+    j = model.approxSimilarityJoin(u, o, thr + 1e-9, distCol="dist")
     pairs = j.select(
         F.col("datasetA.pid").alias("pid"), F.col("datasetB.pid").alias("near_pid"),
         (F.lit(1.0) - F.col("dist") * F.col("dist") / 2).alias("score"),
-    ).filter(F.col("pid") != F.col("near_pid"))
+    )
+    if others is None:
+        pairs = pairs.filter(F.col("pid") != F.col("near_pid"))
     # an item in a hot bucket can have very many candidates: size-checked top-k. The pairs are
     # persisted (memory, spilling to disk) so the size check does not repeat the LSH join.
     pairs = pairs.persist()

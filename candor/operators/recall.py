@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .knn import knn_exact
+from .knn import knn_exact, knn_lsh
 from .skew import top_per_group
 
 
@@ -84,12 +84,19 @@ def user_vectors(actions: DataFrame, vectors: DataFrame, *, last_n: int = 20) ->
     return g.select("mid", F.transform("__v", lambda s: s["x"]).alias("vector"))
 
 
-def user_vector_recall(actions: DataFrame, vectors: DataFrame, *, last_n: int = 20, k: int = 50) -> DataFrame:
-    """Nearest items to each user's mean recent vector (exact cosine, blocked): (mid, pid, score)."""
-    u = user_vectors(actions, vectors, last_n=last_n)
-    pairs = knn_exact(
-        u.select(F.col("mid").alias("pid"), "vector"), k=k, others=vectors.select("pid", "vector"),
-    )
+def user_vector_recall(actions: DataFrame, vectors: DataFrame, *, last_n: int = 20, k: int = 50,
+                       method: str = "exact", min_score: float = 0.0, **lsh) -> DataFrame:
+    """Nearest items to each user's mean recent vector: (mid, pid, score).
+
+    ``exact``: blocked exact cosine (bounded item sets); ``lsh``: random-projection LSH
+    candidates with cosine >= ``min_score`` (large user and item populations).
+    """
+    u = user_vectors(actions, vectors, last_n=last_n).select(F.col("mid").alias("pid"), "vector")
+    items = vectors.select("pid", "vector")
+    if method == "lsh":
+        pairs = knn_lsh(u, k=k, min_score=min_score, others=items, **lsh)
+    else:
+        pairs = knn_exact(u, k=k, others=items)
     return pairs.select(F.col("pid").alias("mid"), F.col("near_pid").alias("pid"), "score")
 
 

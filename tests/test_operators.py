@@ -228,3 +228,15 @@ def test_top_per_group_with_hot_group(spark):
     got = top_per_group(df, ["g"], order, 10, name="rn", max_group_rows=500)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order))).filter("rn <= 10")
     assert got.exceptAll(want.select(*got.columns)).count() == 0 and want.count() == got.count()
+
+
+def test_user_vector_recall_lsh_close_to_exact(spark):
+    from candor.operators.recall import user_vector_recall
+    from candor.sources import fixtures as X
+
+    acts, vecs = X.event_actions(spark, SF01), X.item_vectors(spark, SF01)
+    ex = user_vector_recall(acts, vecs, k=20)
+    ap = user_vector_recall(acts, vecs, k=20, method="lsh", min_score=0.0)
+    ex_pairs = ex.filter("score >= 0.3").select("mid", "pid")
+    found = ex_pairs.join(ap.select("mid", "pid"), ["mid", "pid"], "left_semi").count()
+    assert ex_pairs.count() > 0 and found / ex_pairs.count() >= 0.9
