@@ -42,7 +42,7 @@ def weighted_score(table: dict, gender: str = "group_gender", age: str = "group_
 
 
 def rank_cells(scored: DataFrame, *, keys=RANK_KEYS, score: str = "recall_score", tie: str = "pid",
-               name: str = "reviewed_rank", skew_safe: bool = True, max_group_rows: int = 1_000_000,
+               name: str = "reviewed_rank", skew_safe: bool = True, max_group_rows: int = 5_000_000,
                sizes: DataFrame | None = None) -> DataFrame:
     """ROW_NUMBER() per cell by score desc (nulls last), ties by pid.
 

@@ -65,7 +65,7 @@ def row_number_by_size(
     order: Sequence[Column],
     *,
     name: str = "rn",
-    max_group_rows: int = 1_000_000,
+    max_group_rows: int = 5_000_000,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Per-group row numbers where only the hot groups take the range-partitioned path.
@@ -105,7 +105,7 @@ def top_per_group(
     n: int,
     *,
     name: str = "rn",
-    max_group_rows: int = 1_000_000,
+    max_group_rows: int = 5_000_000,
 ) -> DataFrame:
     """The first ``n`` rows of every group (with their number in ``name``).
 
