@@ -20,7 +20,7 @@ def item2vec(
     min_count: int = C.W2V_MIN_COUNT,
     epochs: int = C.W2V_EPOCHS,
     seed: int = 42,
-    num_partitions: int = 1,
+    num_partitions: int | None = None,
     step_size: float = 0.025,
     max_sentence_length: int = 1000,
     return_model: bool = False,
@@ -43,6 +43,10 @@ def item2vec(
         out, model = item2vec_als(sequences, items_col=items_col, size=size, window=window, min_count=min_count,
                                   epochs=epochs, seed=seed, reg=reg, alpha=alpha)
         return (out, model) if return_model else out
+    if num_partitions is None:
+        # the corpus pass runs in this many tasks; Word2Vec merges the per-partition models
+        # every iteration, so more is not always better -- the cluster's parallelism, capped
+        num_partitions = max(1, min(sequences.sparkSession.sparkContext.defaultParallelism, 64))
     w2v = Word2Vec(
         vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed,
         numPartitions=num_partitions, stepSize=step_size, maxSentenceLength=max_sentence_length,
