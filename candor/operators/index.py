@@ -1,10 +1,11 @@
 """Serving-index frames: group -> ordered ``id:score`` list with an expiry.
 
 An index row is ``(index_key, items array<struct<id, score>>, value string, n_items, expires_at)``.
-The top-k is applied with a window limit *before* the list is collected, so each list is
-bounded by ``top`` (Spark plans it as a partial ``WindowGroupLimit`` ahead of the shuffle).
-With ``top=0`` (keep all) the list of a group is split into ``chunk`` sized pieces, one row
-each, so no single row or task has to hold an unbounded group.
+The top-k is applied *before* the list is collected, so each list is bounded by ``top``:
+bounded groups use the window (planned as a partial ``WindowGroupLimit`` ahead of the
+shuffle) and groups above the size bound are numbered by the range-partitioned path
+(``operators.skew``). With ``top=0`` (keep all) the list of a group is split into
+``chunk`` sized pieces, one row each, so no single row or task holds an unbounded group.
 """
 
 from __future__ import annotations
