@@ -166,3 +166,28 @@ def q_i2i_quality_index(spark: SparkSession, d: str) -> DataFrame:
         for k in ("video", "img")
     ]
     return parts[0].unionByName(parts[1])
+
+
+# ---------------------------------------------------------------- co-occurrence (ALS embedding input)
+_COOC_SQL = with_views("""
+SELECT CAST(item AS VARCHAR) AS item, CAST(ctx AS VARCHAR) AS ctx, CAST(count(*) AS DOUBLE) AS n
+FROM (SELECT a AS item, b AS ctx FROM cp UNION ALL SELECT b, a FROM cp) x
+GROUP BY item, ctx""", "actions", extra=[
+    """cs AS (
+SELECT mid, day, pid, pos0 // 1000 AS part, pos0 % 1000 AS pos FROM (
+  SELECT mid, CAST(ts AS DATE) AS day, pid,
+         row_number() OVER (PARTITION BY mid, CAST(ts AS DATE) ORDER BY ts, event_id) - 1 AS pos0
+  FROM actions WHERE pid IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '2023-12-31' AND DATE '2024-01-30') a)""",
+    """cv AS (SELECT pid FROM cs GROUP BY pid HAVING count(*) >= 5)""",
+    """ct AS (SELECT cs.* FROM cs JOIN cv ON cv.pid = cs.pid)""",
+    """cp AS (SELECT a.pid AS a, b.pid AS b FROM ct a JOIN ct b
+          ON a.mid = b.mid AND a.day = b.day AND a.part = b.part AND b.pos BETWEEN a.pos + 1 AND a.pos + 5
+        WHERE a.pid <> b.pid)""",
+])
+
+
+@register("item_cooccurrence", _COOC_SQL, ["n"])
+def q_item_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators.embed import cooccurrence
+
+    return cooccurrence(sequences(spark, d), window=5, min_count=5)
