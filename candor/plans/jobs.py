@@ -130,3 +130,35 @@ def boot_round_job(
     W.replace_table(nxt, f"{out}/serving/{as_of}")
     counts = {r["output"]: int(r["n"]) for r in t.groupBy("output").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {"transition": t_path, "serving": f"{out}/serving/{as_of}", "counts": counts}
+
+
+def counter_stream_job(
+    spark: SparkSession, events_dir: str, events_schema: str, out: str, checkpoint: str, *,
+    watermark: str = "1 hour", window: str = "1 day", processing_time: str | None = "1 minute",
+):
+    """Start the live counter stream on a landing folder of exposure events (pid, ts, counter).
+
+    Runs until stopped with ``processing_time`` triggers (or once over what is there when
+    ``processing_time`` is None); the changelog under ``out`` is read with
+    ``latest_counters`` and compacted with ``compact_changelog``.
+    """
+    from ..streaming.counters_stream import start_counter_stream
+
+    events = spark.readStream.schema(events_schema).parquet(events_dir)
+    q, _ = start_counter_stream(spark, events, out_dir=out, checkpoint=checkpoint, watermark=watermark, window=window,
+                                available_now=processing_time is None, processing_time=processing_time)
+    return q
+
+
+def boot_stream_job(
+    spark: SparkSession, events_dir: str, events_schema: str, posts: DataFrame, out: str, checkpoint: str, *,
+    rules: dict | None = None, processing_time: str | None = "1 minute",
+):
+    """Start the cold-start ladder stream; transitions are appended to ``out`` (Parquet)."""
+    from ..streaming.boot_stream import boot_stream_frame
+
+    events = spark.readStream.schema(events_schema).parquet(events_dir)
+    w = (boot_stream_frame(events, posts, rules).writeStream.outputMode("append").format("parquet")
+         .option("path", out).option("checkpointLocation", checkpoint))
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    return w.start()

@@ -36,3 +36,27 @@ def test_i2i_and_community_jobs(spark):
     m = J.community_job(spark, X.pool_docs(spark, d), X.counters(spark, d), X.taxonomy(spark, d), out + "/community",
                         as_of=AS_OF)
     assert m["index_keys"] == 50
+
+
+def test_stream_jobs_run_once(spark):
+    import os
+
+    import pandas as pd
+
+    from candor.streaming.boot_stream import OUT_SCHEMA
+    from candor.streaming.counters_stream import latest_counters
+
+    base = tempfile.mkdtemp(prefix="candor-streamjob-", dir="/tmp")
+    src = os.path.join(base, "src")
+    os.makedirs(src)
+    df = pd.DataFrame({"pid": [1, 1, 2], "ts": pd.to_datetime(["2024-01-10 10:00"] * 3, utc=True).astype("datetime64[us, UTC]"),
+                       "counter": ["rec", "rec", "like"]})
+    df.to_parquet(os.path.join(src, "e.parquet"), index=False)
+    schema = "pid long, ts timestamp, counter string"
+    q = J.counter_stream_job(spark, src, schema, base + "/cl", base + "/ck1", processing_time=None)
+    q.awaitTermination(300)
+    assert {(r["pid"], r["rec"]) for r in latest_counters(spark, base + "/cl").collect()} == {(1, 2), (2, 0)}
+    posts = X.post_attributes(spark, SF001)
+    q = J.boot_stream_job(spark, src, schema, posts, base + "/tr", base + "/ck2", processing_time=None)
+    q.awaitTermination(300)
+    assert spark.read.schema(OUT_SCHEMA).parquet(base + "/tr").count() >= 0
