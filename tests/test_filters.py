@@ -73,3 +73,23 @@ def test_review_board_having_edges(spark):
     assert got == {1: (5, 3), 3: (6, 303)}
     got2 = review_board(b, posts, since_day="20010101", min_rate=0.02).select("pid").collect()
     assert [r["pid"] for r in got2] == [1]
+
+
+def test_pool_clean_step_override_branch(spark):
+    t1 = 1_600_000_000                    # after the override epoch (1595174400)
+    rows = [(1, t1 - DAY, 5000, 100, 100, 30, 1, 2, 2, 1, 0),     # step 0, recent, override exists -> taken
+            (2, t1 - DAY, 5000, 100, 100, 30, 1, 2, 2, 1, 0),     # step 0, no override row -> kept as is
+            (3, 1_500_000_000, 5000, 100, 100, 30, 1, 2, 2, 1, 0)]  # created before the epoch -> not looked up
+    docs = _docs(spark, rows).withColumn("step_boot", F.lit(0).cast("bigint")).withColumn("step_boot_t", F.lit(7).cast("bigint"))
+    ov = spark.createDataFrame([(1, 20, 123, 0, None), (3, 30, 456, 0, None)],
+                               "pid long, step_boot long, step_boot_t long, mover_support long, real_step long")
+    got = {r["pid"]: (r["step_boot"], r["step_boot_t"]) for r in pool_clean(docs, ov, as_of=t1).collect()}
+    assert got == {1: (20, 123), 2: (0, 7), 3: (0, 7)}
+
+
+def test_community_zero_reviews_text(spark):
+    docs = _docs(spark, [(1, T0 - DAY, 0, 0, 0, 0, 1, 2, 2, 1, 1050)])
+    cnt = spark.createDataFrame([(1, 50, 0)], "pid long, rec long, review long")
+    tax = spark.createDataFrame([(1, 70, 13)], "tid long, part2_id long, part1_id long")
+    out = {r["index_key"]: r["value"] for r in community_review_index(docs, cnt, tax, as_of=T0, days=7).collect()}
+    assert out["index_part2_community_review_img_70"] == "1:0.0"   # float zero, as str(0.0)
