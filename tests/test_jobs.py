@@ -60,3 +60,15 @@ def test_stream_jobs_run_once(spark):
     q = J.boot_stream_job(spark, src, schema, posts, base + "/tr", base + "/ck2", processing_time=None)
     q.awaitTermination(300)
     assert spark.read.schema(OUT_SCHEMA).parquet(base + "/tr").count() >= 0
+
+
+def test_hot_job_enforce_min(spark):
+    out = tempfile.mkdtemp(prefix="candor-job-", dir="/tmp")
+    d = SF001
+    inp = J.HotInputs(X.behaviour(spark, d), X.pool(spark, d), X.posts(spark, d), X.users(spark, d), X.taxonomy(spark, d))
+    paths = J.hot_job(spark, inp, out, as_of=AS_OF, days=90, min_limit=2, enforce_min=True)
+    idx = spark.read.parquet(paths["video_index"])
+    short = spark.read.parquet(out + "/video_short_groups")
+    assert short.count() > 0
+    assert idx.join(short, "index_key", "left_semi").count() == 0      # short groups are not written
+    assert idx.filter("n_items < 2").count() == 0
