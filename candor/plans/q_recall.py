@@ -156,7 +156,7 @@ WHERE rank <= {K_MERGE}"""
 
 @register("quota_merge", _quota_sql(), ["score"])
 def q_quota_merge(spark: SparkSession, d: str) -> DataFrame:
-    acts = X.event_actions(spark, d)
+    acts = X.event_actions(spark, d).persist()      # read by all three recall sources
     topic = topic_recall(spark, d).persist()
     r = (
         recent_i2i_recall(acts, neighbours(spark, d), last_n=LAST_N, k=K_I2I).withColumn("source", F.lit("i2i"))
