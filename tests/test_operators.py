@@ -240,3 +240,27 @@ def test_user_vector_recall_lsh_close_to_exact(spark):
     ex_pairs = ex.filter("score >= 0.3").select("mid", "pid")
     found = ex_pairs.join(ap.select("mid", "pid"), ["mid", "pid"], "left_semi").count()
     assert ex_pairs.count() > 0 and found / ex_pairs.count() >= 0.9
+
+
+def test_empty_inputs_do_not_fail(spark):
+    from candor.operators import boot as B
+    from candor.operators.community import community_review_index
+    from candor.operators.engagement import engagement_cells
+    from candor.operators.index import topn_index
+    from candor.operators.ranking import hot_img_rank, hot_video_rank
+    from candor.sources import fixtures as X
+
+    d = "/root/testdata/sf0.001"
+    cells = engagement_cells(X.behaviour(spark, d), X.pool(spark, d), X.posts(spark, d), X.users(spark, d),
+                             X.taxonomy(spark, d), since_day="20990101")          # nothing in the window
+    assert cells.count() == 0
+    assert hot_video_rank(cells).count() == 0 and hot_img_rank(cells).count() == 0
+    assert topn_index(hot_video_rank(cells), keys=["part2_id"], score_col="recall_score", top=0, as_of=0).count() == 0
+    assert knn_exact(X.item_vectors(spark, d).limit(0), k=5).count() == 0
+    docs = X.pool_docs(spark, d)
+    idx = community_review_index(docs.limit(0), X.counters(spark, d), X.taxonomy(spark, d), as_of=X.AS_OF)
+    assert idx.count() == 50 and idx.filter("value != ''").count() == 0      # every partition, empty lists
+    cands = B.boot_candidates(docs, X.step_override(spark, d), X.taxonomy(spark, d), as_of=X.AS_OF + 400 * 86400)
+    t = B.boot_transition(cands, X.counters(spark, d), X.serving_budget(spark, d).limit(0), docs,
+                          X.step_override(spark, d), B.load_rules(), as_of=X.AS_OF)
+    assert cands.count() == 0 and t.count() == 0
