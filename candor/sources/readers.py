@@ -64,8 +64,8 @@ def read_sequence_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_rules(spark: SparkSession, path: str) -> dict:
     """Ladder YAML file -> rules dict (a small config file, read once on the driver)."""
-    text = "\n".join(r["value"] for r in spark.read.text(path).collect())
-    return load_rules(text)
+    rows = spark.read.text(path, wholetext=True).collect()     # one row per file: line order kept
+    return load_rules("\n".join(r["value"] for r in rows))
 
 
 NODE = T.StructType([
