@@ -107,3 +107,13 @@ def test_neighbour_text_round_trip(spark, tmp):
     back = R.read_neighbour_text(spark, os.path.join(path, "kind=img"))
     assert [(r["pid"], r["near_pid"]) for r in back.orderBy("pos").collect()] == [(1, 3), (1, 2)]
     assert F is not None
+
+
+def test_cluster_profile_sizes_partitions():
+    from candor.session import cluster_profile
+
+    p = cluster_profile(100e12, executors=1000, cores_per_executor=8)
+    assert int(p["spark.sql.shuffle.partitions"]) == int(100e12 // (256 << 20)) + 1
+    small = cluster_profile(1e9, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120          # at least three waves of 40 cores
+    assert p["spark.sql.adaptive.enabled"] == "true" and p["spark.sql.session.timeZone"] == "UTC"
