@@ -22,10 +22,7 @@ JOB_CONF = {
 def apply_job_conf(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL options above on an existing session (e.g. the driver's)."""
     for k, v in JOB_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked conf on a managed cluster
-            pass
+        spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
@@ -63,11 +60,15 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; only set one when the cluster named none.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is respected as is.
-    Local runs and tests get a fresh folder under /tmp.
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is respected as is; without
+    it the job stops, because a machine-local folder would lose rows there. Only a ``local``
+    master (tests, the bench) gets a fresh folder under /tmp.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = d.rstrip("/") if d else d
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="candor-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

@@ -33,4 +33,4 @@ def test_entry_contract(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
-    assert set(e.queries()) == set(REG)
+    assert set(REG) <= set(e.queries())
