@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import exact_dedup, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op8_mix_sources": mixing.op8_mix_sources,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
 }
