@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import (bagminhash, exact_dedup, license_scan, mixing, multi_index, packing, site_templates, token_counts, toxicity,
+               warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": packing.op1_packing,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_site_templates": site_templates.op3_site_templates,
+    "op4_bagminhash": bagminhash.op4_bagminhash,
+    "op5_warc": warc.op5_warc,
+    "op6_license_scan": license_scan.op6_license_scan,
+    "op7_multi_index": multi_index.op7_multi_index,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_toxicity": toxicity.op9_toxicity,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.ORACLE,
+    "op5_warc": warc.ORACLE,
+    "op6_license_scan": license_scan.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
 }
