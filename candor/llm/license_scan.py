@@ -164,7 +164,7 @@ p AS (
         FROM documents)),
 w AS (SELECT doc_id, passage, string_split(passage, ' ') AS words FROM p),
 b AS (
-  SELECT doc_id, passage, list_distinct(list_transform(range(1, len(words)), i -> words[i] || ' ' || words[i + 1])) AS grams
+  SELECT doc_id, passage, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams
   FROM w WHERE len(words) > 1),
 m AS (
   SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(b.grams, t.grams)) / (len(b.grams) + len(t.grams)) AS dice

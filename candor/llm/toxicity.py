@@ -5,8 +5,8 @@ buckets. A document is the mean of its words' subword embeddings; a linear softm
 its score. Embeddings and softmax are fitted together, so a misspelling that training never saw
 still finds the n-grams it shares with words that training saw.
 
-The model is fitted on the driver on at most ``max_docs`` labelled documents (half of them toxic, if
-there are that many; those with the smallest hash of their id) weighted back to the labels' true
+The model is fitted on the driver on at most ``max_docs`` labelled documents (up to half of them
+toxic; those with the smallest hash of their id) weighted back to the labels' true
 shares. Every document is then scored whole, where it lies: after training, a softmax over a mean is a
 mean of one number a bucket, which is what the executors get (``BUCKETS`` floats).
 
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import decided, require, table, with_row_id
 
 BUCKETS = 1 << 17
+GRAMS = (3, 4, 5)
 EDGES = ".,;:!?\"'()[]{}<>*%#$&|-_/\\"  # stripped from a word's ends
 CACHE = 300_000  # words that a task keeps; then it starts afresh
 
@@ -40,10 +41,16 @@ def subwords(word: str) -> list[int]:
     if not word:
         return []
     w = f"<{word}>"
-    grams = [w, *(w[i:i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1) if n < len(w))]
+    grams = [w, *(w[i:i + n] for n in GRAMS if n < len(w) for i in range(len(w) - n + 1))]
     return [zlib.crc32(g.encode("utf-8", "surrogatepass")) & (BUCKETS - 1) for g in grams]
 
 
+def n_subwords(word: str) -> int:
+    """``len(subwords(word))`` without making them."""
+    n = len(word.lower().strip(EDGES)) + 2
+    return 1 + sum(n - k + 1 for k in GRAMS if k < n) if n > 2 else 0
+
+
 @dataclass
 class Model:
     """A softmax over the mean embedding, folded: one logit for each bucket, and the bias."""
@@ -56,57 +63,67 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _sum_rows(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of consecutive, never empty runs of rows."""
-    return np.add.reduceat(values, starts, axis=0)
-
-
-class _Bags:
-    """Documents as counts of words, words as bags of buckets: the two sparse matrices of training."""
-
-    def __init__(self, texts: list[str | None]):
-        ids: dict[str, int] = {}
-        docs, words, counts, self.number = [], [], [], np.ones(len(texts))
-        bags: list[list[int]] = []
-        for d, text in enumerate(texts):
-            own: dict[int, int] = {}
-            for raw in (text or "").split():
-                k = ids.get(raw)
-                if k is None:
-                    k = ids[raw] = len(bags)
-                    bags.append(subwords(raw))
-                own[k] = own.get(k, 0) + 1
-            own = {k: n for k, n in own.items() if bags[k]}
-            docs += [d] * len(own)
-            words += own.keys()
-            counts += own.values()
-            self.number[d] = max(1, sum(n * len(bags[k]) for k, n in own.items()))
-        self.n_docs, self.n_words = len(texts), len(bags)
-        self.doc, self.word = np.array(docs, np.int64), np.array(words, np.int64)
-        self.count = np.array(counts, np.float32)
-        sizes = np.array([len(b) for b in bags], np.int64)
-        self.of_word = np.repeat(np.arange(len(bags)), sizes)
-        self.bucket = np.fromiter((x for b in bags for x in b), np.int64, int(sizes.sum()))
-
-    @staticmethod
-    def _spread(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(index, values[:, k], n) for k in range(values.shape[1])], 1).astype(np.float32)
-
-    def mean(self, table: np.ndarray) -> np.ndarray:
-        by_word = self._spread(self.of_word, table[self.bucket], self.n_words)
-        total = self._spread(self.doc, by_word[self.word] * self.count[:, None], self.n_docs)
-        return total / self.number[:, None].astype(np.float32)
-
-    def back(self, grad: np.ndarray) -> np.ndarray:
-        grad = grad / self.number[:, None].astype(np.float32)
-        by_word = self._spread(self.word, grad[self.doc] * self.count[:, None], self.n_words)
-        return self._spread(self.bucket, by_word[self.of_word], BUCKETS)
-
-
-def fit(texts: list[str | None], toxic: np.ndarray, weight: np.ndarray, dim: int = 4, epochs: int = 80,
-        rate: float = 0.5, decay: float = 1e-7, seed: int = 1) -> Model:
+class _Sparse:
+    """A sparse matrix as (row, column, value) triples, with products from either side."""
+
+    def __init__(self, row: np.ndarray, col: np.ndarray, value: np.ndarray, shape: tuple[int, int]):
+        self.shape, self.sides = shape, []
+        for own, other, n in ((row, col, shape[0]), (col, row, shape[1])):
+            order = np.argsort(own, kind="stable")
+            at, starts = np.unique(own[order], return_index=True)
+            self.sides.append((at, starts, other[order], value[order].astype(np.float32)[:, None], n))
+
+    def _times(self, side: int, x: np.ndarray) -> np.ndarray:
+        at, starts, other, value, n = self.sides[side]
+        out = np.zeros((n, x.shape[1]), np.float32)
+        if len(at):
+            out[at] = np.add.reduceat(x[other] * value, starts, axis=0)
+        return out
+
+    def dot(self, x: np.ndarray) -> np.ndarray:
+        return self._times(0, x)
+
+    def t_dot(self, x: np.ndarray) -> np.ndarray:
+        return self._times(1, x)
+
+
+def _bags(texts: list[str | None], min_docs: int) -> tuple[_Sparse, _Sparse]:
+    """Documents as shares of words (each word's count over the document's number of subwords), and words
+    as counts of buckets. Words in fewer than ``min_docs`` documents are in the shares' divisor only."""
+    ids: dict[str, int] = {}
+    sizes: list[int] = []
+    doc, word, share = [], [], []
+    for d, text in enumerate(texts):
+        own: dict[int, int] = {}
+        for raw in (text or "").split():
+            k = ids.get(raw)
+            if k is None:
+                k = ids[raw] = len(sizes)
+                sizes.append(n_subwords(raw))
+            own[k] = own.get(k, 0) + 1
+        number = sum(n * sizes[k] for k, n in own.items())
+        for k, n in own.items():
+            if sizes[k]:
+                doc.append(d)
+                word.append(k)
+                share.append(n / number)
+    doc, word, share = np.array(doc, np.int64), np.array(word, np.int64), np.array(share)
+    often = np.bincount(word, minlength=len(sizes)) >= min_docs
+    on = often[word] if len(word) else np.zeros(0, bool)
+    new = np.cumsum(often) - 1
+    bags = [subwords(raw) for raw, k in ids.items() if often[k]]
+    known = len(bags)
+    of = np.repeat(np.arange(known), [len(b) for b in bags])
+    buckets = np.array([x for b in bags for x in b], np.int64)
+    return (_Sparse(doc[on], new[word[on]], share[on], (len(texts), known)),
+            _Sparse(of, buckets, np.ones(len(of)), (known, BUCKETS)))
+
+
+def fit(texts: list[str | None], toxic: np.ndarray, weight: np.ndarray, dim: int = 4, epochs: int = 60,
+        rate: float = 1.0, decay: float = 1e-7, min_docs: int = 2, seed: int = 1) -> Model:
     """Fit embeddings and softmax together by Adam over all of the sample in each step."""
-    bags, y = _Bags(texts), toxic.astype(np.float32)
+    shares, grams = _bags(texts, min_docs)
+    y = toxic.astype(np.float32)
     weight = (weight / weight.sum()).astype(np.float32)
     rng = np.random.default_rng(seed)
     prior = float((weight * y).sum())
@@ -115,12 +132,12 @@ def fit(texts: list[str | None], toxic: np.ndarray, weight: np.ndarray, dim: int
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     rates = (rate, 0.02, 0.05)
     for step in range(1, epochs + 1):
-        hidden = bags.mean(params[0])
+        hidden = shares.dot(grams.dot(params[0]))
         z = hidden @ params[1] + params[2]
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         g = (p - np.stack([1 - y, y], 1)) * weight[:, None]
-        grads = [bags.back(g @ params[1].T) + decay * params[0], hidden.T @ g, g.sum(0)]
+        grads = [grams.t_dot(shares.t_dot(g @ params[1].T)) + decay * params[0], hidden.T @ g, g.sum(0)]
         for i, d in enumerate(grads):
             m, v = moments[i]
             m += 0.1 * (d - m)
@@ -135,14 +152,16 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 6000) -> Model:
     """The model of the training part of ``labels``, fitted on at most ``max_docs`` documents."""
     marks = require(labels, ["doc_id", "toxic"]).where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     n = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     if not (n.get(0) and n.get(1)):
         return Model(np.zeros(BUCKETS, np.float32), 500.0 if n.get(1) else -500.0)
     order = F.xxhash64("doc_id")
-    picked = [marks.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(max_docs // 2) for k in (0, 1)]
+    share = {1: min(n[1], max_docs // 2)}
+    share[0] = max_docs - share[1]
+    picked = [marks.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(share[k]) for k in (0, 1)]
     # at most max_docs rows, so it is right to send them to every task
     picked = F.broadcast(picked[0].unionByName(picked[1]))
     sample = require(docs, ["doc_id", "text"]).join(picked, "doc_id").select("doc_id", "text", "toxic").toPandas()

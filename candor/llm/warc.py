@@ -185,8 +185,8 @@ def described(records: DataFrame, id_type: str = "bigint") -> DataFrame:
         F.col("page_id").cast(id_type).alias("page_id"), "record_type", "record_id", "refers_to",
         F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
     slim = materialise(slim, "warc-described")
-    named = slim.where("record_type = 'revisit'").select("refers_to").distinct()
-    named = slim.where("record_type = 'response'").join(named, F.col("record_id") == named["refers_to"], "left_semi")
+    named = slim.where("record_type = 'revisit'").select(F.col("refers_to").alias("named")).distinct()
+    named = slim.where("record_type = 'response'").join(named, F.col("record_id") == F.col("named"), "left_semi")
     named = materialise(named.select(
         F.col("record_id").alias("of"), F.col("page_id").alias("response_id"), F.col("payload_bytes").alias("response_bytes"),
         F.col("payload_digest").alias("response_digest")), "warc-named")
