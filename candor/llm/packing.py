@@ -27,10 +27,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, require, table
+from .common import materialise, require, spaced, table
 
-CACHE = 200_000  # words whose ids a task keeps; then it starts afresh
-SPACES = str.maketrans({c: " " for c in "\t\n\v\f\r"})
+CACHE = 500_000  # words whose ids a task keeps; then it starts afresh
 
 
 def byte_letters() -> dict[int, str]:
@@ -88,7 +87,7 @@ class WordIds(dict):
         return ids
 
     def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").translate(SPACES).split(" ")))
+        return b"".join(map(self.__getitem__, spaced(text).split(" ")))
 
 
 class _Windows:

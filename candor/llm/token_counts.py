@@ -21,11 +21,10 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import require, table, with_row_id
+from .common import require, spaced, table, with_row_id
 
 START = "▁"  # the vocabulary's mark of a word's start
 CACHE = 500_000  # words whose counts a task keeps; then it starts afresh
-SPACES = str.maketrans({c: " " for c in "\t\n\v\f\r"})
 
 
 class Automaton:
@@ -116,7 +115,7 @@ def count_tokens(docs: DataFrame, pieces: list[str]) -> DataFrame:
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = _Counts(sent.value)
         for batch in batches:
-            words = [[w for w in (t or "").translate(SPACES).split(" ") if w] for t in batch["text"]]
+            words = [[w for w in spaced(t).split(" ") if w] for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "rid": batch["rid"], "n_words": [len(w) for w in words],
                                 "n_tokens": [sum(map(counts.__getitem__, w)) for w in words]})
 
