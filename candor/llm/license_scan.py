@@ -96,8 +96,8 @@ GRAMS = [bigrams(text) for _, text in TEMPLATES]
 KEYS = key_words(GRAMS, THRESHOLD)
 
 
-def _normal(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
+def _normal(low: Column) -> Column:
+    return F.trim(F.regexp_replace(low, "[^a-z0-9]+", " "))
 
 
 def _bigrams(passage: Column) -> Column:
@@ -124,18 +124,16 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every document with its nearest licence: doc_id, license_id, dice, licenses (all found, sorted) and
     n_matches (pairs of a distinct passage and a template that reach the threshold)."""
     keys = KEYS if threshold == THRESHOLD else key_words(GRAMS, threshold)
-    low = F.lower(F.col("text"))
-    may = F.lit(False)
-    for word in keys:
-        may = may | F.contains(low, F.lit(word))
-    lines = F.split(F.col("text"), "[\r\n]+")
-    sentences = F.split(F.regexp_replace(F.col("text"), r"([.!?])[ \t]+", "$1\n"), "[\r\n]+")
-    passages = F.array_distinct(F.transform(F.concat(lines, sentences), _normal))
-    # a passage may only hold a match if it has a key word itself
     holds = lambda p: F.exists(F.array(*map(F.lit, keys)), lambda w: F.contains(p, w))
-    found = F.flatten(F.transform(F.filter(passages, holds), lambda p: _near(_bigrams(p), threshold)))
+    # a step of its own: the lower-cased text is read by all that follows and must be made once
+    docs = require(docs, ["doc_id", "text"]).select("doc_id", F.lower("text").alias("low"))
+    low = F.col("low")
+    lines = F.split(low, "[\r\n]+")
+    sentences = F.split(F.regexp_replace(low, r"([.!?])[ \t]+", "$1\n"), "[\r\n]+")
+    passages = F.array_distinct(F.transform(F.filter(F.concat(lines, sentences), holds), _normal))
+    found = F.flatten(F.transform(passages, lambda p: _near(_bigrams(p), threshold)))
     none = F.array().cast("array<struct<dice:double,license:string>>")
-    docs = require(docs, ["doc_id", "text"]).select("doc_id", F.when(may, found).otherwise(none).alias("found"))
+    docs = docs.select("doc_id", F.when(holds(low), found).otherwise(none).alias("found"))
     first = F.array_sort(F.col("found"), lambda a, b: (
         F.when(a["dice"] != b["dice"], F.when(a["dice"] > b["dice"], -1).otherwise(1))
         .when(a["license"] != b["license"], F.when(a["license"] < b["license"], -1).otherwise(1)).otherwise(0)))
