@@ -131,7 +131,8 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lines = F.split(low, "[\r\n]+")
     sentences = F.split(F.regexp_replace(low, r"([.!?])[ \t]+", "$1\n"), "[\r\n]+")
     passages = F.array_distinct(F.transform(F.filter(F.concat(lines, sentences), holds), _normal))
-    found = F.flatten(F.transform(passages, lambda p: _near(_bigrams(p), threshold)))
+    # bigrams are made in a step of their own, so that all templates compare with the one list
+    found = F.flatten(F.transform(F.transform(passages, _bigrams), lambda grams: _near(grams, threshold)))
     none = F.array().cast("array<struct<dice:double,license:string>>")
     docs = docs.select("doc_id", F.when(holds(low), found).otherwise(none).alias("found"))
     first = F.array_sort(F.col("found"), lambda a, b: (
