@@ -12,16 +12,16 @@ point is later than all components' earliest: most shingles of a long text end a
 Two texts agree in a component with probability equal to their weighted Jaccard similarity.
 
 Candidates. ``BANDS`` bands of ``ROWS`` components; texts that agree in a whole band share a bucket. At
-similarity 0.8 a pair shares none with probability (1 - 0.8^4)^24 = 3e-6.
+similarity 0.8 a pair shares none with probability (1 - 0.8^5)^30 = 7e-6.
 
-Links, without all pairs of a bucket. Each text is first compared with the smallest leader among its
+Links, without all pairs of a group. Each text is first compared with the smallest leader among its
 buckets (a bucket's leader is its smallest text id), and linked texts are joined to components.
-Buckets whose texts are all in one component then have nothing more to tell. In the others, rounds
-compare every text with the bucket's leader; those that are not near it go on with a leader of their
-own, until none are left. Last, a text near a leader and one that is not may still be near each
-other; 1 - similarity is a metric, so only pairs whose similarities to that leader differ by at most
-1 - threshold are compared, and only between components. So every pair that shares a bucket is
-linked, known to be apart, or joined by others, and no count of partners is limited.
+Buckets whose texts are all in one component have nothing more to tell. While the others hold more
+than ``PAIRS`` pairs a text between components, every text in them is compared with the
+representatives of up to ``LEADERS`` other components of its bucket, which joins what is left of
+large groups. When few pairs are left, or such a round joins nothing, all pairs between components
+that are left are compared. So every pair that shares a bucket is linked, known to be apart, or
+joined by others, and no count of partners is limited.
 
 Exact copies (equal words) are one text throughout, known by 64 bits of its MD5.
 
@@ -43,10 +43,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import decided, materialise, require, table, with_row_id
+from ..operators.skew import top_per_group
+from .common import decided, materialise, require, stored, table, with_row_id
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 24, 4
+BANDS, ROWS = 30, 5
+LEADERS, PAIRS = 32, 16
 CACHE = 500_000  # words whose hashes a task keeps; then it starts afresh
 PART_WORDS = 400_000  # words whose signatures are worked out together
 
@@ -73,17 +75,32 @@ def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
+def shingle_hashes(h: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of texts laid end to end -> 64-bit shingle hashes, text after text, and their number
+    in each text. A text shorter than a shingle is one shingle of its own width."""
+    width = np.minimum(lengths, SHINGLE)
+    number = np.where(lengths > 0, lengths - width + 1, 0)
+    starts = np.cumsum(lengths) - lengths
+    first = np.repeat(starts - (np.cumsum(number) - number), number) + np.arange(number.sum())
+    wide = np.repeat(width, number)
+    x = wide.astype(U)
+    for k in range(SHINGLE):
+        on = wide > k
+        x[on] = _mix(x[on] ^ h[first[on] + k]) + U(k + 1)
+    return x, number
+
+
+def shingled(texts: list[list[str]], hashes: dict[str, int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct shingles of each text (its words), as sorted 64-bit hashes, and their counts."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    h = np.fromiter((hashes[w] for t in texts for w in t), U, int(lengths.sum()))
+    x, number = shingle_hashes(h, lengths)
+    ends = np.cumsum(number)
+    return [np.unique(x[e - n:e], return_counts=True) for e, n in zip(ends, number, strict=True)]
+
+
 def shingles(words: list[str], hashes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of a text, as sorted 64-bit hashes, and their counts."""
-    n = len(words)
-    if not n:
-        return np.zeros(0, U), np.zeros(0, np.int64)
-    h = np.fromiter(map(hashes.__getitem__, words), U, n)
-    width = min(n, SHINGLE)
-    x = np.full(n - width + 1, width, U)
-    for k in range(width):
-        x = _mix(x ^ h[k:n - width + 1 + k]) + U(k + 1)
-    return np.unique(x, return_counts=True)
+    return shingled([words], hashes)[0]
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -155,18 +172,17 @@ def text_id(words: list[str]) -> int:
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = _WordHash()
     for batch in batches:
-        texts, bags, held, done = [], [], 0, 0
+        words, held, done = [], 0, 0
         for k, text in enumerate(batch["text"]):
-            words = words_of(text)
-            texts.append(text_id(words))
-            bags.append(shingles(words, hashes))
-            held += len(words)
+            words.append(words_of(text))
+            held += len(words[-1])
             if held >= PART_WORDS or k == len(batch) - 1:
-                buckets = band_hashes(signatures(bags))
+                buckets = band_hashes(signatures(shingled(words, hashes)))
                 yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].iloc[done:k + 1], "rid": batch["rid"].iloc[done:k + 1], "tid": texts,
-                    "buckets": [b.tolist() if len(bag[0]) else None for b, bag in zip(buckets, bags, strict=True)]})
-                texts, bags, held, done = [], [], 0, k + 1
+                    "doc_id": batch["doc_id"].iloc[done:k + 1], "rid": batch["rid"].iloc[done:k + 1],
+                    "tid": [text_id(w) for w in words],
+                    "buckets": [b if w else None for b, w in zip(buckets, words, strict=True)]})
+                words, held, done = [], 0, k + 1
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -228,25 +244,19 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _led(members: DataFrame) -> DataFrame:
-    """(bucket, tid) of the buckets that hold two texts at least, with the bucket's leader."""
-    led = members.groupBy("bucket").agg(F.min("tid").alias("leader"), F.max("tid").alias("last"))
-    led = materialise(led.where("leader <> last").select("bucket", "leader"), "leaders")
-    led = led.withColumnRenamed("bucket", "of")
-    return members.join(led, F.col("bucket") == F.col("of")).drop("of")
-
-
-def _all_links(near: list[DataFrame]) -> DataFrame:
-    out = near[0]
-    for more in near[1:]:
-        out = out.unionByName(more)
-    return out
+def _pairs_left(members: DataFrame) -> tuple[int, int]:
+    """Texts in buckets, and pairs of them in different components, from the sizes of each."""
+    sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    return tuple(x or 0 for x in sizes.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first())
 
 
 def link(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
     """tid and comp of all texts of ``rows`` (``signed(docs)``) that have a near text, else None."""
     exploded = rows.select(F.explode("buckets").alias("bucket"), "tid")
-    members = materialise(_led(exploded).distinct(), "members")
+    led = exploded.groupBy("bucket").agg(F.min("tid").alias("leader"), F.max("tid").alias("last"))
+    led = materialise(led.where("leader <> last").select(F.col("bucket").alias("of"), "leader"), "leaders")
+    members = materialise(exploded.join(led, F.col("bucket") == F.col("of")).drop("of").distinct(), "members")
     if not members.limit(1).count():
         return None
     ids = members.select("tid").distinct().withColumnRenamed("tid", "of")
@@ -256,51 +266,47 @@ def link(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> Data
     texts = texts.join(one, (F.col("rid") == F.col("at_rid")) & F.col("row.doc_id").eqNullSafe(F.col("at_id")))
     texts = materialise(texts.select("tid", "row.text"), "texts")
 
-    # each text against the smallest leader among its buckets
-    known = [compared(members.where("tid <> leader").groupBy("tid").agg(F.min("leader").alias("b"))
-                      .select(F.col("tid").alias("a"), "b"), texts)]
-    near = lambda: _all_links(known).where(F.col("similarity") >= threshold)
-    comps = components(near())
-
-    def with_comp(d: DataFrame) -> DataFrame:
+    def spanning(members: DataFrame, comps: DataFrame) -> DataFrame:
+        """(bucket, tid, comp) of the buckets that hold more than one component."""
         c = comps.withColumnRenamed("tid", "c_tid")
-        return d.join(c, F.col("tid") == F.col("c_tid"), "left").withColumn("comp", F.coalesce("comp", "tid")).drop("c_tid")
-
-    # buckets that span components: rounds of leaders
-    members = with_comp(members)
-    mixed = members.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    members = materialise(members.join(mixed, "bucket", "left_semi").select("bucket", "tid", "leader"), "members")
-    met = []
-    while members.limit(1).count():
-        pairs = members.where("tid <> leader").select(F.col("tid").alias("a"), F.col("leader").alias("b")).distinct()
-        fresh = pairs.join(_all_links(known).select("a", "b"), ["a", "b"], "left_anti")
-        known.append(compared(fresh, texts))
-        sims = _all_links(known).select(F.col("a").alias("tid"), F.col("b").alias("leader"), "similarity")
-        told = materialise(members.join(sims, ["tid", "leader"]), "told")
-        met.append(told)
-        members = materialise(_led(told.where(F.col("similarity") < threshold).select("bucket", "tid")), "members")
-
-    if met:
-        comps = components(near())
-        told = with_comp(_all_links(met))
-        a = told.where(F.col("similarity") >= threshold).select(
-            "bucket", "leader", F.col("tid").alias("a"), F.col("comp").alias("comp_a"), F.col("similarity").alias("s_a"))
-        b = told.where(F.col("similarity") < threshold).select(
-            F.col("bucket").alias("bucket_b"), F.col("leader").alias("leader_b"), F.col("tid").alias("b"),
-            F.col("comp").alias("comp_b"), F.col("similarity").alias("s_b"))
-        across = a.join(b, (F.col("bucket") == F.col("bucket_b")) & (F.col("leader") == F.col("leader_b"))
-                        & (F.col("comp_a") != F.col("comp_b")) & (F.col("s_a") - F.col("s_b") <= 1 - threshold + 1e-9))
-        pairs = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        fresh = pairs.join(_all_links(known).select("a", "b"), ["a", "b"], "left_anti")
-        known.append(compared(fresh, texts))
-        if known[-1].where(F.col("similarity") >= threshold).limit(1).count():
-            comps = components(near())
-    return comps
+        m = members.select("bucket", "tid").join(c, F.col("tid") == F.col("c_tid"), "left").select(
+            "bucket", "tid", F.coalesce("comp", "tid").alias("comp"))
+        mixed = m.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
+        return materialise(m.join(mixed.select("bucket"), "bucket", "left_semi"), "members")
+
+    # each text against the smallest leader among its buckets
+    least = members.where("tid <> leader").groupBy("tid").agg(F.min("leader").alias("b")).select(F.col("tid").alias("a"), "b")
+    known = compared(least, texts)
+    comps = components(known.where(F.col("similarity") >= threshold))
+    members, joined = spanning(members, comps), True
+    while True:
+        n, left = _pairs_left(members)
+        if not left:
+            return comps
+        last = left <= PAIRS * n or not joined
+        if last:
+            others = members
+        else:
+            reps = members.groupBy("bucket", "comp").agg(F.min("tid").alias("tid"))
+            others = top_per_group(reps, ["bucket"], [F.xxhash64("comp").asc(), F.col("comp").asc()], LEADERS).drop("rn")
+        a = members.select("bucket", F.col("tid").alias("a"), F.col("comp").alias("comp_a"))
+        b = others.select(F.col("bucket").alias("of"), F.col("tid").alias("b"), F.col("comp").alias("comp_b"))
+        pairs = a.join(b, (F.col("bucket") == F.col("of")) & (F.col("comp_a") != F.col("comp_b")))
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        new = compared(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), texts)
+        joined = new.where(F.col("similarity") >= threshold).limit(1).count() > 0
+        known = materialise(known.unionByName(new), "known")
+        if joined:
+            comps = components(known.where(F.col("similarity") >= threshold))
+        if last:
+            return comps
+        members = spanning(members, comps)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every document: doc_id, rid, class_id (doc_id of the row of its class that stays), class_rid,
     class_size, kept."""
+    docs = stored(docs)
     rows = signed(docs)
     comps = link(docs, rows, threshold)
     classed = rows.select("doc_id", "rid", "tid")
@@ -320,6 +326,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs``, all columns kept, without the rows whose class another row stands for."""
+    docs = stored(docs)
     return decided(with_row_id(docs), near_duplicates(docs, threshold).where("kept"), "doc_id")
 
 

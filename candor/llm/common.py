@@ -15,7 +15,7 @@ from ..sources.tables import table
 # White space of the word definition used throughout: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "decided", "materialise", "require", "scratch", "spaced", "table", "with_row_id"]
+__all__ = ["WORD", "decided", "materialise", "require", "scratch", "spaced", "stored", "table", "with_row_id"]
 
 
 def spaced(text: str | None) -> str:
@@ -51,21 +51,29 @@ def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in columns])
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """``df`` nested as struct ``row`` beside ``rid``, a long that names the physical row.
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` itself if it reads files, whose rows have places; else written to the shared folder first.
 
-    For a table read from files ``rid`` hashes the file's path and the row's place in it, so two
-    scans of the same table agree without a shuffle. Other frames are written to the shared
-    folder first, which gives them such places. Nesting keeps any column of the input from
-    clashing with the operators' own names.
+    Whoever scans a table more than once and joins the scans by row id starts from this.
     """
-    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    row = lambda d: F.struct(*[d[f"`{c}`"] for c in d.columns]).alias("row")
     try:
-        return df.select(row(df), place.alias("rid"))
+        df.select(df.metadataColumn("_metadata")["file_path"]).schema  # noqa: B018 (resolves the column)
+        return df
     except AnalysisException:
-        df = materialise(df, "rows")
-        return df.select(row(df), place.alias("rid"))
+        return materialise(df, "rows")
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """``stored(df)`` nested as struct ``row`` beside ``rid``, a long that names the physical row.
+
+    ``rid`` hashes the file's path and the row's place in it, so two scans of the same table agree
+    without a shuffle. Nesting keeps any column of the input from clashing with the operators'
+    own names.
+    """
+    df = stored(df)
+    meta = df.metadataColumn("_metadata")
+    row = F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row")
+    return df.select(row, F.xxhash64(meta["file_path"], meta["row_index"]).alias("rid"))
 
 
 def decided(rows: DataFrame, kept: DataFrame, key: str) -> DataFrame:

@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import decided, materialise, require, table, with_row_id
+from .common import decided, materialise, require, stored, table, with_row_id
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -107,6 +107,7 @@ def dedup(docs: DataFrame, batches: int = 2) -> DataFrame:
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """``docs``, all columns kept, without the rows whose text another row stands for."""
+    docs = stored(docs)
     return decided(with_row_id(docs), dedup(docs).where("kept"), "doc_id")
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialise, require, table, with_row_id
+from .common import WORD, materialise, require, stored, table, with_row_id
 
 WEIGHTS = (1.0, 2.0, 3.0)
 
@@ -110,6 +110,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: a row for each pass that takes words, with all columns of the
     input. A document that the cut crosses ends with the last word taken (``n_chars``, if there is
     such a column, follows)."""
+    docs = stored(docs)
     taken = passes(docs, **options).where("words > 0").select(
         F.col("rid").alias("t_rid"), F.col("doc_id").alias("t_id"), "words", F.col("size").alias("t_size"))
     on = (F.col("rid") == F.col("t_rid")) & F.col("row.doc_id").eqNullSafe(F.col("t_id"))

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import decided, require, table, with_row_id
+from .common import decided, require, stored, table, with_row_id
 
 BUCKETS = 1 << 17
 GRAMS = (3, 4, 5)
@@ -209,6 +209,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def clean_documents(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """``docs``, all columns kept, without those that score ``threshold`` or more."""
+    docs = stored(docs)
     return decided(with_row_id(docs), score(docs, model).where(F.col("score") < threshold), "doc_id")
 
 
