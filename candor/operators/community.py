@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.pyfmt import short4
-from .index import topn_index
+from .index import topn_index, with_heads
 
 
 def community_review_index(
@@ -25,14 +25,18 @@ def community_review_index(
     default_part2: int = C.DEFAULT_PART2,
     prefix_video: str = "index_part2_community_review_video_",
     prefix_img: str = "index_part2_community_review_img_",
+    chunk: int = C.HOT_TOP,
 ) -> DataFrame:
-    """One index row per (partition, type), including partitions with no posts (value '').
+    """The list of each (partition, type), including partitions with no posts (one piece, value '').
+
+    Lists are kept whole: pieces of ``chunk`` items under ``key#0``, ``key#1``, ... and a head entry
+    ``key`` with their number (``operators.index``).
 
     Posts: ``status = 2``, created in the last ``days``, tagged, with live counters
     ``review < max_review`` and ``rec < max_rec`` (missing counters read as 0). The review
     rate is review/rec at 4 decimals (0 when rec = 0); lists are ordered by it, ties by pid.
     Partitions come from the taxonomy; a post whose partition is not listed is counted but
-    not indexed. The taxonomy side (one row per topic) is broadcast.
+    not indexed.
     """
     d = docs.filter(
         (F.col("status") == 2) & (F.col("ct") >= F.lit(as_of - days * C.DAY)) & F.col(tag_col).isin(*tags)
@@ -43,7 +47,7 @@ def community_review_index(
         F.coalesce(F.col("c_rec"), F.lit(0)).alias("rec"),
         F.coalesce(F.col("c_review"), F.lit(0)).alias("review"),
     ).filter((F.col("review") < max_review) & (F.col("rec") < max_rec))
-    tax = F.broadcast(taxonomy.select("tid", "part2_id"))
+    tax = taxonomy.select("tid", "part2_id")
     j = j.join(tax, "tid", "left").withColumn("part2_id", F.coalesce(F.col("part2_id"), F.lit(default_part2)))
     raw = F.try_divide(F.col("review"), F.col("rec"))
     text = F.when(F.col("rec") > 0, short4(raw)).otherwise(F.lit("0"))
@@ -55,8 +59,8 @@ def community_review_index(
     )
     idx = topn_index(
         j, keys=["kind", "part2_id"], id_col="pid", score_col="review_rate", top=0, text_col="item",
-        prefix="", ttl=ttl, as_of=as_of,
-    ).select(F.col("index_key").alias("k"), "chunk", "value", "n_items")
+        prefix="", ttl=ttl, as_of=as_of, chunk=chunk,
+    ).filter("chunk >= 0").select(F.substring_index("index_key", "#", 1).alias("k"), "chunk", "value", "n_items")
     parts = taxonomy.select("part2_id").distinct().select(
         "part2_id", F.explode(F.array(F.lit("video"), F.lit("img"))).alias("kind")
     )
@@ -65,11 +69,10 @@ def community_review_index(
         F.concat_ws("_", F.col("kind"), F.col("part2_id").cast("string")).alias("k"),
         "part2_id",
     )
-    out = parts.join(idx, "k", "left")
-    return out.select(
+    out = parts.join(idx, "k", "left").select(
         F.concat(F.col("prefix"), F.col("part2_id").cast("string")).alias("index_key"),
         F.coalesce(F.col("chunk"), F.lit(0)).cast("bigint").alias("chunk"),
         F.coalesce(F.col("value"), F.lit("")).alias("value"),
         F.coalesce(F.col("n_items"), F.lit(0)).cast("bigint").alias("n_items"),
-        F.lit(as_of + ttl).cast("bigint").alias("expires_at"),
     )
+    return with_heads(out).withColumn("expires_at", F.lit(as_of + ttl).cast("bigint"))

@@ -1,11 +1,20 @@
-"""Item embeddings from behaviour sequences (Spark ML Word2Vec, skip-gram)."""
+"""Item embeddings from behaviour sequences.
+
+The default is a projection of weighted co-occurrence counts: every item's vector is the sum, over the
+items it occurs near, of a fixed random sign vector of that item times a weight. Counts are a
+table that adds up over days, so yesterday's knowledge is the starting point of today's vectors and the
+vocabulary grows with the data; nothing is held on the driver. ``method="word2vec"`` (Spark ML's
+skip-gram, whose matrix lives on the driver) and ``method="als"`` remain as options.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -24,29 +33,26 @@ def item2vec(
     step_size: float = 0.025,
     max_sentence_length: int = 1000,
     return_model: bool = False,
-    method: str = "word2vec",
+    method: str = "cooccurrence",
     reg: float = 0.05,
     alpha: float = 10.0,
 ):
-    """Sentences of item ids -> (pid, vector array<float>) for every item seen ``min_count`` times.
+    """Sentences of item ids -> (pid, vector) for every item seen ``min_count`` times.
 
-    Spark ML trains skip-gram with hierarchical softmax; negative sampling, CBOW, frequent-word
-    subsampling and warm start are not offered, so a daily model is retrained on the sliding
-    window of ``behaviour_sequences`` instead of being updated. Non-numeric tokens are dropped
-    from the output (only digit ids are items). With ``return_model`` the fitted model is
-    returned too, for the daily snapshot sink.
-
-    ``method="als"`` is the path for vocabularies too large for Word2Vec's driver-held
-    matrix: see ``cooccurrence`` and ``item2vec_als``.
+    ``cooccurrence`` (default): ``cooccurrence`` counts -> ``cooccurrence_vectors``. ``als``: implicit
+    ALS on the same counts. ``word2vec``: Spark ML skip-gram with hierarchical softmax, for
+    vocabularies that fit the driver; it has no warm start. Non-numeric tokens are dropped from the
+    output (only digit ids are items). With ``return_model`` the fitted model of ``als`` or
+    ``word2vec`` is returned too, for the daily snapshot sink.
     """
+    if method == "cooccurrence":
+        return cooccurrence_vectors(cooccurrence(sequences, items_col=items_col, window=window, min_count=min_count), size=size)
     if method == "als":
         out, model = item2vec_als(sequences, items_col=items_col, size=size, window=window, min_count=min_count,
                                   epochs=epochs, seed=seed, reg=reg, alpha=alpha)
         return (out, model) if return_model else out
     if num_partitions is None:
-        # the corpus pass runs in this many tasks; Word2Vec merges the per-partition models
-        # every iteration, so more is not always better -- the cluster's parallelism, capped
-        num_partitions = max(1, min(sequences.sparkSession.sparkContext.defaultParallelism, 64))
+        num_partitions = max(1, sequences.sparkSession.sparkContext.defaultParallelism)
     w2v = Word2Vec(
         vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed,
         numPartitions=num_partitions, stepSize=step_size, maxSentenceLength=max_sentence_length,
@@ -63,20 +69,66 @@ def item2vec(
 def cooccurrence(sequences: DataFrame, *, items_col: str = "items", window: int = 5, min_count: int = 5) -> DataFrame:
     """Symmetric windowed co-occurrence counts (item, ctx, n) of items seen ``min_count`` times.
 
-    Each token meets the tokens up to ``window`` positions ahead through an equi-join on
-    (sentence, position + offset), so the fan-out per token is ``window`` -- never all pairs
-    of a sentence -- and the counts are a partial-aggregated group-by.
+    Each item meets the next ``window`` items of its sentence (those of column ``ahead``, if there
+    is one, follow the sentence's own). Pairs are built inside the row and counted before the
+    shuffle, so only counts travel; the fan-out of an item is ``window``, never a whole sentence.
     """
-    sent = sequences.select(F.monotonically_increasing_id().alias("sid"), F.col(items_col).alias("items"))
-    tok = sent.select("sid", F.posexplode("items").alias("pos", "item"))
-    freq = tok.groupBy("item").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= min_count).select("item")
-    tok = tok.join(freq, "item", "left_semi")
-    ahead = tok.select("sid", F.col("item").alias("a"),
-                       F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + window)).alias("pos"))
-    pairs = ahead.join(tok.select("sid", "pos", F.col("item").alias("b")), ["sid", "pos"], "inner").filter("a != b")
-    both = pairs.select(F.col("a").alias("item"), F.col("b").alias("ctx")).unionByName(
-        pairs.select(F.col("b").alias("item"), F.col("a").alias("ctx")))
-    return both.groupBy("item", "ctx").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    items = F.col(items_col)
+    after = F.concat(items, F.col("ahead")) if "ahead" in sequences.columns else items
+    pairs = F.flatten(F.transform(
+        F.sequence(F.lit(1), F.size(items)),
+        lambda i: F.transform(F.slice(after, i + 1, F.lit(window)), lambda b: F.struct(F.element_at(items, i).alias("a"), b.alias("b")))))
+    some = sequences.filter(F.size(items) > 0)
+    p = some.select(F.explode(pairs).alias("p")).select("p.a", "p.b").filter("a <> b")
+    p = p.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    vocab = some.select(F.explode(items).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("c"))
+    vocab = vocab.filter(F.col("c") >= min_count).select("item")
+    p = p.join(vocab.withColumnRenamed("item", "a"), "a", "left_semi").join(vocab.withColumnRenamed("item", "b"), "b", "left_semi")
+    both = p.select(F.explode(F.array(
+        F.struct(F.col("a").alias("item"), F.col("b").alias("ctx"), "n"),
+        F.struct(F.col("b").alias("item"), F.col("a").alias("ctx"), "n"))).alias("x")).select("x.*")
+    return both.groupBy("item", "ctx").agg(F.sum("n").cast("double").alias("n"))
+
+
+def summed(counts: DataFrame) -> DataFrame:
+    """Counts of several days (item, ctx, n, ...) -> their sums (item, ctx, n)."""
+    return counts.groupBy("item", "ctx").agg(F.sum("n").alias("n"))
+
+
+def frequent(counts: DataFrame, min_count: int) -> DataFrame:
+    """Counts among items whose co-occurrences sum to ``min_count`` at least."""
+    often = counts.groupBy("item").agg(F.sum("n").alias("c")).filter(F.col("c") >= min_count).select("item")
+    c = counts.join(often, "item", "left_semi")
+    return c.join(often.withColumnRenamed("item", "ctx"), "ctx", "left_semi").select("item", "ctx", "n")
+
+
+def sign_bits(key: Column, size: int) -> Column:
+    """``size`` signs (1.0 or -1.0) fixed by the text of ``key``: the bits of its MD5, of md5(key:1) and so on."""
+    hexes = F.concat(*[F.md5(F.concat(key, F.lit(f":{k}")).cast("binary")) for k in range(-(-size // 128))])
+    def sign(j: Column) -> Column:
+        digit = F.conv(F.substr(hexes, F.floor(j / 4).cast("int") + 1, F.lit(1)), 16, 10).cast("int")
+        bit = F.floor(digit / F.pow(F.lit(2.0), j % 4)).cast("int") % 2
+        return F.when(bit == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), sign)
+
+
+def signs_of(key: str, size: int) -> list[int]:
+    """``sign_bits`` of a constant: 1 or -1 each."""
+    digits = "".join(hashlib.md5(f"{key}:{k}".encode()).hexdigest() for k in range(-(-size // 128)))
+    return [1 if int(digits[j // 4], 16) >> j % 4 & 1 else -1 for j in range(size)]
+
+
+def cooccurrence_vectors(counts: DataFrame, *, size: int = C.W2V_SIZE) -> DataFrame:
+    """(item, ctx, n) -> (pid, vector array<double>): sum over contexts of ln(1 + n) / sqrt(total of ctx)
+    times the context's sign vector. A group-by with partial aggregation over a join on the context."""
+    totals = counts.groupBy("ctx").agg(F.sum("n").alias("total"))
+    totals = totals.select("ctx", F.sqrt("total").alias("root"), sign_bits(F.col("ctx"), size).alias("signs"))
+    x = counts.filter(F.col("item").rlike("^[0-9]+$")).join(totals, "ctx")
+    w = F.log1p("n") / F.col("root")
+    sums = [F.sum(w * F.col("signs")[j]).alias(f"x{j}") for j in range(size)]
+    g = x.groupBy("item").agg(*sums)
+    return g.select(F.col("item").cast("bigint").alias("pid"), F.array(*[f"x{j}" for j in range(size)]).alias("vector"))
 
 
 def item2vec_als(

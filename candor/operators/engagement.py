@@ -5,11 +5,11 @@
 ``robust_norm``       (x - min) / (max - min) clipped to [0, 1], per cell
 
 Plan shape at scale: the behaviour fact is filtered at the scan (ymd partition, expose),
-joined to the (small, pre-filtered) candidate pool on ``pid``; post metadata is reduced to
-the candidate pids by a semi join first; users are shuffle-joined on ``mid``; the
-taxonomy is broadcast (its size is the topic count). The group-by is partial-aggregated
-map-side, so a hot post or a hot cell does not land whole in one task. Bounds are one
-row per cell, so they are broadcast back onto the cells instead of re-shuffling the cells.
+joined to the pre-filtered candidate pool on ``pid``; post metadata is reduced to
+the candidate pids by a semi join first; users are joined on ``mid``. The group-by is
+partial-aggregated map-side, so a hot post or a hot cell does not land whole in one task. No
+join is forced: adaptive execution broadcasts a side once it has measured that it is small
+(the taxonomy, the bounds with one row per cell), and splits a skewed one otherwise.
 """
 
 from __future__ import annotations
@@ -109,7 +109,7 @@ def engagement_cells(
     )
     j = j.join(pm, "pid", "left")
     j = j.join(users.select("mid", "age", "gender"), "mid", "left")
-    tax = F.broadcast(taxonomy.select(F.col("tid").alias("b_tid"), "part2_id"))
+    tax = taxonomy.select(F.col("tid").alias("b_tid"), "part2_id")
     j = j.join(tax, "b_tid", "left")
 
     g = j.groupBy(
@@ -182,9 +182,9 @@ def exact_quantiles(
         h = F.lit(float(p)) * (F.col("n") - 1)
         targets.append(F.struct(F.lit(i).alias("i"), h.alias("h"), (F.floor(h) + 1).alias("lo"), (F.ceil(h) + 1).alias("hi")))
     t = sizes.select(*keys, "metric", F.explode(F.array(*targets)).alias("t")).select(*keys, "metric", "t.*")
-    # one row per group x metric x probability: bounded by the number of groups, so broadcast
+    # one row per group x metric x probability
     pos = t.select(*keys, "metric", "i", F.col("lo").alias("rn")).unionByName(t.select(*keys, "metric", "i", F.col("hi").alias("rn")))
-    picked = ranked.join(F.broadcast(pos.distinct()), keys + ["metric", "rn"], "inner")
+    picked = ranked.join(pos.distinct(), keys + ["metric", "rn"], "inner")
     lo_v = picked.select(*keys, "metric", "i", F.col("rn").alias("lo"), F.col("v").alias("v_lo"))
     hi_v = picked.select(*keys, "metric", "i", F.col("rn").alias("hi"), F.col("v").alias("v_hi"))
     q = t.join(lo_v, keys + ["metric", "i", "lo"]).join(hi_v, keys + ["metric", "i", "hi"])
@@ -204,50 +204,42 @@ def robust_bounds(
     cells: DataFrame,
     fences: dict[str, tuple[float, float]],
     *,
+    video_fences: dict[str, tuple[float, float]] | None = None,
     keys: tuple[str, ...] = CELL_KEYS,
     p_lo: float = C.P_LO,
     p_hi: float = C.P_HI,
     scale: int = C.PERCENTILE_SCALE,
-    method: str = "auto",
-    max_cell_rows: int = 1_000_000,
     accuracy: int = 10000,
     approx: bool = False,
 ) -> DataFrame:
     """One row per cell: ``<m>_min`` (floored at 0) and ``<m>_max`` for every metric.
 
     min = p_lo - k_lo * (p_hi - p_lo);  max = p_hi + k_hi * (p_hi - p_lo), percentiles of
-    ``x * scale`` divided back by ``scale``. ``method``:
-
-    * ``sort`` -- exact, via ``exact_quantiles``: no cell is ever held in one task;
-    * ``percentile`` -- exact ``percentile`` aggregate (a value->count map per cell, merged in
-      one task per cell: fine while cells are small);
-    * ``auto`` (default) -- a size check: ``percentile`` when the largest cell has at most
-      ``max_cell_rows`` rows, otherwise ``sort``. Both are exact and give the same bounds;
-    * ``approx`` -- bounded-memory ``percentile_approx`` sketch.
+    ``x * scale`` divided back by ``scale``. Percentiles are exact (``exact_quantiles``: no cell is
+    ever held in one task), or with ``approx`` the bounded-memory ``percentile_approx`` sketch.
+    With ``video_fences``, cells of video posts take their multipliers from there, so one pass
+    serves both types (``ptype`` is a cell key).
     """
-    if approx:
-        method = "approx"
     metrics = list(fences)
-    if method == "auto":
-        largest = cells.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        method = "percentile" if largest <= max_cell_rows else "sort"
-    if method == "sort":
-        s = exact_quantiles(cells, keys, metrics, (p_lo, p_hi), scale=float(scale))
-    else:
+    if approx:
         probs = F.array(F.lit(p_lo), F.lit(p_hi))
-        aggs = []
-        for m in metrics:
-            x = F.col(m) * scale
-            q = F.percentile_approx(x, probs, accuracy) if method == "approx" else F.percentile(x, probs)
-            aggs.append(q.alias(f"__q_{m}"))
-        s = cells.groupBy(*keys).agg(*aggs)
+        s = cells.groupBy(*keys).agg(*[F.percentile_approx(F.col(m) * scale, probs, accuracy).alias(f"__q_{m}") for m in metrics])
+    else:
+        s = exact_quantiles(cells, keys, metrics, (p_lo, p_hi), scale=float(scale))
+
+    def multiplier(m: str, side: int) -> Column:
+        k = F.lit(fences[m][side])
+        if video_fences is None or video_fences[m][side] == fences[m][side]:
+            return k
+        return F.when(F.col("ptype") == C.VIDEO_PTYPE, F.lit(video_fences[m][side])).otherwise(k)
+
     out = [F.col(k) for k in keys]
-    for m, (k_lo, k_hi) in fences.items():
+    for m in metrics:
         lo = F.col(f"__q_{m}")[0] / scale
         hi = F.col(f"__q_{m}")[1] / scale
-        mn = lo - k_lo * (hi - lo)
+        mn = lo - multiplier(m, 0) * (hi - lo)
         out.append(F.when(mn > 0, mn).otherwise(F.lit(0.0)).alias(f"{m}_min"))
-        out.append((hi + k_hi * (hi - lo)).alias(f"{m}_max"))
+        out.append((hi + multiplier(m, 1) * (hi - lo)).alias(f"{m}_max"))
     return s.select(*out)
 
 
@@ -260,10 +252,9 @@ def robust_norm(
 ) -> DataFrame:
     """Attach ``<norm>`` = clip01(coalesce((x-min)/nullif(max'-min, 0), 0)), max' = max>0 ? max : 1.
 
-    ``bounds`` has one row per cell (bounded by partitions x ages x genders x types), so it
-    is broadcast; the cells keep their partitioning.
+    ``bounds`` has one row per cell.
     """
-    j = cells.join(F.broadcast(bounds), list(keys), "left")
+    j = cells.join(bounds, list(keys), "left")
     out = [F.col(c) for c in cells.columns]
     for m in metrics:
         mn, mx = F.col(f"{m}_min"), F.col(f"{m}_max")

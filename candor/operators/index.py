@@ -1,11 +1,11 @@
 """Serving-index frames: group -> ordered ``id:score`` list with an expiry.
 
 An index row is ``(index_key, items array<struct<id, score>>, value string, n_items, expires_at)``.
-The top-k is applied *before* the list is collected, so each list is bounded by ``top``:
-bounded groups use the window (planned as a partial ``WindowGroupLimit`` ahead of the
-shuffle) and groups above the size bound are numbered by the range-partitioned path
-(``operators.skew``). With ``top=0`` (keep all) the list of a group is split into
-``chunk`` sized pieces, one row each, so no single row or task holds an unbounded group.
+The top-k is applied in two levels *before* the list is collected (``operators.skew``), so each
+list is bounded by ``top`` and no task numbers a hot group whole. With ``top=0`` (keep all) a
+group's list is numbered over range partitions and split into pieces of ``chunk`` items, each
+under a key of its own (``key#0``, ``key#1``, ...), beside a head entry ``key`` whose value is the
+number of pieces: nothing is cut, no row holds an unbounded list and no key is written twice.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .skew import row_number_by_size
+from .skew import skew_safe_row_number, top_per_group
 
 
 def index_key(prefix: str, keys: Sequence[str], sep: str = "_") -> Column:
@@ -36,43 +36,43 @@ def topn_index(
     fmt: str = "%d:%f",
     text_col: str | None = None,
     chunk: int = C.HOT_TOP,
-    skew_safe: bool = True,
 ) -> DataFrame:
-    """Group -> list sorted by score desc (nulls last, ties by id), first ``top`` kept.
+    """Group -> list sorted by score desc (nulls last, ties by id), first ``top`` kept (0: all).
 
-    Each item is written as ``fmt % (id, score)``, or as the given ``text_col`` when the
+    With ``top=0`` there is a column ``chunk`` too: -1 for a group's head entry. Each item is written as ``fmt % (id, score)``, or as the given ``text_col`` when the
     caller has its own item text.
     """
     order = [F.col(score_col).desc_nulls_last(), F.col(id_col).asc()]
     text = F.col(text_col) if text_col else F.format_string(fmt, F.col(id_col), F.col(score_col))
     base = df.select(*keys, id_col, score_col, text.alias("__text"))
-    if not skew_safe:
-        ranked = base.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    else:
-        # bounded groups keep the window (with a map-side WindowGroupLimit under a top);
-        # hot groups are numbered without sending them whole to one task
-        ranked = row_number_by_size(base, list(keys), order, name="__rn")
     if top > 0:
-        ranked = ranked.filter(F.col("__rn") <= top).withColumn("__chunk", F.lit(0))
-        chunk_keys: list[str] = []
+        ranked = top_per_group(base, list(keys), order, top, name="__rn")
+        by: list[str] = []
     else:
-        ranked = ranked.withColumn("__chunk", F.floor((F.col("__rn") - 1) / chunk).cast("bigint"))
-        chunk_keys = ["__chunk"]
+        ranked = skew_safe_row_number(base, list(keys), order, name="__rn")
+        ranked = ranked.withColumn("chunk", F.floor((F.col("__rn") - 1) / chunk).cast("bigint"))
+        by = ["chunk"]
     item = F.struct(F.col("__rn").alias("rn"), F.col(id_col).alias("id"), F.col(score_col).alias("score"),
                     F.col("__text").alias("text"))
-    g = ranked.groupBy(*keys, *chunk_keys).agg(F.sort_array(F.collect_list(item)).alias("__items"))
+    g = ranked.groupBy(*keys, *by).agg(F.sort_array(F.collect_list(item)).alias("__items"))
     items = F.transform(F.col("__items"), lambda x: F.struct(x["id"].alias("id"), x["score"].alias("score")))
     out = g.select(
-        index_key(prefix, keys).alias("index_key"),
-        *([F.col("__chunk").alias("chunk")] if chunk_keys else []),
-        items.alias("items"),
+        index_key(prefix, keys).alias("index_key"), *by, items.alias("items"),
         F.array_join(F.transform(F.col("__items"), lambda x: x["text"]), ",").alias("value"),
-    )
-    return out.select(
-        "*",
-        F.size("items").cast("bigint").alias("n_items"),
-        F.lit(as_of + ttl).cast("bigint").alias("expires_at"),
-    )
+    ).withColumn("n_items", F.size("items").cast("bigint"))
+    if by:
+        out = with_heads(out)
+    return out.withColumn("expires_at", F.lit(as_of + ttl).cast("bigint"))
+
+
+def with_heads(pieces: DataFrame) -> DataFrame:
+    """Pieces (index_key, chunk, value, n_items, ...) -> unique keys: ``key#chunk`` for each, and a head
+    entry ``key`` (chunk -1, no items) that holds how many there are."""
+    n = F.count(F.lit(1)).cast("string")
+    heads = pieces.groupBy("index_key").agg(n.alias("value")).select(
+        "index_key", F.lit(-1).cast("bigint").alias("chunk"), "value", F.lit(0).cast("bigint").alias("n_items"))
+    own = F.concat(F.col("index_key"), F.lit("#"), F.col("chunk").cast("string"))
+    return pieces.withColumn("index_key", own).unionByName(heads, allowMissingColumns=True)
 
 
 def short_groups(

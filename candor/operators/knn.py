@@ -6,21 +6,19 @@ block pair is scored with one numpy matrix product inside ``applyInPandas`` and
 top ``k`` per item leave the task, so at most ``n * nb * k`` rows are shuffled and no
 all-pairs frame is ever materialised; a final window limit merges the per-block top-k.
 The compute is still O(n^2): this is the exact answer for vocabularies that fit that
-budget and the recall baseline for ``knn_lsh``, which is the path for large vocabularies
-(the upstream job also uses an approximate index).
+budget and the recall yardstick for ``knn_lsh``, which is the path for large vocabularies and the
+default of every job (the upstream job also uses an approximate index).
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import set_down
+from .embed import signs_of
 from .skew import top_per_group
 
 PAIR_SCHEMA = "pid long, near_pid long, score double"
@@ -63,20 +61,17 @@ def knn_exact(
     k: int = 200,
     id_col: str = "pid",
     vec_col: str = "vector",
-    block_rows: int = 2048,
-    n_blocks: int | None = None,
+    n_blocks: int = 4,
     others: DataFrame | None = None,
 ) -> DataFrame:
     """Exact top-``k`` cosine neighbours: (pid, near_pid, score), ties by near_pid.
 
     Neighbours come from ``vectors`` itself (self excluded) or, when given, from ``others``
-    (e.g. user vectors against item vectors).
+    (e.g. user vectors against item vectors). ``n_blocks`` blocks a side give its square in tasks;
+    choose it so that a block of vectors fits a task.
     """
     u = _unit(vectors, id_col, vec_col)
     o = u if others is None else _unit(others, id_col, vec_col)
-    if n_blocks is None:
-        n = u.count() if others is None else max(u.count(), o.count())
-        n_blocks = max(1, math.ceil(n / block_rows))
     nb = int(n_blocks)
     # both block ids must have the same type on both sides, or the cogroup keys hash apart
     blk = F.pmod(F.xxhash64("pid"), F.lit(nb)).cast("bigint")
@@ -91,6 +86,21 @@ def knn_exact(
     return part.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
 
 
+MICRO = 1_000_000  # unit vectors' components are whole millionths for hashing: their sums are exact
+
+
+def bands(vec: Column, dim: int, tables: int, bits: int) -> Column:
+    """One key per table: the signs of ``bits`` projections of a unit vector on fixed sign vectors."""
+    whole = F.transform(vec, lambda x: F.round(x * MICRO).cast("bigint"))
+
+    def side(name: str) -> Column:
+        plane = F.array(*[F.lit(x) for x in signs_of(name, dim)])
+        dot = F.aggregate(F.zip_with(whole, plane, lambda x, s: x * s), F.lit(0).cast("bigint"), lambda a, x: a + x)
+        return F.when(dot >= 0, F.lit("1")).otherwise(F.lit("0"))
+
+    return F.array(*[F.concat(*[side(f"plane {t} {b}") for b in range(bits)]) for t in range(tables)])
+
+
 def knn_lsh(
     vectors: DataFrame,
     *,
@@ -98,37 +108,36 @@ def knn_lsh(
     min_score: float = 0.5,
     id_col: str = "pid",
     vec_col: str = "vector",
-    bucket_length: float = 1.0,
     tables: int = 8,
-    seed: int = 42,
+    bits: int = 6,
     others: DataFrame | None = None,
 ) -> DataFrame:
-    """Approximate top-``k`` neighbours with cosine >= ``min_score`` via random-projection LSH.
-
-    Neighbours come from ``vectors`` itself (self excluded) or from ``others``.
-
-    On unit vectors ``cos >= t`` is ``euclidean <= sqrt(2 - 2t)``, so the LSH similarity join
-    with that distance threshold returns candidate pairs whose exact cosine is then computed;
-    a window limit keeps the top ``k`` per item. Recall against ``knn_exact`` is measured by
-    ``knn_recall``.
+    """Approximate top-``k`` neighbours with cosine >= ``min_score``: (pid, near_pid, score).
+
+    Neighbours come from ``vectors`` itself (self excluded) or from ``others``. Two vectors at angle a
+    share one projection's sign with probability 1 - a / pi, and are candidates if they agree on
+    all ``bits`` signs of some of ``tables`` tables: unrelated vectors in about
+    ``tables / 2 ** bits`` of all pairs, near ones mostly. More bits prune more, more tables find
+    more. Candidates meet in an equi-join on (table, signs); a pair is kept in the first table
+    where it meets, so none is shuffled twice. Recall against ``knn_exact``: ``knn_recall``.
     """
-    u = _unit(vectors, id_col, vec_col).select("pid", array_to_vector("vec").alias("features"))
-    o = u if others is None else _unit(others, id_col, vec_col).select("pid", array_to_vector("vec").alias("features"))
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
-    model = lsh.fit(o)
-    thr = math.sqrt(max(0.0, 2.0 - 2.0 * min_score))
-    j = model.approxSimilarityJoin(u, o, thr + 1e-9, distCol="dist")
-    pairs = j.select(
-        F.col("datasetA.pid").alias("pid"), F.col("datasetB.pid").alias("near_pid"),
-        (F.lit(1.0) - F.col("dist") * F.col("dist") / 2).alias("score"),
-    )
+    u = _unit(vectors, id_col, vec_col)
+    o = u if others is None else _unit(others, id_col, vec_col)
+    first = o.select(F.size("vec").alias("dim")).first()
+    if first is None:
+        return u.select("pid", F.col("pid").alias("near_pid"), F.lit(0.0).alias("score")).limit(0)
+    keys = bands(F.col("vec"), first["dim"], tables, bits)
+    left = set_down(u.select("pid", "vec", keys.alias("keys")))
+    right = left if others is None else set_down(o.select("pid", "vec", keys.alias("keys")))
+    right = right.select(F.col("pid").alias("near_pid"), F.col("vec").alias("near_vec"), F.col("keys").alias("near_keys"))
+    a = left.select("*", F.posexplode("keys").alias("table", "key"))
+    b = right.select("*", F.posexplode("near_keys").alias("table", "key"))
+    meet = F.array_position(F.zip_with("keys", "near_keys", lambda x, y: x == y), True) - 1
+    pairs = a.join(b, ["table", "key"]).filter(F.col("table") == meet)
     if others is None:
         pairs = pairs.filter(F.col("pid") != F.col("near_pid"))
-    # an item in a hot bucket can have very many candidates: size-checked top-k. The pairs are
-    # persisted (memory, spilling to disk) so the size check does not repeat the LSH join.
-    pairs = pairs.persist()
+    score = F.aggregate(F.zip_with("vec", "near_vec", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    pairs = pairs.select("pid", "near_pid", score.alias("score")).filter(F.col("score") >= min_score)
     return top_per_group(pairs, ["pid"], [F.col("score").desc(), F.col("near_pid").asc()], k, name="__rn").drop("__rn")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.scalars import round_half_away
-from .skew import row_number_by_size
+from .skew import skew_safe_row_number
 from .engagement import CELL_KEYS, IMG_FENCES, NORM_NAME, VIDEO_FENCES, robust_bounds, robust_norm
 
 VIDEO_OUT_NORMS = (
@@ -42,17 +42,16 @@ def weighted_score(table: dict, gender: str = "group_gender", age: str = "group_
 
 
 def rank_cells(scored: DataFrame, *, keys=RANK_KEYS, score: str = "recall_score", tie: str = "pid",
-               name: str = "reviewed_rank", skew_safe: bool = True, max_group_rows: int = 5_000_000,
-               sizes: DataFrame | None = None) -> DataFrame:
+               name: str = "reviewed_rank", bounded_cells: bool = False) -> DataFrame:
     """ROW_NUMBER() per cell by score desc (nulls last), ties by pid.
 
-    Every row of a cell is ranked (no limit), so a hot cell would otherwise be sorted in
-    one task; with ``skew_safe`` cells above ``max_group_rows`` are split over range
-    partitions and the rest use the plain window (see ``operators.skew``).
+    Every row of a cell is ranked (no limit), so a hot cell would be sorted in one task; cells are
+    therefore numbered over range partitions (see ``operators.skew``). A caller who knows that no
+    cell is large says so with ``bounded_cells`` and gets the plain window.
     """
     order = [F.col(score).desc_nulls_last(), F.col(tie).asc()]
-    if skew_safe:
-        return row_number_by_size(scored, list(keys), order, name=name, max_group_rows=max_group_rows, sizes=sizes)
+    if not bounded_cells:
+        return skew_safe_row_number(scored, list(keys), order, name=name)
     w = Window.partitionBy(*keys).orderBy(*order)
     return scored.withColumn(name, F.row_number().over(w).cast("bigint"))
 
@@ -77,11 +76,10 @@ def hot_rank(
     bounds = robust_bounds(typed, fences, approx=approx)
     normed = robust_norm(typed, bounds, list(fences))
     if isinstance(weights, DataFrame):
-        # weights per cell as a table: one row per (gender, age[, part2]) -- bounded by the
-        # number of cells, so broadcast; a cell without a row scores NULL
+        # weights per cell as a table: one row per (gender, age[, part2]); a cell without a row scores NULL
         wcols = [c for c in weights.columns if c.endswith("_norm")]
         keys = [k for k in RANK_KEYS if k in weights.columns]
-        w = F.broadcast(weights.select(*keys, *[F.col(c).alias(f"__w_{c}") for c in wcols]))
+        w = weights.select(*keys, *[F.col(c).alias(f"__w_{c}") for c in wcols])
         normed = normed.join(w, keys, "left")
         score = None
         for c in wcols:
@@ -94,8 +92,7 @@ def hot_rank(
         round_half_away(score, 4).alias("recall_score"),
         *[F.col(n) for n in out_norms],
     )
-    # cell sizes from the (cheaper) typed cells: the same groups as the scored rows
-    return rank_cells(scored, sizes=typed.groupBy(*RANK_KEYS).count())
+    return rank_cells(scored)
 
 
 def hot_video_rank(cells: DataFrame, **kw) -> DataFrame:

@@ -24,7 +24,7 @@ def _top(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str
 def recent_actions(actions: DataFrame, *, last_n: int = 100) -> DataFrame:
     """Each user's latest ``last_n`` actions (by ts, then event id).
 
-    A user's history is unbounded (bots), so hot users go through the size-checked path.
+    A user's history is unbounded (bots): it is cut in two levels (``operators.skew``).
     """
     return top_per_group(actions, ["mid"], [F.col("ts").desc(), F.col("event_id").desc()], last_n, name="recency")
 
@@ -85,11 +85,11 @@ def user_vectors(actions: DataFrame, vectors: DataFrame, *, last_n: int = 20) ->
 
 
 def user_vector_recall(actions: DataFrame, vectors: DataFrame, *, last_n: int = 20, k: int = 50,
-                       method: str = "exact", min_score: float = 0.0, **lsh) -> DataFrame:
+                       method: str = "lsh", min_score: float = 0.0, **lsh) -> DataFrame:
     """Nearest items to each user's mean recent vector: (mid, pid, score).
 
-    ``exact``: blocked exact cosine (bounded item sets); ``lsh``: random-projection LSH
-    candidates with cosine >= ``min_score`` (large user and item populations).
+    ``lsh``: sign-projection candidates with cosine >= ``min_score``; ``exact``: all pairs, in blocks, as a
+    yardstick on small sets.
     """
     u = user_vectors(actions, vectors, last_n=last_n).select(F.col("mid").alias("pid"), "vector")
     items = vectors.select("pid", "vector")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .skew import row_number_by_size
+from .skew import skew_safe_row_number
 
 
 def training_days(as_of: int, *, max_day: int = 30, mode: str = "full") -> tuple[str, str]:
@@ -34,32 +34,37 @@ def behaviour_sequences(
     max_day: int = 30,
     mode: str = "full",
     max_len: int = 1000,
-    skew_safe: bool = True,
+    overlap: int = 5,
 ) -> DataFrame:
-    """(mid, pid, ts, event_id) -> (mid, day, part, items array<string>) ordered by (ts, event_id).
+    """(mid, pid, ts, event_id) -> (mid, day, part, items array<string>, ahead array<string>) ordered
+    by (ts, event_id).
 
-    One sentence per user-day; a user-day longer than ``max_len`` is cut into consecutive
-    parts of ``max_len`` items (the embedding trainer splits sentences at the same length),
-    so no single row grows with a hot user. The day window is a filter on the event date.
+    One sentence per user-day; a user-day longer than ``max_len`` comes in consecutive parts of
+    ``max_len`` items, so no single row grows with a hot user, and is numbered over range partitions, so no
+    task holds it whole. ``ahead`` repeats the first ``overlap`` items of the next part: whoever
+    pairs items within a window of that width loses none at the edges. The day window is a filter
+    on the event date.
     """
     first, last = training_days(as_of, max_day=max_day, mode=mode)
     a = actions.withColumn("day", F.to_date("ts")).filter(
         (F.col("day") >= F.lit(first).cast("date")) & (F.col("day") <= F.lit(last).cast("date"))
         & F.col("pid").isNotNull()
-    )
-    if skew_safe:
-        # a single user-day can be huge (bots): number it without one task holding it all
-        a = row_number_by_size(a, ["mid", "day"], [F.col("ts").asc(), F.col("event_id").asc()], name="__pos")
-        a = a.withColumn("__pos", F.col("__pos") - 1)
-    else:
-        w = Window.partitionBy("mid", "day").orderBy("ts", "event_id")
-        a = a.withColumn("__pos", F.row_number().over(w) - 1)
-    a = a.withColumn("part", F.floor(F.col("__pos") / max_len).cast("bigint"))
-    g = a.groupBy("mid", "day", "part").agg(
-        F.sort_array(F.collect_list(F.struct("__pos", F.col("pid").cast("string").alias("tok")))).alias("__s")
+    ).select("mid", "day", "pid", "ts", "event_id")
+    a = skew_safe_row_number(a, ["mid", "day"], [F.col("ts").asc(), F.col("event_id").asc()], name="__pos")
+    pos = F.col("__pos") - 1
+    part = F.floor(pos / max_len).cast("bigint")
+    own = F.struct(part.alias("part"), F.lit(False).alias("ahead"))
+    again = F.when((part > 0) & (pos % max_len < overlap), F.struct((part - 1).alias("part"), F.lit(True).alias("ahead")))
+    a = a.select("mid", "day", "__pos", F.col("pid").cast("string").alias("tok"),
+                 F.explode(F.filter(F.array(own, again), lambda x: x.isNotNull())).alias("__at"))
+    tok = F.struct("__pos", "tok")
+    g = a.groupBy("mid", "day", F.col("__at.part").alias("part")).agg(
+        F.sort_array(F.collect_list(F.when(~F.col("__at.ahead"), tok))).alias("__s"),
+        F.sort_array(F.collect_list(F.when(F.col("__at.ahead"), tok))).alias("__a"),
     )
     return g.select("mid", F.date_format("day", "yyyy-MM-dd").alias("day"), "part",
-                    F.transform("__s", lambda x: x["tok"]).alias("items"))
+                    F.transform("__s", lambda x: x["tok"]).alias("items"),
+                    F.transform("__a", lambda x: x["tok"]).alias("ahead"))
 
 
 def choose_mode(as_of: int, *, full_done_today: bool, full_hour: int = 3) -> str:

@@ -59,45 +59,6 @@ def skew_safe_row_number(
     return j.withColumn(name, rn).drop(*drop)
 
 
-def row_number_by_size(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    *,
-    name: str = "rn",
-    max_group_rows: int = 5_000_000,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Per-group row numbers where only the hot groups take the range-partitioned path.
-
-    Group sizes come from one partial-aggregated count (or from ``sizes``: keys + ``count``,
-    when the caller already has them from a cheaper, equally grouped frame). Groups above ``max_group_rows`` --
-    at most ``rows / max_group_rows`` of them, so the list is broadcast with a proven bound --
-    are numbered by ``skew_safe_row_number``; every other group keeps the ordinary window,
-    where one task per group is fine because the group is bounded.
-    """
-    keys = list(keys)
-    if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    else:
-        sizes = sizes.withColumnRenamed("count", "__n")
-    hot = sizes.filter(F.col("__n") > max_group_rows).select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)])
-    w = Window.partitionBy(*keys).orderBy(*order)
-    if hot.limit(1).count() == 0:
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    cond = None
-    for i, k in enumerate(keys):
-        c = df[k].eqNullSafe(F.col(f"__h{i}"))
-        cond = c if cond is None else cond & c
-    tagged = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), cond, "left")
-    tagged = tagged.drop(*[f"__h{i}" for i in range(len(keys))])
-    cold = tagged.filter(F.col("__hot").isNull()).drop("__hot")
-    hot_rows = tagged.filter(F.col("__hot").isNotNull()).drop("__hot")
-    return cold.withColumn(name, F.row_number().over(w).cast("bigint")).unionByName(
-        skew_safe_row_number(hot_rows, keys, order, name=name)
-    )
-
-
 def top_per_group(
     df: DataFrame,
     keys: Sequence[str],
@@ -105,13 +66,18 @@ def top_per_group(
     n: int,
     *,
     name: str = "rn",
-    max_group_rows: int = 5_000_000,
+    salts: int = 32,
 ) -> DataFrame:
-    """The first ``n`` rows of every group (with their number in ``name``).
+    """The first ``n`` rows of every group (with their number in ``name``), in two levels.
 
-    Bounded groups use the window (Spark adds a map-side ``WindowGroupLimit``). A hot group
-    spread thinly over many partitions would still reach one final task with up to
-    partitions x n rows, so groups above ``max_group_rows`` are numbered by the
-    range-partitioned path before the limit.
+    Rows are dealt to ``salts`` parts of their group by a hash of the whole row; each part keeps
+    its first ``n`` (Spark limits them map-side too), and the group's first ``n`` come from at most
+    ``salts * n`` rows. A hot group is therefore never numbered whole in one task.
     """
-    return row_number_by_size(df, keys, order, name=name, max_group_rows=max_group_rows).filter(F.col(name) <= n)
+    keys = list(keys)
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
+    within = Window.partitionBy(*keys, "__salt").orderBy(*order)
+    first = df.withColumn("__salt", part).withColumn(name, F.row_number().over(within)).filter(F.col(name) <= n)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    ranked = first.drop("__salt", name).withColumn(name, F.row_number().over(whole).cast("bigint"))
+    return ranked.filter(F.col(name) <= n)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job needs regardless of cluster size. Shuffle-partition count and
 # file split size are left to the cluster profile; AQE coalesces/splits at run time.
@@ -77,6 +78,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/candor/{name}-{uuid.uuid4().hex}"
+
+
+def set_down(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder, for results that several steps read.
+
+    Unlike a cached frame it takes no executor storage, survives lost executors, and its files go
+    when nothing refers to it any more (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "candor") -> SparkSession:
     """Session for tests and the local bench (``local[N]``)."""
     b = (
