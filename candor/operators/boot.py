@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import yaml
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -51,12 +51,6 @@ def load_rules(text: str = C.STEP_RULES_YAML) -> dict[str, list[dict]]:
     return rules
 
 
-def rules_frame(spark: SparkSession, rules: Rules) -> DataFrame:
-    """The ladder as a small table (type, step, expose_to, rule)."""
-    rows = [(t, s["step"], s["expose_to"], s["rule"]) for t, steps in rules.items() for s in steps]
-    return spark.createDataFrame(rows, "type string, step long, expose_to long, rule string")
-
-
 def _kind(ptype: Column) -> Column:
     return F.when(ptype == C.VIDEO_PTYPE, F.lit("video")).otherwise(F.lit("img"))
 
@@ -86,8 +80,8 @@ def boot_candidates(
     recommendation came over an hour after creation take step state from the override
     table. Drops: resource partition 80; resource_status -20; subarea posts at a step
     boundary; no gid; and posts at step >= 1 whose gid has *another* post (anywhere in the
-    pool) with rec >= 10000. The sibling maximum comes from a per-gid top-2 aggregate
-    (partial-aggregated), never a self join, so a huge gid costs one row.
+    pool) with rec >= 10000. The sibling maximum comes from the two most exposed posts of each gid,
+    limited before the shuffle, never a self join: a huge gid costs two rows a task.
     """
     since = as_of - days * C.DAY
     rec = F.coalesce(F.col("score_values.rec"), F.lit(0)).cast("bigint")
@@ -103,7 +97,7 @@ def boot_candidates(
         F.coalesce(F.size(F.col("subarea_types")), F.lit(0)).alias("n_subarea"),
         rec.alias("rec"),
     )
-    tax = F.broadcast(taxonomy.select("tid", "part1_id", "part2_id"))
+    tax = taxonomy.select("tid", "part1_id", "part2_id")
     d = d.join(tax, "tid", "left")
     ov = step_override.select(
         "pid", F.col("step_boot").alias("o_step"), F.col("step_boot_t").alias("o_t"),
@@ -125,13 +119,13 @@ def boot_candidates(
         & ~((F.col("subarea_status") > 0) & (F.col("n_subarea") > 0) & (F.col("step_boot") % 10 == 0))
         & (F.col("gid") != 0)
     )
-    # Per-gid top-2 exposure over the whole pool: the largest "other" rec of any post.
-    all_g = docs.select(F.col("gid"), F.col("pid"), rec.alias("rec")).filter(F.col("gid").isNotNull())
-    top1 = all_g.groupBy("gid").agg(F.max(F.struct("rec", "pid")).alias("t1"))
-    top2 = all_g.join(top1, "gid", "inner").filter(F.col("pid") != F.col("t1.pid")).groupBy("gid").agg(
-        F.max("rec").alias("t2")
-    )
-    sib = top1.join(top2, "gid", "left").select("gid", F.col("t1.pid").alias("t1_pid"), F.col("t1.rec").alias("t1_rec"), "t2")
+    # The two most exposed posts per gid over the whole pool: the largest "other" rec of any post.
+    all_g = docs.select(F.col("gid"), F.col("pid"), rec.alias("rec")).filter(F.col("gid") != 0)
+    most = Window.partitionBy("gid").orderBy(F.col("rec").desc(), F.col("pid").desc())
+    two = all_g.withColumn("rn", F.row_number().over(most)).filter("rn <= 2")
+    sib = two.groupBy("gid").agg(
+        F.max(F.when(F.col("rn") == 1, F.col("pid"))).alias("t1_pid"), F.max(F.when(F.col("rn") == 1, F.col("rec"))).alias("t1_rec"),
+        F.max(F.when(F.col("rn") == 2, F.col("rec"))).alias("t2"))
     d = d.join(sib, "gid", "left")
     other_max = F.when(F.col("pid") == F.col("t1_pid"), F.col("t2")).otherwise(F.col("t1_rec"))
     d = d.filter(~(F.coalesce(other_max >= sibling_max_rec, F.lit(False)) & (F.col("step_boot") >= sibling_min_step)))
@@ -177,18 +171,41 @@ def boot_features(candidates: DataFrame, counters: DataFrame, *, as_of: int) ->
 
 
 # ----------------------------------------------------------------- rules
+def safe_division(rule: str) -> str:
+    """Rule text with every divisor ``x`` as ``nullif(x, 0)``: a division by zero is null, which matches nothing."""
+    out, at = [], 0
+    while (slash := rule.find("/", at)) >= 0:
+        begin = slash + 1
+        while begin < len(rule) and rule[begin].isspace():
+            begin += 1
+        end = begin
+        while end < len(rule) and (rule[end].isalnum() or rule[end] in "_."):
+            end += 1
+        if end < len(rule) and rule[end] == "(":  # a parenthesis, or a function's arguments
+            depth = 0
+            while end < len(rule):
+                depth += {"(": 1, ")": -1}.get(rule[end], 0)
+                end += 1
+                if not depth:
+                    break
+        if end == begin:
+            raise ValueError(f"rule {rule!r}: nothing to divide by")
+        out += [rule[at:slash], "/ nullif(", safe_division(rule[begin:end]), ", 0)"]
+        at = end
+    return "".join(out) + rule[at:]
+
+
 def rule_column(rules: Rules, kind: Column, step: Column) -> Column:
     """CASE over (type, step) of the step's rule text as a Spark SQL predicate.
 
-    An empty rule passes; a step past the end of the ladder fails; a NULL result fails.
-    Rules are evaluated in a projection, where AND/OR short-circuit, so the shipped rules'
-    ``x/rec`` terms only run after their ``rec >= N`` guard.
+    An empty rule passes; a step past the end of the ladder fails; a NULL result fails. Divisions
+    by zero are NULL, whether or not the rule guards them.
     """
     out = None
     for t, steps in rules.items():
         for s in steps:
             cond = (kind == t) & (step == s["step"])
-            val = F.expr(s["rule"]) if s["rule"].strip() else F.lit(True)
+            val = F.expr(safe_division(s["rule"])) if s["rule"].strip() else F.lit(True)
             out = F.when(cond, val) if out is None else out.when(cond, val)
     out = F.lit(False) if out is None else out.otherwise(F.lit(False))
     return F.coalesce(out, F.lit(False))
@@ -370,24 +387,45 @@ def boot_transition(
         (F.col("jumped") | F.col("fin_eff") | F.col("start")).alias("changed"),
         F.concat_ws("+", F.when(F.col("jumped"), F.lit("jump")), F.when(F.col("fin_eff"), F.lit("finish")),
                     F.when(F.col("start"), F.lit("start"))).alias("reason"),
-    ).persist()
+    )
     nul = lambda t: F.lit(None).cast(t)
     keep = F.col("start") | (b("in_s") & ~F.col("finish"))
-    serving_out = x.filter(keep).select(
-        F.lit("serving").alias("output"), "pid",
-        F.when(F.col("start"), F.col("left_expose")).otherwise(F.col("s_rem")).cast("bigint").alias("remaining"),
-        F.when(F.col("start") | F.col("refresh"), F.col("weight")).otherwise(F.col("s_w")).alias("weight"),
-        nul("bigint").alias("step_boot"), nul("bigint").alias("step_boot_t"), nul("bigint").alias("mover_support"),
-        nul("bigint").alias("real_step"), F.lit("").alias("reason"),
-    )
-    pool_out = x.filter("changed").select(
-        F.lit("pool").alias("output"), "pid", nul("bigint").alias("remaining"), nul("string").alias("weight"),
-        F.col("s3").cast("bigint").alias("step_boot"), F.col("t2").cast("bigint").alias("step_boot_t"),
-        F.col("ms3").cast("bigint").alias("mover_support"), nul("bigint").alias("real_step"), "reason",
-    )
-    override_out = x.filter("changed").select(
-        F.lit("override").alias("output"), "pid", nul("bigint").alias("remaining"), nul("string").alias("weight"),
-        F.col("o3").cast("bigint").alias("step_boot"), F.col("ot2").cast("bigint").alias("step_boot_t"),
-        F.col("oms3").cast("bigint").alias("mover_support"), F.col("oreal1").cast("bigint").alias("real_step"), "reason",
-    )
-    return serving_out.unionByName(pool_out).unionByName(override_out)
+
+    def row(output: str, remaining: Column, weight: Column, step: Column, t: Column, ms: Column, real: Column, reason: Column) -> Column:
+        return F.struct(
+            F.lit(output).alias("output"), "pid", remaining.cast("bigint").alias("remaining"), weight.alias("weight"),
+            step.cast("bigint").alias("step_boot"), t.cast("bigint").alias("step_boot_t"),
+            ms.cast("bigint").alias("mover_support"), real.cast("bigint").alias("real_step"), reason.alias("reason"))
+
+    n, none = nul("bigint"), nul("string")
+    serving_row = row("serving", F.when(F.col("start"), F.col("left_expose")).otherwise(F.col("s_rem")),
+                      F.when(F.col("start") | F.col("refresh"), F.col("weight")).otherwise(F.col("s_w")), n, n, n, n, F.lit(""))
+    pool_row = row("pool", n, none, F.col("s3"), F.col("t2"), F.col("ms3"), n, F.col("reason"))
+    override_row = row("override", n, none, F.col("o3"), F.col("ot2"), F.col("oms3"), F.col("oreal1"), F.col("reason"))
+    outputs = F.array(F.when(keep, serving_row), F.when(F.col("changed"), pool_row), F.when(F.col("changed"), override_row))
+    return x.select(F.explode(outputs).alias("o")).filter(F.col("o").isNotNull()).select("o.*")
+
+
+def next_documents(docs: DataFrame, transition: DataFrame) -> DataFrame:
+    """Pool documents after a round: the changed posts' step fields set, all else as it was."""
+    u = transition.filter("output = 'pool'").select(
+        F.col("pid").alias("u_pid"), F.col("step_boot").alias("u_step"), F.col("step_boot_t").alias("u_t"),
+        F.col("mover_support").alias("u_ms"))
+    j = docs.join(u, F.col("pid") == F.col("u_pid"), "left")
+    new = {"step_boot": "u_step", "step_boot_t": "u_t", "mover_support": "u_ms"}
+    hit = F.col("u_pid").isNotNull()
+    return j.select(*[F.when(hit, F.col(new[c])).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def next_overrides(step_override: DataFrame, transition: DataFrame) -> DataFrame:
+    """Step overrides after a round: changed posts' rows replaced or added."""
+    cols = ["step_boot", "step_boot_t", "mover_support", "real_step"]
+    u = transition.filter("output = 'override'").select(F.col("pid").alias("u_pid"), *[F.col(c).alias(f"u_{c}") for c in cols])
+    j = step_override.select("pid", *cols).join(u, F.col("pid") == F.col("u_pid"), "full_outer")
+    hit = F.col("u_pid").isNotNull()
+    return j.select(F.coalesce("pid", "u_pid").alias("pid"), *[F.when(hit, F.col(f"u_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+
+
+def next_serving(transition: DataFrame) -> DataFrame:
+    """The next serving state (pid, remaining, weight)."""
+    return transition.filter("output = 'serving'").select("pid", "remaining", "weight")

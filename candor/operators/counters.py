@@ -59,7 +59,6 @@ def post_standard_gate(
     Key ``video_<part2>`` for video, ``img`` otherwise; standards with pcnt < 10 are ignored.
     Thresholds are ``min(floor(std), 20)``, 9.0 when there is no standard. Pass if both
     rates reach their thresholds, or both reach 9, or (non-video) download reaches 9.
-    The standards table has one row per partition, so it is broadcast.
     """
     s = standards.filter(F.col("pcnt") >= min_pcnt).select(
         F.col("key").alias("__key"),
@@ -70,7 +69,7 @@ def post_standard_gate(
     key = F.when(F.col("ptype") == C.VIDEO_PTYPE, F.concat(F.lit("video_"), F.col("part2_id").cast("string"))).otherwise(
         F.lit("img")
     )
-    j = rates.withColumn("__key", key).join(F.broadcast(s), "__key", "left")
+    j = rates.withColumn("__key", key).join(s, "__key", "left")
 
     def thr(c: str) -> Column:
         return F.when(

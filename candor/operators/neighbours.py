@@ -133,9 +133,8 @@ def i2i_quality_index(
     taxonomy: DataFrame,
     standards: DataFrame,
     *,
-    kind: str,
+    prefixes: dict[str, str],
     limit: int = C.I2I_LIMIT,
-    prefix: str = "",
     ttl: int = C.INDEX_TTL_I2I,
     as_of: int,
     default_part2: int = C.DEFAULT_PART2,
@@ -147,24 +146,25 @@ def i2i_quality_index(
     image: ctr>0.25 and ((dl>=2.5 and like>=5) or standard). The standard is looked up
     with the list's type (video lists use ``video_<part2>``). Neighbours without counters
     are dropped. Every item of the input keeps a row, with an empty list if nothing passes.
+    Both kinds go through one plan; ``prefixes`` gives each kind's key prefix.
     """
-    nb = neigh.filter(F.col("kind") == kind)
+    nb = neigh.filter(F.col("kind").isin(*prefixes))
     # only the counters of posts that appear in the lists are needed (semi join first)
-    counters = counters.join(neighbour_ids(nb), "pid", "left_semi")
+    counters = counters.join(nb.select(F.col("near_pid").alias("pid")).distinct(), "pid", "left_semi")
     c = counters.select(
         F.col("pid").alias("near_pid"), F.col("rec").alias("c_rec"), F.col("sume").alias("c_sume"),
         F.col("download").alias("c_dl"), F.col("like").alias("c_like"),
         F.col("play_video").alias("c_pv"), F.col("play_dur").alias("c_pd"),
     )
     pt = ptype_tid.select(F.col("pid").alias("near_pid"), F.col("tid").alias("near_tid"))
-    tax = F.broadcast(taxonomy.select(F.col("tid").alias("near_tid"), F.col("part2_id").alias("near_part2")))
+    tax = taxonomy.select(F.col("tid").alias("near_tid"), F.col("part2_id").alias("near_part2"))
     j = nb.join(c, "near_pid", "inner").join(pt, "near_pid", "left").withColumn(
         "near_tid", F.coalesce(F.col("near_tid"), F.lit(0))
     ).join(tax, "near_tid", "left")
-    ptype = C.VIDEO_PTYPE if kind == "video" else 2
+    video = F.col("kind") == "video"
     j = j.select(
         "*",
-        F.lit(ptype).alias("ptype"),
+        F.when(video, F.lit(C.VIDEO_PTYPE)).otherwise(F.lit(2)).alias("ptype"),
         F.coalesce(F.col("near_part2"), F.lit(default_part2)).alias("part2_id"),
         (1000 * F.col("c_dl") / (1.0 + F.col("c_rec"))).alias("download_rate"),
         (1000 * F.col("c_like") / (1.0 + F.col("c_rec"))).alias("like_rate"),
@@ -174,18 +174,16 @@ def i2i_quality_index(
     g = post_standard_gate(j, standards)
     dl, lk = F.col("download_rate"), F.col("like_rate")
     base = (dl >= C.GATE_MIN_DOWNLOAD_RATE) & (lk >= C.GATE_MIN_LIKE_RATE)
-    if kind == "video":
-        keep = (F.col("ctr") > C.GATE_VIDEO_MIN_CTR) & (
-            base | ((lk >= C.GATE_VIDEO_LIKE_RATE) & (F.col("avg_play_dur") >= C.GATE_VIDEO_AVG_PLAY)) | F.col("meets_standard")
-        )
-    else:
-        keep = (F.col("ctr") > C.GATE_IMG_MIN_CTR) & (base | F.col("meets_standard"))
+    played = (lk >= C.GATE_VIDEO_LIKE_RATE) & (F.col("avg_play_dur") >= C.GATE_VIDEO_AVG_PLAY)
+    keep = F.when(video, (F.col("ctr") > C.GATE_VIDEO_MIN_CTR) & (base | played | F.col("meets_standard"))).otherwise(
+        (F.col("ctr") > C.GATE_IMG_MIN_CTR) & (base | F.col("meets_standard")))
     kept = g.filter(keep).select("pid", "near_pid", "score", "sim", "item")
-    idx = i2i_index(kept, limit=limit, prefix=prefix, ttl=ttl, as_of=as_of)
-    items = nb.select("pid").distinct().select(F.concat(F.lit(prefix), F.col("pid").cast("string")).alias("index_key"))
-    out = items.join(idx, "index_key", "left")
+    idx = i2i_index(kept, limit=limit, as_of=as_of, ttl=ttl).withColumnRenamed("index_key", "own")
+    items = nb.select("pid", "kind").distinct()  # an item has one kind
+    prefix = F.create_map(*[F.lit(x) for kv in prefixes.items() for x in kv])[F.col("kind")]
+    out = items.withColumn("own", F.col("pid").cast("string")).join(idx, "own", "left")
     return out.select(
-        "index_key", F.coalesce(F.col("value"), F.lit("")).alias("value"),
+        F.concat(prefix, F.col("own")).alias("index_key"), F.coalesce(F.col("value"), F.lit("")).alias("value"),
         F.coalesce(F.col("n_items"), F.lit(0)).cast("bigint").alias("n_items"),
         F.lit(as_of + ttl).cast("bigint").alias("expires_at"),
     )

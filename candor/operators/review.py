@@ -20,19 +20,20 @@ def review_board(
     """Per post: review_cnt = SUM(least(create+reply, 2)), expose = COUNT(*), comment_rate.
 
     Rows need the post's create day and the behaviour day >= ``since_day`` and expose > 0;
-    the post-metadata left join is therefore an inner join (Catalyst plans it so too).
-    Map-side partial aggregation keeps a hot post from landing whole in one task.
+    the post-metadata left join is therefore an inner join. Behaviour is summed by post first, so
+    a hot post is one row a task before anything is shuffled or joined.
     """
     b = behaviour.filter((F.col("ymd") >= F.lit(since_day)) & (F.col("expose") > 0)).select(
         "pid", F.least(F.col("create_review") + F.col("reply_review"), F.lit(2)).alias("review")
     )
     p = posts.filter(F.col("ct") >= F.lit(day_start_epoch(since_day))).select("pid")
-    g = b.join(p, "pid", "inner").groupBy("pid").agg(
+    g = b.groupBy("pid").agg(
         F.sum("review").cast("bigint").alias("review_cnt"),
         F.count(F.lit(1)).cast("bigint").alias("expose"),
     )
     g = g.withColumn("comment_rate", F.col("review_cnt") / F.col("expose"))
-    return g.filter((F.col("review_cnt") >= min_reviews) & (F.col("comment_rate") >= min_rate))
+    g = g.filter((F.col("review_cnt") >= min_reviews) & (F.col("comment_rate") >= min_rate))
+    return g.join(p, "pid", "inner")
 
 
 def taxonomy_flat(tree: DataFrame, part_tids: DataFrame) -> DataFrame:
