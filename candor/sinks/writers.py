@@ -7,6 +7,8 @@ the writes of one task into pipelines.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,28 +29,39 @@ def export_csv(df: DataFrame, path: str, *, sep: str = ",", header: bool = False
     df.write.mode("overwrite").option("sep", sep).option("header", str(header).lower()).csv(path)
 
 
+MANIFEST = "version string, path string, published_at long"
+
+
 def publish_version(df: DataFrame, base: str, version: str) -> str:
-    """Write a new version under ``base/v=<version>``.
+    """Write ``df`` to a folder of its own under ``base/data`` and then list it in ``base/manifest``.
 
-    Files reach the final folder only when the write job commits, so readers never see a
-    half-written version; ``read_latest`` then picks the newest complete one -- the
-    load-then-rename publish without a rename.
+    A version is never written in place: publishing one again makes a new folder. The manifest row
+    is added only after the data's write job has committed, so a reader that goes by the manifest
+    (``read_latest``) sees whole versions alone, also while the next one is being written or if
+    writing it failed.
     """
-    path = f"{base.rstrip('/')}/v={version}"
-    df.write.mode("overwrite").parquet(path)
+    spark, base = df.sparkSession, base.rstrip("/")
+    path = f"{base}/data/v={version}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    row = spark.createDataFrame([(version, path, time.time_ns())], MANIFEST)
+    row.coalesce(1).write.mode("append").parquet(f"{base}/manifest")
     return path
 
 
-def read_latest(spark: SparkSession, base: str) -> DataFrame:
-    """The newest published version under ``base``."""
-    df = spark.read.parquet(base)
-    latest = df.agg(F.max("v").alias("v"))
-    return df.join(latest, "v", "left_semi").drop("v")
+def published(spark: SparkSession, base: str) -> DataFrame | None:
+    """The manifest of ``base`` (version, path, published_at), or None before the first version."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/manifest/_SUCCESS")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema(MANIFEST).parquet(f"{base.rstrip('/')}/manifest")
 
 
-def index_frame(df: DataFrame, *, as_of: int, ttl: int) -> DataFrame:
-    """Stamp an (index_key, value) frame with its expiry time."""
-    return df.withColumn("expires_at", F.lit(as_of + ttl).cast("bigint"))
+def read_latest(spark: SparkSession, base: str) -> DataFrame:
+    """The newest complete version under ``base`` (largest version, then last published)."""
+    manifest = published(spark, base)
+    if manifest is None:
+        raise FileNotFoundError(f"no version is published under {base}")
+    return spark.read.parquet(manifest.orderBy(F.desc("version"), F.desc("published_at")).first()["path"])
 
 
 def write_index(df: DataFrame, path: str) -> None:
@@ -66,8 +79,13 @@ def push_index(
     """Send index rows to a key-value store, one client and batched pipelines per partition.
 
     ``client_factory`` returns an object with ``pipeline()`` whose result supports
-    ``setex(key, seconds, value)`` and ``execute()`` (the common KV-client shape).
+    ``setex(key, seconds, value)`` and ``execute()`` (the common KV-client shape). Keys must be
+    unique, or one list would overwrite another: a duplicate raises before anything is sent.
     """
+    twice = df.groupBy("index_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"index key {twice[0]['index_key']!r} has {twice[0]['n']} rows")
+
     def run(rows: Iterable) -> None:
         client = client_factory()
         pipe, n = client.pipeline(), 0

@@ -1,151 +1,85 @@
-"""The cold-start ladder on keyed streaming state (``applyInPandasWithState``).
-
-Each post's state (step_boot, budget, live counters) lives in the state store keyed by
-``pid``. A micro-batch adds the post's new exposure events to its counters, then makes at
-most one transition, as a batch round would: an in-flight post finishes when its step's
-threshold is reached (or it ran past the ladder); a waiting post whose step rule passes
-goes in flight with the missing exposure as budget, or skips ahead when it already passed
-later thresholds; movers are rescued at steps 1 and 2 as in the batch round. Rule text is evaluated with ``pandas.eval`` on that post's features
-(division by zero gives inf/NaN and so fails the comparison, never an error).
-Only the post's own group is in memory; state is checkpointed by Spark.
+"""The cold-start ladder over a stream of exposure events.
+
+The stream itself only counts: events become per-post counters in event-time windows of one round
+(``counters_stream``), whatever files and micro-batches they come in. A round is due when its time
+has come; it applies the very operators of the batch ladder (``operators.boot``) to the counters up
+to its time and to the state that the round before left, so a rule means the same in both, a
+post gets at most one step a round, and the result depends on event times alone. Posts leave by
+the candidates' own window (three days by default), so nothing is kept for posts of the past
+but the step fields that rounds changed.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from .. import constants as C
-from ..operators.boot import Rules, load_rules
-from ..session import ensure_checkpoint_dir
-
-STATE_FIELDS = ("step_boot", "step_boot_t", "remaining", "rec", "sume", "download", "like", "share", "review")
-STATE_SCHEMA = ", ".join(f"{f} long" for f in STATE_FIELDS)
-OUT_SCHEMA = ("pid long, t long, event string, step_from long, step_to long, remaining long, rec long")
-COUNTER_COLS = ("rec", "sume", "download", "like", "share")
-
-
-def _level(thr: list[int], rec: int) -> int:
-    n = 0
-    for x in thr:
-        if rec >= x:
-            n += 1
-        else:
-            break
-    return n
-
 
-def _rule_ok(rule: str, feats: dict) -> bool:
-    if not rule.strip():
-        return True
-    try:
-        v = pd.eval(rule, local_dict={k: feats[k] for k in feats}, engine="python")
-        return bool(v) if v == v else False
-    except ZeroDivisionError:
-        return False
-
-
-def _step_fn(rules: Rules):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pid = int(key[0])
-        # Fold the post's new events batch by batch (Arrow batches): memory stays one batch
-        # even when a single post receives a large share of a micro-batch.
-        first = None
-        adds = {c: 0 for c in COUNTER_COLS}
-        t = None
-        for pdf in pdfs:
-            if pdf.empty:
-                continue
-            if first is None:
-                first = pdf.iloc[0]
-            vc = pdf["counter"].value_counts()
-            for c in COUNTER_COLS:
-                adds[c] += int(vc.get(c, 0))
-            mx = int(pdf["t"].max())
-            t = mx if t is None else max(t, mx)
-        if first is None:
-            return
-        if state.exists:
-            st = dict(zip(STATE_FIELDS, state.get))
+from ..operators import boot as B
+from ..session import set_down
+from .counters_stream import COUNTERS, stream_counters
+
+
+def round_ends(first: int, last: int, length: int) -> list[int]:
+    """Ends of the rounds of ``length`` seconds that cover the events from ``first`` to ``last``."""
+    return list(range(first // length * length + length, last + length + 1, length))
+
+
+def counters_through(start: DataFrame, windows: DataFrame, as_of: int) -> DataFrame:
+    """Counters at ``as_of``: those at the start plus all windows that began before it.
+
+    Windows are summed by post first; the per-gender columns of ``start`` stay as they are.
+    """
+    w = windows.filter(F.col("start") < as_of).groupBy("pid").agg(*[F.sum(c).alias(f"w_{c}") for c in COUNTERS])
+    j = start.join(w.withColumnRenamed("pid", "w_pid"), F.col("pid") == F.col("w_pid"), "full_outer")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint"))
+    out = [F.coalesce("pid", "w_pid").alias("pid")]
+    for c in start.columns:
+        if c in COUNTERS:
+            out.append((zero(c) + zero(f"w_{c}")).alias(c))
+        elif c != "pid":
+            out.append(F.col(c))
+    return j.select(*out)
+
+
+def ladder_rounds(
+    docs: DataFrame, step_override: DataFrame, taxonomy: DataFrame, serving: DataFrame, start: DataFrame,
+    windows: DataFrame, ends: Sequence[int], *, rules: B.Rules | None = None, days: int = 3,
+) -> DataFrame:
+    """Rounds at ``ends`` (epoch seconds, ascending) -> the transitions of all of them, with ``round``.
+
+    ``start``: counters before the first window; ``windows``: ``counter_aggregate`` rows. Each round
+    reads the documents, overrides and serving state as the round before left them. Only changed
+    step fields are carried from round to round, set down each time.
+    """
+    rules = rules or B.load_rules()
+    changed, done = None, []
+    for as_of in ends:
+        now = docs if changed is None else B.next_documents(docs, changed)
+        counters = counters_through(start, windows, as_of)
+        cands = set_down(B.boot_candidates(now, step_override, taxonomy, as_of=as_of, days=days))
+        t = set_down(B.boot_transition(cands, counters, serving, now, step_override, rules, as_of=as_of))
+        done.append(t.withColumn("round", F.lit(as_of).cast("bigint")))
+        step_override = set_down(B.next_overrides(step_override, t))
+        serving = B.next_serving(t)
+        pool = t.filter("output = 'pool'")
+        if changed is None:
+            changed = pool
         else:
-            st = {f: 0 for f in STATE_FIELDS}
-            st["step_boot"] = int(first["step_boot"])
-            st["step_boot_t"] = int(first["step_boot_t"])
-        for c in COUNTER_COLS:
-            st[c] += adds[c]
-        ptype = int(first["ptype"])
-        kind = "video" if ptype == C.VIDEO_PTYPE else "img"
-        ladder = rules[kind]
-        thr = [s["expose_to"] for s in ladder]
-        step = st["step_boot"] // 10
-        before = st["step_boot"]
-        out = []
-        if st["step_boot"] % 10 == 5:
-            if step >= len(thr) or thr[step] - st["rec"] <= 0:
-                st["step_boot"] += 5
-                st["step_boot_t"] = t
-                st["remaining"] = 0
-                out.append((pid, t, "finish", before, st["step_boot"], 0, st["rec"]))
-        elif step < len(thr):
-            rec = st["rec"]
-            feats = dict(
-                rec=rec, sume=st["sume"], download=st["download"], like=st["like"], share=st["share"],
-                review=st["review"], vdur=int(first["vdur"]), ctr=(st["sume"] / rec if rec else 0.0),
-                play_rate=0.0, avg_play_dur=0.0, video_play_score=0, t=t, ct=int(first["ct"]),
-                step_boot_t=st["step_boot_t"], step_boot=st["step_boot"], is_mover=int(first["is_mover"]),
-                mover_support=int(first["mover_support"]), part1_id=int(first["part1_id"]),
-                part2_id=int(first["part2_id"]), gsume=0, detail=0,
-                download_rate=(st["download"] / rec if rec else 0.0), like_rate=(st["like"] / rec if rec else 0.0),
-            )
-            age = t - st["step_boot_t"]
-            rescue = int(first["is_mover"]) == 1 and (
-                (step == 1 and C.MOVER_RESCUE_STEP1[0] < age <= C.MOVER_RESCUE_STEP1[1])
-                or (step == 2 and age > C.MOVER_RESCUE_STEP2_AFTER and int(first["mover_support"]) == 0))
-            if _rule_ok(ladder[step]["rule"], feats) or rescue:
-                lvl = _level(thr, rec)
-                if step >= lvl:
-                    left = thr[step] - max(rec, thr[step - 1]) if step > 0 else thr[0] - rec
-                    if left > 0:
-                        st["step_boot"] += 5
-                        st["remaining"] = left
-                        out.append((pid, t, "start", before, st["step_boot"], left, rec))
-                else:
-                    st["step_boot"] = lvl * 10
-                    st["step_boot_t"] = t
-                    out.append((pid, t, "jump", before, st["step_boot"], 0, rec))
-        state.update(tuple(int(st[f]) for f in STATE_FIELDS))
-        if out:
-            yield pd.DataFrame(out, columns=["pid", "t", "event", "step_from", "step_to", "remaining", "rec"])
-
-    return fn
-
-
-def boot_stream_frame(events: DataFrame, posts: DataFrame, rules: Rules | None = None) -> DataFrame:
-    """events (pid, ts, counter) streaming  x  posts (static attributes)  ->  transitions stream."""
-    rules = rules or load_rules()
-    p = posts.select("pid", "ptype", "vdur", "ct", "step_boot", "step_boot_t", "is_mover", "mover_support",
-                     "part1_id", "part2_id")
-    e = events.select("pid", "counter", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"), "ts")
-    j = e.join(p, "pid", "inner")
-    return j.groupBy("pid").applyInPandasWithState(
-        _step_fn(rules), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def stream_boot(spark: SparkSession, events: DataFrame, posts: DataFrame, *, rules: Rules | None = None,
-                timeout_s: int = 600) -> DataFrame:
-    """Run the ladder stream over what is available now; return the emitted transitions."""
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream_boot-{uuid.uuid4().hex[:12]}"
-    out = base + "/transitions"
-    q = (boot_stream_frame(events, posts, rules).writeStream.outputMode("append").format("parquet")
-         .option("path", out).option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
-    schema = ", ".join(OUT_SCHEMA.split(", "))
-    return spark.read.schema(schema).parquet(out)
+            kept = changed.join(pool.select("pid"), "pid", "left_anti")
+            changed = set_down(kept.unionByName(pool))
+    out = done[0]
+    for t in done[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def stream_boot(
+    spark: SparkSession, events: DataFrame, docs: DataFrame, step_override: DataFrame, taxonomy: DataFrame,
+    serving: DataFrame, start: DataFrame, ends: Sequence[int], *, round_length: str, rules: B.Rules | None = None,
+    days: int = 3, timeout_s: float | None = None,
+) -> DataFrame:
+    """Count what is available now and run the rounds at ``ends``; returns their transitions."""
+    windows = set_down(stream_counters(spark, events, window=round_length, timeout_s=timeout_s))
+    return ladder_rounds(docs, step_override, taxonomy, serving, start, windows, ends, rules=rules, days=days)

@@ -1,7 +1,8 @@
 """Live per-post counters from an exposure-event stream (Structured Streaming).
 
-Events ``(pid, ts, counter)`` are counted per post and event-time day with a watermark,
-so state for days older than the watermark is dropped. Each micro-batch's updated rows
+Events ``(pid, ts, counter[, amount])`` are summed per post and event-time window. A live stream has a
+watermark, so state for windows older than it is dropped; a backfill over what is there
+(``availableNow``) has none, because its files may come in any order and every event counts. Each micro-batch's updated rows
 (``update`` mode) are appended by ``foreachBatch`` to a changelog folder under the shared
 checkpoint directory; ``latest_counters`` reads that folder and keeps the newest version of
 each (pid, day) -- a distributed upsert without a table format, and one the next job can
@@ -18,19 +19,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import ensure_checkpoint_dir
 
-COUNTERS = ("rec", "sume", "download", "like", "share")
+COUNTERS = ("rec", "sume", "gsume", "detail", "share", "like", "download", "review", "play_video", "play_dur")
 
 
-def counter_aggregate(events: DataFrame, *, watermark: str = "1 hour", window: str = "1 day") -> DataFrame:
-    """(pid, ts, counter) -> (pid, day, rec, sume, download, like, share) per event-time window.
+def counter_aggregate(events: DataFrame, *, watermark: str | None = None, window: str = "1 day") -> DataFrame:
+    """(pid, ts, counter[, amount]) -> (pid, start, day, one column a counter) per event-time window.
 
-    Works on a streaming or a batch frame; for a batch frame the watermark is a no-op, so
-    this is also the batch equivalent of the stream.
+    Works on a streaming or a batch frame. An event without ``amount`` counts 1.
     """
-    e = events.withWatermark("ts", watermark) if events.isStreaming else events
+    e = events.withWatermark("ts", watermark) if events.isStreaming and watermark else events
+    amount = F.col("amount") if "amount" in events.columns else F.lit(1)
     g = e.groupBy("pid", F.window("ts", window).alias("w"))
-    aggs = [F.sum(F.when(F.col("counter") == c, 1).otherwise(0)).cast("bigint").alias(c) for c in COUNTERS]
-    return g.agg(*aggs).select("pid", F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), *COUNTERS)
+    aggs = [F.sum(F.when(F.col("counter") == c, amount).otherwise(0)).cast("bigint").alias(c) for c in COUNTERS]
+    return g.agg(*aggs).select("pid", F.unix_timestamp(F.col("w.start").cast("timestamp")).alias("start"),
+                               F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), *COUNTERS)
 
 
 def start_counter_stream(
@@ -39,12 +41,16 @@ def start_counter_stream(
     *,
     out_dir: str | None = None,
     checkpoint: str | None = None,
-    watermark: str = "1 hour",
+    watermark: str | None = None,
     window: str = "1 day",
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> tuple[StreamingQuery, str]:
-    """Start the counter stream; returns (query, changelog folder)."""
+    """Start the counter stream; returns (query, changelog folder).
+
+    Give a ``watermark`` to a stream that runs on; rows later than it are then dropped, and its
+    windows' state with them.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream_counters-{uuid.uuid4().hex[:12]}"
     out_dir = out_dir or base + "/changelog"
     checkpoint = checkpoint or base + "/checkpoint"
@@ -61,38 +67,58 @@ def start_counter_stream(
     return w.start(), out_dir
 
 
-CHANGELOG_SCHEMA = "pid long, day string, " + ", ".join(f"`{c}` long" for c in COUNTERS) + ", batch_id long"
+CHANGELOG_SCHEMA = "pid long, start long, day string, " + ", ".join(f"`{c}` long" for c in COUNTERS) + ", batch_id long"
+
+
+def _newest(changelog: DataFrame) -> DataFrame:
+    w = Window.partitionBy("pid", "start").orderBy(F.col("batch_id").desc())
+    return changelog.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
 def latest_counters(spark: SparkSession, changelog: str) -> DataFrame:
-    """Newest version of each (pid, day) in the changelog (empty when no batch wrote yet)."""
-    try:
-        c = spark.read.schema(CHANGELOG_SCHEMA).parquet(changelog)
-    except Exception as e:  # no micro-batch has produced the folder yet
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
-        c = spark.createDataFrame([], CHANGELOG_SCHEMA)
-    w = Window.partitionBy("pid", "day").orderBy(F.col("batch_id").desc())
-    return c.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "batch_id")
-
-
-def stream_counters(spark: SparkSession, events: DataFrame, *, timeout_s: int = 600, **kw) -> DataFrame:
-    """Run the stream over what is available now and return the resulting counters."""
+    """Newest version of each (pid, window) in the changelog; a missing folder is an error."""
+    return _newest(spark.read.schema(CHANGELOG_SCHEMA).parquet(changelog)).drop("batch_id")
+
+
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait until ``query`` has ended. If a limit is given and passes first, stop it and raise: what
+    it has written so far is not the result."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"the stream did not end within {timeout_s} s")
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def stream_counters(spark: SparkSession, events: DataFrame, *, timeout_s: float | None = None, **kw) -> DataFrame:
+    """Run the stream over what is available now and return the resulting counters, all events in them."""
     q, out = start_counter_stream(spark, events, available_now=True, **kw)
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
+    finish(q, timeout_s)
     return latest_counters(spark, out)
 
 
 def compact_changelog(spark: SparkSession, changelog: str, base: str, version: str) -> str:
-    """Publish the latest counters as a new version (``base/v=<version>``).
+    """Publish the latest counters as a new version of ``base``, stamped with the last batch in them.
 
     A long-running stream keeps appending update rows; compacting on a schedule bounds what
-    readers scan: they read the newest compacted version plus the batches after it.
+    readers scan (``current_counters``). The changelog is listed once, so a batch that lands
+    meanwhile is neither counted nor claimed.
     """
     from ..sinks.writers import publish_version
 
-    latest = latest_counters(spark, changelog)
-    last_batch = spark.read.schema(CHANGELOG_SCHEMA).parquet(changelog).agg(F.max("batch_id")).first()[0]
-    return publish_version(latest.withColumn("through_batch", F.lit(last_batch).cast("bigint")), base, version)
+    log = spark.read.schema(CHANGELOG_SCHEMA).parquet(changelog)
+    last_batch = log.agg(F.max("batch_id")).first()[0]
+    return publish_version(_newest(log).withColumn("through_batch", F.lit(last_batch).cast("bigint")), base, version)
+
+
+def current_counters(spark: SparkSession, changelog: str, base: str) -> DataFrame:
+    """The newest compacted version brought up to date by the batches after it."""
+    from ..sinks.writers import read_latest
+
+    done = read_latest(spark, base)
+    through = done.agg(F.max("through_batch")).first()[0]
+    log = spark.read.schema(CHANGELOG_SCHEMA).parquet(changelog)
+    newer = log.filter(F.col("batch_id") > through) if through is not None else log
+    return _newest(done.drop("through_batch").unionByName(newer)).drop("batch_id")
