@@ -15,7 +15,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "ups": ((), f"""
 SELECT strftime(l.l_shipdate, '%Y%m%d') AS ymd, o.o_custkey AS mid, l.l_partkey AS pid,
        CAST({_PTYPE.format(k='l.l_partkey')} AS BIGINT) AS ptype, CAST(0 AS BIGINT) AS vdur,
-       CAST(1 AS BIGINT) AS expose,
+       CAST(l.l_linenumber % 7 <> 0 AS BIGINT) AS expose,
        CAST(l.l_linenumber % 4 = 0 AS BIGINT) AS share,
        CAST(l.l_tax > 0.04 AS BIGINT) AS download,
        CAST(l.l_discount > 0.05 AS BIGINT) AS "like",
@@ -33,8 +33,9 @@ SELECT strftime(l.l_shipdate, '%Y%m%d') AS ymd, o.o_custkey AS mid, l.l_partkey
        l.l_quantity * 15 AS view_comment_dur
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""),
     "users": ((), """
-SELECT c_custkey AS mid, CAST(c_custkey % 5 AS BIGINT) AS age, CAST(c_nationkey % 3 AS BIGINT) AS gender
-FROM customer WHERE c_custkey % 17 <> 0"""),
+SELECT c_custkey AS mid, CAST(c_custkey % 5 AS BIGINT) AS age,
+       CAST(CASE WHEN c_nationkey % 4 <> 3 THEN c_nationkey % 4 END AS BIGINT) AS gender
+FROM customer"""),
     "tax": ((), """
 SELECT CAST(n_nationkey AS BIGINT) AS tid, CAST(n_nationkey + 70 AS BIGINT) AS part2_id,
        CAST(n_regionkey + 13 AS BIGINT) AS part1_id
@@ -45,7 +46,7 @@ SELECT pid, count(*) AS n, sum(download) AS dl, sum("like") AS lk, sum(share) AS
        sum(CAST(play_video_dur >= 160 AS BIGINT)) AS hits, sum(play_video_dur) AS play_sum
 FROM ups GROUP BY pid"""),
     "pool": (("post_agg",), f"""
-SELECT p.p_partkey AS pid, CAST(0 AS BIGINT) AS mid, p.p_partkey % 27 AS tid, p.p_partkey // 4 AS gid,
+SELECT p.p_partkey AS pid, CAST(p.p_partkey % 1009 + 1 AS BIGINT) AS mid, p.p_partkey % 27 AS tid, p.p_partkey // 4 AS gid,
        CAST({_PTYPE.format(k='p.p_partkey')} AS BIGINT) AS ptype,
        CAST(CASE WHEN p.p_partkey % 13 = 0 THEN 1 ELSE 2 END AS BIGINT) AS status,
        CAST({AS_OF} - (p.p_partkey % 200) * 86400 - 3600 AS BIGINT) AS ct,
@@ -55,8 +56,8 @@ SELECT p.p_partkey AS pid, CAST(0 AS BIGINT) AS mid, p.p_partkey % 27 AS tid, p.
        CAST({AS_OF} - [300, 1000, 5000, 7900, 8200, 50000][CAST((p.p_partkey // 8) % 6 AS INTEGER) + 1] AS BIGINT) AS step_boot_t,
        CAST(CASE WHEN p.p_partkey % 5 = 0 THEN 1040 WHEN p.p_partkey % 5 = 1 THEN 1050 ELSE 0 END AS BIGINT) AS community_tag,
        CAST(CASE WHEN p.p_partkey % 10 < 3 THEN 30 ELSE 0 END AS BIGINT) AS choice_status,
-       CAST(CASE WHEN (p.p_partkey // 5) % 3 = 1 THEN 1 ELSE 0 END AS BIGINT) AS mover_level,
-       CAST(p.p_partkey % 20 + 50 AS BIGINT) AS mover_part_id,
+       CAST(CASE WHEN p.p_partkey % 31 <> 0 AND (p.p_partkey // 5) % 3 = 1 THEN 1 ELSE 0 END AS BIGINT) AS mover_level,
+       CAST(CASE WHEN p.p_partkey % 31 <> 0 THEN p.p_partkey % 20 + 50 ELSE 0 END AS BIGINT) AS mover_part_id,
        CAST(CASE WHEN p.p_partkey % 17 = 0 THEN -20 ELSE 0 END AS BIGINT) AS resource_status,
        CAST(p.p_partkey % 2 AS BIGINT) AS subarea_status,
        CAST(CASE WHEN p.p_partkey % 23 = 1 THEN 1 ELSE 0 END AS BIGINT) AS n_subarea_types,
@@ -82,13 +83,16 @@ LEFT JOIN (
   FROM (SELECT x.*, coalesce(m.gender, 0) AS g FROM ups x LEFT JOIN users m ON x.mid = m.mid) u
   GROUP BY u.pid
 ) a ON a.pid = p.p_partkey
-WHERE p.p_partkey % 19 <> 0"""),
+WHERE a.pid IS NOT NULL"""),
     "step_override": ((), f"""
 SELECT p_partkey AS pid, CAST(10 AS BIGINT) AS step_boot, CAST({AS_OF} - 1000 AS BIGINT) AS step_boot_t,
-       CAST(0 AS BIGINT) AS mover_support
+       CAST(0 AS BIGINT) AS mover_support,
+       CAST(CASE WHEN p_partkey % 3 <> 0 THEN (p_partkey % 3) * 10 END AS BIGINT) AS real_step
 FROM part WHERE p_partkey % 4 = 2"""),
     "serving": ((), """
-SELECT p_partkey AS pid, CAST((p_partkey // 7) % 3 AS BIGINT) AS remaining FROM part WHERE p_partkey % 7 = 0"""),
+SELECT p_partkey AS pid, CAST((p_partkey // 7) % 3 AS BIGINT) AS remaining,
+       CASE WHEN p_partkey % 5 <> 0 THEN '1.' || CAST(p_partkey % 5 AS VARCHAR) || ':0.9' END AS weight
+FROM part WHERE p_partkey % 7 = 0"""),
     "standard": (("tax",), """
 SELECT 'video_' || CAST(part2_id AS VARCHAR) AS key, CAST(part2_id % 20 AS BIGINT) AS pcnt,
        CAST(part2_id % 12 AS DOUBLE) AS download_rate, CAST(part2_id % 25 AS DOUBLE) AS like_rate
@@ -99,10 +103,13 @@ UNION ALL SELECT 'img', 50, 6.5, 8.5"""),
 SELECT user_id AS mid, CAST(json_extract_string(props, '$.k') AS BIGINT) AS pid, ts, event_id, event_type
 FROM events WHERE event_type <> 'error'"""),
     "exposures": ((), """
-SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS pid, user_id AS mid, ts, event_id,
-       CASE event_type WHEN 'view' THEN 'rec' WHEN 'click' THEN 'sume' WHEN 'purchase' THEN 'download'
-                       WHEN 'signup' THEN 'like' WHEN 'error' THEN 'share' END AS counter
-FROM events"""),
+SELECT e.pid, e.user_id AS mid, e.ts, e.event_id, c.counter, CASE WHEN c.amount > 0 THEN c.amount ELSE e.pid * 100 END AS amount
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS pid FROM events) e
+JOIN (VALUES ('view', 'rec', 1), ('view', 'play_video', 1), ('view', 'play_dur', 0),
+             ('click', 'rec', 1), ('click', 'sume', 1), ('click', 'detail', 1),
+             ('purchase', 'download', 1), ('purchase', 'gsume', 1),
+             ('signup', 'like', 1), ('signup', 'review', 1), ('error', 'share', 1)) c(event_type, counter, amount)
+  ON c.event_type = e.event_type"""),
     "recall_log": ((), """
 SELECT user_id AS mid, CAST(json_extract_string(props, '$.k') AS BIGINT) AS pid,
        CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 AS source,

@@ -17,15 +17,16 @@ from ..functions.scalars import ymd_days_before
 from ..operators import boot as B
 from ..operators.community import community_review_index
 from ..operators.counters import post_counters
-from ..operators.embed import item2vec
+from ..operators.embed import cooccurrence, cooccurrence_vectors, frequent, item2vec, summed
 from ..operators.engagement import engagement_cells
 from ..operators.index import short_groups, topn_index
-from ..operators.knn import knn_exact, knn_lsh
+from ..operators.knn import knn_lsh
 from ..operators.neighbours import i2i_index, i2i_neighbours, i2i_quality_index, neighbour_lines, valid_posts
 from ..operators.pool import pool_clean
 from ..operators.ranking import hot_img_rank, hot_video_rank
 from ..operators.review import review_board
 from ..operators.sequences import behaviour_sequences
+from ..session import set_down
 from ..sinks import writers as W
 
 
@@ -70,9 +71,10 @@ def hot_job(spark: SparkSession, inp: HotInputs, out: str, *, as_of: int, days:
 
 def community_job(spark: SparkSession, docs: DataFrame, counters: DataFrame, taxonomy: DataFrame, out: str, *,
                   as_of: int) -> dict[str, int]:
-    """Write the community index; returns monitoring counts (posts indexed, keys written)."""
+    """Write the community index; returns monitoring counts (posts indexed, lists written)."""
     W.write_index(community_review_index(docs, counters, taxonomy, as_of=as_of), out)
-    m = spark.read.parquet(out).agg(F.sum("n_items").alias("posts"), F.count(F.lit(1)).alias("keys")).first()
+    lists = F.count(F.when(F.col("chunk") < 0, 1))
+    m = spark.read.parquet(out).agg(F.sum("n_items").alias("posts"), lists.alias("keys")).first()
     return {"community_post_cnt": int(m["posts"] or 0), "index_keys": int(m["keys"])}
 
 
@@ -88,16 +90,40 @@ def review_board_job(behaviour: DataFrame, posts: DataFrame, out: str, *, as_of:
 def i2i_job(
     spark: SparkSession, actions: DataFrame, docs: DataFrame, raw_counters: DataFrame, taxonomy: DataFrame,
     standards: DataFrame, out: str, *, as_of: int, day: str, mode: str = "full", max_day: int = 30,
-    action: str = "review", exact: bool = False, k: int = C.I2I_TOPN, min_score: float = C.I2I_MIN_SCORE,
+    action: str = "review", method: str = "cooccurrence", k: int = C.I2I_TOPN, min_score: float = C.I2I_MIN_SCORE,
+    tables: int = 8, bits: int = 6,
 ) -> None:
-    """Sequences -> item2vec -> top-k neighbours -> validated lists -> (gated) indexes."""
+    """Sequences -> item vectors -> top-k neighbours -> validated lists -> (gated) indexes.
+
+    Co-occurrence counts are kept: a full run publishes those of its whole window, an incremental run
+    writes its day's, and vectors come from the last full run's and all days since. So an
+    incremental run starts from what is known, its vocabulary grows, and items not seen today keep
+    their lists. ``method="word2vec"`` or ``"als"`` trains a model on the sequences alone instead
+    and saves it per day.
+    """
     seq = behaviour_sequences(actions, as_of=as_of, max_day=max_day, mode=mode)
     vectors_path = f"{out}/vectors/{day}"
-    vecs, model = item2vec(seq, return_model=True)
-    W.save_model_snapshot(model, f"{out}/models/{action}", day)
+    if method == "cooccurrence":
+        full_path, daily_path = f"{out}/counts/full", f"{out}/counts/daily"
+        counts = cooccurrence(seq, min_count=1)
+        if mode == "full":
+            W.publish_version(counts, full_path, day)
+            every = W.read_latest(spark, full_path)
+        else:
+            W.replace_table(counts, f"{daily_path}/day={day}")  # a rerun of the day replaces its own rows
+            daily = spark.read.schema("item string, ctx string, n double, day string").parquet(daily_path)
+            full = W.published(spark, full_path)
+            every = daily.select("item", "ctx", "n")
+            if full is not None:  # it holds all days before its own
+                since = full.agg(F.max("version")).first()[0]
+                every = W.read_latest(spark, full_path).unionByName(daily.filter(F.col("day") >= since).select("item", "ctx", "n"))
+        vecs = cooccurrence_vectors(frequent(summed(every), C.W2V_MIN_COUNT))
+    else:
+        vecs, model = item2vec(seq, return_model=True, method=method)
+        W.save_model_snapshot(model, f"{out}/models/{action}", day)
     W.replace_table(vecs, vectors_path)
     vectors = spark.read.parquet(vectors_path)
-    pairs = knn_exact(vectors, k=k) if exact else knn_lsh(vectors, k=k, min_score=min_score)
+    pairs = knn_lsh(vectors, k=k, min_score=min_score, tables=tables, bits=bits)
     valid = valid_posts(docs, as_of=as_of)
     neigh_path = f"{out}/neighbours/{day}"
     W.replace_table(i2i_neighbours(pairs, valid, min_score=min_score), neigh_path)
@@ -106,10 +132,9 @@ def i2i_job(
     W.write_ptype_tid(valid, f"{out}/post_ptype_tid/{day}")
     prefixes = {"video": f"index_{action}_i2i_video_", "img": f"index_{action}_i2i_imgtext_"}
     if action == "review":
-        counters = post_counters(raw_counters)
-        for kind, prefix in prefixes.items():
-            W.write_index(i2i_quality_index(neigh, counters, valid, taxonomy, standards, kind=kind, prefix=prefix,
-                                            as_of=as_of), f"{out}/index/{kind}")
+        index = i2i_quality_index(neigh, post_counters(raw_counters), valid, taxonomy, standards, prefixes=prefixes, as_of=as_of)
+        W.write_index(index.filter(F.col("index_key").startswith(prefixes["video"])), f"{out}/index/video")
+        W.write_index(index.filter(F.col("index_key").startswith(prefixes["img"])), f"{out}/index/img")
     else:
         for kind, prefix in prefixes.items():
             W.write_index(i2i_index(neigh.filter(F.col("kind") == kind), prefix=prefix, as_of=as_of),
@@ -120,16 +145,22 @@ def boot_round_job(
     spark: SparkSession, docs: DataFrame, step_override: DataFrame, taxonomy: DataFrame, counters: DataFrame,
     serving: DataFrame, out: str, *, as_of: int, days: int = 3, rules: dict | None = None,
 ) -> dict[str, str]:
-    """One cold-start round: both outputs are computed from the same snapshot, then written."""
+    """One cold-start round on one snapshot: the transition, and the next documents, overrides and
+    serving state, each published as a version that the next round reads (``read_latest``)."""
     rules = rules or B.load_rules()
-    cands = B.boot_candidates(docs, step_override, taxonomy, as_of=as_of, days=days)
+    cands = set_down(B.boot_candidates(docs, step_override, taxonomy, as_of=as_of, days=days))
     t_path = f"{out}/transition/{as_of}"
     W.replace_table(B.boot_transition(cands, counters, serving, docs, step_override, rules, as_of=as_of), t_path)
     t = spark.read.parquet(t_path)
-    nxt = t.filter("output = 'serving'").select("pid", "remaining", "weight")
-    W.replace_table(nxt, f"{out}/serving/{as_of}")
+    version = f"{as_of:012d}"
+    paths = {
+        "transition": t_path,
+        "docs": W.publish_version(B.next_documents(docs, t), f"{out}/docs", version),
+        "override": W.publish_version(B.next_overrides(step_override, t), f"{out}/override", version),
+        "serving": W.publish_version(B.next_serving(t), f"{out}/serving", version),
+    }
     counts = {r["output"]: int(r["n"]) for r in t.groupBy("output").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {"transition": t_path, "serving": f"{out}/serving/{as_of}", "counts": counts}
+    return {**paths, "counts": counts}
 
 
 def counter_stream_job(
@@ -151,14 +182,14 @@ def counter_stream_job(
 
 
 def boot_stream_job(
-    spark: SparkSession, events_dir: str, events_schema: str, posts: DataFrame, out: str, checkpoint: str, *,
-    rules: dict | None = None, processing_time: str | None = "1 minute",
-):
-    """Start the cold-start ladder stream; transitions are appended to ``out`` (Parquet)."""
-    from ..streaming.boot_stream import boot_stream_frame
-
-    events = spark.readStream.schema(events_schema).parquet(events_dir)
-    w = (boot_stream_frame(events, posts, rules).writeStream.outputMode("append").format("parquet")
-         .option("path", out).option("checkpointLocation", checkpoint))
-    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
-    return w.start()
+    spark: SparkSession, changelog: str, docs: DataFrame, step_override: DataFrame, taxonomy: DataFrame,
+    serving: DataFrame, start: DataFrame, out: str, *, ends: list[int], rules: dict | None = None, days: int = 3,
+) -> str:
+    """Run the ladder rounds at ``ends`` that are due on a live counter stream's changelog (its windows
+    must be one round long); publishes their transitions and returns the folder."""
+    from ..streaming.boot_stream import ladder_rounds
+    from ..streaming.counters_stream import latest_counters
+
+    windows = set_down(latest_counters(spark, changelog))
+    t = ladder_rounds(docs, step_override, taxonomy, serving, start, windows, ends, rules=rules, days=days)
+    return W.publish_version(t, out, f"{max(ends):012d}")

@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from .. import constants as C
-from ..operators.engagement import IMG_FENCES, NORM_NAME, VIDEO_FENCES
-from ..operators.ranking import IMG_OUT_NORMS, VIDEO_OUT_NORMS
 from .fixture_sql import AS_OF
-from .params import HOT_SINCE_DAY
+
+# FIXED VALUES, written out here and not taken from the operators: a wrong one there must show.
+HOT_SINCE_DAY, BEHAVIOUR_SINCE_DAY = "20010807", "19980101"
+NORM_NAME = {
+    "ctr": "sume_norm", "like_rate": "like_norm", "share_rate": "share_norm", "download_rate": "download_norm",
+    "dur": "dur_norm", "detail_dur": "detail_dur_norm", "play_rate": "play_rate_norm", "play_video": "play_video_norm",
+    "view_img": "view_img_norm", "review_rate": "review_rate_norm", "like_review_rate": "like_review_rate_norm",
+    "review_get_rate": "review_get_rate_norm", "detail": "detail_norm", "comment_dur": "comment_dur_norm",
+}
+_VIDEO_METRICS = ("ctr", "like_rate", "share_rate", "download_rate", "dur", "detail_dur", "play_rate", "play_video",
+                  "review_rate", "like_review_rate", "review_get_rate", "detail", "comment_dur")
+_IMG_METRICS = ("ctr", "like_rate", "share_rate", "download_rate", "dur", "detail_dur", "view_img",
+                "review_rate", "like_review_rate", "review_get_rate", "detail", "comment_dur")
+VIDEO_FENCES = {m: (1.5, 1.0 if m in ("ctr", "play_rate") else 1.5) for m in _VIDEO_METRICS}
+IMG_FENCES = {m: (1.5, 1.5) for m in _IMG_METRICS}
+VIDEO_OUT_NORMS = tuple(NORM_NAME[m] for m in _VIDEO_METRICS)
+IMG_OUT_NORMS = tuple(NORM_NAME[m] for m in _IMG_METRICS)
+VIDEO_WEIGHTS = {"sume_norm": 0.32, "like_norm": 0.2, "share_norm": 0.2, "download_norm": 0.2, "dur_norm": 0.3,
+                 "detail_dur_norm": 0.2, "play_rate_norm": 0.3, "play_video_norm": 0.3, "review_rate_norm": 0.4, "detail_norm": 0.4}
+IMG_WEIGHTS = {"sume_norm": 0.34, "like_norm": 0.2, "share_norm": 0.2, "download_norm": 0.2, "dur_norm": 0.2,
+               "detail_dur_norm": 0.2, "review_rate_norm": 0.4, "detail_norm": 0.4}
 
 CELL_KEYS = ("ptype", "part2_id", "group_age", "group_gender")
 
@@ -14,18 +31,18 @@ _AGGS = [
     ("ctr", "CASE WHEN a.play_video_dur >= 5 OR a.stay_img_dur >= 2 OR a.view_img > 0 THEN 1 ELSE 0 END"),
     ("share_rate", "CASE WHEN a.share > 0 THEN 1 ELSE 0 END"),
     ("download_rate", "CASE WHEN a.download > 0 THEN 1 ELSE 0 END"),
-    ("dur", f"CASE WHEN a.stay_time > {C.CAP_STAY_TIME} THEN {C.CAP_STAY_TIME} ELSE a.stay_time END"),
+    ("dur", f"CASE WHEN a.stay_time > 300 THEN 300 ELSE a.stay_time END"),
     ("like_rate", 'a."like"'),
     ("detail", "a.detail_post"),
-    ("detail_dur", f"CASE WHEN a.detail_post_dur > {C.CAP_DETAIL_DUR} THEN {C.CAP_DETAIL_DUR} ELSE a.detail_post_dur END"),
-    ("play_video_dur", f"CASE WHEN a.play_video_dur > {C.CAP_PLAY_VIDEO_DUR} THEN {C.CAP_PLAY_VIDEO_DUR} ELSE a.play_video_dur END"),
+    ("detail_dur", f"CASE WHEN a.detail_post_dur > 600 THEN 600 ELSE a.detail_post_dur END"),
+    ("play_video_dur", f"CASE WHEN a.play_video_dur > 300 THEN 300 ELSE a.play_video_dur END"),
     ("review_rate", "CASE WHEN a.create_review + a.reply_review > 2 THEN 2 ELSE a.create_review + a.reply_review END"),
     ("review_get_rate", "a.reviews_review"),
     ("like_review_rate", "a.like_review"),
-    ("view_img_dur", f"CASE WHEN a.view_img_dur > {C.CAP_VIEW_IMG_DUR} THEN {C.CAP_VIEW_IMG_DUR} ELSE a.view_img_dur END"),
+    ("view_img_dur", f"CASE WHEN a.view_img_dur > 300 THEN 300 ELSE a.view_img_dur END"),
     ("view_img", "a.view_img"),
     ("play_video", "CASE WHEN a.play_video_dur > 5 THEN 1 ELSE 0 END"),
-    ("comment_dur", f"CASE WHEN a.view_comment_dur > {C.CAP_COMMENT_DUR} THEN {C.CAP_COMMENT_DUR} ELSE a.view_comment_dur END"),
+    ("comment_dur", f"CASE WHEN a.view_comment_dur > 600 THEN 600 ELSE a.view_comment_dur END"),
 ]
 
 CELL_DOUBLES = [n for n, _ in _AGGS] + ["play_rate"]
@@ -37,8 +54,8 @@ _DURATIONS = {"dur", "detail_dur", "play_video_dur", "view_img_dur", "comment_du
 def cells_cte(since_day: str = HOT_SINCE_DAY) -> str:
     def agg(n: str, e: str) -> str:
         if n in _DURATIONS:   # whole microseconds, summed exactly
-            return f"CAST(sum(CAST(floor(({e}) * 1000000.0 + 0.5) AS BIGINT)) AS DOUBLE) / 1000000.0 / (sum(a.expose) + {C.SMOOTHING_EXPOSE}) AS {n}"
-        return f"CAST(sum({e}) AS DOUBLE) / (sum(a.expose) + {C.SMOOTHING_EXPOSE}) AS {n}"
+            return f"CAST(sum(CAST(floor(({e}) * 1000000.0 + 0.5) AS BIGINT)) AS DOUBLE) / 1000000.0 / (sum(a.expose) + 200) AS {n}"
+        return f"CAST(sum({e}) AS DOUBLE) / (sum(a.expose) + 200) AS {n}"
 
     aggs = ",\n       ".join(agg(n, e) for n, e in _AGGS)
     return f"""cells0 AS (
@@ -53,11 +70,11 @@ JOIN pool e ON a.pid = e.pid
 LEFT JOIN posts b ON a.pid = b.pid
 LEFT JOIN users c ON a.mid = c.mid
 LEFT JOIN tax d ON b.tid = d.tid
-WHERE a.expose >= 1
+WHERE a.expose >= 1 AND a.ymd >= '{BEHAVIOUR_SINCE_DAY}'
   AND strftime(make_timestamp(e.ct * 1000000), '%Y%m%d') >= '{since_day}'
-  AND e.review_cnt >= {C.HOT_MIN_REVIEW} AND e.pid IS NOT NULL AND e.rec >= {C.HOT_MIN_REC}
-  AND ((e.ctr >= {C.HOT_MIN_CTR_IMG} AND a.ptype <> 5) OR (e.ctr >= {C.HOT_MIN_CTR_VIDEO} AND a.ptype = 5))
-  AND e.review_cnt / e.rec >= {C.HOT_MIN_REVIEW_RATIO}
+  AND e.review_cnt >= 20 AND e.pid IS NOT NULL AND e.rec >= 1000
+  AND ((e.ctr >= 0.3 AND a.ptype <> 5) OR (e.ctr >= 0.4 AND a.ptype = 5))
+  AND e.review_cnt / e.rec >= 0.001
 GROUP BY 1, 2, 3, 4, 5
 ),
 cells AS (
@@ -120,10 +137,10 @@ IMG_ALL = _all14(IMG_FENCES, ("play_rate", "play_video"))
 
 
 def rank_select(video: bool, src: str) -> str:
-    weights = C.VIDEO_WEIGHTS if video else C.IMG_WEIGHTS
+    weights = VIDEO_WEIGHTS if video else IMG_WEIGHTS
     score = " + ".join(f"{n} * {w}" for n, w in weights.items())
     cases = " ".join(
-        f"WHEN group_gender = {g} AND group_age = {a} THEN ({score})" for g in C.WEIGHT_GENDERS for a in C.WEIGHT_AGES
+        f"WHEN group_gender = {g} AND group_age = {a} THEN ({score})" for g in (0, 1, 2) for a in (0, 1, 2, 3, 4)
     )
     norms = ", ".join(VIDEO_OUT_NORMS if video else IMG_OUT_NORMS)
     return f"""SELECT *, CAST(row_number() OVER (PARTITION BY group_gender, group_age, part2_id

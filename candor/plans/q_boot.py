@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import constants as C
 from ..operators import boot as B
+from ..session import set_down
 from ..sources import fixtures as X
 from .fixture_sql import with_views
 from .params import AS_OF, BOOT_DAYS
@@ -20,7 +21,8 @@ _MOVER_OUT = ", ".join(str(x) for x in C.MOVER_EXCLUDED_PARTS)
 # ---------------------------------------------------------------- SQL building blocks
 _CAND_CTES = [
     f"""d AS (
-SELECT p.pid, p.ptype, p.ct, p.rec_t, p.tid, p.gid, p.vdur, '' AS source, p.mid, p.rec, p.mover_level, p.mover_part_id,
+SELECT p.pid, p.ptype, p.ct, p.rec_t, p.tid, p.gid, p.vdur,
+       CASE WHEN p.pid % 5 <> 0 THEN 'src' || CAST(p.pid % 5 AS VARCHAR) ELSE '' END AS source, p.mid, p.rec, p.mover_level, p.mover_part_id,
        p.resource_status, p.subarea_status, p.n_subarea_types,
        CAST(coalesce(t.part1_id, 0) AS BIGINT) AS part1_id, CAST(coalesce(t.part2_id, 0) AS BIGINT) AS part2_id,
        CASE WHEN p.rec_t - p.ct > 3600 AND o.pid IS NOT NULL THEN coalesce(o.step_boot, 0) ELSE p.step_boot END AS step_boot,
@@ -147,10 +149,9 @@ _BASE = _CAND_CTES + [_FEAT_CTE, _FEAT2_CTE]
 
 
 def candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Cold-start candidates over the fixture tables (persisted: features, weights and the
-    transition's key set all read them)."""
+    """Cold-start candidates over the fixture tables."""
     return B.boot_candidates(X.pool_docs(spark, d), X.step_override(spark, d), X.taxonomy(spark, d),
-                             as_of=AS_OF, days=BOOT_DAYS).persist()
+                             as_of=AS_OF, days=BOOT_DAYS)
 
 
 @register("boot_candidates", with_views("SELECT * FROM cands", *_VIEWS, extra=_CAND_CTES))
@@ -188,18 +189,19 @@ def q_boot_gender_weight(spark: SparkSession, d: str) -> DataFrame:
     return B.boot_gender_weight(X.counters(spark, d), X.pool(spark, d).select("pid", "ptype"))
 
 
-def _transition_sql() -> str:
+def transition_parts() -> tuple[list[str], str]:
+    """CTEs and body of one round over the views pool, tax, step_override, counters and serving."""
     thr_at = lambda idx: _by_type("x.p_ptype", _at(_VT, idx), _at(_IT, idx))
     n_steps = _by_type("x.p_ptype", str(len(_VT)), str(len(_IT)))
     ctes = _BASE + [_MATCH_CTE, _LEFT_CTE, f"weights AS ({_weight_expr().format(src='cands')})", f"""
 keys AS (SELECT pid FROM serving UNION SELECT pid FROM lefts)""", f"""
 x0 AS (
-SELECT k.pid, s.remaining AS s_rem, CAST(NULL AS VARCHAR) AS s_w, s.pid IS NOT NULL AS in_s,
+SELECT k.pid, s.remaining AS s_rem, s.weight AS s_w, s.pid IS NOT NULL AS in_s,
        e.step AS e_step, coalesce(e.rescued, false) AS rescued, e.left_expose, e.jump_to,
        c.pid IS NOT NULL AS is_cand, w.weight,
        coalesce(p.step_boot, 0) AS p_step, p.step_boot_t AS p_t, p.mover_support AS p_ms, coalesce(p.ptype, 2) AS p_ptype,
        coalesce(p.rec, 0) AS p_rec, p.pid IS NOT NULL AS p_has,
-       o.step_boot AS o_step, o.step_boot_t AS o_t, o.mover_support AS o_ms, CAST(NULL AS BIGINT) AS o_real,
+       o.step_boot AS o_step, o.step_boot_t AS o_t, o.mover_support AS o_ms, o.real_step AS o_real,
        o.pid IS NOT NULL AS o_has, cn.rec AS c_rec
 FROM keys k LEFT JOIN serving s ON s.pid = k.pid LEFT JOIN lefts e ON e.pid = k.pid LEFT JOIN cands c ON c.pid = k.pid
 LEFT JOIN weights w ON w.pid = k.pid LEFT JOIN pool p ON p.pid = k.pid LEFT JOIN step_override o ON o.pid = k.pid
@@ -249,13 +251,43 @@ SELECT 'pool', pid, NULL, NULL, CAST(s3 AS BIGINT), CAST(t2 AS BIGINT), CAST(ms3
 UNION ALL
 SELECT 'override', pid, NULL, NULL, CAST(o3 AS BIGINT), CAST(ot2 AS BIGINT), CAST(oms3 AS BIGINT), CAST(oreal1 AS BIGINT), reason
 FROM x5 WHERE changed"""
-    return with_views(body, *_VIEWS, "serving", extra=ctes)
+    return ctes, body
 
 
-@register("boot_transition", _transition_sql())
+_TRANSITION_CTES, _TRANSITION_BODY = transition_parts()
+
+
+@register("boot_transition", with_views(_TRANSITION_BODY, *_VIEWS, "serving", extra=_TRANSITION_CTES))
 def q_boot_transition(spark: SparkSession, d: str) -> DataFrame:
-    docs = X.pool_docs(spark, d).persist()
-    return B.boot_transition(
-        candidates(spark, d), X.counters(spark, d).persist(), X.serving_budget(spark, d), docs,
-        X.step_override(spark, d), RULES, as_of=AS_OF,
-    )
+    # each is read several times by the round
+    docs, cands = set_down(X.pool_docs(spark, d)), set_down(candidates(spark, d))
+    return B.boot_transition(cands, set_down(X.counters(spark, d)), X.serving_budget(spark, d), docs,
+                             X.step_override(spark, d), RULES, as_of=AS_OF)
+
+
+# A ladder whose rules divide without a guard of their own (posts with no exposure divide by zero).
+UNGUARDED = """\
+video:
+  - { step: 0, expose_to: 200, rule: '' }
+  - { step: 1, expose_to: 500, rule: 'download/rec > 0.008 or like >= 1' }
+  - { step: 2, expose_to: 1000, rule: '(like + download)/(rec + 0) >= 0.05 and t-step_boot_t <= 7800' }
+img:
+  - { step: 0, expose_to: 100, rule: 'share/like < 2 or pool_rec/greatest(rec, review) > 1' }
+  - { step: 1, expose_to: 200, rule: '(like+2*review)/rec>=0.015' }
+  - { step: 2, expose_to: 500, rule: 'download/rec/download > 0' }
+"""
+_UNGUARDED_SQL = """
+SELECT pid, step, coalesce(CASE
+    WHEN ptype = 5 AND step = 0 THEN true
+    WHEN ptype = 5 AND step = 1 THEN download / nullif(rec, 0) > 0.008 OR "like" >= 1
+    WHEN ptype = 5 AND step = 2 THEN ("like" + download) / nullif(rec + 0, 0) >= 0.05 AND t - step_boot_t <= 7800
+    WHEN ptype <> 5 AND step = 0 THEN share / nullif("like", 0) < 2 OR pool_rec / nullif(greatest(rec, review), 0) > 1
+    WHEN ptype <> 5 AND step = 1 THEN ("like" + 2 * review) / nullif(rec, 0) >= 0.015
+    WHEN ptype <> 5 AND step = 2 THEN download / nullif(rec, 0) / nullif(download, 0) > 0
+  END, false) AS matched
+FROM (SELECT *, step_boot // 10 AS step FROM feats2 WHERE step_boot % 10 = 0)"""
+
+
+@register("boot_rule_unguarded", with_views(_UNGUARDED_SQL, *_VIEWS, extra=_BASE))
+def q_boot_rule_unguarded(spark: SparkSession, d: str) -> DataFrame:
+    return B.boot_rule_match(features(spark, d), B.load_rules(UNGUARDED)).select("pid", "step", "matched")

@@ -5,33 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..operators import engagement as E
 from ..operators import ranking as R
 from ..operators.index import short_groups, topn_index
+from ..session import set_down
 from ..sources import fixtures as X
 from . import oracle_hot as O
 from .fixture_sql import with_views
 from .params import AS_OF, HOT_SINCE_DAY
 from .registry import register
 
+# All 14 metrics for either type, with the fences of its own and 1.5 for the others.
+VIDEO_ALL = {**E.VIDEO_FENCES, "view_img": (1.5, 1.5)}
+IMG_ALL = {**E.IMG_FENCES, "play_rate": (1.5, 1.5), "play_video": (1.5, 1.5)}
 BASE = ("ups", "users", "tax", "pool", "posts")
 
 
-def cells(spark: SparkSession, d: str) -> DataFrame:
-    """Engagement cells over the fixture tables, persisted: every hot query reads them twice
-    (bounds aggregate + normalisation join). The pool fixture is derived once for both of
-    its uses (candidate filter and post metadata)."""
-    behaviour = X.behaviour(spark, d).persist()
-    pool = X.pool(spark, d, behaviour_df=behaviour).persist()
+BEHAVIOUR_SINCE_DAY = "19980101"
+
+
+def engagement(spark: SparkSession, d: str) -> DataFrame:
+    pool = X.pool(spark, d)
     return E.engagement_cells(
-        behaviour, pool, pool.select("pid", "tid", "vdur", "ct"), X.users(spark, d), X.taxonomy(spark, d),
-        since_day=HOT_SINCE_DAY, behaviour_since_day=None,
-    ).persist()
+        X.behaviour(spark, d), pool, X.posts(spark, d), X.users(spark, d), X.taxonomy(spark, d),
+        since_day=HOT_SINCE_DAY, behaviour_since_day=BEHAVIOUR_SINCE_DAY,
+    )
+
+
+def cells(spark: SparkSession, d: str) -> DataFrame:
+    """Engagement cells over the fixture tables, set down: bounds and normalisation both read them."""
+    return set_down(engagement(spark, d))
 
 
 @register("engagement_cells", with_views("SELECT * FROM cells", *BASE, extra=[O.cells_cte()]), O.CELL_DOUBLES)
 def q_engagement_cells(spark: SparkSession, d: str) -> DataFrame:
-    return cells(spark, d)
+    return engagement(spark, d)
 
 
 _BOUND_COLS = [f"{m}_{s}" for m in O.VIDEO_ALL for s in ("min", "max")]
@@ -48,10 +57,7 @@ _BOUND_COLS = [f"{m}_{s}" for m in O.VIDEO_ALL for s in ("min", "max")]
     _BOUND_COLS,
 )
 def q_robust_bounds(spark: SparkSession, d: str) -> DataFrame:
-    c = cells(spark, d)
-    bv = E.robust_bounds(c.filter(F.col("ptype") == 5), O.VIDEO_ALL)
-    bi = E.robust_bounds(c.filter(F.col("ptype") != 5), O.IMG_ALL)
-    return bv.unionByName(bi.select(*bv.columns))
+    return E.robust_bounds(cells(spark, d), IMG_ALL, video_fences=VIDEO_ALL)
 
 
 _NORM_DOUBLES = O.CELL_DOUBLES + [E.NORM_NAME[m] for m in O.VIDEO_ALL]
@@ -73,10 +79,7 @@ _NORM_DOUBLES = O.CELL_DOUBLES + [E.NORM_NAME[m] for m in O.VIDEO_ALL]
 )
 def q_robust_norm(spark: SparkSession, d: str) -> DataFrame:
     c = cells(spark, d)
-    cv, ci = c.filter(F.col("ptype") == 5), c.filter(F.col("ptype") != 5)
-    nv = E.robust_norm(cv, E.robust_bounds(cv, O.VIDEO_ALL), list(O.VIDEO_ALL))
-    ni = E.robust_norm(ci, E.robust_bounds(ci, O.IMG_ALL), list(O.VIDEO_ALL))
-    return nv.unionByName(ni.select(*nv.columns))
+    return E.robust_norm(c, E.robust_bounds(c, IMG_ALL, video_fences=VIDEO_ALL), list(VIDEO_ALL))
 
 
 def _rank_sql(video: bool) -> str:
@@ -111,9 +114,8 @@ GROUP BY part2_id, group_age, group_gender"""
     with_views(_TOPN_BODY, *BASE, extra=[O.cells_cte(), O.hot_ctes(True), f"ranked AS ({O.rank_select(True, 'normed')})"]),
 )
 def q_topn_index(spark: SparkSession, d: str) -> DataFrame:
-    ranked = R.hot_video_rank(cells(spark, d)).persist()     # read by the size check and the index
     return topn_index(
-        ranked, keys=["part2_id", "group_age", "group_gender"], id_col="pid", score_col="recall_score",
+        R.hot_video_rank(cells(spark, d)), keys=["part2_id", "group_age", "group_gender"], id_col="pid", score_col="recall_score",
         top=50000, prefix="index_olduser_video_hot_part2_age_gender_", ttl=30 * 86400, as_of=AS_OF,
     ).drop("items")
 
@@ -130,6 +132,7 @@ FROM ranked GROUP BY part2_id, group_age, group_gender HAVING count(*) < 200"""
     with_views(_SHORT_BODY, *BASE, extra=[O.cells_cte(), O.hot_ctes(False), f"ranked AS ({O.rank_select(False, 'normed')})"]),
 )
 def q_short_groups(spark: SparkSession, d: str) -> DataFrame:
-    ranked = R.hot_img_rank(cells(spark, d))
-    return short_groups(ranked, keys=["part2_id", "group_age", "group_gender"], min_limit=200,
+    # a ranking has one row per typed cell, so the groups' sizes need no ranking
+    typed = engagement(spark, d).filter(F.col("ptype") != C.VIDEO_PTYPE)
+    return short_groups(typed, keys=["part2_id", "group_age", "group_gender"], min_limit=200,
                         prefix="index_olduser_img_hot_part2_age_gender_")

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.counters import counters_from_columns, post_counters
-from ..operators.embed import item2vec
+from ..operators.embed import cooccurrence, item2vec
 from ..operators.knn import knn_exact, knn_lsh
 from ..operators.neighbours import i2i_index, i2i_neighbours, i2i_quality_index, valid_posts
 from ..operators.sequences import behaviour_sequences
+from ..session import set_down
 from ..sources import fixtures as X
 from .fixture_sql import with_views
 from .params import AS_OF, EVENTS_AS_OF, I2I_MIN_SCORE, KNN_K
@@ -45,12 +46,6 @@ def q_behaviour_sequences(spark: SparkSession, d: str) -> DataFrame:
                     F.array_join("items", " ").alias("sentence"))
 
 
-# ---------------------------------------------------------------- embeddings (rows-only check)
-@register("item2vec")
-def q_item2vec(spark: SparkSession, d: str) -> DataFrame:
-    return item2vec(sequences(spark, d))
-
-
 # ---------------------------------------------------------------- exact kNN
 _KNN_CTE = f"""knn AS (
 SELECT pid, near_pid, score FROM (
@@ -68,9 +63,40 @@ def q_knn_exact(spark: SparkSession, d: str) -> DataFrame:
     return knn_exact(X.item_vectors(spark, d), k=KNN_K)
 
 
-@register("knn_lsh")
+# ---------------------------------------------------------------- sign-projection kNN
+TABLES, BITS = 8, 6
+
+
+def lsh_ctes(name: str, left: str, right: str, own: bool, k: int, min_score: float) -> list[str]:
+    """CTEs of the approximate search of views ``left`` in ``right`` (pid, vector): same signs, same bands."""
+    unit = lambda v: f"""(SELECT pid, i, CAST(round(x / sqrt(sum(x * x) OVER (PARTITION BY pid)) * 1000000) AS BIGINT) AS x
+  FROM (SELECT pid, unnest(range(len(vector))) AS i, unnest(CAST(vector AS DOUBLE[])) AS x FROM {v}) e)"""
+    keys = lambda v: f"""(SELECT pid, t, string_agg(CASE WHEN d >= 0 THEN '1' ELSE '0' END, '' ORDER BY b) AS key
+  FROM (SELECT u.pid, p.t, p.b, sum(u.x * p.s) AS d FROM {unit(v)} u JOIN {name}_planes p ON p.j = u.i GROUP BY ALL) z GROUP BY pid, t)"""
+    differ = " AND a.pid <> b.pid" if own else ""
+    return [
+        f"""{name}_planes AS (
+SELECT t, b, j, CASE WHEN ((instr('0123456789abcdef', substr(md5('plane ' || t || ' ' || b || ':' || (j // 128)), (j % 128) // 4 + 1, 1)) - 1)
+                          >> (j % 4)) & 1 = 1 THEN 1 ELSE -1 END AS s
+FROM (SELECT CAST(unnest(range({TABLES})) AS INTEGER) AS t), (SELECT CAST(unnest(range({BITS})) AS INTEGER) AS b),
+     (SELECT CAST(unnest(range(64)) AS INTEGER) AS j))""",
+        f"""{name} AS (
+SELECT pid, near_pid, score FROM (
+  SELECT c.pid, c.near_pid, c.score, row_number() OVER (PARTITION BY c.pid ORDER BY c.score DESC, c.near_pid) AS rn FROM (
+    SELECT p.pid, p.near_pid, list_cosine_similarity(CAST(x.vector AS DOUBLE[]), CAST(y.vector AS DOUBLE[])) AS score
+    FROM (SELECT DISTINCT a.pid, b.pid AS near_pid FROM {keys(left)} a JOIN {keys(right)} b ON a.t = b.t AND a.key = b.key{differ}) p
+    JOIN {left} x ON x.pid = p.pid JOIN {right} y ON y.pid = p.near_pid) c
+  WHERE c.score >= {min_score}) z
+WHERE rn <= {k})""",
+    ]
+
+
+_LSH_CTES = lsh_ctes("knn", "vectors", "vectors", True, KNN_K, I2I_MIN_SCORE)
+
+
+@register("knn_lsh", with_views("SELECT * FROM knn", "vectors", extra=_LSH_CTES), ["score"])
 def q_knn_lsh(spark: SparkSession, d: str) -> DataFrame:
-    return knn_lsh(X.item_vectors(spark, d), k=KNN_K, min_score=I2I_MIN_SCORE)
+    return knn_lsh(X.item_vectors(spark, d), k=KNN_K, min_score=I2I_MIN_SCORE, tables=TABLES, bits=BITS)
 
 
 # ---------------------------------------------------------------- validated neighbours
@@ -86,11 +112,11 @@ FROM knn k JOIN valid s ON s.pid = k.pid JOIN valid n ON n.pid = k.near_pid
 WHERE k.score >= {I2I_MIN_SCORE} AND k.pid <> k.near_pid
   AND ((s.ptype = 5 AND n.ptype = 5) OR (s.ptype <> 5 AND n.ptype BETWEEN 2 AND 4)))"""
 _I2I_VIEWS = ("vectors", "pool", "tax", "counters", "standard")
-_I2I_CTES = [_KNN_CTE, _VALID_CTE, _NEIGH_CTE]
+_I2I_CTES = [*_LSH_CTES, _VALID_CTE, _NEIGH_CTE]
 
 
 def neighbours(spark: SparkSession, d: str) -> DataFrame:
-    pairs = knn_exact(X.item_vectors(spark, d), k=KNN_K)
+    pairs = knn_lsh(X.item_vectors(spark, d), k=KNN_K, min_score=I2I_MIN_SCORE, tables=TABLES, bits=BITS)
     return i2i_neighbours(pairs, valid_posts(X.pool_docs(spark, d), as_of=AS_OF), min_score=I2I_MIN_SCORE)
 
 
@@ -112,7 +138,7 @@ GROUP BY pid, kind""", *_I2I_VIEWS, extra=_I2I_CTES)
 
 @register("i2i_index", _INDEX_SQL)
 def q_i2i_index(spark: SparkSession, d: str) -> DataFrame:
-    n = neighbours(spark, d).persist()
+    n = set_down(neighbours(spark, d))
     parts = [i2i_index(n.filter(F.col("kind") == k), prefix=PREFIX["plain"][k], as_of=AS_OF) for k in ("video", "img")]
     return parts[0].unionByName(parts[1])
 
@@ -157,37 +183,41 @@ _QUALITY_SQL = with_views("SELECT * FROM q_video UNION ALL SELECT * FROM q_img",
 
 @register("i2i_quality_index", _QUALITY_SQL)
 def q_i2i_quality_index(spark: SparkSession, d: str) -> DataFrame:
-    n = neighbours(spark, d).persist()
+    n = set_down(neighbours(spark, d))
     counters = post_counters(counters_from_columns(X.counters(spark, d)))
     pt = valid_posts(X.pool_docs(spark, d), as_of=AS_OF)
-    tax, std = X.taxonomy(spark, d), X.post_standard(spark, d)
-    parts = [
-        i2i_quality_index(n, counters, pt, tax, std, kind=k, prefix=PREFIX["review"][k], as_of=AS_OF)
-        for k in ("video", "img")
-    ]
-    return parts[0].unionByName(parts[1])
+    return i2i_quality_index(n, counters, pt, X.taxonomy(spark, d), X.post_standard(spark, d), prefixes=PREFIX["review"], as_of=AS_OF)
 
 
-# ---------------------------------------------------------------- co-occurrence (ALS embedding input)
-_COOC_SQL = with_views("""
-SELECT CAST(item AS VARCHAR) AS item, CAST(ctx AS VARCHAR) AS ctx, CAST(count(*) AS DOUBLE) AS n
-FROM (SELECT a AS item, b AS ctx FROM cp UNION ALL SELECT b, a FROM cp) x
-GROUP BY item, ctx""", "actions", extra=[
+# ---------------------------------------------------------------- co-occurrence and the vectors from it
+_COOC_CTES = [
     """cs AS (
-SELECT mid, day, pid, pos0 // 1000 AS part, pos0 % 1000 AS pos FROM (
-  SELECT mid, CAST(ts AS DATE) AS day, pid,
-         row_number() OVER (PARTITION BY mid, CAST(ts AS DATE) ORDER BY ts, event_id) - 1 AS pos0
-  FROM actions WHERE pid IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '2023-12-31' AND DATE '2024-01-30') a)""",
+SELECT mid, CAST(ts AS DATE) AS day, pid, row_number() OVER (PARTITION BY mid, CAST(ts AS DATE) ORDER BY ts, event_id) AS pos
+FROM actions WHERE pid IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '2023-12-31' AND DATE '2024-01-30')""",
     """cv AS (SELECT pid FROM cs GROUP BY pid HAVING count(*) >= 5)""",
     """ct AS (SELECT cs.* FROM cs JOIN cv ON cv.pid = cs.pid)""",
     """cp AS (SELECT a.pid AS a, b.pid AS b FROM ct a JOIN ct b
-          ON a.mid = b.mid AND a.day = b.day AND a.part = b.part AND b.pos BETWEEN a.pos + 1 AND a.pos + 5
+          ON a.mid = b.mid AND a.day = b.day AND b.pos BETWEEN a.pos + 1 AND a.pos + 5
         WHERE a.pid <> b.pid)""",
-])
+    """co AS (SELECT CAST(item AS VARCHAR) AS item, CAST(ctx AS VARCHAR) AS ctx, CAST(count(*) AS DOUBLE) AS n
+FROM (SELECT a AS item, b AS ctx FROM cp UNION ALL SELECT b, a FROM cp) x GROUP BY item, ctx)""",
+]
 
 
-@register("item_cooccurrence", _COOC_SQL, ["n"])
+@register("item_cooccurrence", with_views("SELECT * FROM co", "actions", extra=_COOC_CTES), ["n"])
 def q_item_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
-    from ..operators.embed import cooccurrence
-
     return cooccurrence(sequences(spark, d), window=5, min_count=5)
+
+
+_VEC_SQL = with_views("""
+SELECT CAST(c.item AS BIGINT) AS pid, CAST(s.j AS INTEGER) AS dim, sum(ln(1 + c.n) / s.root * s.sign) AS value
+FROM co c JOIN (
+  SELECT ctx, root, j, CASE WHEN ((instr('0123456789abcdef', substr(md5(ctx || ':' || (j // 128)), (j % 128) // 4 + 1, 1)) - 1)
+                                  >> (j % 4)) & 1 = 1 THEN 1.0 ELSE -1.0 END AS sign
+  FROM (SELECT ctx, sqrt(sum(n)) AS root FROM co GROUP BY ctx), (SELECT CAST(unnest(range(100)) AS INTEGER) AS j)) s ON s.ctx = c.ctx
+GROUP BY c.item, s.j""", "actions", extra=_COOC_CTES)
+
+
+@register("item2vec", _VEC_SQL, ["value"])
+def q_item2vec(spark: SparkSession, d: str) -> DataFrame:
+    return item2vec(sequences(spark, d)).select("pid", F.posexplode("vector").alias("dim", "value"))

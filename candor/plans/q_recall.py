@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.evaluate import recall_partition_share, recall_segment_quality, recall_source_quality
+from ..operators.evaluate import (recall_freshness, recall_partition_share, recall_segment_quality, recall_source_quality,
+                                  recall_volume)
 from ..operators.recall import quota_merge, recent_i2i_recall, topic_interest_recall, user_vector_recall
+from ..session import set_down
 from ..sources import fixtures as X
 from .fixture_sql import with_views
 from .params import EVENTS_AS_OF
-from .q_i2i import _I2I_CTES, _I2I_VIEWS, neighbours
+from .q_i2i import _I2I_CTES, _I2I_VIEWS, lsh_ctes, neighbours
 from .registry import register
 
 LAST_N, K_I2I = 100, 50
@@ -58,6 +60,32 @@ def q_recall_partition_share(spark: SparkSession, d: str) -> DataFrame:
     return recall_partition_share(X.recall_log(spark, d), X.posts(spark, d), X.taxonomy(spark, d))
 
 
+_VOLUME_SQL = with_views("""
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, source, CAST(sum(exposed) AS BIGINT) AS served,
+       count(DISTINCT mid) AS users, count(DISTINCT pid) AS posts, sum(exposed) / count(DISTINCT mid) AS per_user
+FROM recall_log GROUP BY 1, 2""", "recall_log")
+
+
+@register("recall_volume", _VOLUME_SQL, ["per_user"])
+def q_recall_volume(spark: SparkSession, d: str) -> DataFrame:
+    return recall_volume(X.recall_log(spark, d))
+
+
+# the fixture's posts are of 2001, the log of 2024: bands reach accordingly
+_FRESH_SQL = with_views("""
+SELECT source, max_days, CAST(sum(exposed) AS BIGINT) AS exposed, sum(exposed) / sum(sum(exposed)) OVER (PARTITION BY source) AS share
+FROM (SELECT l.source, l.exposed, CAST(CASE WHEN p.pid IS NULL THEN NULL
+               WHEN (1706659200 - p.ct) / 86400 < 8130 THEN 8130 WHEN (1706659200 - p.ct) / 86400 < 8150 THEN 8150
+               WHEN (1706659200 - p.ct) / 86400 < 8200 THEN 8200 ELSE -1 END AS BIGINT) AS max_days
+      FROM recall_log l LEFT JOIN posts p ON p.pid = l.pid) z
+GROUP BY source, max_days""", "recall_log", "posts")
+
+
+@register("recall_freshness", _FRESH_SQL, ["share"])
+def q_recall_freshness(spark: SparkSession, d: str) -> DataFrame:
+    return recall_freshness(X.recall_log(spark, d), X.posts(spark, d), as_of=EVENTS_AS_OF, bounds=(8130, 8150, 8200))
+
+
 # ---------------------------------------------------------------- recall generation
 _RECENT_CTE = f"""recent AS (
 SELECT mid, pid AS src FROM (
@@ -118,12 +146,9 @@ WHERE rn <= {U2I_LAST_N})""", """udims AS (
 SELECT r.mid, u.i, avg(u.x) AS x
 FROM urecent r JOIN (SELECT pid, unnest(range(len(vector))) AS i, unnest(CAST(vector AS DOUBLE[])) AS x FROM vectors) u
   ON u.pid = r.pid
-GROUP BY r.mid, u.i)""", """uvec AS (SELECT mid, list(x ORDER BY i) AS vec FROM udims GROUP BY mid)""", f"""r_u2i AS (
-SELECT mid, pid, score FROM (
-  SELECT u.mid, v.pid, list_cosine_similarity(u.vec, CAST(v.vector AS DOUBLE[])) AS score,
-         row_number() OVER (PARTITION BY u.mid ORDER BY list_cosine_similarity(u.vec, CAST(v.vector AS DOUBLE[])) DESC, v.pid) AS rn
-  FROM uvec u JOIN vectors v ON true) z
-WHERE rn <= {K_U2I})"""]
+GROUP BY r.mid, u.i)""", """uvec AS (SELECT mid, list(x ORDER BY i) AS vec FROM udims GROUP BY mid)""", """uvecs AS (SELECT mid AS pid, vec AS vector FROM uvec)""",
+    *lsh_ctes("u2i", "uvecs", "vectors", False, K_U2I, 0.0),
+    """r_u2i AS (SELECT pid AS mid, near_pid AS pid, score FROM u2i)"""]
 
 
 @register("user_vector_recall", with_views("SELECT * FROM r_u2i", "actions", "vectors", extra=_U2I_CTES), ["score"])
@@ -156,8 +181,8 @@ WHERE rank <= {K_MERGE}"""
 
 @register("quota_merge", _quota_sql(), ["score"])
 def q_quota_merge(spark: SparkSession, d: str) -> DataFrame:
-    acts = X.event_actions(spark, d).persist()      # read by all three recall sources
-    topic = topic_recall(spark, d).persist()
+    acts = X.event_actions(spark, d)
+    topic = set_down(topic_recall(spark, d))
     r = (
         recent_i2i_recall(acts, neighbours(spark, d), last_n=LAST_N, k=K_I2I).withColumn("source", F.lit("i2i"))
         .unionByName(topic.withColumn("source", F.lit("topic")))

@@ -46,6 +46,6 @@ def register(name: str, sql: str | None = None, doubles: tuple[str, ...] | list[
 
 def load_all() -> dict[str, Query]:
     """Import every query module so its ``@register`` calls run."""
-    from . import q_hot, q_pool, q_i2i, q_boot, q_stream, q_recall  # noqa: F401
+    from . import q_hot, q_pool, q_i2i, q_boot, q_stream, q_recall, q_io  # noqa: F401
 
     return REGISTRY

@@ -46,7 +46,7 @@ def behaviour(spark: SparkSession, d: str) -> DataFrame:
         k.alias("pid"),
         ptype_of(k).alias("ptype"),
         F.lit(0).cast("bigint").alias("vdur"),
-        F.lit(1).cast("bigint").alias("expose"),
+        (ln % 7 != 0).cast("bigint").alias("expose"),
         (ln % 4 == 0).cast("bigint").alias("share"),
         (F.col("l_tax") > 0.04).cast("bigint").alias("download"),
         (F.col("l_discount") > 0.05).cast("bigint").alias("like"),
@@ -66,12 +66,13 @@ def behaviour(spark: SparkSession, d: str) -> DataFrame:
 
 
 def users(spark: SparkSession, d: str) -> DataFrame:
-    """usermetadata: customers minus every 17th; gender = nation%3, age = key%5."""
+    """usermetadata: every customer; age = key%5, gender = nation%4 with 3 meaning unknown (null)."""
     c = table(spark, d, "customer")
-    return c.filter(F.col("c_custkey") % 17 != 0).select(
+    g = (F.col("c_nationkey") % 4).cast("bigint")
+    return c.select(
         F.col("c_custkey").alias("mid"),
         (F.col("c_custkey") % 5).cast("bigint").alias("age"),
-        (F.col("c_nationkey") % 3).cast("bigint").alias("gender"),
+        F.when(g != 3, g).alias("gender"),
     )
 
 
@@ -85,37 +86,47 @@ def taxonomy(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _node(i: Column, ct: Column, status: Column) -> Column:
+    return F.struct(i.cast("bigint").alias("_id"), F.col("n_name").alias("name"), ct.cast("bigint").alias("ct"),
+                    status.cast("bigint").alias("status"))
+
+
 def taxonomy_raw(spark: SparkSession, d: str) -> DataFrame:
     """Nested tree as the taxonomy service returns it: part1 nodes with child part2 nodes.
 
-    One row per part1 node: (_id, name, ct, status, child_list array<struct>).
-    The partition-to-topic listing is ``part_tids`` below.
+    One row per part1 node: (_id, name, ct, status, child_list array<struct>). Beside the regions'
+    own nodes there are a second node for each region that lists every third partition again, with
+    an older or newer ``ct``, and nodes to be dropped: a negative id, negative statuses on both
+    levels. The partition-to-topic listing is ``part_tids`` below.
     """
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
-    child = F.struct(
-        (F.col("n_nationkey") + 70).cast("bigint").alias("_id"),
-        F.col("n_name").alias("name"),
-        F.lit(0).cast("bigint").alias("ct"),
-        F.lit(100).cast("bigint").alias("status"),
-    )
-    kids = n.groupBy("n_regionkey").agg(F.collect_list(child).alias("child_list"))
-    return r.join(kids, r["r_regionkey"] == kids["n_regionkey"], "left").select(
-        (F.col("r_regionkey") + 13).cast("bigint").alias("_id"),
-        F.col("r_name").alias("name"),
-        F.lit(0).cast("bigint").alias("ct"),
-        F.lit(100).cast("bigint").alias("status"),
-        F.col("child_list"),
+    k = F.col("n_nationkey")
+    own = _node(k + 70, k, F.when(k % 8 == 7, -1).otherwise(100))
+    again = _node(k + 70, k + (k % 2) * 10 - 5, F.lit(None))
+    lost = _node(k + 270, k, F.lit(100))
+    kids = n.groupBy("n_regionkey").agg(
+        F.collect_list(own).alias("own"), F.collect_list(F.when(k % 3 == 0, again)).alias("again"), F.collect_list(lost).alias("lost"))
+    j = r.join(kids, r["r_regionkey"] == kids["n_regionkey"], "left")
+    i = F.col("r_regionkey")
+    nodes = F.array(
+        F.struct((i + 13).cast("bigint").alias("_id"), F.lit(100).cast("bigint").alias("status"), F.col("own").alias("child_list")),
+        F.struct((i + 113).cast("bigint").alias("_id"), F.when(i == 1, F.lit(-5)).otherwise(F.lit(100)).cast("bigint").alias("status"),
+                 F.col("again").alias("child_list")),
+        F.struct((-i - 1).cast("bigint").alias("_id"), F.lit(100).cast("bigint").alias("status"), F.col("lost").alias("child_list")),
     )
+    j = j.select(F.col("r_name").alias("name"), F.explode(nodes).alias("x"))
+    return j.select("x._id", "name", F.lit(0).cast("bigint").alias("ct"), "x.status", "x.child_list")
 
 
 def part_tids(spark: SparkSession, d: str) -> DataFrame:
-    """(part2_id, tid) listing of the topics in each partition."""
+    """(part2_id, tid) listing of the topics in each partition; every fourth partition lists its
+    neighbour's topic too."""
     n = table(spark, d, "nation")
-    return n.select(
-        (F.col("n_nationkey") + 70).cast("bigint").alias("part2_id"),
-        F.col("n_nationkey").cast("bigint").alias("tid"),
-    )
+    k = F.col("n_nationkey")
+    part = (k + 70).cast("bigint").alias("part2_id")
+    both = n.select(part, k.cast("bigint").alias("tid"))
+    return both.unionByName(n.filter(k % 4 == 0).select(part, ((k + 1) % 25).cast("bigint").alias("tid")))
 
 
 def post_aggregates(b: DataFrame) -> DataFrame:
@@ -141,7 +152,7 @@ def _pool_base(spark: SparkSession, d: str, as_of: int = AS_OF, b: DataFrame | N
     ages = F.array(*[F.lit(x) for x in STEP_BOOT_T_AGES])
     return j.select(
         k.alias("pid"),
-        F.lit(0).cast("bigint").alias("mid"),
+        (k % 1009 + 1).cast("bigint").alias("mid"),
         (k % 27).alias("tid"),
         F.expr("k div 4").alias("gid"),
         ptype_of(k).alias("ptype"),
@@ -153,8 +164,8 @@ def _pool_base(spark: SparkSession, d: str, as_of: int = AS_OF, b: DataFrame | N
         (F.lit(as_of) - F.element_at(ages, F.expr("cast((k div 8) % 6 as int)") + 1)).cast("bigint").alias("step_boot_t"),
         F.when(k % 5 == 0, 1040).when(k % 5 == 1, 1050).otherwise(0).cast("bigint").alias("community_tag"),
         F.when(k % 10 < 3, 30).otherwise(0).cast("bigint").alias("choice_status"),
-        F.when(F.expr("(k div 5) % 3") == 1, 1).otherwise(0).cast("bigint").alias("mover_level"),
-        (k % 20 + 50).cast("bigint").alias("mover_part_id"),
+        F.when((k % 31 != 0) & (F.expr("(k div 5) % 3") == 1), 1).otherwise(0).cast("bigint").alias("mover_level"),
+        F.when(k % 31 != 0, k % 20 + 50).otherwise(0).cast("bigint").alias("mover_part_id"),
         F.when(k % 17 == 0, -20).otherwise(0).cast("bigint").alias("resource_status"),
         (k % 2).cast("bigint").alias("subarea_status"),
         F.when(k % 23 == 1, F.array(F.lit(3).cast("bigint"))).otherwise(F.array().cast("array<bigint>")).alias("subarea_types"),
@@ -178,24 +189,34 @@ def posts(spark: SparkSession, d: str, as_of: int = AS_OF) -> DataFrame:
 
 
 def pool_docs(spark: SparkSession, d: str, as_of: int = AS_OF) -> DataFrame:
-    """recpool documents (nested), the shape the document store holds."""
+    """recpool documents (nested), the shape the document store holds.
+
+    Every field that no rule of the upstream jobs fixes gets values of its own, different from
+    the others', so that a column in the wrong place shows; censor tags cover every
+    combination and null, every 31st post has no author, every fifth no source.
+    """
     b = _pool_base(spark, d, as_of)
-    zero = F.lit(0).cast("bigint")
-    zd = F.lit(0.0).cast("double")
+    k = F.col("pid")
+    n = lambda m, f=1: ((k % m) * f).cast("bigint")
+    x = lambda m, q: ((k % m) / F.lit(float(q))).cast("double")
+    longs = lambda *v: F.array(*[F.lit(i).cast("bigint") for i in v]) if v else F.array().cast("array<bigint>")
+    tags = (F.when(k % 12 == 0, longs(2)).when(k % 12 == 1, longs(1)).when(k % 12 == 2, longs(1, 2))
+            .when(k % 12 == 3, F.lit(None).cast("array<bigint>")).otherwise(longs()))
     return b.select(
         "pid", "mid", "tid", "gid", "ptype", "status", "ct", "rec_t", "vdur", "step_boot",
-        "step_boot_t", "community_tag", zero.alias("community_tag_new"), zero.alias("community_tag_high"),
-        zero.alias("community_pre_tag"), zero.alias("community_tag_godrev"), "choice_status",
-        F.array().cast("array<bigint>").alias("choice_types"), "resource_status", "subarea_status",
-        "subarea_types", zero.alias("subarea_time"), "mover_support", zero.alias("gid_ct"),
-        zd.alias("score_mix"), zd.alias("age_tgi"), zero.alias("like_bait"), F.lit("").alias("source"),
-        zero.alias("original"), zero.alias("assist_status"), zero.alias("official_template_id"),
-        zero.alias("community_hashtag_post"), F.array().cast("array<bigint>").alias("censor_tags"),
-        F.struct(zero.alias("fans"), zero.alias("atts"), F.col("mover_level"), F.col("mover_part_id")).alias("author"),
+        "step_boot_t", "community_tag", n(6, 7).alias("community_tag_new"), n(7, 11).alias("community_tag_high"),
+        n(9, 13).alias("community_pre_tag"), n(10, 17).alias("community_tag_godrev"), "choice_status",
+        F.when(k % 4 == 0, F.array(n(3), n(5))).otherwise(longs()).alias("choice_types"), "resource_status", "subarea_status",
+        "subarea_types", (k * 3).cast("bigint").alias("subarea_time"), "mover_support", (F.col("ct") - k % 1000).cast("bigint").alias("gid_ct"),
+        x(37, 8).alias("score_mix"), x(41, 16).alias("age_tgi"), n(43).alias("like_bait"),
+        F.when(k % 5 != 0, F.concat(F.lit("src"), (k % 5).cast("string"))).alias("source"),
+        n(47).alias("original"), n(53).alias("assist_status"), n(59).alias("official_template_id"),
+        n(61).alias("community_hashtag_post"), tags.alias("censor_tags"),
+        F.when(k % 31 != 0, F.struct(n(67).alias("fans"), n(71).alias("atts"), F.col("mover_level"), F.col("mover_part_id"))).alias("author"),
         F.struct(
             F.col("rec"), F.col("download"), F.col("like"), F.col("review_cnt").alias("review"),
-            zero.alias("share"), zd.alias("qscore"), zero.alias("real_sume"), F.col("ctr"),
-            zd.alias("play_rate"), zd.alias("dtr"), zero.alias("detail"),
+            n(73).alias("share"), x(79, 4).alias("qscore"), n(83).alias("real_sume"), F.col("ctr"),
+            x(89, 128).alias("play_rate"), x(97, 64).alias("dtr"), n(101).alias("detail"),
         ).alias("score_values"),
     )
 
@@ -206,7 +227,7 @@ COUNTER_FIELDS = ("rec", "sume", "gsume", "detail", "share", "like", "download",
 def counters(spark: SparkSession, d: str) -> DataFrame:
     """post_counters: totals plus s0_/s1_/s2_ columns split by the viewer's gender.
 
-    Posts with k%19=0 are absent (no counters yet). Missing users count as gender 0.
+    Posts without behaviour are absent (no counters yet). Users of unknown gender count as 0.
     """
     b = behaviour(spark, d)
     u = users(spark, d).select("mid", "gender")
@@ -230,8 +251,8 @@ def counters(spark: SparkSession, d: str) -> DataFrame:
             F.sum(F.when(w, F.col("play_video_dur")).otherwise(0.0)).alias(f"play_sum{g}"),
         ]
     a = bu.groupBy("pid").agg(*aggs)
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("k")).filter(F.col("k") % 19 != 0)
-    j = p.join(a, p["k"] == a["pid"], "left")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("k"))
+    j = p.join(a, p["k"] == a["pid"], "inner")
     j = j.withColumn("m", F.expr("1 + (k div 12) % 40")).withColumn("dlm", F.expr("(k div 7) % 3"))
 
     def block(prefix: str, sfx: str) -> list[Column]:
@@ -266,15 +287,16 @@ def step_override(spark: SparkSession, d: str, as_of: int = AS_OF) -> DataFrame:
         F.lit(10).cast("bigint").alias("step_boot"),
         F.lit(as_of - 1000).cast("bigint").alias("step_boot_t"),
         F.lit(0).cast("bigint").alias("mover_support"),
-        F.lit(None).cast("bigint").alias("real_step"),
+        F.when(F.col("pid") % 3 != 0, (F.col("pid") % 3) * 10).cast("bigint").alias("real_step"),
     )
 
 
 def serving_budget(spark: SparkSession, d: str) -> DataFrame:
-    """In-flight serving hash pid -> remaining exposure (0 means finished)."""
+    """In-flight serving hash pid -> (remaining exposure, 0 meaning finished; weight text, some unknown)."""
     p = table(spark, d, "part").select(F.col("p_partkey").alias("pid"))
     return p.filter(F.col("pid") % 7 == 0).select(
-        "pid", F.expr("(pid div 7) % 3").cast("bigint").alias("remaining")
+        "pid", F.expr("(pid div 7) % 3").cast("bigint").alias("remaining"),
+        F.when(F.col("pid") % 5 != 0, F.concat(F.lit("1."), (F.col("pid") % 5).cast("string"), F.lit(":0.9"))).alias("weight"),
     )
 
 
@@ -311,18 +333,32 @@ def event_actions(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-EVENT_COUNTER = {"view": "rec", "click": "sume", "purchase": "download", "signup": "like", "error": "share"}
+# event type -> the counters it adds to: (counter, amount; None: k * 100, as play time in ms)
+EVENT_COUNTERS = {
+    "view": (("rec", 1), ("play_video", 1), ("play_dur", None)),
+    "click": (("rec", 1), ("sume", 1), ("detail", 1)),
+    "purchase": (("download", 1), ("gsume", 1)),
+    "signup": (("like", 1), ("review", 1)),
+    "error": (("share", 1),),
+}
+
+
+def _counter_events(e: DataFrame) -> DataFrame:
+    """Events -> counter increments: (pid, mid, ts, event_id, counter, amount)."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    rows = None
+    for kind, adds in EVENT_COUNTERS.items():
+        own = F.array(*[F.struct(F.lit(c).alias("counter"), (k * 100 if n is None else F.lit(n)).cast("bigint").alias("amount"))
+                        for c, n in adds])
+        rows = F.when(F.col("event_type") == kind, own) if rows is None else rows.when(F.col("event_type") == kind, own)
+    e = e.select(k.alias("pid"), F.col("user_id").alias("mid"), F.col("ts").cast("timestamp").alias("ts"), "event_id",
+                 F.explode(rows).alias("x"))
+    return e.select("pid", "mid", "ts", "event_id", "x.counter", "x.amount")
 
 
 def exposure_events(spark: SparkSession, d: str) -> DataFrame:
-    """Counter increments: (pid, mid, ts, counter) with the event type mapped to a counter name."""
-    e = table(spark, d, "events")
-    m = F.create_map(*[x for kv in EVENT_COUNTER.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    return e.select(
-        F.get_json_object("props", "$.k").cast("bigint").alias("pid"),
-        F.col("user_id").alias("mid"), F.col("ts"), F.col("event_id"),
-        m[F.col("event_type")].alias("counter"),
-    )
+    """Counter increments of the events table."""
+    return _counter_events(table(spark, d, "events"))
 
 
 def recall_log(spark: SparkSession, d: str) -> DataFrame:
@@ -341,25 +377,4 @@ def recall_log(spark: SparkSession, d: str) -> DataFrame:
 def exposure_stream(spark: SparkSession, d: str) -> DataFrame:
     """``exposure_events`` as a file stream over the events table (for Structured Streaming)."""
     schema = table(spark, d, "events").schema
-    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    m = F.create_map(*[x for kv in EVENT_COUNTER.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    return e.select(
-        F.get_json_object("props", "$.k").cast("bigint").alias("pid"),
-        F.col("user_id").alias("mid"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id"),
-        m[F.col("event_type")].alias("counter"),
-    )
-
-
-def post_attributes(spark: SparkSession, d: str, as_of: int = AS_OF) -> DataFrame:
-    """Static per-post attributes the ladder rules read (pool + taxonomy)."""
-    p = _pool_base(spark, d, as_of)
-    t = F.broadcast(taxonomy(spark, d))
-    j = p.join(t, "tid", "left")
-    from ..constants import MOVER_EXCLUDED_PARTS
-
-    mover = (F.col("mover_level") > 0) & ~F.col("mover_part_id").isin(*MOVER_EXCLUDED_PARTS)
-    return j.select(
-        "pid", "ptype", "vdur", "ct", "step_boot", "step_boot_t", mover.cast("bigint").alias("is_mover"),
-        "mover_support", F.coalesce(F.col("part1_id"), F.lit(0)).alias("part1_id"),
-        F.coalesce(F.col("part2_id"), F.lit(0)).alias("part2_id"),
-    )
+    return _counter_events(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d))
