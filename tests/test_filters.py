@@ -57,9 +57,9 @@ def test_community_edges(spark):
         "pid long, rec long, review long")
     tax = spark.createDataFrame([(1, 70, 13), (2, 71, 13)], "tid long, part2_id long, part1_id long")
     out = {r["index_key"]: r["value"] for r in community_review_index(docs, cnt, tax, as_of=T0, days=7).collect()}
-    assert out["index_part2_community_review_video_70"] == "1:0.19,3:0.0001,5:0"
-    assert out["index_part2_community_review_img_70"] == "6:0.0063"      # 1/160, rounded as '%.4f' does
-    assert out["index_part2_community_review_video_71"] == "" and out["index_part2_community_review_img_71"] == ""
+    assert out["index_part2_community_review_video_70#0"] == "1:0.19,3:0.0001,5:0"
+    assert out["index_part2_community_review_img_70#0"] == "6:0.0063"      # 1/160, rounded as '%.4f' does
+    assert out["index_part2_community_review_video_71#0"] == "" and out["index_part2_community_review_img_71#0"] == ""
 
 
 def test_review_board_having_edges(spark):
@@ -92,4 +92,4 @@ def test_community_zero_reviews_text(spark):
     cnt = spark.createDataFrame([(1, 50, 0)], "pid long, rec long, review long")
     tax = spark.createDataFrame([(1, 70, 13)], "tid long, part2_id long, part1_id long")
     out = {r["index_key"]: r["value"] for r in community_review_index(docs, cnt, tax, as_of=T0, days=7).collect()}
-    assert out["index_part2_community_review_img_70"] == "1:0.0"   # float zero, as str(0.0)
+    assert out["index_part2_community_review_img_70#0"] == "1:0.0"   # float zero, as str(0.0)

@@ -64,6 +64,14 @@ def test_publish_versions_and_upsert(spark, tmp):
     W.publish_version(spark.range(3).withColumnRenamed("id", "pid"), base, "20011104")
     W.publish_version(spark.range(5).withColumnRenamed("id", "pid"), base, "20011105")
     assert W.read_latest(spark, base).count() == 5
+    # a version that was being written when its job died is not listed, and nobody reads it
+    spark.range(9).withColumnRenamed("id", "pid").write.parquet(f"{base}/data/v=20011106-lost")
+    assert W.read_latest(spark, base).count() == 5
+    held = W.read_latest(spark, base)
+    W.publish_version(spark.range(7).withColumnRenamed("id", "pid"), base, "20011105")  # again: a folder of its own
+    assert held.count() == 5 and W.read_latest(spark, base).count() == 7
+    with pytest.raises(FileNotFoundError):
+        W.read_latest(spark, os.path.join(tmp, "nothing"))
     cur = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "pid long, remaining long")
     upd = spark.createDataFrame([(2, 25, False), (3, 0, True), (4, 40, False)], "pid long, remaining long, gone boolean")
     got = sorted(tuple(r) for r in W.upsert(cur, upd, "pid", delete_col="gone").collect())
@@ -96,6 +104,34 @@ def test_index_push_batches_per_partition(spark, tmp):
     assert len(lines) == 7 and all(l.split("\t")[1] == "60" for l in lines)
 
 
+def test_index_pieces_have_keys_of_their_own(spark, tmp):
+    from candor.operators.index import topn_index
+
+    df = spark.range(11).selectExpr("id % 2 AS g", "id AS pid", "cast(id AS double) AS score")
+    idx = topn_index(df, keys=["g"], score_col="score", top=0, chunk=2, prefix="k_", as_of=0, fmt="%d:%.0f")
+    rows = {r["index_key"]: r["value"] for r in idx.collect()}
+    assert rows["k_0"] == "3" and rows["k_1"] == "3" and len(rows) == idx.count() == 8
+    assert ",".join(rows[f"k_0#{i}"] for i in range(3)) == "10:10,8:8,6:6,4:4,2:2,0:0"
+    out = os.path.join(tmp, "kv")
+    os.makedirs(out)
+
+    class Client:
+        def pipeline(self):
+            return self
+
+        def setex(self, k, s, v):
+            with open(os.path.join(out, k), "x") as f:  # fails if a key is written twice
+                f.write(v)
+
+        def execute(self):
+            pass
+
+    W.push_index(idx, Client, as_of=0)
+    assert len(os.listdir(out)) == 8
+    with pytest.raises(ValueError, match="2 rows"):
+        W.push_index(idx.unionByName(idx.limit(1)), Client, as_of=0)
+
+
 def test_neighbour_text_round_trip(spark, tmp):
     from candor.operators.neighbours import neighbour_lines
 

@@ -1,5 +1,6 @@
 """Branch and invariant tests for the non-cold-start operators."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from candor.functions.scalars import clip01, play_rate_denominator
@@ -9,7 +10,7 @@ from candor.operators.knn import knn_exact, knn_lsh, knn_recall
 from candor.operators.neighbours import parse_neighbour_lines
 from candor.operators.pool import POOL_COLUMNS
 from candor.plans.registry import load_all
-from conftest import SF01
+from conftest import SF001, SF01
 
 REG = load_all()
 
@@ -47,7 +48,7 @@ def test_topn_index_order_limit_and_chunks(spark):
     assert top["k_a"]["value"] == "2:2.000000,5:2.000000,8:2.000000,1:1.000000"
     assert top["k_a"]["n_items"] == 4 and top["k_a"]["expires_at"] == 5
     allr = topn_index(df, keys=["g"], score_col="score", top=0, prefix="k_", as_of=0, chunk=3).collect()
-    a = sorted((r["chunk"], r["n_items"]) for r in allr if r["index_key"] == "k_a")
+    a = sorted((r["chunk"], r["n_items"]) for r in allr if r["index_key"].startswith("k_a#"))
     assert a == [(0, 3), (1, 3), (2, 3), (3, 1)]
     s = short_groups(df, keys=["g"], min_limit=5, prefix="k_").collect()
     assert [(r["index_key"], r["n"]) for r in s] == [("k_b", 1)]
@@ -89,7 +90,7 @@ def test_lsh_recall_floor(spark):
 
     v = X.item_vectors(spark, SF01)
     exact = knn_exact(v, k=200)
-    approx = knn_lsh(v, k=200, min_score=0.2)
+    approx = knn_lsh(v, k=200, min_score=0.2, tables=32, bits=3)   # nearly orthogonal vectors: few bits, many tables
     r = knn_recall(approx, exact, min_score=0.2).collect()[0]
     assert r["exact_pairs"] > 0 and r["recall"] >= 0.9
 
@@ -106,7 +107,7 @@ def test_stream_equals_batch(spark):
 def test_stream_boot_transitions_are_ladder_moves(spark):
     t = REG["stream_boot"].run(spark, SF01)
     assert t.count() > 0
-    assert t.filter("step_to % 5 != 0 OR step_to <= step_from AND event != 'jump'").count() == 0
+    assert t.filter("output = 'pool' AND step_boot % 5 != 0").count() == 0
 
 
 def test_skew_safe_row_number_splits_hot_group(spark):
@@ -154,35 +155,84 @@ def test_training_window_and_schedule():
     assert choose_mode(1706659200 + 3600, full_done_today=False) == "incremental"
 
 
-def test_bounds_methods_agree(spark):
+def test_bounds_are_exact_percentiles(spark):
     from candor.operators import engagement as E
     from candor.plans import q_hot
 
-    c = q_hot.cells(spark, SF01).filter("ptype = 5")
+    c = q_hot.cells(spark, SF001).filter("ptype = 5")
     same = spark.createDataFrame([(5, 1, 1, 1, 1 / 201)] * 3, "ptype long, part2_id long, group_age long, group_gender long, ctr double")
-    for m in ("percentile", "sort"):   # equal values: the range is exactly zero
-        r = E.robust_bounds(same, {"ctr": (1.5, 1.5)}, method=m).first()
-        assert r["ctr_min"] == r["ctr_max"] == 1 / 201
-    a = E.robust_bounds(c, E.VIDEO_FENCES, method="percentile")
-    b = E.robust_bounds(c, E.VIDEO_FENCES, method="sort")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0     # bit-identical
-    assert E.robust_bounds(c, E.VIDEO_FENCES, method="auto", max_cell_rows=1).count() == a.count()
-
-
-def test_row_number_by_size_routes_only_hot_groups(spark):
-    from pyspark.sql import Window
-
-    from candor.operators.skew import row_number_by_size
+    r = E.robust_bounds(same, {"ctr": (1.5, 1.5)}).first()   # equal values: the range is exactly zero
+    assert r["ctr_min"] == r["ctr_max"] == 1 / 201
+    got = E.exact_quantiles(c, E.CELL_KEYS, ["ctr", "dur"], (0.15, 0.95), scale=1e5)
+    want = c.groupBy(*E.CELL_KEYS).agg(*[F.percentile(F.col(m) * 1e5, F.array(F.lit(0.15), F.lit(0.95))).alias(f"__q_{m}") for m in ("ctr", "dur")])
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0     # bit-identical
+    both = q_hot.cells(spark, SF001)
+    one = E.robust_bounds(both, q_hot.IMG_ALL, video_fences=q_hot.VIDEO_ALL).filter("ptype = 5")
+    assert one.exceptAll(E.robust_bounds(both.filter("ptype = 5"), q_hot.VIDEO_ALL).select(*one.columns)).count() == 0
+
+
+def test_no_pair_is_lost_at_the_edges_of_long_sentences(spark):
+    from candor.operators.embed import cooccurrence
+    from candor.operators.sequences import behaviour_sequences
+
+    n = 1203
+    a = spark.range(n).selectExpr("1 AS mid", "id * 7919 % 50 AS pid", "timestamp_seconds(1706572800 + id) AS ts", "id AS event_id")
+    seq = behaviour_sequences(a, as_of=1706659200)
+    assert [r["n"] for r in seq.orderBy("part").selectExpr("size(items) AS n").collect()] == [1000, 203]
+    items = [str(i * 7919 % 50) for i in range(n)]
+    want = {}
+    for i in range(n):
+        for j in range(i + 1, min(n, i + 6)):
+            if items[i] != items[j]:
+                for p in ((items[i], items[j]), (items[j], items[i])):
+                    want[p] = want.get(p, 0) + 1
+    got = {(r["item"], r["ctx"]): r["n"] for r in cooccurrence(seq, min_count=1).collect()}
+    assert got == want
+
+
+def test_cooccurrence_counts_add_up_over_days(spark):
+    from candor.operators.embed import cooccurrence, cooccurrence_vectors, sign_bits, signs_of, summed
+    from candor.plans.q_i2i import sequences
 
-    df = spark.range(3000).select(
-        F.when(F.col("id") < 2000, F.lit("hot")).when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit("cold")).alias("g"),
-        F.col("id").alias("pid"), ((F.col("id") * 31) % 97).cast("double").alias("score"))
-    order = [F.col("score").desc(), F.col("pid").asc()]
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
-    for limit in (100, 10_000):      # hot path taken / not taken
-        got = row_number_by_size(df, ["g"], order, name="rn", max_group_rows=limit)
-        assert got.count() == 3000
-        assert got.select("g", "pid", "rn").exceptAll(want.select("g", "pid", "rn")).count() == 0
+    seq = sequences(spark, SF01)
+    one, two = seq.filter("day < '2024-01-15'"), seq.filter("day >= '2024-01-15'")
+    parts = cooccurrence(one, min_count=1).unionByName(cooccurrence(two, min_count=1))
+    whole = cooccurrence(seq, min_count=1)
+    assert summed(parts).exceptAll(whole).count() == 0
+    v = cooccurrence_vectors(whole, size=130)
+    assert v.filter("size(vector) != 130").count() == 0 and v.count() == 100
+    signs = spark.range(1).select(sign_bits(F.lit("abc"), 130).alias("s")).first()["s"]
+    assert [int(x) for x in signs] == signs_of("abc", 130)
+
+
+def test_lsh_prunes_and_finds_near_vectors(spark):
+    import numpy as np
+
+    from candor.operators.knn import _unit, bands, knn_lsh, knn_recall
+
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 64))
+    rows = [(i, (centres[i % 40] + 0.35 * rng.normal(size=64)).tolist()) for i in range(800)]
+    v = spark.createDataFrame(rows, "pid long, vector array<double>")
+    keys = _unit(v, "pid", "vector").select("pid", F.posexplode(bands(F.col("vec"), 64, 8, 6)).alias("t", "key"))
+    other = keys.withColumnRenamed("pid", "near")
+    candidates = keys.join(other, ["t", "key"]).filter("pid != near").select("pid", "near").distinct().count()
+    assert candidates < 0.2 * 800 * 799
+    got = knn_lsh(v, k=50, min_score=0.8)
+    recall = knn_recall(got, knn_exact(v, k=50), min_score=0.8).first()
+    assert recall["exact_pairs"] > 5000 and recall["recall"] >= 0.85
+    assert got.groupBy("pid", "near_pid").count().filter("count > 1").count() == 0
+
+
+def test_division_by_zero_matches_nothing_and_ends_nothing(spark):
+    from candor.operators.boot import safe_division
+
+    assert safe_division("download/rec > 0.008 and (like+2*review)/ (rec + 1) >= 1") == \
+        "download/ nullif(rec, 0) > 0.008 and (like+2*review)/ nullif((rec + 1), 0) >= 1"
+    assert safe_division("a/b/c + d/greatest(e/f, 1)") == "a/ nullif(b, 0)/ nullif(c, 0) + d/ nullif(greatest(e/ nullif(f, 0), 1), 0)"
+    for bad in ("a/", "a / + b"):
+        with pytest.raises(ValueError):
+            safe_division(bad)
 
 
 def test_item2vec_als_path(spark):
@@ -196,8 +246,8 @@ def test_item2vec_als_path(spark):
     assert co.alias("x").join(co.alias("y"), (F.col("x.item") == F.col("y.ctx")) & (F.col("x.ctx") == F.col("y.item"))
                               & (F.col("x.n") == F.col("y.n"))).count() == co.count()
     v = item2vec(seq, method="als", size=8, epochs=3)
-    w = item2vec(seq, size=8, epochs=1)
-    assert v.count() == w.count() == 100     # same vocabulary (all 100 items reach min_count)
+    w = item2vec(seq, size=8, epochs=1, method="word2vec")
+    assert v.count() == w.count() == item2vec(seq, size=8).count() == 100     # same vocabulary (all 100 items reach min_count)
     assert v.filter(F.size("vector") != 8).count() == 0
 
 
@@ -225,7 +275,7 @@ def test_top_per_group_with_hot_group(spark):
     df = spark.range(5000).select(F.when(F.col("id") < 4000, F.lit(1)).otherwise(F.col("id") % 5).alias("g"),
                                   F.col("id").alias("pid"), ((F.col("id") * 7) % 113).cast("double").alias("s"))
     order = [F.col("s").desc(), F.col("pid").asc()]
-    got = top_per_group(df, ["g"], order, 10, name="rn", max_group_rows=500)
+    got = top_per_group(df, ["g"], order, 10, name="rn", salts=7)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order))).filter("rn <= 10")
     assert got.exceptAll(want.select(*got.columns)).count() == 0 and want.count() == got.count()
 
@@ -235,8 +285,8 @@ def test_user_vector_recall_lsh_close_to_exact(spark):
     from candor.sources import fixtures as X
 
     acts, vecs = X.event_actions(spark, SF01), X.item_vectors(spark, SF01)
-    ex = user_vector_recall(acts, vecs, k=20)
-    ap = user_vector_recall(acts, vecs, k=20, method="lsh", min_score=0.0)
+    ex = user_vector_recall(acts, vecs, k=20, method="exact")
+    ap = user_vector_recall(acts, vecs, k=20, min_score=0.0, tables=32, bits=4)
     ex_pairs = ex.filter("score >= 0.3").select("mid", "pid")
     found = ex_pairs.join(ap.select("mid", "pid"), ["mid", "pid"], "left_semi").count()
     assert ex_pairs.count() > 0 and found / ex_pairs.count() >= 0.9
@@ -259,7 +309,7 @@ def test_empty_inputs_do_not_fail(spark):
     assert knn_exact(X.item_vectors(spark, d).limit(0), k=5).count() == 0
     docs = X.pool_docs(spark, d)
     idx = community_review_index(docs.limit(0), X.counters(spark, d), X.taxonomy(spark, d), as_of=X.AS_OF)
-    assert idx.count() == 50 and idx.filter("value != ''").count() == 0      # every partition, empty lists
+    assert idx.filter("chunk < 0").count() == 50 and idx.filter("chunk >= 0 AND value != ''").count() == 0   # every partition, empty lists
     cands = B.boot_candidates(docs, X.step_override(spark, d), X.taxonomy(spark, d), as_of=X.AS_OF + 400 * 86400)
     t = B.boot_transition(cands, X.counters(spark, d), X.serving_budget(spark, d).limit(0), docs,
                           X.step_override(spark, d), B.load_rules(), as_of=X.AS_OF)

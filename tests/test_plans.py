@@ -47,6 +47,29 @@ def test_review_board_outer_join_planned_inner(spark):
     assert "LeftOuter" not in plan
 
 
+def test_hot_keys_are_reduced_before_the_shuffle(spark):
+    import re
+
+    from candor.operators import boot as B
+    from candor.operators.evaluate import recall_partition_share
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        base = _materialise(spark)
+        ups, pool = spark.read.parquet(f"{base}/ups"), spark.read.parquet(f"{base}/pool")
+        # behaviour and log are summed by post before anything is joined
+        for df in (review_board(ups, pool, since_day="20000101"),
+                   recall_partition_share(X.recall_log(spark, SF001), pool, X.taxonomy(spark, SF001))):
+            plan = _plan(df)
+            scan = plan[:plan.rindex("ups" if "ups" in plan else "events")]
+            assert "partial_sum" in scan.split("Join")[-1]
+        # a gid's posts are cut to two a task ahead of the shuffle
+        cands = B.boot_candidates(X.pool_docs(spark, SF001), X.step_override(spark, SF001), X.taxonomy(spark, SF001), as_of=AS_OF, days=30)
+        assert re.search(r"WindowGroupLimit.*row_number\(\), 2, Partial", _plan(cands))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_topn_is_limited_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 7 AS g", "id AS pid", "cast(id * 13 % 101 AS double) AS score")
     idx = topn_index(df, keys=["g"], score_col="score", top=5, as_of=AS_OF)
@@ -63,7 +86,7 @@ def test_hot_path_stays_in_the_jvm(spark):
     from candor.plans.registry import load_all
 
     reg = load_all()
-    for name in ("engagement_cells", "hot_video_rank", "pool_clean", "review_board", "boot_features"):
+    for name in ("engagement_cells", "pool_clean", "review_board", "boot_features"):
         df = reg[name].run(spark, SF001)
         df.collect()                                   # AQE shows codegen stages in the final plan
         plan = df._jdf.queryExecution().executedPlan().toString()
