@@ -5,7 +5,7 @@ buckets. A document is the mean of its words' subword embeddings; a linear softm
 its score. Embeddings and softmax are fitted together, so a misspelling that training never saw
 still finds the n-grams it shares with words that training saw.
 
-The model is fitted on the driver on at most ``max_docs`` labelled documents (up to half of them
+The model is fitted in one task on at most ``max_docs`` labelled documents (up to half of them
 toxic; those with the smallest hash of their id) weighted back to the labels' true
 shares. Every document is then scored whole, where it lies: after training, a softmax over a mean is a
 mean of one number a bucket, which is what the executors get (``BUCKETS`` floats).
@@ -92,7 +92,7 @@ def _bags(texts: list[str | None], min_docs: int) -> tuple[_Sparse, _Sparse]:
     as counts of buckets. Words in fewer than ``min_docs`` documents are in the shares' divisor only."""
     ids: dict[str, int] = {}
     sizes: list[int] = []
-    doc, word, share = [], [], []
+    parts: list[tuple[np.ndarray, ...]] = []
     for d, text in enumerate(texts):
         own: dict[int, int] = {}
         for raw in (text or "").split():
@@ -101,22 +101,19 @@ def _bags(texts: list[str | None], min_docs: int) -> tuple[_Sparse, _Sparse]:
                 k = ids[raw] = len(sizes)
                 sizes.append(n_subwords(raw))
             own[k] = own.get(k, 0) + 1
-        number = sum(n * sizes[k] for k, n in own.items())
-        for k, n in own.items():
-            if sizes[k]:
-                doc.append(d)
-                word.append(k)
-                share.append(n / number)
-    doc, word, share = np.array(doc, np.int64), np.array(word, np.int64), np.array(share)
+        number = max(1, sum(n * sizes[k] for k, n in own.items()))
+        own = {k: n for k, n in own.items() if sizes[k]}
+        word = np.fromiter(own.keys(), np.int32, len(own))
+        parts.append((np.full(len(own), d, np.int32), word, np.fromiter(own.values(), np.float32, len(own)) / number))
+    doc, word, share = (np.concatenate([p[i] for p in parts]) for i in range(3))
     often = np.bincount(word, minlength=len(sizes)) >= min_docs
     on = often[word] if len(word) else np.zeros(0, bool)
-    new = np.cumsum(often) - 1
-    bags = [subwords(raw) for raw, k in ids.items() if often[k]]
-    known = len(bags)
-    of = np.repeat(np.arange(known), [len(b) for b in bags])
-    buckets = np.array([x for b in bags for x in b], np.int64)
-    return (_Sparse(doc[on], new[word[on]], share[on], (len(texts), known)),
-            _Sparse(of, buckets, np.ones(len(of)), (known, BUCKETS)))
+    new = (np.cumsum(often) - 1).astype(np.int32)
+    bags = [np.array(subwords(raw), np.int32) for raw, k in ids.items() if often[k]]
+    of = np.repeat(np.arange(len(bags), dtype=np.int32), [len(b) for b in bags])
+    buckets = np.concatenate([np.zeros(0, np.int32), *bags])
+    return (_Sparse(doc[on], new[word[on]], share[on], (len(texts), len(bags))),
+            _Sparse(of, buckets, np.ones(len(of), np.float32), (len(bags), BUCKETS)))
 
 
 def fit(texts: list[str | None], toxic: np.ndarray, weight: np.ndarray, dim: int = 4, epochs: int = 60,
@@ -164,13 +161,22 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 6000) -> Model:
     picked = [marks.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(share[k]) for k in (0, 1)]
     # at most max_docs rows, so it is right to send them to every task
     picked = F.broadcast(picked[0].unionByName(picked[1]))
-    sample = require(docs, ["doc_id", "text"]).join(picked, "doc_id").select("doc_id", "text", "toxic").toPandas()
-    sample = sample.sort_values(["doc_id", "text", "toxic"], ignore_index=True)
-    toxic = sample["toxic"].to_numpy()
-    if len(set(toxic)) < 2:
-        return Model(np.zeros(BUCKETS, np.float32), 500.0 if toxic.any() else -500.0)
-    weight = np.where(toxic == 1, n[1] / (toxic == 1).sum(), n[0] / (toxic == 0).sum())
-    return fit(sample["text"].tolist(), toxic, weight)
+    sample = require(docs, ["doc_id", "text"]).join(picked, "doc_id").select("doc_id", "text", "toxic")
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "toxic": []}), *batches])
+        got = got.sort_values(["doc_id", "text", "toxic"], ignore_index=True)
+        toxic = got["toxic"].to_numpy(np.int64)
+        if len(set(toxic)) < 2:
+            model = Model(np.zeros(BUCKETS, np.float32), 500.0 if toxic.any() else -500.0)
+        else:
+            weight = np.where(toxic == 1, n[1] / (toxic == 1).sum(), n[0] / (toxic == 0).sum())
+            model = fit(got["text"].tolist(), toxic, weight)
+        yield pd.DataFrame({"logits": [model.logits.tobytes()], "bias": [model.bias]})
+
+    # one task on purpose: the sample's bound is max_docs, whatever the table's size
+    out = sample.repartition(1).mapInPandas(fitted, "logits binary, bias double").first()
+    return Model(np.frombuffer(out["logits"], np.float32), out["bias"])
 
 
 class _Words(dict):
