@@ -19,7 +19,6 @@ columns can have any name.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
@@ -74,10 +73,15 @@ def bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
+def least_common(m: int, threshold: float) -> int:
+    """Bigrams that a passage shares at least with a template of ``m`` if it is near enough."""
+    return min(c for c in range(1, m + 1) if 2.0 * c / (c + m) >= threshold)
+
+
 def key_words(templates: list[list[str]], threshold: float) -> list[str]:
     """Words that every passage near enough to some template must hold at least one of: greedily those
     in most bigrams that are still wanted, long words (rarer in prose) before short ones."""
-    need = [len(t) - math.ceil(len(t) * threshold / (2 - threshold)) + 1 for t in templates]
+    need = [len(t) - least_common(len(t), threshold) + 1 for t in templates]
     keys: list[str] = []
     for least in (6, 3, 1):
         while True:

@@ -12,7 +12,8 @@ SCHEMA = "vec_id bigint, embedding array<float>, label int, cell int, vector str
 
 
 def vectors_of(spark, rows):
-    return spark.createDataFrame([(i, v, 1, 2, "v", 0.5) for i, v in rows], SCHEMA)
+    floats = lambda v: None if v is None else [None if x is None else float(x) for x in v]
+    return spark.createDataFrame([(i, floats(v), 1, 2, "v", 0.5) for i, v in rows], SCHEMA)
 
 
 def brute(rows, every=50, nearest=5):
