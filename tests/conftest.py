@@ -14,5 +14,5 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from candor.session import local_session
 
-    s = local_session("*", shuffle_partitions=8, app="candor-tests")
+    s = local_session(os.environ.get("TEST_CPUS", "*"), shuffle_partitions=8, app="candor-tests")
     yield s
