@@ -5,6 +5,14 @@ between single spaces. A passage is compared with a template by the sets of thei
 Dice = 2 * common / (bigrams of one + bigrams of the other). Only templates whose size allows the
 threshold are compared: with threshold t, between t / (2 - t) and (2 - t) / t times the passage's.
 
+A notice can also be wrapped over several lines or stand inside a longer sentence. So every window of
+consecutive bigrams of the whole normalised text (line breaks are blanks there) is compared too, in the
+lengths that the same bounds allow. A window near enough shares enough bigrams with its template, so
+only templates that share as many with the whole text are tried, and only windows that begin and end
+with a shared bigram: no other is nearer. Each template's nearest window counts, if no passage that
+overlaps it is as near to some template, and if it doesn't lie inside near passages only while a
+passage has found its licence: then it is a part of what was found.
+
 Texts without any licence wording are passed over by an exact test first: at threshold t a passage
 shares at least t / (2 - t) of a template's n bigrams, so it holds at least one of any n - that + 1 of
 them. ``KEYS`` are words chosen so that every template has that many bigrams with one of them: a text
@@ -104,6 +112,22 @@ def _normal(low: Column) -> Column:
     return F.trim(F.regexp_replace(low, "[^a-z0-9]+", " "))
 
 
+def _lines(low: Column) -> Column:
+    return F.split(low, "[\r\n]+")
+
+
+def _sentences(low: Column) -> Column:
+    return F.split(F.regexp_replace(low, r"([.!?])[ \t]+", "$1\n"), "[\r\n]+")
+
+
+def _running(passage: Column) -> Column:
+    """All bigrams in order."""
+    words = F.split(passage, " ")
+    return F.when(F.size(words) > 1, F.zip_with(
+        F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b))
+    ).otherwise(F.array().cast("array<string>"))
+
+
 def _bigrams(passage: Column) -> Column:
     words = F.split(passage, " ")
     return F.when(F.size(words) > 1, F.array_distinct(F.transform(
@@ -124,21 +148,67 @@ def _near(grams: Column, threshold: float) -> Column:
     return F.filter(F.array(*near), lambda m: m.isNotNull() & (m["dice"] >= threshold))
 
 
+def _templates(threshold: float) -> Column:
+    """All templates as one constant: structs (license, grams, least, most), ``most`` being the bigrams of
+    the longest window that can be near enough."""
+    return F.array(*[F.struct(
+        F.lit(name).alias("license"), F.array(*map(F.lit, own)).alias("grams"),
+        F.lit(least_common(len(own), threshold)).alias("least"),
+        F.lit(max(k for k in range(1, 3 * len(own)) if 2.0 * min(k, len(own)) / (k + len(own)) >= threshold)).alias("most"),
+    ) for (name, _), own in zip(TEMPLATES, GRAMS, strict=True)])
+
+
+def _window(grams: Column, cover: Column, licenses: Column, t: Column, threshold: float) -> Column:
+    """The nearest window of a text's bigrams to template ``t`` that counts: a struct (dice, license), null if
+    there is none. ``cover`` has each word's nearest passage's dice (0 if none is near), ``licenses`` what passages found."""
+    own = t["grams"]
+    starts = F.filter(F.sequence(F.lit(1), F.size(grams)), lambda i: F.array_contains(own, F.element_at(grams, i))
+                      & (F.size(F.array_intersect(F.slice(grams, i, t["most"]), own)) >= t["least"]))
+
+    def dice(i: Column, n: Column) -> Column:
+        part, over = F.slice(grams, i, n), F.slice(cover, i, n + 1)
+        near = F.lit(2.0) * F.size(F.array_intersect(part, own)) / (F.size(F.array_distinct(part)) + F.size(own))
+        new = (F.array_min(over) == 0) | ~F.array_contains(licenses, t["license"])
+        return F.when((near >= threshold) & (near > F.array_max(over)) & new, near)
+
+    best = F.array_max(F.flatten(F.transform(starts, lambda i: F.transform(
+        F.filter(F.sequence(t["least"], t["most"]), lambda n: F.array_contains(own, F.try_element_at(grams, i + n - 1))),
+        lambda n: dice(i, n)))))
+    return F.when(best.isNotNull(), F.struct(best.alias("dice"), t["license"].alias("license")))
+
+
+def _cover(low: Column, passages: Column, near: Column) -> Column:
+    """For each word of a text the dice of the nearest of its line and its sentence, 0 if neither is near."""
+    of = F.map_from_arrays(passages, F.transform(near, lambda n: F.coalesce(F.array_max(n["dice"]), F.lit(0.0))))
+    dice = lambda p: F.coalesce(F.try_element_at(of, _normal(p)), F.lit(0.0))
+    return F.flatten(F.flatten(F.transform(_lines(low), lambda line: F.transform(_sentences(line), lambda p: F.array_repeat(
+        F.greatest(dice(line), dice(p)), F.size(F.filter(F.split(_normal(p), " "), lambda w: w != "")))))))
+
+
 def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every document with its nearest licence: doc_id, license_id, dice, licenses (all found, sorted) and
-    n_matches (pairs of a distinct passage and a template that reach the threshold)."""
+    n_matches (pairs of a distinct passage and a template that reach the threshold, and templates with a
+    window that counts)."""
     keys = KEYS if threshold == THRESHOLD else key_words(GRAMS, threshold)
     holds = lambda p: F.exists(F.array(*map(F.lit, keys)), lambda w: F.contains(p, w))
-    # a step of its own: the lower-cased text is read by all that follows and must be made once
+    # steps of their own: what several readers share (the lower-cased text, bigrams) must be made once
     docs = require(docs, ["doc_id", "text"]).select("doc_id", F.lower("text").alias("low"))
     low = F.col("low")
-    lines = F.split(low, "[\r\n]+")
-    sentences = F.split(F.regexp_replace(low, r"([.!?])[ \t]+", "$1\n"), "[\r\n]+")
-    passages = F.array_distinct(F.transform(F.filter(F.concat(lines, sentences), holds), _normal))
-    # bigrams are made in a step of their own, so that all templates compare with the one list
-    found = F.flatten(F.transform(F.transform(passages, _bigrams), lambda grams: _near(grams, threshold)))
+    passages = F.array_distinct(F.transform(F.filter(F.concat(_lines(low), _sentences(low)), holds), _normal))
+    docs = docs.select("doc_id", F.when(holds(low), low).alias("low"), F.when(holds(low), passages).alias("passages"))
+    near = F.transform(F.transform("passages", _bigrams), lambda grams: _near(grams, threshold))
+    docs = docs.select("*", near.alias("near"), F.when(low.isNotNull(), _running(_normal(low))).alias("grams"))
     none = F.array().cast("array<struct<dice:double,license:string>>")
-    docs = docs.select("doc_id", F.when(holds(low), found).otherwise(none).alias("found"))
+    every = F.array(*map(F.lit, dict.fromkeys(b for own in GRAMS for b in own)))
+    docs = docs.select("*", F.coalesce(F.flatten("near"), none).alias("found"), F.array_intersect("grams", every).alias("shared"))
+    reach = F.filter(_templates(threshold), lambda t: F.size(F.array_intersect(F.col("shared"), t["grams"])) >= t["least"])
+    docs = docs.select("doc_id", "low", "passages", "near", "grams", "found", F.when(F.size("shared") > 0, reach).alias("reach"))
+    cover = F.when(F.size("found") > 0, _cover(low, F.col("passages"), F.col("near"))).otherwise(
+        F.array_repeat(F.lit(0.0), F.size("grams") + 1))
+    docs = docs.select("doc_id", "grams", "found", "reach", F.when(F.size("reach") > 0, cover).alias("cover"))
+    windows = F.filter(F.transform("reach", lambda t: _window(
+        F.col("grams"), F.col("cover"), F.col("found.license"), t, threshold)), lambda m: m.isNotNull())
+    docs = docs.select("doc_id", F.when(F.size("reach") > 0, F.concat("found", windows)).otherwise(F.col("found")).alias("found"))
     first = F.array_sort(F.col("found"), lambda a, b: (
         F.when(a["dice"] != b["dice"], F.when(a["dice"] > b["dice"], -1).otherwise(1))
         .when(a["license"] != b["license"], F.when(a["license"] < b["license"], -1).otherwise(1)).otherwise(0)))

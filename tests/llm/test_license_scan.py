@@ -51,3 +51,50 @@ def test_every_template_is_within_reach_of_the_key_words():
 def test_no_python_and_no_shuffle(spark, odd):
     plan = L.scan(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def any_window(text, threshold=0.8):
+    """The largest dice of each licence over all windows of the text's words, without any segmentation."""
+    words, best = L.normal(text).split(), {}
+    grams = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    for name, t in L.TEMPLATES:
+        own = set(L.bigrams(t))
+        for i in range(len(grams)):
+            for n in range(1, min(len(grams) - i, int(1.5 * len(own) + 1e-9)) + 1):
+                part = set(grams[i:i + n])
+                dice = 2.0 * len(own & part) / (len(own) + len(part))
+                if dice >= threshold:
+                    best[name] = max(best.get(name, 0), dice)
+    return best
+
+
+def test_wrapped_and_inline_notices(spark):
+    import textwrap
+
+    by = [(name, t) for name, t in L.TEMPLATES if len(t) > 120]
+    assert {"MIT", "Apache-2.0", "GPL-3.0", "BSD-3-Clause"} <= {name for name, _ in by}
+    texts = [f"Some words before\n{textwrap.fill(t, 72)}\nand words after." for _, t in by]
+    texts += ["# " + textwrap.fill(by[0][1], 70).replace("\n", "\r\n# "),
+              "the data that we publish here is licensed under CC BY-NC 4.0 since the last of the years",
+              "we say that this text is released under the MIT License but, as to the pictures, licensed under CC BY 4.0 they are",
+              "licensed\nunder\nthe\nMIT\nlicense", "licensed under the\n\nold MIT and other license", "under the licence of the software"]
+    got = {r["doc_id"]: r for r in L.scan(docs_of(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        assert got[i]["licenses"] == sorted(any_window(t)), t
+        whole = brute(t)[3] == 0
+        if whole and got[i]["licenses"]:  # nothing found by lines and sentences
+            best = min((-d, name) for name, d in any_window(t).items())
+            assert (got[i]["license_id"], got[i]["dice"]) == (best[1], -best[0]) and got[i]["n_matches"] >= 1
+    assert all(name in got[i]["licenses"] for i, (name, _) in enumerate(by))
+    assert got[len(by) + 1]["license_id"] == "CC-BY-NC-4.0" and got[len(by) + 2]["licenses"] == ["CC-BY-4.0", "MIT"]
+    assert got[len(texts) - 1]["n_matches"] == 0
+
+
+def test_windows_beside_near_passages(spark):
+    texts = ["This work is licensed under the GNU General Public License,\nversion 3.",  # its first line alone is as near to GPL-2.0
+             "Released under the MIT License.\nand, unlike it, the pictures are licensed under\nCC BY 4.0 only, if at all",
+             "This work is licensed under the GNU Affero General Public License, version 3."]
+    got = {r["doc_id"]: r for r in L.scan(docs_of(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    assert (got[0]["license_id"], got[0]["dice"]) == ("GPL-3.0", 1.0)
+    assert got[1]["licenses"] == ["CC-BY-4.0", "MIT"] and got[1]["n_matches"] == brute(texts[1])[3] + 1
+    assert got[2]["n_matches"] == brute(texts[2])[3]  # parts of a near line aren't notices of their own
