@@ -2,7 +2,8 @@
 
 A page is parsed where it lies into blocks of text, each with the hashes of the element subtrees that
 hold it. Spark counts, for each host, in how many different pages each subtree occurs; subtrees that
-recur across many of them are the site's template and go, with all their blocks. Elements that
+recur in ``min_pages`` of them, however large the host is, are the site's template and go, with all
+their blocks. Elements that
 name themselves as something else than the article (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments: by tag, role, class or id) go while parsing.
 If a page has an ``article`` (else ``main``), only text within it is kept.
@@ -10,7 +11,8 @@ If a page has an ``article`` (else ``main``), only text within it is kept.
 A subtree counts once for each different main text it occurs with, so copies of a page, however many,
 don't make its text a template. Inside the article, headings, paragraphs, lists, tables and inline
 elements are its text even where a passage recurs; only generic containers can be template there.
-No subtree that holds half of its page's text or more is one.
+A page where a subtree holds half of the text or more doesn't count for it, so the text of pages that
+differ in a date alone is no template; but what other pages show to be template goes there as well.
 
 Counts are combined before each shuffle; what to delete comes back as one small list a page, so a host
 with a third of all pages makes no hot task and pages themselves move only if that list is
@@ -61,7 +63,7 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>", re.S | re.I)
 ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
-MIN_PAGES, MIN_SHARE = 5, 0.1
+MIN_PAGES = 5
 
 
 class _Element:
@@ -93,6 +95,11 @@ def _foreign(tag: str, attrs: str, inside: int) -> bool:
 
 def blocks(page: str | None) -> list[tuple[str, list[int]]]:
     """The page's blocks of text in order, each with the hashes of the subtrees it could go with."""
+    return _blocks(page)[0]
+
+
+def _blocks(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
+    """``blocks`` and the hashes of the subtrees that the page counts for."""
     stack = [_Element("#page", False, 0)]
     found: list[tuple[str, int, list[_Element]]] = []  # text, 2 in an article, 1 in main, the elements around
     text: list[str] = []
@@ -161,33 +168,34 @@ def blocks(page: str | None) -> list[tuple[str, list[int]]]:
     level = max((inside for _, inside, _ in found), default=0)
     kept = [(t, around) for t, inside, around in found if inside == level]
     whole = sum(len(t) for t, _ in kept)
-    return [(t, [e.hash.intdigest() - (1 << 63) for e in around if e.removable and 2 * e.size < whole]) for t, around in kept]
+    of = lambda e: e.hash.intdigest() - (1 << 63)
+    counted = {id(e): e for _, around in kept for e in around if e.removable and 2 * e.size < whole}
+    return [(t, [of(e) for e in around if e.removable]) for t, around in kept], list({of(e) for e in counted.values()})
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        got = [blocks(page) for page in batch["html"]]
+        got = [_blocks(page) for page in batch["html"]]
         yield pd.DataFrame({
             "page_id": batch["page_id"], "rid": batch["rid"], "url": batch["url"],
-            "body": [xxhash.xxh3_64_intdigest(" ".join(t for t, _ in b).encode("utf-8", "surrogatepass")) - (1 << 63) for b in got],
-            "blocks": [[{"text": t, "subtrees": s} for t, s in b] for b in got]})
+            "body": [xxhash.xxh3_64_intdigest(" ".join(t for t, _ in b).encode("utf-8", "surrogatepass")) - (1 << 63) for b, _ in got],
+            "blocks": [[{"text": t, "subtrees": s} for t, s in b] for b, _ in got], "counted": [c for _, c in got]})
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """Every page: page_id, url, text. A subtree is template if it occurs in ``min_pages`` different
-    pages of its host and in ``min_share`` of them."""
+    pages of its host."""
     rows = with_row_id(require(pages, ["page_id", "url", "html"])).select("row.page_id", "rid", "row.url", "row.html")
     kind = rows.schema["page_id"].dataType.simpleString()
     rows = rows.mapInPandas(_parsed, f"page_id {kind}, rid bigint, url string, body bigint, "
-                                     "blocks array<struct<text:string,subtrees:array<bigint>>>")
+                                     "blocks array<struct<text:string,subtrees:array<bigint>>>, counted array<bigint>")
     rows = materialise(rows, "page-blocks")
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     subtrees = F.array_distinct(F.flatten(F.col("blocks.subtrees")))
-    held = rows.select("page_id", "rid", host.alias("host"), "body", F.explode(subtrees).alias("subtree"))
-    sizes = rows.select(host.alias("host"), "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = held.select("host", "subtree", "body").distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-    template = counts.where(F.col("n") >= min_pages).join(sizes, "host").where(F.col("n") >= min_share * F.col("pages"))
-    template = materialise(template.select("host", "subtree"), "page-templates")
+    held = rows.select("page_id", "rid", host.alias("host"), F.explode(subtrees).alias("subtree"))
+    counted = rows.select(host.alias("host"), "body", F.explode("counted").alias("subtree")).distinct()
+    counts = counted.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    template = materialise(counts.where(F.col("n") >= min_pages).select("host", "subtree"), "page-templates")
     gone = held.join(template, ["host", "subtree"]).groupBy("rid", "page_id").agg(F.collect_set("subtree").alias("gone"))
     gone = materialise(gone.select(F.col("rid").alias("of"), F.col("page_id").alias("of_id"), "gone"), "page-gone")
     rows = rows.join(gone, (F.col("rid") == F.col("of")) & F.col("page_id").eqNullSafe(F.col("of_id")), "left")

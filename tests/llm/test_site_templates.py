@@ -71,3 +71,25 @@ def test_whole_table(spark):
         article = re.search(r"<article>(.*?)(</article>|\Z)", pages[r["page_id"]], re.S)[1]
         want = " ".join(html.unescape(re.sub("<[^>]*>", " ", article)).split())
         assert r["text"] == want and r["n_chars"] == len(want)
+
+
+def test_equal_counts_on_a_small_and_a_large_host(spark):
+    promo, rows, want = "<div><b>Read</b> our section on gardens</div>", [], {}
+    for host, n in (("small.example", 20), ("large.example", 2000)):  # on each host 8 pages have the promo
+        for k in range(n):
+            story = f"Story {host} {k} " + "word " * 20
+            rows.append((len(rows), f"https://{host}/{k}", f"<body>{promo if k < 8 else ''}<div><p>{story}</p></div>"))
+            want[len(rows) - 1] = " ".join(story.split())
+    got = {r["page_id"]: r["text"] for r in S.extract(pages_of(spark, rows)).collect()}
+    assert got == want
+
+
+def test_stub_page_loses_a_notice_longer_than_its_article(spark):
+    notice = "<div><p>" + "All that stands here is shown as it was. " * 3 + "</p></div>"
+    rows = [(k, f"https://h.example/{k}", f"<body><div><p>Story {k} {'word ' * 60}</p></div>{notice}") for k in range(8)]
+    rows.append((8, "https://h.example/8", f"<body><div><p>Stub.</p></div>{notice}"))
+    # pages that differ in a date alone: their common text is no template
+    rows += [(k, "https://d.example/", f"<body><div><p>{'The text. ' * 9}</p></div><div>Day {k}</div>") for k in range(9, 20)]
+    got = {r["page_id"]: r["text"] for r in S.extract(pages_of(spark, rows)).collect()}
+    assert got == {k: " ".join(f"Story {k} {'word ' * 60}".split()) for k in range(8)} | {8: "Stub."} | {
+        k: "The text. " * 9 + f"Day {k}" for k in range(9, 20)}
