@@ -6,11 +6,14 @@ recur in ``min_pages`` of them, however large the host is, are the site's templa
 their blocks. Elements that
 name themselves as something else than the article (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments: by tag, role, class or id) go while parsing.
-If a page has an ``article`` (else ``main``), only text within it is kept.
-
-A subtree counts once for each different main text it occurs with, so copies of a page, however many,
-don't make its text a template. Inside the article, headings, paragraphs, lists, tables and inline
-elements are its text even where a passage recurs; only generic containers can be template there.
+Of what is left, only text within ``article`` (else ``main``) elements is kept if they hold more than half of
+it; else all is, so a page whose ``article`` elements are teasers keeps its main text.
+
+A subtree counts once for each different text it occurs with (of the ``article``, else the ``main``
+that it lies in, else of the page), so copies of a page, however many, don't make its text a
+template. Inside ``article`` and ``main``, headings, paragraphs, lists, tables and inline elements are text
+even where a passage recurs; only generic containers can be template there. The elements themselves, and
+their text, go with the template only where they don't hold most of the page.
 A page where a subtree holds half of the text or more doesn't count for it, so the text of pages that
 differ in a date alone is no template; but what other pages show to be template goes there as well.
 
@@ -67,11 +70,16 @@ MIN_PAGES = 5
 
 
 class _Element:
-    __slots__ = ("tag", "skip", "inside", "hash", "size", "removable")
+    __slots__ = ("tag", "skip", "inside", "hash", "size", "removable", "weak", "within")
 
-    def __init__(self, tag: str, skip: bool, inside: int):
+    def __init__(self, tag: str, skip: bool, inside: int, within: _Element | None = None):
         self.tag, self.skip, self.inside = tag, skip, inside
         self.hash, self.size, self.removable = xxhash.xxh3_64(tag), 0, False
+        self.weak = False  # goes only where article and main elements don't hold most of the page
+        self.within = within  # the article, else the main, that it lies in
+
+    def digest(self) -> int:
+        return self.hash.intdigest() - (1 << 63)
 
 
 def _foreign(tag: str, attrs: str, inside: int) -> bool:
@@ -94,12 +102,18 @@ def _foreign(tag: str, attrs: str, inside: int) -> bool:
 
 
 def blocks(page: str | None) -> list[tuple[str, list[int]]]:
-    """The page's blocks of text in order, each with the hashes of the subtrees it could go with."""
-    return _blocks(page)[0]
-
-
-def _blocks(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """``blocks`` and the hashes of the subtrees that the page counts for."""
+    """The blocks of text that the page keeps if the host has no template, in order, each with the hashes of
+    the subtrees it could go with."""
+    found = _blocks(page)[0]
+    of = [sum(len(t) for t, inside, *_ in found if inside >= least) for least in range(3)]
+    level = 2 if 2 * of[2] > of[0] else 1 if 2 * of[1] > of[0] else 0
+    return [(t, strong) for t, inside, strong, _ in found if inside >= level]
+
+
+def _blocks(page: str | None) -> tuple[list[tuple[str, int, list[int], list[int]]], list[tuple[int, int]]]:
+    """The page's blocks of text in order: text, 2 in an article or 1 in a main, the hashes of the subtrees
+    it goes with if they are template, and of those it goes with only if articles aren't the page's main
+    text. Then the subtrees that the page counts for, each with the hash of the text around it."""
     stack = [_Element("#page", False, 0)]
     found: list[tuple[str, int, list[_Element]]] = []  # text, 2 in an article, 1 in main, the elements around
     text: list[str] = []
@@ -153,9 +167,11 @@ def _blocks(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
             continue
         up = stack[-1]
         inside = 2 if tag == "article" else max(up.inside, 1) if tag == "main" else up.inside
-        e = _Element(tag, up.skip or _foreign(tag, m["attrs"], up.inside), inside)
+        within = up if up.tag == "article" or up.tag == "main" and up.inside < 2 else up.within
+        e = _Element(tag, up.skip or _foreign(tag, m["attrs"], up.inside), inside, within)
         if tag in FLOW:
-            e.removable = tag not in ("html", "body", "article", "main") and not (up.inside and tag in TEXT_IN_ARTICLE)
+            e.weak = tag in ("article", "main") or bool(up.inside and tag in TEXT_IN_ARTICLE)
+            e.removable = tag not in ("html", "body") and not e.weak
             stack.append(e)
         elif e.skip and (not up.skip or any(x.tag == tag for x in stack)):  # inline: only what goes is followed
             flush()
@@ -165,12 +181,16 @@ def _blocks(page: str | None) -> tuple[list[tuple[str, list[int]]], list[int]]:
     flush()
     while len(stack) > 1:
         pop()
-    level = max((inside for _, inside, _ in found), default=0)
-    kept = [(t, around) for t, inside, around in found if inside == level]
-    whole = sum(len(t) for t, _ in kept)
-    of = lambda e: e.hash.intdigest() - (1 << 63)
-    counted = {id(e): e for _, around in kept for e in around if e.removable and 2 * e.size < whole}
-    return [(t, [of(e) for e in around if e.removable]) for t, around in kept], list({of(e) for e in counted.values()})
+    whole = xxhash.xxh3_64_intdigest(" ".join(t for t, *_ in found).encode("utf-8", "surrogatepass")) - (1 << 63)
+    elements = {id(e): e for *_, around in found for e in around if e.removable or e.weak}
+    counted = {(e.digest(), e.within.digest() if e.within else whole) for e in elements.values()
+               if 2 * e.size < (e.within or stack[0]).size}
+    # a single article that holds most of the page whatever else is template: while it's there, nothing weak goes
+    sure = sum(len(t) for t, inside, around in found if inside == 2 and not any(e.removable and e.inside == 2 for e in around))
+    alone = 2 * sure > stack[0].size and len({id(e) for *_, around in found for e in around if e.tag == "article"}) == 1
+    return [(t, inside, [e.digest() for e in around if e.removable],
+             [] if alone and inside == 2 else [e.digest() for e in around if e.weak])
+            for t, inside, around in found], list(counted)
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,8 +198,8 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = [_blocks(page) for page in batch["html"]]
         yield pd.DataFrame({
             "page_id": batch["page_id"], "rid": batch["rid"], "url": batch["url"],
-            "body": [xxhash.xxh3_64_intdigest(" ".join(t for t, _ in b).encode("utf-8", "surrogatepass")) - (1 << 63) for b, _ in got],
-            "blocks": [[{"text": t, "subtrees": s} for t, s in b] for b, _ in got], "counted": [c for _, c in got]})
+            "blocks": [[{"text": t, "inside": i, "subtrees": s, "weak": w} for t, i, s, w in b] for b, _ in got],
+            "counted": [[{"subtree": e, "around": a} for e, a in c] for _, c in got]})
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -187,20 +207,28 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     pages of its host."""
     rows = with_row_id(require(pages, ["page_id", "url", "html"])).select("row.page_id", "rid", "row.url", "row.html")
     kind = rows.schema["page_id"].dataType.simpleString()
-    rows = rows.mapInPandas(_parsed, f"page_id {kind}, rid bigint, url string, body bigint, "
-                                     "blocks array<struct<text:string,subtrees:array<bigint>>>, counted array<bigint>")
+    rows = rows.mapInPandas(_parsed, f"page_id {kind}, rid bigint, url string, "
+                                     "blocks array<struct<text:string,inside:int,subtrees:array<bigint>,weak:array<bigint>>>, "
+                                     "counted array<struct<subtree:bigint,around:bigint>>")
     rows = materialise(rows, "page-blocks")
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    subtrees = F.array_distinct(F.flatten(F.col("blocks.subtrees")))
+    subtrees = F.array_union(F.flatten(F.col("blocks.subtrees")), F.flatten(F.col("blocks.weak")))
     held = rows.select("page_id", "rid", host.alias("host"), F.explode(subtrees).alias("subtree"))
-    counted = rows.select(host.alias("host"), "body", F.explode("counted").alias("subtree")).distinct()
+    counted = rows.select(host.alias("host"), F.inline("counted")).distinct()
     counts = counted.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
     template = materialise(counts.where(F.col("n") >= min_pages).select("host", "subtree"), "page-templates")
     gone = held.join(template, ["host", "subtree"]).groupBy("rid", "page_id").agg(F.collect_set("subtree").alias("gone"))
     gone = materialise(gone.select(F.col("rid").alias("of"), F.col("page_id").alias("of_id"), "gone"), "page-gone")
     rows = rows.join(gone, (F.col("rid") == F.col("of")) & F.col("page_id").eqNullSafe(F.col("of_id")), "left")
+    # again a step of its own: the page's level is decided on the blocks that are left
     stays = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["subtrees"], F.col("gone")))
-    text = F.array_join(F.transform(stays, lambda b: b["text"]), " ")
+    rows = rows.select("page_id", "url", "gone", stays.alias("stays"))
+    of = [F.aggregate(F.filter("stays", lambda b: b["inside"] >= F.lit(least)), F.lit(0).cast("bigint"),  # noqa: B023
+                      lambda n, b: n + F.char_length(b["text"])) for least in range(3)]
+    rows = rows.select("*", F.when(2 * of[2] > of[0], 2).when(2 * of[1] > of[0], 1).otherwise(0).alias("level"))
+    kept = F.filter("stays", lambda b: (b["inside"] >= F.col("level")) & (
+        F.col("gone").isNull() | (b["inside"] <= F.col("level")) | ~F.arrays_overlap(b["weak"], F.col("gone"))))
+    text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
     return rows.select("page_id", "url", text.alias("text"))
 
 

@@ -93,3 +93,27 @@ def test_stub_page_loses_a_notice_longer_than_its_article(spark):
     got = {r["page_id"]: r["text"] for r in S.extract(pages_of(spark, rows)).collect()}
     assert got == {k: " ".join(f"Story {k} {'word ' * 60}".split()) for k in range(8)} | {8: "Stub."} | {
         k: "The text. " * 9 + f"Day {k}" for k in range(9, 20)}
+
+
+def test_teaser_articles_several_articles_and_no_article(spark):
+    words = "word " * 40
+    teasers = "".join(f"<article><h3>Tip {k}</h3><p>See this too.</p></article>" for k in range(3))
+    rows, want = [], {}
+
+    def add(host, page, text):
+        rows.append((len(rows), f"https://{host}/{len(rows)}", page))
+        want[len(rows) - 1] = " ".join(text.split())
+
+    for k in range(8):  # the same teasers on every page: template, though they are article elements
+        add("cards.example", f"<body><div><p>Story {k} {words}</p></div>{teasers}", f"Story {k} {words}")
+        add("main.example", f"<body><main><p>Story {k} {words}</p>{teasers}</main><p>By us, {k}</p>", f"Story {k} {words}")
+    add("other.example", f"<body><div><p>Story {words}</p></div>{teasers}",  # alone on its host: nothing is lost
+        f"Story {words}" + " ".join(f"Tip {k} See this too." for k in range(3)))
+    posts = "".join(f"<article><p>Post {k} {words}</p></article>" for k in range(3))
+    add("posts.example", f"<body><p>All posts</p>{posts}", " ".join(f"Post {k} {words}" for k in range(3)))
+    add("none.example", f"<body><p>Story {words}</p><p>and its end</p>", f"Story {words} and its end")
+    for k in range(8):  # copies of an article in changing surroundings, and an article shorter than the template
+        add("copies.example", f"<body><div>Day {k}</div><article><div>A part of it.</div><p>{words}</p></article>", f"A part of it. {words}")
+        add("short.example", f"<body><article><p>Brief {k}.</p></article><div>One.</div><div>Two three four.</div><div>Five six.</div>", f"Brief {k}.")
+    got = {r["page_id"]: r["text"] for r in S.extract(pages_of(spark, rows)).collect()}
+    assert got == want
