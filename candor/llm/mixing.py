@@ -108,13 +108,15 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: a row for each pass that takes words, with all columns of the
-    input. A document that the cut crosses ends with the last word taken (``n_chars``, if there is
-    such a column, follows)."""
+    input, in the order of ``mix``: range-sorted, so each file that is written holds one stretch of the
+    merged order, sources interleaved by weight. A document that the cut crosses ends with the last
+    word taken (``n_chars``, if there is such a column, follows)."""
     docs = stored(docs)
     taken = passes(docs, **options).where("words > 0").select(
-        F.col("rid").alias("t_rid"), F.col("doc_id").alias("t_id"), "words", F.col("size").alias("t_size"))
+        F.col("rid").alias("t_rid"), F.col("doc_id").alias("t_id"), "words", F.col("size").alias("t_size"),
+        "finish", F.col("source").alias("t_source"))
     on = (F.col("rid") == F.col("t_rid")) & F.col("row.doc_id").eqNullSafe(F.col("t_id"))
-    out = with_row_id(docs).join(taken, on)
+    out = with_row_id(docs).join(taken, on).orderBy("finish", "t_source", "t_id", "rid")
     pieces = F.regexp_extract_all("row.text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     head = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
     text = F.when(F.col("words") == F.col("t_size"), F.col("row.text")).otherwise(head)

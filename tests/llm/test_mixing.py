@@ -85,3 +85,12 @@ def test_budget_share_cuts_the_order(spark):
     rows = [(i, "a b c d", "ab"[i % 2]) for i in range(40)]
     got = M.mix(docs_of(spark, rows), budget_share=0.5).collect()
     assert sum(r["words"] for r in got) == pytest.approx(80, abs=1)
+
+
+def test_documents_come_in_the_merged_order(spark):
+    # by source file: all of "a" first, then "b", then null
+    rows = [(i, " ".join("w" * (i % 5 + 1)), ("a", "b", None)[i // 100]) for i in range(300)]
+    docs = docs_of(spark, rows)
+    want = [(r["source"], r["doc_id"]) for r in M.mix(docs).collect()]
+    assert [(r["source"], r["doc_id"]) for r in M.mixed_documents(docs).collect()] == want
+    assert len(set(want[:20])) == 20 and len({s for s, _ in want[:20]}) == 3  # interleaved from the start
