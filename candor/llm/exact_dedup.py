@@ -96,7 +96,9 @@ def dedup(docs: DataFrame, batches: int = 2) -> DataFrame:
     least, most = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
     index = DigestIndex(docs.sparkSession, f"candor_digests_{uuid.uuid4().hex}")
     least, most = (0, 0) if least is None else (least, most)
-    part = F.floor((F.coalesce(F.col("doc_id"), F.lit(least)) - least) * batches / F.lit(most - least + 1))
+    # whole numbers in Python, each one at most the largest id: exact however far apart the ids are
+    last = [least - (-k * (most - least + 1) // batches) - 1 for k in range(1, batches)]
+    part = sum(((F.coalesce(F.col("doc_id"), F.lit(least)) > F.lit(x)).cast("int") for x in last), F.lit(0))
     for k in reversed(range(batches)):
         index.ingest(rows.where(part == k))
     out = index.resolve(rows)

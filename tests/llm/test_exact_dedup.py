@@ -71,3 +71,13 @@ def test_anti_join_reads_the_index_in_its_layout(spark):
     assert "SortMergeJoin" in plan and "LeftAnti" in plan
     assert "Bucketed: true" in executed
     index.drop()
+
+
+def test_ids_far_apart_are_all_in_some_batch(spark):
+    for ids in ((0, 10**17), (-2**63, 2**63 - 1), (2**63 - 1,), (0, 1, 10**17 - 1, 10**17), (-2**63, -1, 0, 2**63 - 1)):
+        for batches in (1, 2, 3):
+            rows = [(i, "same", "a") for i in ids] + [(i, f"own {i}", "a") for i in ids]
+            got = E.dedup(docs_of(spark, rows), batches).collect()
+            assert len(got) == len(rows)
+            assert {r["keep_id"] for r in got if r["group_size"] > 1} <= {max(ids)}
+            assert sum(r["kept"] for r in got) == len(ids) + 1
