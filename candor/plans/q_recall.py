@@ -12,7 +12,7 @@ from ..session import set_down
 from ..sources import fixtures as X
 from .fixture_sql import with_views
 from .params import EVENTS_AS_OF
-from .q_i2i import _I2I_CTES, _I2I_VIEWS, lsh_ctes, neighbours
+from .q_i2i import _I2I_CTES, _I2I_VIEWS, BITS, TABLES, lsh_ctes, neighbours
 from .registry import register
 
 LAST_N, K_I2I = 100, 50
@@ -153,7 +153,8 @@ GROUP BY r.mid, u.i)""", """uvec AS (SELECT mid, list(x ORDER BY i) AS vec FROM
 
 @register("user_vector_recall", with_views("SELECT * FROM r_u2i", "actions", "vectors", extra=_U2I_CTES), ["score"])
 def q_user_vector_recall(spark: SparkSession, d: str) -> DataFrame:
-    return user_vector_recall(X.event_actions(spark, d), X.item_vectors(spark, d), last_n=U2I_LAST_N, k=K_U2I)
+    return user_vector_recall(X.event_actions(spark, d), X.item_vectors(spark, d), last_n=U2I_LAST_N, k=K_U2I,
+                              tables=TABLES, bits=BITS)
 
 
 def _quota_sql() -> str:
@@ -186,7 +187,8 @@ def q_quota_merge(spark: SparkSession, d: str) -> DataFrame:
     r = (
         recent_i2i_recall(acts, neighbours(spark, d), last_n=LAST_N, k=K_I2I).withColumn("source", F.lit("i2i"))
         .unionByName(topic.withColumn("source", F.lit("topic")))
-        .unionByName(user_vector_recall(acts, X.item_vectors(spark, d), last_n=U2I_LAST_N, k=K_U2I)
+        .unionByName(user_vector_recall(acts, X.item_vectors(spark, d), last_n=U2I_LAST_N, k=K_U2I,
+                              tables=TABLES, bits=BITS)
                      .withColumn("source", F.lit("u2i")))
     )
     live = X.serving_budget(spark, d).filter(F.col("remaining") > 0).select("pid")

@@ -314,3 +314,19 @@ def test_empty_inputs_do_not_fail(spark):
     t = B.boot_transition(cands, X.counters(spark, d), X.serving_budget(spark, d).limit(0), docs,
                           X.step_override(spark, d), B.load_rules(), as_of=X.AS_OF)
     assert cands.count() == 0 and t.count() == 0
+
+
+def test_recall_of_the_registered_neighbour_queries(spark):
+    from candor.operators.recall import user_vector_recall
+    from candor.plans import q_i2i, q_recall
+    from candor.plans.params import I2I_MIN_SCORE, KNN_K
+    from candor.sources import fixtures as X
+
+    acts, vecs = X.event_actions(spark, SF01), X.item_vectors(spark, SF01)
+    items = knn_recall(q_i2i.q_knn_lsh(spark, SF01), knn_exact(vecs, k=KNN_K), min_score=I2I_MIN_SCORE).first()
+    exact = user_vector_recall(acts, vecs, last_n=q_recall.U2I_LAST_N, k=q_recall.K_U2I, method="exact")
+    users = knn_recall(q_recall.q_user_vector_recall(spark, SF01).withColumnsRenamed({"pid": "near_pid", "mid": "pid"}),
+                       exact.withColumnsRenamed({"pid": "near_pid", "mid": "pid"}), min_score=0.0).first()
+    print("items", items, "users", users)
+    assert items["exact_pairs"] > 1000 and users["exact_pairs"] > 1000
+    assert items["recall"] >= 0.9 and users["recall"] >= 0.9
