@@ -1,7 +1,7 @@
 """Top-k cosine neighbours: exact (blocked) and approximate (LSH).
 
-``knn_exact`` hashes items into ``nb`` blocks and pairs every left block with every right
-block through an equi-join on the block id (each side replicated ``nb`` times). Each
+``knn_exact`` hashes items into ``nb`` blocks of about ``BLOCK_ROWS`` and pairs every left block with every
+right block through an equi-join on the block id (each side replicated ``nb`` times). Each
 block pair is scored with one numpy matrix product inside ``applyInPandas`` and only the
 top ``k`` per item leave the task, so at most ``n * nb * k`` rows are shuffled and no
 all-pairs frame is ever materialised; a final window limit merges the per-block top-k.
@@ -22,6 +22,7 @@ from .embed import signs_of
 from .skew import top_per_group
 
 PAIR_SCHEMA = "pid long, near_pid long, score double"
+BLOCK_ROWS = 2048  # vectors of a block: a pair of blocks makes a matrix of some 32 MB
 
 
 def _unit(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -61,23 +62,25 @@ def knn_exact(
     k: int = 200,
     id_col: str = "pid",
     vec_col: str = "vector",
-    n_blocks: int = 4,
+    n_blocks: int | None = None,
     others: DataFrame | None = None,
 ) -> DataFrame:
     """Exact top-``k`` cosine neighbours: (pid, near_pid, score), ties by near_pid.
 
     Neighbours come from ``vectors`` itself (self excluded) or, when given, from ``others``
-    (e.g. user vectors against item vectors). ``n_blocks`` blocks a side give its square in tasks;
-    choose it so that a block of vectors fits a task.
+    (e.g. user vectors against item vectors). Each side has ``n_blocks`` blocks, by default as many as
+    hold about ``BLOCK_ROWS`` vectors each; the result is the same for any number.
     """
     u = _unit(vectors, id_col, vec_col)
     o = u if others is None else _unit(others, id_col, vec_col)
-    nb = int(n_blocks)
+    blocks = lambda v: int(n_blocks or max(1, -(-v.count() // BLOCK_ROWS)))
+    nl = blocks(u)
+    nr = nl if others is None else blocks(o)
     # both block ids must have the same type on both sides, or the cogroup keys hash apart
-    blk = F.pmod(F.xxhash64("pid"), F.lit(nb)).cast("bigint")
-    ids = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nb - 1).cast("bigint")))
-    left = u.select("pid", "vec", blk.alias("lb"), ids.alias("rb"))
-    right = o.select("pid", "vec", blk.alias("rb"), ids.alias("lb"))
+    blk = lambda n: F.pmod(F.xxhash64("pid"), F.lit(n)).cast("bigint")
+    ids = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    left = u.select("pid", "vec", blk(nl).alias("lb"), ids(nr).alias("rb"))
+    right = o.select("pid", "vec", blk(nr).alias("rb"), ids(nl).alias("lb"))
     topk = _block_topk(k, exclude_self=others is None)
     part = left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb")).applyInPandas(
         lambda l, r: topk(l[["pid", "vec"]], r[["pid", "vec"]]), PAIR_SCHEMA

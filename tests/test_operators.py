@@ -330,3 +330,27 @@ def test_recall_of_the_registered_neighbour_queries(spark):
     print("items", items, "users", users)
     assert items["exact_pairs"] > 1000 and users["exact_pairs"] > 1000
     assert items["recall"] >= 0.9 and users["recall"] >= 0.9
+
+
+def test_knn_exact_blocks_follow_the_number_of_vectors(spark, monkeypatch):
+    from candor.operators import knn
+    from candor.sources import fixtures as X
+
+    v = X.item_vectors(spark, SF01)
+    want = {(r["pid"], r["near_pid"]) for r in knn_exact(v, k=5, n_blocks=1).collect()}
+    plain = knn._block_topk
+
+    def bounded(k, exclude_self=True):
+        topk = plain(k, exclude_self)
+
+        def run(left, right):
+            assert max(len(left), len(right)) <= 64, "a block grows with the table"
+            return topk(left, right)
+
+        return run
+
+    monkeypatch.setattr(knn, "_block_topk", bounded)
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 32, raising=False)
+    assert {(r["pid"], r["near_pid"]) for r in knn_exact(v, k=5).collect()} == want
+    users = v.limit(40)
+    assert knn_exact(users, k=5, others=v).count() == 40 * 5
