@@ -6,7 +6,7 @@ from candor.operators.community import community_review_index
 from candor.operators.pool import pool_clean
 from candor.operators.review import review_board
 from candor.sources import fixtures as X
-from conftest import SF001
+from core_data import SF001
 
 T0 = 1_000_000_000
 DAY = 86400

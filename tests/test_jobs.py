@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from candor.plans import jobs as J
 from candor.plans.params import AS_OF
 from candor.sources import fixtures as X
-from conftest import SF001
+from core_data import SF001
 
 
 def test_hot_and_boot_jobs(spark):

@@ -10,7 +10,7 @@ from candor.operators.knn import knn_exact, knn_lsh, knn_recall
 from candor.operators.neighbours import parse_neighbour_lines
 from candor.operators.pool import POOL_COLUMNS
 from candor.plans.registry import load_all
-from conftest import SF001, SF01
+from core_data import SF001, SF01
 
 REG = load_all()
 

@@ -3,7 +3,7 @@
 import pytest
 
 from candor.plans.registry import load_all
-from conftest import SF001, SF01
+from core_data import SF001, SF01
 from oracle_check import compare
 
 REG = load_all()

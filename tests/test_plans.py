@@ -7,7 +7,7 @@ from candor.operators.index import topn_index
 from candor.operators.review import review_board
 from candor.plans.params import AS_OF
 from candor.sources import fixtures as X
-from conftest import SF001
+from core_data import SF001
 
 
 def _plan(df) -> str:

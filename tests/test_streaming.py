@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from candor.sources import fixtures as X
 from candor.streaming.boot_stream import ladder_rounds, round_ends, stream_boot
 from candor.streaming.counters_stream import COUNTERS, current_counters, latest_counters, start_counter_stream, stream_counters
-from conftest import SF001
+from core_data import SF001
 
 EVENT_SCHEMA = "pid long, ts timestamp, counter string"
 
