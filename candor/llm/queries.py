@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bagminhash, exact_dedup, license_scan, mixing, multi_index, packing, site_templates, token_counts, toxicity,
-               warc)
+from . import (bagminhash, exact_dedup, hard_negatives, license_scan, mixing, multi_index, packing, prefix_trie, site_templates,
+               token_counts, toxicity, warc, weak_rules)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -20,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_weak_rules": weak_rules.op11_weak_rules,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -27,4 +30,7 @@ ORACLES: dict[str, str] = {
     "op5_warc": warc.ORACLE,
     "op6_license_scan": license_scan.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
+    "op11_weak_rules": weak_rules.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
