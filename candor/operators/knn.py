@@ -1,4 +1,4 @@
-"""Top-k cosine neighbours: exact (blocked) and approximate (LSH).
+"""Top-k cosine neighbours: exact (blocked) and by sign projections (LSH).
 
 ``knn_exact`` hashes items into ``nb`` blocks of about ``BLOCK_ROWS`` and pairs every left block with every
 right block through an equi-join on the block id (each side replicated ``nb`` times). Each
@@ -6,8 +6,8 @@ block pair is scored with one numpy matrix product inside ``applyInPandas`` and
 top ``k`` per item leave the task, so at most ``n * nb * k`` rows are shuffled and no
 all-pairs frame is ever materialised; a final window limit merges the per-block top-k.
 The compute is still O(n^2): this is the exact answer for vocabularies that fit that
-budget and the recall yardstick for ``knn_lsh``, which is the path for large vocabularies and the
-default of every job (the upstream job also uses an approximate index).
+budget and the recall yardstick for the approximate searches: ``knn_lsh`` below, and the trees of
+``operators.forest``, which are the default of every job (the upstream job also uses a tree index).
 """
 
 from __future__ import annotations
@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from ..session import set_down
 from .embed import signs_of
-from .skew import top_per_group
+from .meet import met
 
 PAIR_SCHEMA = "pid long, near_pid long, score double"
 BLOCK_ROWS = 2048  # vectors of a block: a pair of blocks makes a matrix of some 32 MB
 
 
-def _unit(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(pid, vec): ids as bigint, vectors of unit length as doubles; rows without a vector go."""
     v = F.col(vec_col).cast("array<double>")
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
     return vectors.select(
@@ -71,8 +72,8 @@ def knn_exact(
     (e.g. user vectors against item vectors). Each side has ``n_blocks`` blocks, by default as many as
     hold about ``BLOCK_ROWS`` vectors each; the result is the same for any number.
     """
-    u = _unit(vectors, id_col, vec_col)
-    o = u if others is None else _unit(others, id_col, vec_col)
+    u = unit_vectors(vectors, id_col, vec_col)
+    o = u if others is None else unit_vectors(others, id_col, vec_col)
     blocks = lambda v: int(n_blocks or max(1, -(-v.count() // BLOCK_ROWS)))
     nl = blocks(u)
     nr = nl if others is None else blocks(o)
@@ -121,27 +122,17 @@ def knn_lsh(
     share one projection's sign with probability 1 - a / pi, and are candidates if they agree on
     all ``bits`` signs of some of ``tables`` tables: unrelated vectors in about
     ``tables / 2 ** bits`` of all pairs, near ones mostly. More bits prune more, more tables find
-    more. Candidates meet in an equi-join on (table, signs); a pair is kept in the first table
-    where it meets, so none is shuffled twice. Recall against ``knn_exact``: ``knn_recall``.
+    more. Groups of equal signs are scored as blocks (``operators.meet``). Recall against ``knn_exact``: ``knn_recall``.
     """
-    u = _unit(vectors, id_col, vec_col)
-    o = u if others is None else _unit(others, id_col, vec_col)
+    u = unit_vectors(vectors, id_col, vec_col)
+    o = u if others is None else unit_vectors(others, id_col, vec_col)
     first = o.select(F.size("vec").alias("dim")).first()
     if first is None:
         return u.select("pid", F.col("pid").alias("near_pid"), F.lit(0.0).alias("score")).limit(0)
-    keys = bands(F.col("vec"), first["dim"], tables, bits)
-    left = set_down(u.select("pid", "vec", keys.alias("keys")))
-    right = left if others is None else set_down(o.select("pid", "vec", keys.alias("keys")))
-    right = right.select(F.col("pid").alias("near_pid"), F.col("vec").alias("near_vec"), F.col("keys").alias("near_keys"))
-    a = left.select("*", F.posexplode("keys").alias("table", "key"))
-    b = right.select("*", F.posexplode("near_keys").alias("table", "key"))
-    meet = F.array_position(F.zip_with("keys", "near_keys", lambda x, y: x == y), True) - 1
-    pairs = a.join(b, ["table", "key"]).filter(F.col("table") == meet)
-    if others is None:
-        pairs = pairs.filter(F.col("pid") != F.col("near_pid"))
-    score = F.aggregate(F.zip_with("vec", "near_vec", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    pairs = pairs.select("pid", "near_pid", score.alias("score")).filter(F.col("score") >= min_score)
-    return top_per_group(pairs, ["pid"], [F.col("score").desc(), F.col("near_pid").asc()], k, name="__rn").drop("__rn")
+    groups = F.transform(bands(F.col("vec"), first["dim"], tables, bits), lambda key: F.conv(key, 2, 10).cast("bigint"))
+    left = set_down(u.select("pid", "vec", groups.alias("groups")))
+    right = None if others is None else set_down(o.select("pid", "vec", groups.alias("groups")))
+    return met(left, right, k=k, min_score=min_score)
 
 
 def knn_recall(approx: DataFrame, exact: DataFrame, *, min_score: float = 0.5) -> DataFrame:

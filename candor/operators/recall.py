@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .forest import knn_forest
 from .knn import knn_exact, knn_lsh
 from .skew import top_per_group
 
@@ -85,16 +86,16 @@ def user_vectors(actions: DataFrame, vectors: DataFrame, *, last_n: int = 20) ->
 
 
 def user_vector_recall(actions: DataFrame, vectors: DataFrame, *, last_n: int = 20, k: int = 50,
-                       method: str = "lsh", min_score: float = 0.0, **lsh) -> DataFrame:
+                       method: str = "forest", min_score: float = 0.0, **search) -> DataFrame:
     """Nearest items to each user's mean recent vector: (mid, pid, score).
 
-    ``lsh``: sign-projection candidates with cosine >= ``min_score``; ``exact``: all pairs, in blocks, as a
-    yardstick on small sets.
+    ``forest`` (``knn_forest``) and ``lsh`` (``knn_lsh``) are approximate, with cosine >= ``min_score``; ``exact``: all
+    pairs, in blocks, as a yardstick on small sets. Further arguments go to the search.
     """
     u = user_vectors(actions, vectors, last_n=last_n).select(F.col("mid").alias("pid"), "vector")
     items = vectors.select("pid", "vector")
-    if method == "lsh":
-        pairs = knn_lsh(u, k=k, min_score=min_score, others=items, **lsh)
+    if method in ("forest", "lsh"):
+        pairs = (knn_forest if method == "forest" else knn_lsh)(u, k=k, min_score=min_score, others=items, **search)
     else:
         pairs = knn_exact(u, k=k, others=items)
     return pairs.select(F.col("pid").alias("mid"), F.col("near_pid").alias("pid"), "score")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -19,8 +19,8 @@ from ..operators.community import community_review_index
 from ..operators.counters import post_counters
 from ..operators.embed import cooccurrence, cooccurrence_vectors, frequent, item2vec, summed
 from ..operators.engagement import engagement_cells
+from ..operators.forest import LEAF, TREES, knn_forest
 from ..operators.index import short_groups, topn_index
-from ..operators.knn import knn_lsh
 from ..operators.neighbours import i2i_index, i2i_neighbours, i2i_quality_index, neighbour_lines, valid_posts
 from ..operators.pool import pool_clean
 from ..operators.ranking import hot_img_rank, hot_video_rank
@@ -71,11 +71,12 @@ def hot_job(spark: SparkSession, inp: HotInputs, out: str, *, as_of: int, days:
 
 def community_job(spark: SparkSession, docs: DataFrame, counters: DataFrame, taxonomy: DataFrame, out: str, *,
                   as_of: int) -> dict[str, int]:
-    """Write the community index; returns monitoring counts (posts indexed, lists written)."""
-    W.write_index(community_review_index(docs, counters, taxonomy, as_of=as_of), out)
+    """Write the community index; returns monitoring counts (posts indexed, lists written), observed during the write."""
+    seen = Observation("community")
     lists = F.count(F.when(F.col("chunk") < 0, 1))
-    m = spark.read.parquet(out).agg(F.sum("n_items").alias("posts"), lists.alias("keys")).first()
-    return {"community_post_cnt": int(m["posts"] or 0), "index_keys": int(m["keys"])}
+    index = community_review_index(docs, counters, taxonomy, as_of=as_of)
+    W.write_index(index.observe(seen, F.sum("n_items").alias("posts"), lists.alias("keys")), out)
+    return {"community_post_cnt": int(seen.get["posts"] or 0), "index_keys": int(seen.get["keys"] or 0)}
 
 
 def pool_export_job(docs: DataFrame, step_override: DataFrame, base: str, *, as_of: int, version: str) -> str:
@@ -91,7 +92,7 @@ def i2i_job(
     spark: SparkSession, actions: DataFrame, docs: DataFrame, raw_counters: DataFrame, taxonomy: DataFrame,
     standards: DataFrame, out: str, *, as_of: int, day: str, mode: str = "full", max_day: int = 30,
     action: str = "review", method: str = "cooccurrence", k: int = C.I2I_TOPN, min_score: float = C.I2I_MIN_SCORE,
-    tables: int = 8, bits: int = 6,
+    trees: int = TREES, leaf: int = LEAF,
 ) -> None:
     """Sequences -> item vectors -> top-k neighbours -> validated lists -> (gated) indexes.
 
@@ -123,7 +124,7 @@ def i2i_job(
         W.save_model_snapshot(model, f"{out}/models/{action}", day)
     W.replace_table(vecs, vectors_path)
     vectors = spark.read.parquet(vectors_path)
-    pairs = knn_lsh(vectors, k=k, min_score=min_score, tables=tables, bits=bits)
+    pairs = knn_forest(vectors, k=k, min_score=min_score, trees=trees, leaf=leaf)
     valid = valid_posts(docs, as_of=as_of)
     neigh_path = f"{out}/neighbours/{day}"
     W.replace_table(i2i_neighbours(pairs, valid, min_score=min_score), neigh_path)
@@ -150,7 +151,9 @@ def boot_round_job(
     rules = rules or B.load_rules()
     cands = set_down(B.boot_candidates(docs, step_override, taxonomy, as_of=as_of, days=days))
     t_path = f"{out}/transition/{as_of}"
-    W.replace_table(B.boot_transition(cands, counters, serving, docs, step_override, rules, as_of=as_of), t_path)
+    seen, of = Observation("transition"), lambda name: F.count(F.when(F.col("output") == name, 1)).alias(name)
+    rows = B.boot_transition(cands, counters, serving, docs, step_override, rules, as_of=as_of)
+    W.replace_table(rows.observe(seen, *[of(name) for name in ("pool", "override", "serving")]), t_path)
     t = spark.read.parquet(t_path)
     version = f"{as_of:012d}"
     paths = {
@@ -159,8 +162,7 @@ def boot_round_job(
         "override": W.publish_version(B.next_overrides(step_override, t), f"{out}/override", version),
         "serving": W.publish_version(B.next_serving(t), f"{out}/serving", version),
     }
-    counts = {r["output"]: int(r["n"]) for r in t.groupBy("output").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {**paths, "counts": counts}
+    return {**paths, "counts": {name: int(n) for name, n in seen.get.items() if n}}
 
 
 def counter_stream_job(

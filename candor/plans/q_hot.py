@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..operators import daily as D
 from ..operators import engagement as E
 from ..operators import ranking as R
 from ..operators.index import short_groups, topn_index
-from ..session import set_down
+from ..session import scratch_dir, set_down
 from ..sources import fixtures as X
 from . import oracle_hot as O
 from .fixture_sql import with_views
@@ -43,6 +44,15 @@ def q_engagement_cells(spark: SparkSession, d: str) -> DataFrame:
     return engagement(spark, d)
 
 
+# the same cells by way of stored partial sums: the fixture's days span years, so a month is a period here
+@register("engagement_cells_daily", with_views("SELECT * FROM cells", *BASE, extra=[O.cells_cte()]), O.CELL_DOUBLES)
+def q_engagement_cells_daily(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_dir(spark, "partials")
+    D.write_partials(D.daily_partials(X.behaviour(spark, d), X.posts(spark, d), X.users(spark, d), X.taxonomy(spark, d)), path,
+                     period="substr(ymd, 1, 6)", spread=2)
+    return D.cells_from_partials(spark.read.parquet(path), X.pool(spark, d), since_day=HOT_SINCE_DAY, behaviour_since_day=BEHAVIOUR_SINCE_DAY)
+
+
 _BOUND_COLS = [f"{m}_{s}" for m in O.VIDEO_ALL for s in ("min", "max")]
 
 

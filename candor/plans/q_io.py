@@ -10,8 +10,10 @@ from ..operators.pool import pool_clean
 from ..operators.review import taxonomy_flat
 from ..session import scratch_dir
 from ..sinks import writers as W
+from ..sinks.retention import expired
 from ..sources import fixtures as X
 from ..sources import readers as R
+from ..sources.tables import table
 from .fixture_sql import with_views
 from .params import AS_OF
 from .q_i2i import _I2I_CTES, _I2I_VIEWS, _SEQ_SQL, _VALID_CTE, neighbours, sequences
@@ -75,3 +77,19 @@ def q_pool_tsv(spark: SparkSession, d: str) -> DataFrame:
     clean = pool_clean(X.pool_docs(spark, d), X.step_override(spark, d), as_of=AS_OF, override_since_ct=POOL_OVERRIDE_SINCE)
     W.export_csv(clean, path, sep="\t")
     return spark.read.schema(clean.schema).option("sep", "\t").option("emptyValue", "").option("nullValue", "\\N").csv(path)
+
+
+# ---------------------------------------------------------------- retention
+MODEL_DAYS, HELD = 10, "20240105"  # models are kept for ten days; one version is still being read
+
+_RETENTION_SQL = f"""
+SELECT version, n, age_days, age_days > {MODEL_DAYS} AND version <> '{HELD}' AND version <> max(version) OVER () AS expired
+FROM (SELECT strftime(CAST(ts AS DATE), '%Y%m%d') AS version, count(*) AS n, date_diff('day', CAST(ts AS DATE), DATE '2024-01-31') AS age_days
+      FROM events GROUP BY ALL) v"""
+
+
+@register("retention_plan", _RETENTION_SQL)
+def q_retention_plan(spark: SparkSession, d: str) -> DataFrame:
+    """The days of the event table as versions: what the ten-day rule would retire."""
+    days = table(spark, d, "events").groupBy(F.date_format("ts", "yyyyMMdd").alias("version")).agg(F.count(F.lit(1)).alias("n"))
+    return expired(days, as_of="20240131", max_age_days=MODEL_DAYS, held=days.where(F.col("version") == HELD).select("version"))

@@ -12,7 +12,7 @@ from ..session import set_down
 from ..sources import fixtures as X
 from .fixture_sql import with_views
 from .params import EVENTS_AS_OF
-from .q_i2i import _I2I_CTES, _I2I_VIEWS, BITS, TABLES, lsh_ctes, neighbours
+from .q_i2i import _I2I_CTES, _I2I_VIEWS, near_cte, neighbours
 from .registry import register
 
 LAST_N, K_I2I = 100, 50
@@ -147,14 +147,13 @@ SELECT r.mid, u.i, avg(u.x) AS x
 FROM urecent r JOIN (SELECT pid, unnest(range(len(vector))) AS i, unnest(CAST(vector AS DOUBLE[])) AS x FROM vectors) u
   ON u.pid = r.pid
 GROUP BY r.mid, u.i)""", """uvec AS (SELECT mid, list(x ORDER BY i) AS vec FROM udims GROUP BY mid)""", """uvecs AS (SELECT mid AS pid, vec AS vector FROM uvec)""",
-    *lsh_ctes("u2i", "uvecs", "vectors", False, K_U2I, 0.0),
+    near_cte("u2i", "uvecs", "vectors", False, K_U2I, 0.0),
     """r_u2i AS (SELECT pid AS mid, near_pid AS pid, score FROM u2i)"""]
 
 
 @register("user_vector_recall", with_views("SELECT * FROM r_u2i", "actions", "vectors", extra=_U2I_CTES), ["score"])
 def q_user_vector_recall(spark: SparkSession, d: str) -> DataFrame:
-    return user_vector_recall(X.event_actions(spark, d), X.item_vectors(spark, d), last_n=U2I_LAST_N, k=K_U2I,
-                              tables=TABLES, bits=BITS)
+    return user_vector_recall(X.event_actions(spark, d), X.item_vectors(spark, d), last_n=U2I_LAST_N, k=K_U2I)
 
 
 def _quota_sql() -> str:
@@ -187,8 +186,7 @@ def q_quota_merge(spark: SparkSession, d: str) -> DataFrame:
     r = (
         recent_i2i_recall(acts, neighbours(spark, d), last_n=LAST_N, k=K_I2I).withColumn("source", F.lit("i2i"))
         .unionByName(topic.withColumn("source", F.lit("topic")))
-        .unionByName(user_vector_recall(acts, X.item_vectors(spark, d), last_n=U2I_LAST_N, k=K_U2I,
-                              tables=TABLES, bits=BITS)
+        .unionByName(user_vector_recall(acts, X.item_vectors(spark, d), last_n=U2I_LAST_N, k=K_U2I)
                      .withColumn("source", F.lit("u2i")))
     )
     live = X.serving_budget(spark, d).filter(F.col("remaining") > 0).select("pid")

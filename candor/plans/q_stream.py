@@ -6,21 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import fixtures as X
 from ..streaming.boot_stream import stream_boot
-from ..streaming.counters_stream import COUNTERS, stream_counters
+from ..streaming.counters_stream import COUNTERS, GENDERS, SPLIT, stream_counters, with_gender
 from .fixture_sql import AS_OF, EVENTS_AS_OF, VIEWS, with_views
 from .params import BOOT_DAYS
 from .q_boot import _TRANSITION_BODY, _TRANSITION_CTES
 from .registry import register
 
 _SUMS = ", ".join(f"CAST(sum(CASE WHEN counter = '{c}' THEN amount ELSE 0 END) AS BIGINT) AS \"{c}\"" for c in COUNTERS)
+_SUMS += ", " + ", ".join(f"CAST(sum(CASE WHEN counter = '{c}' AND gender = {g} THEN amount ELSE 0 END) AS BIGINT) AS \"s{g}_{c}\""
+                          for g in GENDERS for c in COUNTERS)
+_LIVE_CTE = "live AS (SELECT e.*, coalesce(u.gender, 0) AS gender FROM exposures e LEFT JOIN users u ON u.mid = e.mid)"
 _COUNTERS_SQL = with_views(f"""
 SELECT pid, CAST(epoch(CAST(CAST(ts AS DATE) AS TIMESTAMP)) AS BIGINT) AS start, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, {_SUMS}
-FROM exposures GROUP BY pid, CAST(ts AS DATE)""", "exposures")
+FROM live GROUP BY pid, CAST(ts AS DATE)""", "exposures", "users", extra=[_LIVE_CTE])
+
+
+def live_events(spark: SparkSession, d: str) -> DataFrame:
+    return with_gender(X.exposure_stream(spark, d), X.users(spark, d))
 
 
 @register("stream_counters", _COUNTERS_SQL)
 def q_stream_counters(spark: SparkSession, d: str) -> DataFrame:
-    return stream_counters(spark, X.exposure_stream(spark, d))
+    return stream_counters(spark, live_events(spark, d))
+
+
+# every event twice, as an at-least-once source would deliver it: the sums are those of one delivery
+@register("stream_counters_once", _COUNTERS_SQL)
+def q_stream_counters_once(spark: SparkSession, d: str) -> DataFrame:
+    events = live_events(spark, d)
+    return stream_counters(spark, events.unionByName(live_events(spark, d)), dedup=True)
 
 
 # ---------------------------------------------------------------- ladder rounds over the stream
@@ -35,21 +49,21 @@ def _at(sql: str, as_of: int) -> str:
 
 
 def _ladder_sql() -> str:
-    fields = [f'"{c}"' for c in COUNTERS]
-    split = [f'c."s{g}_{c}"' for g in (0, 1, 2) for c in COUNTERS]
+    fields = [f'"{c}"' for c in (*COUNTERS, *SPLIT)]
     zero = lambda a: f"coalesce({a}, 0)"
     ctes = [
+        _LIVE_CTE,
         f"pool_1 AS ({_at(VIEWS['pool'][1], EVENTS_AS_OF)})",
         f"override_1 AS ({_at(VIEWS['step_override'][1], EVENTS_AS_OF)})",
         "serving_1 AS (SELECT * FROM serving)",
-        f"win AS (SELECT pid, CAST(epoch(ts) AS BIGINT) // {ROUND_DAYS * 86400} * {ROUND_DAYS * 86400} AS start, {_SUMS} FROM exposures GROUP BY 1, 2)",
+        f"win AS (SELECT pid, CAST(epoch(ts) AS BIGINT) // {ROUND_DAYS * 86400} * {ROUND_DAYS * 86400} AS start, {_SUMS} FROM live GROUP BY 1, 2)",
     ]
     parts = []
     for r, end in enumerate(ROUND_ENDS, 1):
         sums = ", ".join(f"CAST({zero('c.' + f)} + {zero('w.' + f)} AS BIGINT) AS {f}" for f in fields)
         totals = ", ".join(f"sum({f}) AS {f}" for f in fields)
         ctes.append(f"""counters_{r} AS (
-SELECT coalesce(c.pid, w.pid) AS pid, {sums}, {', '.join(split)}
+SELECT coalesce(c.pid, w.pid) AS pid, {sums}
 FROM counters c FULL OUTER JOIN (SELECT pid, {totals} FROM win WHERE start < {end} GROUP BY pid) w ON w.pid = c.pid)""")
         own = [f"{name} AS (SELECT * FROM {src}_{r})" for name, src in (
             ("pool", "pool"), ("step_override", "override"), ("serving", "serving"), ("counters", "counters"))]
@@ -64,12 +78,12 @@ SELECT coalesce(p.pid, u.pid) AS pid, {', '.join(map(pick, ('step_boot', 'step_b
 FROM override_{r} p FULL OUTER JOIN (SELECT * FROM t_{r} WHERE output = 'override') u ON u.pid = p.pid)""")
         ctes.append(f"serving_{n} AS (SELECT pid, remaining, weight FROM t_{r} WHERE output = 'serving')")
         parts.append(f"SELECT *, CAST({end} AS BIGINT) AS round FROM t_{r}")
-    return with_views(" UNION ALL ".join(parts), "post_agg", "tax", "counters", "serving", "exposures", extra=ctes)
+    return with_views(" UNION ALL ".join(parts), "post_agg", "tax", "counters", "serving", "exposures", "users", extra=ctes)
 
 
 @register("stream_boot", _ladder_sql())
 def q_stream_boot(spark: SparkSession, d: str) -> DataFrame:
     return stream_boot(
-        spark, X.exposure_stream(spark, d), X.pool_docs(spark, d, EVENTS_AS_OF), X.step_override(spark, d, EVENTS_AS_OF),
+        spark, live_events(spark, d), X.pool_docs(spark, d, EVENTS_AS_OF), X.step_override(spark, d, EVENTS_AS_OF),
         X.taxonomy(spark, d), X.serving_budget(spark, d), X.counters(spark, d), ROUND_ENDS,
         round_length=f"{ROUND_DAYS} days", days=BOOT_DAYS)

@@ -57,11 +57,10 @@ def published(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame:
-    """The newest complete version under ``base`` (largest version, then last published)."""
-    manifest = published(spark, base)
-    if manifest is None:
-        raise FileNotFoundError(f"no version is published under {base}")
-    return spark.read.parquet(manifest.orderBy(F.desc("version"), F.desc("published_at")).first()["path"])
+    """The newest complete version under ``base`` (largest version, then last published) that isn't retired."""
+    from .retention import current_versions
+
+    return spark.read.parquet(current_versions(spark, base).orderBy(F.desc("version"), F.desc("published_at")).first()["path"])
 
 
 def write_index(df: DataFrame, path: str) -> None:

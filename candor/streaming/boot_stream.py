@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import boot as B
 from ..session import set_down
-from .counters_stream import COUNTERS, stream_counters
+from .counters_stream import COUNTERS, SPLIT, stream_counters
 
 
 def round_ends(first: int, last: int, length: int) -> list[int]:
@@ -27,16 +27,17 @@ def round_ends(first: int, last: int, length: int) -> list[int]:
 
 
 def counters_through(start: DataFrame, windows: DataFrame, as_of: int) -> DataFrame:
-    """Counters at ``as_of``: those at the start plus all windows that began before it.
+    """Counters at ``as_of``: those at the start plus all windows that began before it, in total and by gender.
 
-    Windows are summed by post first; the per-gender columns of ``start`` stay as they are.
+    Windows are summed by post first; columns that ``windows`` lacks stay as they are at the start.
     """
-    w = windows.filter(F.col("start") < as_of).groupBy("pid").agg(*[F.sum(c).alias(f"w_{c}") for c in COUNTERS])
+    live = [c for c in (*COUNTERS, *SPLIT) if c in windows.columns]
+    w = windows.filter(F.col("start") < as_of).groupBy("pid").agg(*[F.sum(c).alias(f"w_{c}") for c in live])
     j = start.join(w.withColumnRenamed("pid", "w_pid"), F.col("pid") == F.col("w_pid"), "full_outer")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint"))
     out = [F.coalesce("pid", "w_pid").alias("pid")]
     for c in start.columns:
-        if c in COUNTERS:
+        if c in live:
             out.append((zero(c) + zero(f"w_{c}")).alias(c))
         elif c != "pid":
             out.append(F.col(c))

@@ -1,6 +1,8 @@
 """Live per-post counters from an exposure-event stream (Structured Streaming).
 
-Events ``(pid, ts, counter[, amount])`` are summed per post and event-time window. A live stream has a
+Events ``(pid, ts, counter[, amount][, gender][, event_id])`` are summed per post and event-time window, in total and,
+where they carry a gender (``with_gender``: a stream-static join to the users), by gender in the same aggregate. Deliveries
+come at least once: ``once_each`` keeps the first of those with one event id. A live stream has a
 watermark, so state for windows older than it is dropped; a backfill over what is there
 (``availableNow``) has none, because its files may come in any order and every event counts. Each micro-batch's updated rows
 (``update`` mode) are appended by ``foreachBatch`` to a changelog folder under the shared
@@ -20,19 +22,48 @@ from pyspark.sql.streaming import StreamingQuery
 from ..session import ensure_checkpoint_dir
 
 COUNTERS = ("rec", "sume", "gsume", "detail", "share", "like", "download", "review", "play_video", "play_dur")
+GENDERS = (0, 1, 2)
+SPLIT = tuple(f"s{g}_{c}" for g in GENDERS for c in COUNTERS)  # counters by gender, beside the totals
 
 
-def counter_aggregate(events: DataFrame, *, watermark: str | None = None, window: str = "1 day") -> DataFrame:
-    """(pid, ts, counter[, amount]) -> (pid, start, day, one column a counter) per event-time window.
+def with_gender(events: DataFrame, users: DataFrame) -> DataFrame:
+    """Events with their user's ``gender`` (unknown users and genders: 0). ``users`` (mid, gender) is static."""
+    u = users.select(F.col("mid").alias("u_mid"), F.col("gender").cast("int").alias("gender"))
+    j = events.join(u, F.col("mid") == F.col("u_mid"), "left").drop("u_mid")
+    return j.withColumn("gender", F.coalesce("gender", F.lit(0)))
 
-    Works on a streaming or a batch frame. An event without ``amount`` counts 1.
+
+def once_each(events: DataFrame, *, watermark: str | None = None) -> DataFrame:
+    """The first delivery of every (event_id, counter).
+
+    With a watermark an id is remembered until the watermark passes its first delivery's time by the delay (later
+    replays of it are late rows); a backfill without one remembers the ids of the whole run.
+    """
+    key = ["event_id", "counter"]
+    if not (events.isStreaming and watermark):
+        return events.dropDuplicates(key)
+    return events.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(key)
+
+
+def counter_aggregate(events: DataFrame, *, watermark: str | None = None, window: str = "1 day", dedup: bool = False) -> DataFrame:
+    """(pid, ts, counter[, amount][, gender]) -> (pid, start, day, one column a counter) per event-time window.
+
+    Works on a streaming or a batch frame. An event without ``amount`` counts 1. Events with ``gender`` give the
+    columns of ``SPLIT`` too. ``dedup``: repeated deliveries of an event_id count once.
     """
-    e = events.withWatermark("ts", watermark) if events.isStreaming and watermark else events
+    if dedup:
+        e = once_each(events, watermark=watermark)
+    else:
+        e = events.withWatermark("ts", watermark) if events.isStreaming and watermark else events
     amount = F.col("amount") if "amount" in events.columns else F.lit(1)
     g = e.groupBy("pid", F.window("ts", window).alias("w"))
     aggs = [F.sum(F.when(F.col("counter") == c, amount).otherwise(0)).cast("bigint").alias(c) for c in COUNTERS]
+    split = SPLIT if "gender" in events.columns else ()
+    if split:
+        own = lambda c, n: (F.col("counter") == c) & (F.col("gender") == n)
+        aggs += [F.sum(F.when(own(c, n), amount).otherwise(0)).cast("bigint").alias(f"s{n}_{c}") for n in GENDERS for c in COUNTERS]
     return g.agg(*aggs).select("pid", F.unix_timestamp(F.col("w.start").cast("timestamp")).alias("start"),
-                               F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), *COUNTERS)
+                               F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), *COUNTERS, *split)
 
 
 def start_counter_stream(
@@ -43,6 +74,7 @@ def start_counter_stream(
     checkpoint: str | None = None,
     watermark: str | None = None,
     window: str = "1 day",
+    dedup: bool = False,
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> tuple[StreamingQuery, str]:
@@ -54,7 +86,7 @@ def start_counter_stream(
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream_counters-{uuid.uuid4().hex[:12]}"
     out_dir = out_dir or base + "/changelog"
     checkpoint = checkpoint or base + "/checkpoint"
-    agg = counter_aggregate(events, watermark=watermark, window=window)
+    agg = counter_aggregate(events, watermark=watermark, window=window, dedup=dedup)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out_dir)
@@ -67,7 +99,8 @@ def start_counter_stream(
     return w.start(), out_dir
 
 
-CHANGELOG_SCHEMA = "pid long, start long, day string, " + ", ".join(f"`{c}` long" for c in COUNTERS) + ", batch_id long"
+# a changelog without genders reads as nulls in the columns of SPLIT
+CHANGELOG_SCHEMA = "pid long, start long, day string, " + ", ".join(f"`{c}` long" for c in (*COUNTERS, *SPLIT)) + ", batch_id long"
 
 
 def _newest(changelog: DataFrame) -> DataFrame:

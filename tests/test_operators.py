@@ -97,10 +97,10 @@ def test_lsh_recall_floor(spark):
 
 def test_stream_equals_batch(spark):
     from candor.sources import fixtures as X
-    from candor.streaming.counters_stream import counter_aggregate
+    from candor.streaming.counters_stream import counter_aggregate, with_gender
 
     stream = REG["stream_counters"].run(spark, SF01)
-    batch = counter_aggregate(X.exposure_events(spark, SF01).withColumn("ts", F.col("ts").cast("timestamp")))
+    batch = counter_aggregate(with_gender(X.exposure_events(spark, SF01), X.users(spark, SF01)))
     assert stream.exceptAll(batch).count() == 0 and batch.exceptAll(stream).count() == 0
 
 
@@ -208,13 +208,13 @@ def test_cooccurrence_counts_add_up_over_days(spark):
 def test_lsh_prunes_and_finds_near_vectors(spark):
     import numpy as np
 
-    from candor.operators.knn import _unit, bands, knn_lsh, knn_recall
+    from candor.operators.knn import bands, knn_lsh, knn_recall, unit_vectors
 
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(40, 64))
     rows = [(i, (centres[i % 40] + 0.35 * rng.normal(size=64)).tolist()) for i in range(800)]
     v = spark.createDataFrame(rows, "pid long, vector array<double>")
-    keys = _unit(v, "pid", "vector").select("pid", F.posexplode(bands(F.col("vec"), 64, 8, 6)).alias("t", "key"))
+    keys = unit_vectors(v, "pid", "vector").select("pid", F.posexplode(bands(F.col("vec"), 64, 8, 6)).alias("t", "key"))
     other = keys.withColumnRenamed("pid", "near")
     candidates = keys.join(other, ["t", "key"]).filter("pid != near").select("pid", "near").distinct().count()
     assert candidates < 0.2 * 800 * 799
@@ -286,7 +286,7 @@ def test_user_vector_recall_lsh_close_to_exact(spark):
 
     acts, vecs = X.event_actions(spark, SF01), X.item_vectors(spark, SF01)
     ex = user_vector_recall(acts, vecs, k=20, method="exact")
-    ap = user_vector_recall(acts, vecs, k=20, min_score=0.0, tables=32, bits=4)
+    ap = user_vector_recall(acts, vecs, k=20, method="lsh", tables=32, bits=4)
     ex_pairs = ex.filter("score >= 0.3").select("mid", "pid")
     found = ex_pairs.join(ap.select("mid", "pid"), ["mid", "pid"], "left_semi").count()
     assert ex_pairs.count() > 0 and found / ex_pairs.count() >= 0.9
@@ -323,7 +323,7 @@ def test_recall_of_the_registered_neighbour_queries(spark):
     from candor.sources import fixtures as X
 
     acts, vecs = X.event_actions(spark, SF01), X.item_vectors(spark, SF01)
-    items = knn_recall(q_i2i.q_knn_lsh(spark, SF01), knn_exact(vecs, k=KNN_K), min_score=I2I_MIN_SCORE).first()
+    items = knn_recall(q_i2i.q_knn_forest(spark, SF01), knn_exact(vecs, k=KNN_K), min_score=I2I_MIN_SCORE).first()
     exact = user_vector_recall(acts, vecs, last_n=q_recall.U2I_LAST_N, k=q_recall.K_U2I, method="exact")
     users = knn_recall(q_recall.q_user_vector_recall(spark, SF01).withColumnsRenamed({"pid": "near_pid", "mid": "pid"}),
                        exact.withColumnsRenamed({"pid": "near_pid", "mid": "pid"}), min_score=0.0).first()

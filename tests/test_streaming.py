@@ -152,3 +152,57 @@ def test_compact_changelog(spark):
     q.awaitTermination()
     now = current_counters(spark, out, os.path.join(base, "snap"))
     assert sorted((x["pid"], x["rec"], x["like"]) for x in now.collect()) == [(1, 3, 0), (2, 0, 1)]
+
+
+def _drop_events(src, name, rows):
+    df = pd.DataFrame(rows, columns=["event_id", "pid", "mid", "ts", "counter", "amount"])
+    df["ts"] = pd.to_datetime(df["ts"], utc=True).astype("datetime64[us, UTC]")
+    df.to_parquet(os.path.join(src, name), index=False)
+
+
+def test_replayed_files_change_no_counter_and_genders_split(spark):
+    """Restarts over replayed deliveries: first deliveries count, replays within the watermark don't, later ones are late rows."""
+    from candor.streaming.counters_stream import with_gender
+
+    base = tempfile.mkdtemp(prefix="candor-once-", dir="/tmp")
+    src, out, ck = (os.path.join(base, x) for x in ("src", "out", "ck"))
+    os.makedirs(src)
+    users = spark.createDataFrame([(1, 1), (2, 2), (3, None)], "mid long, gender long")
+
+    def run():
+        ev = spark.readStream.schema("event_id long, pid long, mid long, ts timestamp, counter string, amount long").parquet(src)
+        q, _ = start_counter_stream(spark, with_gender(ev, users), out_dir=out, checkpoint=ck, watermark="2 hours", window="1 day", dedup=True)
+        q.awaitTermination()
+        assert q.exception() is None
+
+    first = [(100, 7, 1, "2024-01-10 10:00", "rec", 1), (100, 7, 1, "2024-01-10 10:00", "play_dur", 700), (101, 7, 2, "2024-01-10 10:01", "rec", 1),
+             (102, 7, 3, "2024-01-10 10:02", "rec", 1), (103, 7, 9, "2024-01-10 10:03", "like", 1), (101, 7, 2, "2024-01-10 10:01", "rec", 1)]
+    _drop_events(src, "b1.parquet", first)
+    run()
+    _drop_events(src, "b2.parquet", first)  # the whole file again
+    run()
+    _drop_events(src, "b3.parquet", [(100, 7, 1, "2024-01-10 10:20", "rec", 1), (104, 7, 1, "2024-01-10 11:00", "rec", 1)])  # a replay with another time
+    run()
+    _drop_events(src, "b4.parquet", [(105, 7, 1, "2024-01-12 10:00", "rec", 1)])  # closes the first day
+    run()
+    _drop_events(src, "b5.parquet", first)  # late now
+    run()
+    got = {r["day"]: r for r in latest_counters(spark, out).collect()}
+    day = got["2024-01-10"]
+    assert (day["rec"], day["s0_rec"], day["s1_rec"], day["s2_rec"], day["play_dur"], day["s1_play_dur"], day["s0_like"]) == (4, 1, 2, 1, 700, 700, 1)
+    assert got["2024-01-12"]["rec"] == 1
+
+
+def test_live_genders_reach_the_weights(spark):
+    from candor.operators.boot import boot_gender_weight
+    from candor.streaming.boot_stream import counters_through
+    from candor.streaming.counters_stream import counter_aggregate
+
+    ev = spark.createDataFrame([(7, "2024-01-10 10:00:00", "rec", 10, 1), (7, "2024-01-10 10:00:00", "rec", 10, 2), (7, "2024-01-10 10:00:00", "sume", 6, 1),
+                                (7, "2024-01-10 11:00:00", "sume", 3, 2)], "pid long, ts string, counter string, amount long, gender int")
+    w = counter_aggregate(ev.withColumn("ts", F.col("ts").cast("timestamp")), window="1 hour")
+    start = X.counters(spark, SF001).limit(0)
+    ptypes = spark.createDataFrame([(7, 2)], "pid long, ptype long")
+    at = int(dt.datetime(2024, 1, 10, 12, tzinfo=dt.timezone.utc).timestamp())
+    assert boot_gender_weight(counters_through(start, w, at), ptypes).first()["weight"] == "2.0000:0.5000"
+    assert boot_gender_weight(counters_through(start, w, at - HOUR), ptypes).first()["weight"] == "1.2:1.0"  # the second hour hasn't begun
