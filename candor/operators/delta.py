@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import set_down
+from .forest import knn_forest
 from .knn import knn_exact
 from .skew import top_per_group
 
@@ -29,13 +30,19 @@ def changed_vectors(now: DataFrame, before: DataFrame) -> DataFrame:
     return j.where(F.col("b_pid").isNull() | (F.col("vector") != F.col("b_vector"))).select("pid")
 
 
+def _without_self(near: DataFrame, k: int) -> DataFrame:
+    near = near.where(F.col("pid") != F.col("near_pid"))
+    return top_per_group(near, ["pid"], [F.col("score").desc(), F.col("near_pid").asc()], k, name="__rn").drop("__rn")
+
+
+def forest_search(k: int, min_score: float, **forest) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """Search through trees over the others; a query may be among them and is left out."""
+    return lambda queries, others: _without_self(knn_forest(queries, k=k + 1, min_score=min_score, others=others, **forest), k)
+
+
 def exact_search(k: int, min_score: float) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """Blocked search of all others; a query may be among them and is left out."""
-    def search(queries: DataFrame, others: DataFrame) -> DataFrame:
-        near = knn_exact(queries, k=k + 1, others=others).where((F.col("pid") != F.col("near_pid")) & (F.col("score") >= min_score))
-        return top_per_group(near, ["pid"], [F.col("score").desc(), F.col("near_pid").asc()], k, name="__rn").drop("__rn")
-
-    return search
+    return lambda queries, others: _without_self(knn_exact(queries, k=k + 1, others=others).where(F.col("score") >= min_score), k)
 
 
 def updated_neighbours(

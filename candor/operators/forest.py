@@ -113,10 +113,10 @@ def _cut_on(rows: DataFrame, trees: int, leaf: int, dim: int) -> DataFrame:
 def routed(vectors: DataFrame, *, trees: int = TREES, leaf: int = LEAF, seed: int = 42, sample: int = SAMPLE) -> DataFrame:
     """(pid, vec, item) -> the same with ``groups``, the leaf in every tree; trees are made of the items alone."""
     items = vectors.where("item")
-    picked = [r["vec"] for r in items.orderBy(F.xxhash64("pid"), "pid").limit(sample).select("vec").collect()]  # bounded by ``sample``
+    picked = items.orderBy(F.xxhash64("pid"), "pid").limit(sample).select("vec").toPandas()["vec"].tolist()  # bounded by ``sample``
     if not picked:
         return vectors.withColumn("groups", F.array_repeat(F.lit(0).cast("long"), trees))
-    n = items.count()
+    n = len(picked) if len(picked) < sample else items.count()
     depth = min(MAX_DEPTH, max(0, int(np.ceil(np.log2(n / leaf)))))
     model = vectors.sparkSession.sparkContext.broadcast(learned(np.array(picked), trees, depth, seed))
 

@@ -27,12 +27,12 @@ BLOCK_ROWS = 2048  # vectors of a block: a pair of blocks makes a matrix of some
 
 def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(pid, vec): ids as bigint, vectors of unit length as doubles; rows without a vector go."""
-    v = F.col(vec_col).cast("array<double>")
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-    return vectors.select(
-        F.col(id_col).cast("bigint").alias("pid"),
-        F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v).alias("vec"),
-    ).filter(F.col("vec").isNotNull())
+    # the norm is a step of its own: inside the lambda it would be worked out for every component
+    v = vectors.where(F.col(vec_col).isNotNull())
+    v = v.select(F.col(id_col).cast("bigint").alias("pid"), F.col(vec_col).cast("array<double>").alias("v"))
+    v = v.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)))
+    unit = F.when(F.col("norm") > 0, F.transform("v", lambda x: x / F.col("norm"))).otherwise(F.col("v"))
+    return v.select("pid", unit.alias("vec"))
 
 
 def _block_topk(k: int, exclude_self: bool = True):

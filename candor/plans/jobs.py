@@ -17,6 +17,7 @@ from ..functions.scalars import ymd_days_before
 from ..operators import boot as B
 from ..operators.community import community_review_index
 from ..operators.counters import post_counters
+from ..operators.delta import forest_search, updated_neighbours
 from ..operators.embed import cooccurrence, cooccurrence_vectors, frequent, item2vec, summed
 from ..operators.engagement import engagement_cells
 from ..operators.forest import LEAF, TREES, knn_forest
@@ -26,6 +27,7 @@ from ..operators.pool import pool_clean
 from ..operators.ranking import hot_img_rank, hot_video_rank
 from ..operators.review import review_board
 from ..operators.sequences import behaviour_sequences
+from ..operators.sgns import item_vectors, train
 from ..session import set_down
 from ..sinks import writers as W
 
@@ -99,11 +101,14 @@ def i2i_job(
     Co-occurrence counts are kept: a full run publishes those of its whole window, an incremental run
     writes its day's, and vectors come from the last full run's and all days since. So an
     incremental run starts from what is known, its vocabulary grows, and items not seen today keep
-    their lists. ``method="word2vec"`` or ``"als"`` trains a model on the sequences alone instead
-    and saves it per day.
+    their lists. ``method="sgns"`` trains vectors by negative sampling, from the last day's on (published per day);
+    ``"word2vec"`` or ``"als"`` trains a model on the sequences alone and saves it per day.
+
+    Vectors and neighbour pairs are published as versions, and an incremental run searches only what has
+    changed since the last ones (``operators.delta``).
     """
     seq = behaviour_sequences(actions, as_of=as_of, max_day=max_day, mode=mode)
-    vectors_path = f"{out}/vectors/{day}"
+    vectors_path, pairs_path = f"{out}/vectors", f"{out}/pairs"
     if method == "cooccurrence":
         full_path, daily_path = f"{out}/counts/full", f"{out}/counts/daily"
         counts = cooccurrence(seq, min_count=1)
@@ -119,12 +124,24 @@ def i2i_job(
                 since = full.agg(F.max("version")).first()[0]
                 every = W.read_latest(spark, full_path).unionByName(daily.filter(F.col("day") >= since).select("item", "ctx", "n"))
         vecs = cooccurrence_vectors(frequent(summed(every), C.W2V_MIN_COUNT))
+    elif method == "sgns":
+        models = f"{out}/models/{action}"
+        start = W.read_latest(spark, models) if W.published(spark, models) is not None else None
+        trained, _ = train(cooccurrence(seq), start=start)
+        W.publish_version(trained, models, day)
+        vecs = item_vectors(W.read_latest(spark, models))
     else:
         vecs, model = item2vec(seq, return_model=True, method=method)
         W.save_model_snapshot(model, f"{out}/models/{action}", day)
-    W.replace_table(vecs, vectors_path)
-    vectors = spark.read.parquet(vectors_path)
-    pairs = knn_forest(vectors, k=k, min_score=min_score, trees=trees, leaf=leaf)
+    known = mode != "full" and all(W.published(spark, p) is not None for p in (vectors_path, pairs_path))
+    before, lists = (W.read_latest(spark, vectors_path), W.read_latest(spark, pairs_path)) if known else (None, None)
+    vectors = spark.read.parquet(W.publish_version(vecs, vectors_path, day))
+    if known:
+        pairs = updated_neighbours(vectors, before, lists, k=k, min_score=min_score,
+                                   search=forest_search(k, min_score, trees=trees, leaf=leaf))
+    else:
+        pairs = knn_forest(vectors, k=k, min_score=min_score, trees=trees, leaf=leaf)
+    pairs = spark.read.parquet(W.publish_version(pairs, pairs_path, day))
     valid = valid_posts(docs, as_of=as_of)
     neigh_path = f"{out}/neighbours/{day}"
     W.replace_table(i2i_neighbours(pairs, valid, min_score=min_score), neigh_path)
