@@ -32,7 +32,7 @@ from .common import materialise, require, scratch, table, with_row_id
 MAGIC = b"WARC/1.0\r\n"
 END = b"\r\n\r\n"
 REVISIT_BYTES = 1000
-MOST_HEADER = 1 << 16  # a longer header is no record's
+STEP = 1 << 16  # bytes that are read on at a time for the end of a header
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
 
@@ -85,9 +85,10 @@ def _open(path: str):
     return store.open_input_file(at)
 
 
-def _header(data: bytes, at: int = 0) -> tuple[dict[str, str], int] | None:
-    """Header fields (lower-case names) of the record at ``at`` and the header's length, or None."""
-    stop = data.find(END, at, at + MOST_HEADER)
+def _header(data: bytes, at: int = 0, until: int | None = None) -> tuple[dict[str, str], int] | None:
+    """Header fields (lower-case names) of the record at ``at`` and the header's length, or None if it doesn't end
+    before ``until``."""
+    stop = data.find(END, at, until)
     if stop < 0 or not data.startswith(MAGIC, at):
         return None
     lines = data[at + len(MAGIC):stop].decode("utf-8", "replace").split("\r\n")
@@ -97,20 +98,32 @@ def _header(data: bytes, at: int = 0) -> tuple[dict[str, str], int] | None:
     return fields, stop + len(END) - at
 
 
+def _read_on(f, begin: int, stop: int, size: int) -> bytes:
+    """The bytes from ``begin`` to ``stop`` and on to the first end of a header that is not before ``stop``: whatever
+    the length of headers, those of all records that begin before ``stop`` are whole. A record ends with the same
+    bytes, so this is never further than the end of the record that holds ``stop``."""
+    f.seek(begin)
+    data = bytearray(f.read(stop - begin))
+    seen = max(0, stop - begin - len(END) + 1)
+    while data.find(END, seen) < 0 and begin + len(data) < size:
+        seen = max(seen, len(data) - len(END) + 1)
+        data += f.read(STEP)
+    return bytes(data)
+
+
 def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For every magic in a chunk: its offset and where the chain of records from it leaves the chunk."""
     for batch in batches:
         for path, size, begin, stop in batch.itertuples(index=False):
             with _open(path) as f:
-                f.seek(begin)
-                data = f.read(min(size, stop + MOST_HEADER) - begin)
+                data = _read_on(f, begin, stop, size)
             found, at = [], data.find(MAGIC)
             while 0 <= at < stop - begin:
                 found.append(at)
                 at = data.find(MAGIC, at + 1)
             leaves: dict[int, int] = {}
-            for at in reversed(found):
-                if head := _header(data, at):
+            for at, until in zip(reversed(found), [None, *reversed(found)], strict=False):  # no header holds another magic
+                if head := _header(data, at, until):
                     after = at + head[1] + int(head[0]["content-length"]) + len(END)
                     after = after if after >= stop - begin else leaves.get(after, -1)
                     if 0 <= after <= size - begin:
@@ -128,8 +141,7 @@ def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with _open(path) as f:
                 at = begin
                 while at < stop:
-                    f.seek(at)
-                    fields, n = _header(f.read(MOST_HEADER))
+                    fields, n = _header(_read_on(f, at, at + len(MAGIC), f.size()))
                     f.seek(at + n)
                     block = f.read(int(fields["content-length"]))
                     payload = block.partition(END)[2] if "application/http" in fields.get("content-type", "") else block

@@ -49,6 +49,17 @@ def test_round_trip(spark, chunk):
     assert all(r["url"] == clean[int(r["page_id"]) if r["page_id"] else None] for r in got)
 
 
+@pytest.mark.parametrize("chunk", [1000, 1 << 16, 1 << 20])
+def test_headers_of_any_length(spark, chunk):
+    long = "http://a.example/" + "x" * 70_000
+    rows = [(1, long, "<p>one</p>"), (2, long * 3, FAKE + "z" * 100_000), (3, None, "q"), (4, long, FAKE + "z" * 100_000), (5, "u", "WARC/1.0\r\n" * 20_000)]
+    path = scratch(spark, "test-warc")
+    W.write_pages(pages_of(spark, rows).coalesce(1), path)
+    records = W.read_records(spark, path, chunk=chunk)
+    assert sorted(str(tuple(r)) for r in W.described(records).collect()) == brute(rows)
+    assert {r["page_id"]: r["url"] for r in records.select("page_id", "url").collect()} == {str(i): u for i, u, _ in rows}
+
+
 def test_chunks_alone_would_be_misled(spark):
     # a payload's own records chain among themselves; only reachability from the start tells them apart
     path = scratch(spark, "test-warc")
