@@ -42,7 +42,7 @@ from .common import materialise, require, table, with_row_id
 
 # Fixed values of HTML: how its elements nest.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas")
+RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "canvas")
 FLOW = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 CLOSED_BY = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
              "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -56,6 +56,13 @@ NAMES = frozenset(
     "subscribe subscription signup login menu menus nav navbar navigation navi breadcrumb breadcrumbs sidebar sidenav "
     "pagination pager footer header masthead topbar toolbar comment comments commentlist respond disqus reply replies "
     "related recommended share sharing social widget widgets search form".split())
+# Words that say nothing of their own in such a name: "comment-list" is one, "notice-board-history" isn't.
+GENERIC = frozenset(
+    "area aside bar block body box btn button buttons card cards cell center col column container content control controls "
+    "desktop div element entry footer global group header heading holder icon icons inner item items label layer left line link links list "
+    "main mobile module nav outer page pane panel post posts primary region right row secondary section site slot slots tab text thread title top "
+    "bottom unit units view wrap wrapper zone section articles stories a b c d e f g h i j k l m n o p q r s t u v w x y z".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ABOUT = frozenset("has is js no not with without".split())  # such a class ("with-sidebar") tells what is around it
 TEXT_IN_ARTICLE = frozenset(
     "p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table caption thead tbody tfoot tr td th figure figcaption".split())
@@ -86,15 +93,15 @@ def _foreign(tag: str, attrs: str, inside: int) -> bool:
     """Whether an element names itself as something else than the article. Inside an article a header
     holds its title, so there only other names count."""
     names = set()
-    if attrs:
+    if attrs and tag not in HEADINGS:
         for name, *values in ATTR.findall(attrs):
             for value in "".join(values).lower().split():
                 words = re.split("[^a-z0-9]+", value)
                 if name.lower() == "role":
                     if value in ROLES:
                         return True
-                elif words[0] not in ABOUT:
-                    names |= NAMES.intersection(words)
+                elif words[0] not in ABOUT and all(w in NAMES or w in GENERIC or w.isdigit() for w in words if w):
+                    names |= NAMES.intersection(words)  # one of these words among others of a topic is no such name
     if inside:
         names.discard("header")
         return bool(names) or (tag in NOT_ARTICLE and tag != "header")

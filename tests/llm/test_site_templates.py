@@ -38,6 +38,13 @@ def test_what_is_not_the_article():
     assert text("<div><p>body text</p></div><div id='sidebar'>x</div>") == "body text"
 
 
+def test_names_of_a_topic_are_no_names_of_a_box():
+    page = "<article><h1 id='cookie-recipes'>Cookies</h1><section id='search-algorithms'><p>Binary search.</p></section>" \
+           "<div class='related-work'><p>Others did it.</p></div><div class='notice-board-history'>Boards.</div><h2 class='comments'>On comments</h2>" \
+           "<p>So <math><mi>x</mi></math> is <object>a drawing</object>.</p><div class='comment-list item-3'>x</div><ul class='share-links'><li>x</ul></article>"
+    assert text(page) == "Cookies Binary search. Others did it. Boards. On comments So x is a drawing."
+
+
 def test_template_goes_and_copies_stay(spark):
     rows, want = [], {}
     for k in range(20):
