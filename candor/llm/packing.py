@@ -90,6 +90,16 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, spaced(text).split(" ")))
 
 
+_KEPT: list[tuple[str, WordIds]] = []
+
+
+def kept_words(tokenizer: str) -> WordIds:
+    """The worker's words, kept from task to task as long as the tokenizer is the same."""
+    if not _KEPT or _KEPT[0][0] != tokenizer:
+        _KEPT[:] = [(tokenizer, WordIds(tokenizer))]
+    return _KEPT[0][1]
+
+
 class _Windows:
     """Open windows of one task; pieces are (document, start, bytes of ids)."""
 
@@ -142,7 +152,7 @@ def _windows(docs: DataFrame, tokenizer: str, end_id: int, size: int, keep: int,
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        here, words, windows, number = TaskContext.get().partitionId(), WordIds(sent.value), _Windows(size, keep, min_cut), 0
+        here, words, windows, number = TaskContext.get().partitionId(), kept_words(sent.value), _Windows(size, keep, min_cut), 0
         out: list[tuple] = []
 
         def close(pieces: list[tuple], is_open: bool) -> None:
