@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..operators.skew import skew_safe_row_number, top_per_group
 from .common import materialise, require, table
 
-SLAB, PART = 8192, 2048
+SLAB, PART = 4096, 2048
 LEAF, FAN = 256, 8
 SCALE, LIMIT = 256, 2**24
 
@@ -192,8 +192,10 @@ def mine(vectors: DataFrame, every: int = 100, positives: int = 5, negatives: in
     widest = max(range(dims), key=lambda d: (spans[d], -d)) if dims else None
     first = F.col("x")[widest] if dims else F.lit(0).cast("long")
     numbered = skew_safe_row_number(entries.withColumn("first", first), [], [F.col("first").asc(), F.col("ids")[0].asc(), F.col("label").asc(), F.col("x").asc()])
-    entries = materialise(numbered.select("label", "x", "ids", F.floor((F.col("rn") - 1) / SLAB).cast("int").alias("slab")), "negatives-entries")
-    n_slabs = (entries.agg(F.max("slab")).first()[0] or 0) + 1
+    numbered = materialise(numbered.select("label", "x", "ids", "rn"), "negatives-numbered")
+    n = numbered.count()
+    n_slabs = max(1, -(-n // SLAB))  # of equal size
+    entries = numbered.select("label", "x", "ids", F.expr(f"cast((rn - 1) * {n_slabs} div {max(n, 1)} as int)").alias("slab"))
 
     anchors = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("anchor_id"), "label", "x")
     anywhere = F.array(_window(F.lit(None), F.lit(None), F.lit(None)))
