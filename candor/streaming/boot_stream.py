@@ -58,7 +58,7 @@ def ladder_rounds(
     changed, done = None, []
     for as_of in ends:
         now = docs if changed is None else B.next_documents(docs, changed)
-        counters = counters_through(start, windows, as_of)
+        counters = set_down(counters_through(start, windows, as_of))  # several steps of a round read it
         cands = set_down(B.boot_candidates(now, step_override, taxonomy, as_of=as_of, days=days))
         t = set_down(B.boot_transition(cands, counters, serving, now, step_override, rules, as_of=as_of))
         done.append(t.withColumn("round", F.lit(as_of).cast("bigint")))
