@@ -14,14 +14,22 @@ Two texts agree in a component with probability equal to their weighted Jaccard
 Candidates. ``BANDS`` bands of ``ROWS`` components; texts that agree in a whole band share a bucket. At
 similarity 0.8 a pair shares none with probability (1 - 0.8^5)^30 = 7e-6.
 
-Links, without all pairs of a group. Each text is first compared with the smallest leader among its
-buckets (a bucket's leader is its smallest text id), and linked texts are joined to components.
-Buckets whose texts are all in one component have nothing more to tell. While the others hold more
-than ``PAIRS`` pairs a text between components, every text in them is compared with the
-representatives of up to ``LEADERS`` other components of its bucket, which joins what is left of
-large groups. When few pairs are left, or such a round joins nothing, all pairs between components
-that are left are compared. So every pair that shares a bucket is linked, known to be apart, or
-joined by others, and no count of partners is limited.
+Links, without all pairs of a group. A text weighs as much as its buckets hold (the sum of the
+logarithms), so among many copies those weigh most that differ least from the others. Each text is
+first compared with the heaviest text in its buckets, and linked texts are joined to components.
+Buckets whose texts are all in one component have nothing more to tell. A passage that very many
+texts hold can still fill the others with texts that are alike, but not near. So their texts are dealt
+anew by rare elements (an element is a shingle and its number among equal ones, so a text is a set of
+them): near texts of n elements share n * ``threshold`` at least, hence one of the n - that + 1 which
+are rarest by their number of such texts. What many texts hold is among the rarest of none of them, so
+their groups are small, and no near pair is lost. While groups hold more than ``PAIRS`` pairs an entry
+between components, every text is compared with the representatives of up to ``LEADERS`` other
+components of its group, heaviest first, which joins what is left of large groups of copies. When few
+pairs are left, or such a round doesn't halve them, all pairs between components of a group are compared. In
+either case a pair is passed over if its sizes and the places of the group's element in the two orders
+don't allow the threshold: what comes before a pair's first common element is in one text alone. So
+every pair that shares a bucket is linked, known to be apart, or joined by others, and no count of
+partners is limited.
 
 Exact copies (equal words) are one text throughout, known by 64 bits of its MD5.
 
@@ -40,7 +48,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import top_per_group
@@ -48,7 +56,7 @@ from .common import decided, materialise, require, stored, table, with_row_id
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 30, 5
-LEADERS, PAIRS = 32, 16
+LEADERS, PAIRS = 32, 4
 CACHE = 500_000  # words whose hashes a task keeps; then it starts afresh
 PART_WORDS = 400_000  # words whose signatures are worked out together
 
@@ -251,15 +259,41 @@ def _pairs_left(members: DataFrame) -> tuple[int, int]:
     return tuple(x or 0 for x in sizes.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first())
 
 
+def _elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes = _WordHash()
+    for batch in batches:
+        for tid, text in zip(batch["tid"], batch["text"], strict=True):
+            x, n = shingles(words_of(text), hashes)
+            number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            own = _mix(np.repeat(x, n) ^ _mix(number.astype(U))).view(np.int64)
+            yield pd.DataFrame({"tid": tid, "size": len(own), "bucket": own})
+
+
+def rare_elements(texts: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, tid, size, rn): of every text's elements, ``size`` in number, the rarest among ``texts``, as
+    many as hold one of each near text's, without those that no other text holds; ``rn`` is an element's
+    place in the text's order. Set down."""
+    elements = materialise(texts.mapInPandas(_elements, "tid bigint, size bigint, bucket bigint"), "elements")
+    held = elements.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).withColumnRenamed("bucket", "of")
+    elements = elements.join(held, F.col("bucket") == F.col("of")).drop("of")
+    order = Window.partitionBy("tid").orderBy("held", "bucket")
+    rarest = F.col("size") - F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-6)) + 1
+    elements = elements.withColumn("rn", F.row_number().over(order)).where((F.col("rn") <= rarest) & (F.col("held") > 1))
+    return materialise(elements.select("bucket", "tid", "size", "rn"), "rare")
+
+
 def link(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
     """tid and comp of all texts of ``rows`` (``signed(docs)``) that have a near text, else None."""
     exploded = rows.select(F.explode("buckets").alias("bucket"), "tid")
-    led = exploded.groupBy("bucket").agg(F.min("tid").alias("leader"), F.max("tid").alias("last"))
-    led = materialise(led.where("leader <> last").select(F.col("bucket").alias("of"), "leader"), "leaders")
-    members = materialise(exploded.join(led, F.col("bucket") == F.col("of")).drop("of").distinct(), "members")
+    shared = exploded.groupBy("bucket").agg(F.min("tid").alias("first"), F.max("tid").alias("last"))
+    shared = materialise(shared.where("first <> last").select(F.col("bucket").alias("of")), "shared")
+    members = materialise(exploded.join(shared, F.col("bucket") == F.col("of"), "left_semi").distinct(), "members")
     if not members.limit(1).count():
         return None
-    ids = members.select("tid").distinct().withColumnRenamed("tid", "of")
+    held = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("held"))
+    weights = members.join(held, "bucket").groupBy("tid").agg(F.sum(F.floor(F.log2("held") * 1024)).alias("weight"))
+    weights = materialise(weights, "weights")
+    ids = weights.select(F.col("tid").alias("of"))
     one = rows.join(ids, F.col("tid") == F.col("of"), "left_semi").groupBy("tid").agg(F.min(F.struct("doc_id", "rid")).alias("at"))
     one = one.select("tid", F.col("at.doc_id").alias("at_id"), F.col("at.rid").alias("at_rid"))
     texts = with_row_id(require(docs, ["doc_id", "text"]))
@@ -267,31 +301,37 @@ def link(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> Data
     texts = materialise(texts.select("tid", "row.text"), "texts")
 
     def spanning(members: DataFrame, comps: DataFrame) -> DataFrame:
-        """(bucket, tid, comp) of the buckets that hold more than one component."""
+        """``members`` of the buckets that hold more than one component, with their comp."""
         c = comps.withColumnRenamed("tid", "c_tid")
-        m = members.select("bucket", "tid").join(c, F.col("tid") == F.col("c_tid"), "left").select(
-            "bucket", "tid", F.coalesce("comp", "tid").alias("comp"))
+        own = [x for x in members.columns if x != "comp"]
+        m = members.select(*own).join(c, F.col("tid") == F.col("c_tid"), "left").select(*own, F.coalesce("comp", "tid").alias("comp"))
         mixed = m.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
         return materialise(m.join(mixed.select("bucket"), "bucket", "left_semi"), "members")
 
-    # each text against the smallest leader among its buckets
-    least = members.where("tid <> leader").groupBy("tid").agg(F.min("leader").alias("b")).select(F.col("tid").alias("a"), "b")
-    known = compared(least, texts)
+    # each text against the heaviest in its buckets
+    led = members.join(weights, "tid").groupBy("bucket").agg(F.max(F.struct("weight", "tid")).alias("led"))
+    led = members.join(led, "bucket").groupBy("tid").agg(F.max("led").alias("led"))
+    known = compared(led.select(F.col("tid").alias("a"), F.col("led.tid").alias("b")).where("a <> b"), texts)
     comps = components(known.where(F.col("similarity") >= threshold))
-    members, joined = spanning(members, comps), True
+    ids = spanning(members.select("bucket", "tid"), comps).select("tid").distinct().withColumnRenamed("tid", "of")
+    rare = rare_elements(texts.join(ids, F.col("tid") == F.col("of"), "left_semi"), threshold)
+    members, before = spanning(rare.join(weights, "tid"), comps), None
     while True:
         n, left = _pairs_left(members)
         if not left:
             return comps
-        last = left <= PAIRS * n or not joined
+        last = left <= PAIRS * n or before is not None and 2 * left > before
         if last:
             others = members
         else:
-            reps = members.groupBy("bucket", "comp").agg(F.min("tid").alias("tid"))
-            others = top_per_group(reps, ["bucket"], [F.xxhash64("comp").asc(), F.col("comp").asc()], LEADERS).drop("rn")
-        a = members.select("bucket", F.col("tid").alias("a"), F.col("comp").alias("comp_a"))
-        b = others.select(F.col("bucket").alias("of"), F.col("tid").alias("b"), F.col("comp").alias("comp_b"))
-        pairs = a.join(b, (F.col("bucket") == F.col("of")) & (F.col("comp_a") != F.col("comp_b")))
+            reps = members.groupBy("bucket", "comp").agg(F.max(F.struct("weight", "tid", "size", "rn")).alias("at")).select("bucket", "comp", "at.*")
+            others = top_per_group(reps, ["bucket"], [F.desc("weight"), F.asc("comp")], LEADERS, name="nth")
+        a = members.select("bucket", *[F.col(x).alias(f"{x}_a") for x in ("tid", "comp", "size", "rn")])
+        b = others.select(F.col("bucket").alias("of"), *[F.col(x).alias(f"{x}_b") for x in ("tid", "comp", "size", "rn")])
+        common = F.least(F.expr("size_a - rn_a + 1"), F.expr("size_b - rn_b + 1"))  # at most, if this is the first
+        near = common >= (F.col("size_a") + F.col("size_b")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6)
+        pairs = a.join(b, (F.col("bucket") == F.col("of")) & (F.col("comp_a") != F.col("comp_b")) & near)
+        pairs = pairs.select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         new = compared(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), texts)
         joined = new.where(F.col("similarity") >= threshold).limit(1).count() > 0
@@ -300,7 +340,7 @@ def link(docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> Data
             comps = components(known.where(F.col("similarity") >= threshold))
         if last:
             return comps
-        members = spanning(members, comps)
+        members, before = spanning(members, comps), left
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

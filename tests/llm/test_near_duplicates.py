@@ -131,3 +131,28 @@ def test_components(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 120)] + [(200, 201)]
     got = dict(map(tuple, B.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 120)}, 200: 200, 201: 200}
+
+
+def test_a_common_passage_and_a_large_group_of_edited_copies(spark, monkeypatch):
+    """Texts alike through one passage, and copies with few edited words: all links, by few comparisons."""
+    rng = np.random.default_rng(11)
+    words = [f"w{k}" for k in range(3000)]
+    passage, base = list(rng.choice(words, 60)), list(rng.choice(words, 150))
+    texts = [list(rng.choice(words, 25)) + passage + list(rng.choice(words, 10)) for _ in range(150)]
+    for _ in range(250):
+        copy = list(base)
+        for at in rng.choice(len(base), rng.integers(0, 7), replace=False):
+            copy[at] = str(rng.choice(words))
+        texts.append(copy)
+    texts = [" ".join(t) for t in texts]
+    compared, real = [], B.compared
+
+    def counted(pairs, docs):
+        out = real(pairs, docs)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(B, "compared", counted)
+    rows = list(enumerate(texts))
+    assert classes_of(spark.createDataFrame(rows, "doc_id long, text string")) == brute_classes(rows)
+    assert sum(compared) < len(texts) * (len(texts) - 1) / 2 / 10
