@@ -211,17 +211,21 @@ def robust_bounds(
     scale: int = C.PERCENTILE_SCALE,
     accuracy: int = 10000,
     approx: bool = False,
+    quantiles: DataFrame | None = None,
 ) -> DataFrame:
     """One row per cell: ``<m>_min`` (floored at 0) and ``<m>_max`` for every metric.
 
     min = p_lo - k_lo * (p_hi - p_lo);  max = p_hi + k_hi * (p_hi - p_lo), percentiles of
     ``x * scale`` divided back by ``scale``. Percentiles are exact (``exact_quantiles``: no cell is
     ever held in one task), or with ``approx`` the bounded-memory ``percentile_approx`` sketch.
+    ``quantiles`` (``sketches.merged_quantiles`` at the two percentiles) takes their place; ``cells`` isn't read then.
     With ``video_fences``, cells of video posts take their multipliers from there, so one pass
     serves both types (``ptype`` is a cell key).
     """
     metrics = list(fences)
-    if approx:
+    if quantiles is not None:
+        s, scale = quantiles, 1
+    elif approx:
         probs = F.array(F.lit(p_lo), F.lit(p_hi))
         s = cells.groupBy(*keys).agg(*[F.percentile_approx(F.col(m) * scale, probs, accuracy).alias(f"__q_{m}") for m in metrics])
     else:

@@ -83,6 +83,20 @@ FROM cells0
 )"""
 
 
+def sketch_bounds_select(src: str, fences: dict, probs: tuple[float, float] = (0.15, 0.95)) -> str:
+    """Bounds per cell from the values at rank ceil(p * n)."""
+    keys = ", ".join(CELL_KEYS)
+    ranked = ", ".join(f"{m}, row_number() OVER (PARTITION BY {keys} ORDER BY {m} NULLS LAST) AS rn_{m}, "
+                       f"count({m}) OVER (PARTITION BY {keys}) AS n_{m}" for m in fences)
+    qs = ", ".join(f"max(CASE WHEN rn_{m} = greatest(1, ceil(round({p} * n_{m}, 7))) THEN {m} END) AS q{i}_{m}"
+                   for m in fences for i, p in enumerate(probs))
+    outs = []
+    for m, (k_lo, k_hi) in fences.items():
+        outs.append(f"CASE WHEN q0_{m} - {k_lo} * (q1_{m} - q0_{m}) > 0 THEN q0_{m} - {k_lo} * (q1_{m} - q0_{m}) ELSE 0 END AS {m}_min")
+        outs.append(f"q1_{m} + {k_hi} * (q1_{m} - q0_{m}) AS {m}_max")
+    return f"SELECT {keys}, {', '.join(outs)} FROM (SELECT {keys}, {qs} FROM (SELECT {keys}, {ranked} FROM {src}) r GROUP BY {keys}) q"
+
+
 def bounds_select(src: str, fences: dict, probs: tuple[float, float] = (0.15, 0.95)) -> str:
     """Bounds per cell from explicit order statistics (linear interpolation between the two
     neighbouring values, or the value itself when they are equal)."""

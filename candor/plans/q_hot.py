@@ -9,6 +9,7 @@ from .. import constants as C
 from ..operators import daily as D
 from ..operators import engagement as E
 from ..operators import ranking as R
+from ..operators import sketches as K
 from ..operators.index import short_groups, topn_index
 from ..session import scratch_dir, set_down
 from ..sources import fixtures as X
@@ -70,6 +71,24 @@ def q_robust_bounds(spark: SparkSession, d: str) -> DataFrame:
     return E.robust_bounds(cells(spark, d), IMG_ALL, video_fences=VIDEO_ALL)
 
 
+# the same bounds by way of stored sketches: exact here, as every cell has fewer values than a sketch keeps
+@register(
+    "robust_bounds_sketch",
+    with_views(
+        "SELECT * FROM bv UNION ALL BY NAME SELECT * FROM bi", *BASE,
+        extra=[O.cells_cte(),
+               f"bv AS ({O.sketch_bounds_select('(SELECT * FROM cells WHERE ptype = 5) c', O.VIDEO_ALL)})",
+               f"bi AS ({O.sketch_bounds_select('(SELECT * FROM cells WHERE ptype <> 5) c', O.IMG_ALL)})"],
+    ),
+    _BOUND_COLS,
+)
+def q_robust_bounds_sketch(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_dir(spark, "sketches")
+    K.write_sketches(K.metric_sketches(engagement(spark, d), IMG_ALL, parts=4), path)
+    q = K.merged_quantiles(spark.read.parquet(path), IMG_ALL, (C.P_LO, C.P_HI))
+    return E.robust_bounds(q, IMG_ALL, video_fences=VIDEO_ALL, quantiles=q)
+
+
 _NORM_DOUBLES = O.CELL_DOUBLES + [E.NORM_NAME[m] for m in O.VIDEO_ALL]
 
 
