@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import set_down
@@ -42,7 +42,7 @@ def forest_search(k: int, min_score: float, **forest) -> Callable[[DataFrame, Da
 
 def exact_search(k: int, min_score: float) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """Blocked search of all others; a query may be among them and is left out."""
-    return lambda queries, others: _without_self(knn_exact(queries, k=k + 1, others=others).where(F.col("score") >= min_score), k)
+    return lambda queries, others: knn_exact(queries, k=k, others=others, without_self=True).where(F.col("score") >= min_score)
 
 
 def updated_neighbours(
@@ -67,5 +67,6 @@ def updated_neighbours(
     rest = now.join(again, "pid", "left_anti")
     kept = lists.join(rest.select("pid"), "pid", "left_semi").join(touched.withColumnRenamed("pid", "near_pid"), "near_pid", "left_anti").select("pid", "near_pid", "score")
     offered = search(rest, now.join(moved, "pid", "left_semi")).select("pid", "near_pid", "score")
-    best = top_per_group(kept.unionByName(offered), ["pid"], [F.col("score").desc(), F.col("near_pid").asc()], k, name="__rn").drop("__rn")
+    w = Window.partitionBy("pid").orderBy(F.col("score").desc(), F.col("near_pid").asc())  # two lists a pid: 2 * k rows
+    best = kept.unionByName(offered).withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k).drop("__rn")
     return searched.unionByName(best)

@@ -1,10 +1,8 @@
 """Top-k cosine neighbours: exact (blocked) and by sign projections (LSH).
 
-``knn_exact`` hashes items into ``nb`` blocks of about ``BLOCK_ROWS`` and pairs every left block with every
-right block through an equi-join on the block id (each side replicated ``nb`` times). Each
-block pair is scored with one numpy matrix product inside ``applyInPandas`` and only the
-top ``k`` per item leave the task, so at most ``n * nb * k`` rows are shuffled and no
-all-pairs frame is ever materialised; a final window limit merges the per-block top-k.
+``knn_exact`` deals its items to strips of a task each, through which all vectors stream in tiles of ``BLOCK_ROWS``
+(``operators.strips``). A pair of tiles is scored with one numpy matrix product, a task holds the best ``k`` of its
+items so far, and only these leave it: no all-pairs frame is ever materialised, and nothing is merged after.
 The compute is still O(n^2): this is the exact answer for vocabularies that fit that
 budget and the recall yardstick for the approximate searches: ``knn_lsh`` below, and the trees of
 ``operators.forest``, which are the default of every job (the upstream job also uses a tree index).
@@ -12,17 +10,19 @@ budget and the recall yardstick for the approximate searches: ``knn_lsh`` below,
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import set_down
 from .embed import signs_of
 from .meet import met
+from .strips import NO_ID, strip_count, strip_search
 
-PAIR_SCHEMA = "pid long, near_pid long, score double"
-BLOCK_ROWS = 2048  # vectors of a block: a pair of blocks makes a matrix of some 32 MB
+BLOCK_ROWS = 2048  # vectors of a tile: a pair of tiles makes a matrix of some 32 MB
 
 
 def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -36,23 +36,23 @@ def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def _block_topk(k: int, exclude_self: bool = True):
+    """Pairs of two tiles that may be among the best ``k`` of a left row: none below its ``least`` so far."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"pid": [], "near_pid": [], "score": []})
-        a = np.vstack(left["vec"].to_numpy())
-        b = np.vstack(right["vec"].to_numpy())
-        lid = left["pid"].to_numpy()
-        rid = right["pid"].to_numpy()
-        s = a @ b.T
+            return pd.DataFrame({"at": [], "near_pid": [], "score": []})
+        s = np.vstack(left["vec"].to_numpy()) @ np.vstack(right["vec"].to_numpy()).T
+        lid, rid = left["pid"].to_numpy(), right["pid"].to_numpy()
         if exclude_self:
-            s[lid[:, None] == rid[None, :]] = -np.inf      # never a self neighbour
-        kk = min(k, s.shape[1])
-        idx = np.argpartition(-s, kk - 1, axis=1)[:, :kk] if kk < s.shape[1] else np.tile(np.arange(s.shape[1]), (s.shape[0], 1))
-        rows = np.repeat(np.arange(s.shape[0]), idx.shape[1])
-        cols = idx.ravel()
-        sc = s[rows, cols]
+            own = np.flatnonzero(np.isin(lid, rid) & (lid != NO_ID))
+            r, c = np.nonzero(lid[own][:, None] == rid[None, :])
+            s[own[r], c] = -np.inf      # never a self neighbour
+        least = left["least"].to_numpy()
+        if k < s.shape[1] and np.isneginf(least).any():
+            least = np.maximum(least, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k])
+        r, c = np.nonzero(s >= least[:, None])
+        sc = s[r, c]
         keep = np.isfinite(sc)
-        return pd.DataFrame({"pid": lid[rows[keep]], "near_pid": rid[cols[keep]], "score": sc[keep]})
+        return pd.DataFrame({"at": r[keep], "near_pid": rid[c[keep]], "score": sc[keep]})
 
     return run
 
@@ -65,29 +65,19 @@ def knn_exact(
     vec_col: str = "vector",
     n_blocks: int | None = None,
     others: DataFrame | None = None,
+    without_self: bool | None = None,
 ) -> DataFrame:
     """Exact top-``k`` cosine neighbours: (pid, near_pid, score), ties by near_pid.
 
     Neighbours come from ``vectors`` itself (self excluded) or, when given, from ``others``
-    (e.g. user vectors against item vectors). Each side has ``n_blocks`` blocks, by default as many as
-    hold about ``BLOCK_ROWS`` vectors each; the result is the same for any number.
+    (e.g. user vectors against item vectors; ``without_self`` leaves out those of the same id). ``n_blocks``: the number of
+    strips, by default as many as ``strips.strip_count`` says; the result is the same for any number.
     """
     u = unit_vectors(vectors, id_col, vec_col)
     o = u if others is None else unit_vectors(others, id_col, vec_col)
-    blocks = lambda v: int(n_blocks or max(1, -(-v.count() // BLOCK_ROWS)))
-    nl = blocks(u)
-    nr = nl if others is None else blocks(o)
-    # both block ids must have the same type on both sides, or the cogroup keys hash apart
-    blk = lambda n: F.pmod(F.xxhash64("pid"), F.lit(n)).cast("bigint")
-    ids = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-    left = u.select("pid", "vec", blk(nl).alias("lb"), ids(nr).alias("rb"))
-    right = o.select("pid", "vec", blk(nr).alias("rb"), ids(nl).alias("lb"))
-    topk = _block_topk(k, exclude_self=others is None)
-    part = left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb")).applyInPandas(
-        lambda l, r: topk(l[["pid", "vec"]], r[["pid", "vec"]]), PAIR_SCHEMA
-    )
-    w = Window.partitionBy("pid").orderBy(F.col("score").desc(), F.col("near_pid").asc())
-    return part.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
+    own = others is None if without_self is None else without_self
+    n = int(n_blocks or strip_count(u.count(), BLOCK_ROWS))
+    return strip_search(u, o, _block_topk(k, exclude_self=own), k=k, strips=n, tile=BLOCK_ROWS)
 
 
 MICRO = 1_000_000  # unit vectors' components are whole millionths for hashing: their sums are exact
@@ -96,13 +86,15 @@ MICRO = 1_000_000  # unit vectors' components are whole millionths for hashing:
 def bands(vec: Column, dim: int, tables: int, bits: int) -> Column:
     """One key per table: the signs of ``bits`` projections of a unit vector on fixed sign vectors."""
     whole = F.transform(vec, lambda x: F.round(x * MICRO).cast("bigint"))
+    # a constant, and one expression over it: written out, the planes would be planned one by one
+    planes = F.from_json(F.lit(json.dumps([[signs_of(f"plane {t} {b}", dim) for b in range(bits)] for t in range(tables)])), "array<array<array<bigint>>>")
 
-    def side(name: str) -> Column:
-        plane = F.array(*[F.lit(x) for x in signs_of(name, dim)])
-        dot = F.aggregate(F.zip_with(whole, plane, lambda x, s: x * s), F.lit(0).cast("bigint"), lambda a, x: a + x)
-        return F.when(dot >= 0, F.lit("1")).otherwise(F.lit("0"))
+    def keys(v: Column) -> Column:
+        dot = lambda plane: F.aggregate(F.zip_with(v, plane, lambda x, s: x * s), F.lit(0).cast("bigint"), lambda a, x: a + x)
+        return F.transform(planes, lambda table: F.array_join(
+            F.transform(table, lambda plane: F.when(dot(plane) >= 0, F.lit("1")).otherwise(F.lit("0"))), ""))
 
-    return F.array(*[F.concat(*[side(f"plane {t} {b}") for b in range(bits)]) for t in range(tables)])
+    return F.get(F.transform(F.array(whole), keys), F.lit(0))  # the whole numbers are bound once, not worked out for every plane
 
 
 def knn_lsh(
