@@ -8,7 +8,7 @@ compares a vector with those in its own leaf of each tree: ``trees * leaf`` vect
 * The first levels (up to ``MAX_DEPTH``) are learned on a bounded sample of items, those with the
   smallest hashes, and their planes broadcast: at most ``trees * 2 ** MAX_DEPTH`` of them, whatever the table's size.
 * Leaves that still hold more than twice ``leaf`` items are cut on by Spark, all at once and a level a round:
-  projections on fixed sign vectors, medians by ``percentile_approx`` per leaf, joined back by leaf. What lies on
+  projections on fixed sign vectors, medians by ``percentile_approx`` per leaf. What lies on
   the median (copies of one vector) is halved by a hash, so every leaf ends bounded.
 * Leaves are scored as blocks (``operators.meet``); a table that fits one leaf is searched exactly.
 
@@ -84,30 +84,41 @@ def leaves(x: np.ndarray, planes: np.ndarray, cuts: np.ndarray, depth: int) -> n
 
 
 def _cut_on(rows: DataFrame, trees: int, leaf: int, dim: int) -> DataFrame:
-    """``rows`` with groups cut on until none holds more than ``2 * leaf`` items."""
+    """``rows``, set down, with groups cut on until none holds more than ``2 * leaf`` items.
+
+    Only vectors in groups that are too big travel; a row's new leaves are joined back by its position.
+    """
+    # few rows, at most one for every 2 * leaf items of a tree: broadcast, so what lies elsewhere is never shuffled
     def too_big(long: DataFrame) -> DataFrame | None:
         n = long.where("item").groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * leaf)
         n = set_down(n.select(F.col("tree").alias("b_tree"), F.col("leaf").alias("b_leaf")))
         return n if n.limit(1).count() else None
 
-    big, level = too_big(rows.select("item", F.posexplode("groups").alias("tree", "leaf"))), 0
+    rows = rows.withColumn("at", F.monotonically_increasing_id())
+    long = rows.select("at", "pid", "vec", "item", F.posexplode("groups").alias("tree", "leaf"))
+    big, level, done = too_big(long), 0, None
     if big is None:
-        return rows
-    long = set_down(rows.select("pid", "vec", "item", F.posexplode("groups").alias("tree", "leaf")))
+        return rows.drop("at")
+    at = (F.col("tree") == F.col("b_tree")) & (F.col("leaf") == F.col("b_leaf"))
     while big is not None:
         signs = F.array(*[F.array(*[F.lit(float(s)) for s in signs_of(f"tree {t} level {level}", dim)]) for t in range(trees)])
         p = F.aggregate(F.zip_with("vec", F.get(signs, F.col("tree")), lambda x, s: x * s), F.lit(0.0), lambda a, x: a + x)
-        at = (F.col("tree") == F.col("b_tree")) & (F.col("leaf") == F.col("b_leaf"))
-        own = set_down(long.join(big, at).drop("b_tree", "b_leaf").withColumn("p", p))
-        rest = long.join(big, at, "left_anti")
+        if done is not None:
+            done.append(long.join(F.broadcast(big), at, "left_anti").select("at", "tree", "leaf"))
+        own = set_down(long.join(F.broadcast(big), at).drop("b_tree", "b_leaf").withColumn("p", p))
         middle = own.where("item").groupBy(F.col("tree").alias("b_tree"), F.col("leaf").alias("b_leaf")).agg(F.percentile_approx("p", 0.5, 10_000).alias("middle"))
         tie = F.pmod(F.xxhash64("pid", F.lit(level)), F.lit(2))
         side = F.when(F.col("p") < F.col("middle"), 0).when(F.col("p") > F.col("middle"), 1).otherwise(tie)
-        own = own.join(middle, at).select("pid", "vec", "item", "tree", F.xxhash64("leaf", F.lit(level), side).alias("leaf"))
-        long = set_down(rest.unionByName(own))
+        long = own.join(F.broadcast(middle), at).select("at", "pid", "vec", "item", "tree", F.xxhash64("leaf", F.lit(level), side).alias("leaf"))
+        done, long = done or [], set_down(long)
         big, level = too_big(long), level + 1
-    groups = long.groupBy(F.col("pid").alias("g_pid"), F.col("item").alias("g_item")).agg(F.sort_array(F.collect_list(F.struct("tree", "leaf"))).alias("g"))
-    return rows.join(groups, (F.col("pid") == F.col("g_pid")) & (F.col("item") == F.col("g_item"))).select("pid", "vec", "item", F.col("g.leaf").alias("groups"))
+    done.append(long.select("at", "tree", "leaf"))
+    moved = done[0]
+    for d in done[1:]:
+        moved = moved.unionByName(d)
+    moved = moved.groupBy(F.col("at").alias("m_at")).agg(F.map_from_entries(F.collect_list(F.struct("tree", "leaf"))).alias("m"))
+    groups = F.transform("groups", lambda g, t: F.coalesce(F.try_element_at("m", t), g))
+    return rows.join(moved, F.col("at") == F.col("m_at"), "left").select("pid", "vec", "item", groups.alias("groups"))
 
 
 def routed(vectors: DataFrame, *, trees: int = TREES, leaf: int = LEAF, seed: int = 42, sample: int = SAMPLE) -> DataFrame:
