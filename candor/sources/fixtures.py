@@ -32,10 +32,13 @@ def ptype_of(k: Column) -> Column:
     return F.when(k % 3 == 0, F.lit(5)).otherwise(F.lit(2) + k % 3).cast("bigint")
 
 
-def behaviour(spark: SparkSession, d: str) -> DataFrame:
-    """user_post_score: one row per (order line) = one user-post-day score row."""
+def behaviour(spark: SparkSession, d: str, orders: DataFrame | None = None) -> DataFrame:
+    """user_post_score: one row per (order line) = one user-post-day score row.
+
+    ``orders`` (o_orderkey, o_custkey) may carry more columns, which follow the others.
+    """
     li = table(spark, d, "lineitem")
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey") if orders is None else orders
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     k = F.col("l_partkey")
     ln = F.col("l_linenumber").cast("bigint")
@@ -62,6 +65,7 @@ def behaviour(spark: SparkSession, d: str) -> DataFrame:
         (q * 10).alias("view_img_dur"),
         (q * 20).alias("detail_post_dur"),
         (q * 15).alias("view_comment_dur"),
+        *[c for c in o.columns if c not in ("o_orderkey", "o_custkey")],
     )
 
 
@@ -229,28 +233,19 @@ def counters(spark: SparkSession, d: str) -> DataFrame:
 
     Posts without behaviour are absent (no counters yet). Users of unknown gender count as 0.
     """
-    b = behaviour(spark, d)
-    u = users(spark, d).select("mid", "gender")
-    bu = b.join(u, "mid", "left").withColumn("g", F.coalesce(F.col("gender"), F.lit(0)))
-    aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.sum("download").alias("dl"), F.sum("like").alias("lk"), F.sum("share").alias("sh"),
-        F.sum(F.col("create_review") + F.col("reply_review")).alias("rv"),
-        F.sum((F.col("play_video_dur") >= 160).cast("bigint")).alias("hits"),
-        F.sum("play_video_dur").alias("play_sum"),
-    ]
-    for g in (0, 1, 2):
-        w = F.col("g") == g
-        aggs += [
-            F.sum(F.when(w, 1).otherwise(0)).alias(f"n{g}"),
-            F.sum(F.when(w, F.col("download")).otherwise(0)).alias(f"dl{g}"),
-            F.sum(F.when(w, F.col("like")).otherwise(0)).alias(f"lk{g}"),
-            F.sum(F.when(w, F.col("share")).otherwise(0)).alias(f"sh{g}"),
-            F.sum(F.when(w, F.col("create_review") + F.col("reply_review")).otherwise(0)).alias(f"rv{g}"),
-            F.sum(F.when(w, (F.col("play_video_dur") >= 160).cast("bigint")).otherwise(0)).alias(f"hits{g}"),
-            F.sum(F.when(w, F.col("play_video_dur")).otherwise(0.0)).alias(f"play_sum{g}"),
-        ]
-    a = bu.groupBy("pid").agg(*aggs)
+    # the gender joins the orders, not their many lines; a line's sums travel once, not once a gender
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    o = o.join(users(spark, d).select("mid", "gender"), F.col("o_custkey") == F.col("mid"), "left")
+    o = o.select("o_orderkey", "o_custkey", F.coalesce(F.col("gender"), F.lit(0)).alias("g"))
+    sums = {
+        "n": F.count(F.lit(1)), "dl": F.sum("download"), "lk": F.sum("like"), "sh": F.sum("share"),
+        "rv": F.sum(F.col("create_review") + F.col("reply_review")),
+        "hits": F.sum((F.col("play_video_dur") >= 160).cast("bigint")), "play_sum": F.sum("play_video_dur"),
+    }
+    split = behaviour(spark, d, o).groupBy("pid", "g").agg(*[x.alias(c) for c, x in sums.items()])
+    a = split.groupBy("pid").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        *[F.sum(F.when(F.col("g") == g, F.col(c))).alias(f"{c}{g}") for g in (0, 1, 2) for c in sums])
     p = table(spark, d, "part").select(F.col("p_partkey").alias("k"))
     j = p.join(a, p["k"] == a["pid"], "inner")
     j = j.withColumn("m", F.expr("1 + (k div 12) % 40")).withColumn("dlm", F.expr("(k div 7) % 3"))
