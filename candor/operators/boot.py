@@ -62,6 +62,14 @@ def _thresholds(rules: Rules, ptype: Column) -> Column:
 
 
 # ----------------------------------------------------------------- candidates
+def step_documents(docs: DataFrame) -> DataFrame:
+    """The fields of pool documents that a round reads: what to set down where rounds read them several times."""
+    flat = ("pid", "ptype", "status", "ct", "rec_t", "tid", "gid", "vdur", "source", "step_boot", "step_boot_t", "mid",
+            "mover_support", "resource_status", "subarea_status", "subarea_types")
+    inner = lambda s, *fields: F.struct(*[F.col(f"{s}.{f}").alias(f) for f in fields]).alias(s)
+    return docs.select(*flat, inner("author", "mover_level", "mover_part_id"), inner("score_values", "rec"))
+
+
 def boot_candidates(
     docs: DataFrame,
     step_override: DataFrame,

@@ -148,9 +148,9 @@ _BASE = _CAND_CTES + [_FEAT_CTE, _FEAT2_CTE]
 # ---------------------------------------------------------------- registrations
 
 
-def candidates(spark: SparkSession, d: str) -> DataFrame:
+def candidates(spark: SparkSession, d: str, docs: DataFrame | None = None) -> DataFrame:
     """Cold-start candidates over the fixture tables."""
-    return B.boot_candidates(X.pool_docs(spark, d), X.step_override(spark, d), X.taxonomy(spark, d),
+    return B.boot_candidates(X.pool_docs(spark, d) if docs is None else docs, X.step_override(spark, d), X.taxonomy(spark, d),
                              as_of=AS_OF, days=BOOT_DAYS)
 
 
@@ -260,7 +260,8 @@ _TRANSITION_CTES, _TRANSITION_BODY = transition_parts()
 @register("boot_transition", with_views(_TRANSITION_BODY, *_VIEWS, "serving", extra=_TRANSITION_CTES))
 def q_boot_transition(spark: SparkSession, d: str) -> DataFrame:
     # each is read several times by the round
-    docs, cands = set_down(X.pool_docs(spark, d)), set_down(candidates(spark, d))
+    docs = set_down(B.step_documents(X.pool_docs(spark, d)))
+    cands = set_down(candidates(spark, d, docs))
     return B.boot_transition(cands, set_down(X.counters(spark, d)), X.serving_budget(spark, d), docs,
                              X.step_override(spark, d), RULES, as_of=AS_OF)
 

@@ -55,6 +55,9 @@ def ladder_rounds(
     step fields are carried from round to round, set down each time.
     """
     rules = rules or B.load_rules()
+    # every round reads them, some steps more than once
+    docs, step_override = set_down(B.step_documents(docs)), set_down(step_override)
+    serving, start = set_down(serving), set_down(start)
     changed, done = None, []
     for as_of in ends:
         now = docs if changed is None else B.next_documents(docs, changed)
