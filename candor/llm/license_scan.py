@@ -13,11 +13,13 @@ with a shared bigram: no other is nearer. Each template's nearest window counts,
 overlaps it is as near to some template, and if it doesn't lie inside near passages only while a
 passage has found its licence: then it is a part of what was found.
 
-Texts without any licence wording are passed over by an exact test first: at threshold t a passage
+Texts without any licence wording are passed over by two exact tests first. At threshold t a passage
 shares at least t / (2 - t) of a template's n bigrams, so it holds at least one of any n - that + 1 of
 them. ``KEYS`` are words chosen so that every template has that many bigrams with one of them: a text
-with none of these words can't reach the threshold. Everything is computed in the row: no shuffle,
-no join, no Python.
+with none of these words can't reach the threshold. And lines, sentences and windows are stretches of
+the whole text's words, so none is near a template that the whole text shares too few bigrams with: only
+texts that reach some template are cut into passages. Everything is computed in the row: no shuffle, no
+join, no Python.
 
 Defined results: null and empty texts and passages under two words match nothing (license_id and
 dice null, empty lists); of equally near templates the first id in order wins; repeated rows are
@@ -185,24 +187,37 @@ def _cover(low: Column, passages: Column, near: Column) -> Column:
         F.greatest(dice(line), dice(p)), F.size(F.filter(F.split(_normal(p), " "), lambda w: w != "")))))))
 
 
+def _holds(passage: Column, threshold: float) -> Column:
+    """Whether a passage or text has one of the key words."""
+    keys = KEYS if threshold == THRESHOLD else key_words(GRAMS, threshold)
+    return F.exists(F.array(*map(F.lit, keys)), lambda w: F.contains(passage, w))
+
+
+def reaching(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Every document as (doc_id, grams, reach, low): the templates that its text shares enough bigrams with
+    (null or empty: none), and the lower-cased text where there are any, else null."""
+    # steps of their own: what several readers share (the lower-cased text, bigrams) must be made once
+    docs = require(docs, ["doc_id", "text"]).select("doc_id", F.lower("text").alias("low"))
+    low = F.col("low")
+    docs = docs.select("doc_id", "low", F.when(_holds(low, threshold), _running(_normal(low))).alias("grams"))
+    every = F.array(*map(F.lit, dict.fromkeys(b for own in GRAMS for b in own)))
+    docs = docs.select("*", F.array_intersect("grams", every).alias("shared"))
+    reach = F.filter(_templates(threshold), lambda t: F.size(F.array_intersect(F.col("shared"), t["grams"])) >= t["least"])
+    docs = docs.select("doc_id", "low", "grams", F.when(F.size("shared") > 0, reach).alias("reach"))
+    return docs.select("doc_id", "grams", "reach", F.when(F.size("reach") > 0, low).alias("low"))
+
+
 def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every document with its nearest licence: doc_id, license_id, dice, licenses (all found, sorted) and
     n_matches (pairs of a distinct passage and a template that reach the threshold, and templates with a
     window that counts)."""
-    keys = KEYS if threshold == THRESHOLD else key_words(GRAMS, threshold)
-    holds = lambda p: F.exists(F.array(*map(F.lit, keys)), lambda w: F.contains(p, w))
-    # steps of their own: what several readers share (the lower-cased text, bigrams) must be made once
-    docs = require(docs, ["doc_id", "text"]).select("doc_id", F.lower("text").alias("low"))
     low = F.col("low")
-    passages = F.array_distinct(F.transform(F.filter(F.concat(_lines(low), _sentences(low)), holds), _normal))
-    docs = docs.select("doc_id", F.when(holds(low), low).alias("low"), F.when(holds(low), passages).alias("passages"))
+    passages = F.array_distinct(F.transform(F.filter(F.concat(_lines(low), _sentences(low)), lambda p: _holds(p, threshold)), _normal))
+    docs = reaching(docs, threshold).select("*", F.when(low.isNotNull(), passages).alias("passages"))
     near = F.transform(F.transform("passages", _bigrams), lambda grams: _near(grams, threshold))
-    docs = docs.select("*", near.alias("near"), F.when(low.isNotNull(), _running(_normal(low))).alias("grams"))
+    docs = docs.select("*", near.alias("near"))
     none = F.array().cast("array<struct<dice:double,license:string>>")
-    every = F.array(*map(F.lit, dict.fromkeys(b for own in GRAMS for b in own)))
-    docs = docs.select("*", F.coalesce(F.flatten("near"), none).alias("found"), F.array_intersect("grams", every).alias("shared"))
-    reach = F.filter(_templates(threshold), lambda t: F.size(F.array_intersect(F.col("shared"), t["grams"])) >= t["least"])
-    docs = docs.select("doc_id", "low", "passages", "near", "grams", "found", F.when(F.size("shared") > 0, reach).alias("reach"))
+    docs = docs.select("*", F.coalesce(F.flatten("near"), none).alias("found"))
     cover = F.when(F.size("found") > 0, _cover(low, F.col("passages"), F.col("near"))).otherwise(
         F.array_repeat(F.lit(0.0), F.size("grams") + 1))
     docs = docs.select("doc_id", "grams", "found", "reach", F.when(F.size("reach") > 0, cover).alias("cover"))

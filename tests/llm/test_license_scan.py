@@ -48,6 +48,18 @@ def test_every_template_is_within_reach_of_the_key_words():
         assert sum(bool(set(g.split()) & set(L.KEYS)) for g in grams) >= need
 
 
+def test_only_texts_that_reach_a_template_are_cut_into_passages(spark):
+    prose = "The program was published by the public library, under conditions that nobody noticed. License or not, it is free.\n"
+    texts = [None, "", prose, prose * 40, prose + L.TEMPLATES[0][1], "released under the\nMIT license", "released under the rose"]
+    got = {r["doc_id"]: r for r in L.reaching(docs_of(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    assert any(k in prose.lower() for k in L.KEYS)
+    assert [got[i]["low"] is not None for i in range(len(texts))] == [False, False, False, False, True, True, False]
+    for i, t in enumerate(texts):  # exactly those that have enough bigrams of some template
+        own = set(L.bigrams(t or ""))
+        want = [name for (name, _), g in zip(L.TEMPLATES, L.GRAMS) if len(own & set(g)) >= L.least_common(len(g), 0.8)]
+        assert [r["license"] for r in got[i]["reach"] or []] == want
+
+
 def test_no_python_and_no_shuffle(spark, odd):
     plan = L.scan(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
