@@ -29,6 +29,7 @@ from .embed import sign_bits
 
 BLOCK = 20_000  # items of a block: two matrices of 100 doubles are 32 MB
 BATCH = 64
+DRAWN = 256  # batches whose negatives are drawn at once
 FACTORS = "item string, block long, vin array<double>, vctx array<double>"
 
 
@@ -67,25 +68,43 @@ def trained_block(a: np.ndarray, c: np.ndarray, i: np.ndarray, j: np.ndarray, w:
 
     ``often``: weight of every context as a negative. Weights above 1 are taken as that many repeats of the pair.
     """
+    if not (a.flags.c_contiguous and c.flags.c_contiguous):
+        raise ValueError("inputs and contexts must be contiguous: they change through flat views")
     repeats = np.floor(w + rng.random(len(w))).astype(np.int64)
     at = np.repeat(np.arange(len(w)), repeats)
     rng.shuffle(at)
     p = np.cumsum(often / often.sum())
+    size, width = a.shape[1], negative + 1
+    # sums by row number go element by element into flat views: numpy's indexed add is many times slower on whole rows
+    flat_a, flat_c, column = a.reshape(-1), c.reshape(-1), np.arange(size)
+    v, step = np.empty((BATCH, width, size)), np.empty((BATCH, width, size))
+    place, place_a, back = np.empty((BATCH, width, size), np.int64), np.empty((BATCH, size), np.int64), np.empty((BATCH, size))
     loss = 0.0
-    for k in range(0, len(at), BATCH):
-        x, y = i[at[k:k + BATCH]], j[at[k:k + BATCH]]
-        no = np.minimum(np.searchsorted(p, rng.random((len(x), negative))), len(c) - 1)
-        target = np.column_stack([y, no])
-        sign = np.zeros(target.shape)
+    for begin in range(0, len(at), BATCH * DRAWN):
+        some = at[begin:begin + BATCH * DRAWN]
+        xs, ys = i[some], j[some]
+        nos = np.minimum(np.searchsorted(p, rng.random((len(some), negative))), len(c) - 1)
+        targets = np.column_stack([ys, nos])
+        skip = nos == ys[:, None]  # a negative that is the pair's own context says nothing
+        sign = np.zeros(targets.shape)
         sign[:, 0] = 1
-        skip = no == y[:, None]  # a negative that is the pair's own context says nothing
-        u, v = a[x], c[target]
-        got = _sigmoid(np.einsum("bd,bkd->bk", u, v))
-        g = rate * (sign - got)
-        g[:, 1:][skip] = 0
-        loss -= np.log(np.where(sign > 0, got, 1 - got) + 1e-12)[:, 0].sum() + (np.log(1 - got[:, 1:] + 1e-12) * ~skip).sum()
-        np.add.at(a, x, np.einsum("bk,bkd->bd", g, v))
-        np.add.at(c, target.ravel(), (g[:, :, None] * u[:, None, :]).reshape(-1, a.shape[1]))
+        rates = np.full(targets.shape, rate)
+        rates[:, 1:][skip] = 0
+        got = np.empty(targets.shape)
+        for k in range(0, len(some), BATCH):
+            x, target, y = xs[k:k + BATCH], targets[k:k + BATCH], got[k:k + BATCH]
+            n = len(x)
+            u = a[x]
+            np.take(c, target, axis=0, out=v[:n], mode="clip")
+            y[:] = _sigmoid(np.einsum("bd,bkd->bk", u, v[:n]))
+            g = rates[k:k + BATCH] * (sign[k:k + BATCH] - y)
+            np.einsum("bk,bkd->bd", g, v[:n], out=back[:n])
+            np.multiply(g[:, :, None], u[:, None, :], out=step[:n])
+            np.add((target * size)[:, :, None], column, out=place[:n])
+            np.add((x * size)[:, None], column, out=place_a[:n])
+            np.add.at(flat_a, place_a[:n].reshape(-1), back[:n].reshape(-1))
+            np.add.at(flat_c, place[:n].reshape(-1), step[:n].reshape(-1))
+        loss -= np.log(got[:, 0] + 1e-12).sum() + (np.log(1 - got[:, 1:] + 1e-12) * ~skip).sum()
     return float(loss)
 
 

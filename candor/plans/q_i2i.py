@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -281,11 +284,12 @@ def q_item2vec_daily(spark: SparkSession, d: str) -> DataFrame:
     """Vectors of the first half of the window, then of the whole of it from there and from nothing: the loss of every pass."""
     seq = set_down(sequences(spark, d))
     first, whole = cooccurrence(seq.where(F.col("day") < SPLIT_DAY)), set_down(cooccurrence(seq))
-    start, losses = train(first)
-    rows = [("first", k, x) for k, x in enumerate(losses, 1)]
-    warm, losses = train(whole, start=start, epochs=2)
-    rows += [("warm", k, x) for k, x in enumerate(losses, 1)]
-    _, losses = train(whole)
-    rows += [("cold", k, x) for k, x in enumerate(losses, 1)]
+    with ThreadPoolExecutor(1) as beside:  # a small vocabulary trains in one task: the run from nothing needs nothing of the others
+        cold = beside.submit(inheritable_thread_target(train), whole)
+        start, losses = train(first)
+        rows = [("first", k, x) for k, x in enumerate(losses, 1)]
+        warm, losses = train(whole, start=start, epochs=2)
+        rows += [("warm", k, x) for k, x in enumerate(losses, 1)]
+        rows += [("cold", k, x) for k, x in enumerate(cold.result()[1], 1)]
     told = spark.createDataFrame(rows, "run string, pass int, loss double")
     return told.withColumn("items", F.lit(warm.count()).cast("bigint"))

@@ -57,6 +57,48 @@ def test_steps_follow_the_gradient():
     assert abs(loss + np.log(p) + np.log(1 - q)) < 1e-9
 
 
+def plain_pass(a, c, i, j, w, often, *, rate, negative, rng):
+    """A pass batch by batch, with indexed adds of whole rows."""
+    at = np.repeat(np.arange(len(w)), np.floor(w + rng.random(len(w))).astype(np.int64))
+    rng.shuffle(at)
+    p, loss = np.cumsum(often / often.sum()), 0.0
+    for k in range(0, len(at), sgns.BATCH):
+        x, y = i[at[k:k + sgns.BATCH]], j[at[k:k + sgns.BATCH]]
+        no = np.minimum(np.searchsorted(p, rng.random((len(x), negative))), len(c) - 1)
+        target, sign = np.column_stack([y, no]), np.eye(1, negative + 1).repeat(len(x), axis=0)
+        u, v = a[x], c[target]
+        got = 1 / (1 + np.exp(-np.clip(np.einsum("bd,bkd->bk", u, v), -30, 30)))
+        g, own = rate * (sign - got), no == y[:, None]
+        g[:, 1:][own] = 0
+        loss -= np.log(got[:, 0] + 1e-12).sum() + (np.log(1 - got[:, 1:] + 1e-12) * ~own).sum()
+        np.add.at(a, x, np.einsum("bk,bkd->bd", g, v))
+        np.add.at(c, target.ravel(), (g[:, :, None] * u[:, None, :]).reshape(-1, a.shape[1]))
+    return loss
+
+
+def test_a_pass_gives_the_plain_steps_in_a_fraction_of_their_time():
+    """One task trains a small vocabulary whatever the number of events, so its steps must be cheap."""
+    from time import process_time
+
+    for items, repeats, k in ((100, 3.3, 5), (3000, 0.7, 3), (7, 1.5, 5)):  # several draws of negatives, and a last batch that is not full
+        rng = np.random.default_rng(items)
+        n = min(items * items, 24_000)
+        i, j, w = rng.integers(0, items, n), rng.integers(0, items, n), rng.random(n) * 2 * repeats
+        a, c, often = rng.normal(size=(items, 100)) / 9, rng.normal(size=(items, 100)) / 9, rng.random(items)
+        took, made = [], []
+        for run in (plain_pass, sgns.trained_block):
+            mine, ctx, begun = a.copy(), c.copy(), process_time()
+            loss = run(mine, ctx, i, j, w, often, rate=0.05, negative=k, rng=np.random.default_rng(3))
+            took.append(process_time() - begun)
+            made.append((mine, ctx, loss))
+        assert np.allclose(made[0][0], made[1][0], rtol=0, atol=1e-12) and np.allclose(made[0][1], made[1][1], rtol=0, atol=1e-12)
+        assert made[1][2] == pytest.approx(made[0][2], rel=1e-12)
+        if items > 7:
+            assert took[1] < 0.65 * took[0], took
+    with pytest.raises(ValueError):
+        sgns.trained_block(np.asfortranarray(a), c, i, j, w, often, rate=0.05, negative=5, rng=rng)
+
+
 def test_next_items_beat_projection_and_popularity(spark):
     train, held = walks(spark, 1500, 1), walks(spark, 300, 2)
     counts = cooccurrence(train, min_count=1)
