@@ -8,7 +8,7 @@ merged over all tasks: the leftover windows are laid end to end (running totals
 row a window, not a row a document) and cut every ``window`` ids. The last, shorter stretch is cut at
 powers of two, which need no padding.
 
-A task holds ``open_windows`` windows and one batch of documents, whatever the table's size; there is
+A task holds ``open_windows`` windows, one batch of documents and a bounded number of words' ids, whatever the table's size; there is
 no shuffle of documents, so one source or many copies make no hot task.
 
 Defined results: a null text is an empty document, which is its end id alone; a null doc_id stays
@@ -18,18 +18,21 @@ read by name, so further columns can have any name.
 
 from __future__ import annotations
 
+import itertools
 import os
-import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, require, spaced, table
+from .common import materialise, require, table
 
-CACHE = 500_000  # words whose ids a task keeps; then it starts afresh
+CACHE = 500_000  # pieces whose ids a worker keeps; then it starts afresh
+BLOCK = 1 << 23  # bytes of text that are split and looked up at a time (one document at least)
+TURN = 1 << 19  # words whose ids are laid out at a time (one document at least)
 
 
 def byte_letters() -> dict[int, str]:
@@ -40,54 +43,127 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b if b in own else next(others)) for b in range(256)}
 
 
-class WordIds(dict):
-    """Text between white space -> its ids as little-endian 32-bit integers.
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every span, laid end to end."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _groups(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours whose sizes make up about ``most``, at least one each."""
+    turns = (np.cumsum(sizes) - sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(turns)) + 1), len(sizes)]
+    return ((i, k) for i, k in itertools.pairwise(cuts) if k > i)
+
+
+class _Numbers(dict):
+    """Piece -> its number, given when first met; ``new`` has those whose ids are not known yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        n = self[piece] = len(self)
+        return n
+
+
+class WordIds:
+    """Texts -> their ids, a block of texts at a time.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in a
-    row. A word of the plain letters below, with dots or commas after it, is two pieces for the
-    tokenizer's model, letters and marks; the letters are looked up once for all spellings.
-    Anything else goes through the whole tokenizer as it is.
+    row, and each different word of a block is looked up once. A word of the plain letters below, with
+    ASCII marks after it, is two pieces for the tokenizer's model, letters and marks; a piece's ids
+    are kept for later blocks. Any other word goes through the whole tokenizer as it is.
     """
 
-    PLAIN = frozenset("abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþßÿ")
+    PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<marks>[!-/:-@\[-`{-~]*)$"
 
     def __init__(self, tokenizer: str):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.model = self.tokenizer.model
-        self.letters = byte_letters()
-        self.core: dict[str, bytes] = {}
-
-    def _piece(self, letters: str) -> bytes:
-        ids = self.core.get(letters)
-        if ids is None:
-            if len(self.core) >= CACHE:
-                self.core.clear()
-            mapped = letters if letters.isascii() else "".join(self.letters[b] for b in letters.encode())
-            ids = self.core[letters] = struct.pack(f"<{len(t := self.model.tokenize(mapped))}I", *(x.id for x in t))
-        return ids
-
-    def __missing__(self, word: str) -> bytes:
-        low = word.lower()
-        core = low.rstrip(".,")
-        if not word:
-            ids = b""
-        elif core and len(low) == len(word) <= 64 and self.PLAIN.issuperset(core):
-            ids = self._piece(core) + (self._piece(low[len(core):]) if len(core) < len(low) else b"")
-        else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-            if len(word) > 64:
-                return ids  # rare and long: not kept
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = ids
-        return ids
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = {b: c for b, c in byte_letters().items() if b != 0x20}
+        last = self.model.get_vocab(with_added_tokens=False)
+        self.is_last = np.zeros(max(last.values(), default=0) + 1, bool)  # ids that only a piece's end can have
+        self.is_last[[n for token, n in last.items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers = _Numbers()
+        self.ids, self.starts, self.lengths = np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _learn(self) -> None:
+        """Put down the ids of the new pieces."""
+        ids, lengths = [self.ids], [self.lengths]
+        for pieces in itertools.batched(self.numbers.new, 1000):
+            mapped = " ".join(pieces).encode().decode("latin-1").translate(self.letters)
+            found = np.array(self.model.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.is_last[found]) + 1
+            some = np.array([piece != "" for piece in pieces])
+            if len(ends) == some.sum():  # each piece has one such id, its last
+                n = np.zeros(len(pieces), np.int64)
+                n[some] = np.diff(ends, prepend=0)
+            else:
+                each = [e.ids for e in self.model.encode_batch_fast(mapped.split(" "), add_special_tokens=False)]
+                n, found = np.array([len(e) for e in each], np.int64), np.array([*itertools.chain(*each)], "<u4")
+            ids.append(found)
+            lengths.append(n)
+        self.numbers.new.clear()
+        self.ids, self.lengths = np.concatenate(ids), np.concatenate(lengths)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def _numbered(self, pieces: pa.Array) -> np.ndarray:
+        pieces = pieces.dictionary_encode()
+        numbers = np.fromiter(map(self.numbers.__getitem__, pieces.dictionary.to_pylist()), np.int64, len(pieces.dictionary))
+        return numbers[pieces.indices.to_numpy()]
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and for each word where its own start and how many they are."""
+        if len(self.numbers) > CACHE:
+            self._forget()
+        parts = pc.extract_regex(words, self.PLAIN)
+        plain = pc.and_(parts.is_valid(), pc.less_equal(pc.utf8_length(words), 64))  # longer: rare, not kept
+        parts, others = parts.filter(plain), words.filter(pc.invert(plain)).to_pylist()
+        pieces = np.column_stack([self._numbered(pc.utf8_lower(pc.struct_field(parts, "letters"))),
+                                  self._numbered(pc.struct_field(parts, "marks"))])
+        self._learn()
+        whole = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        n = self.lengths[pieces]
+        ids = np.concatenate([self.ids[_spans(self.starts[pieces.ravel()], n.ravel())], *whole])
+        lengths, plain = np.empty(len(words), np.int64), plain.to_numpy(zero_copy_only=False)
+        lengths[plain], lengths[~plain] = n.sum(axis=1), [len(w) for w in whole]
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])  # as the ids lie
+        starts = np.empty(len(words), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return ids, starts, lengths
+
+    def documents(self, texts: pa.Array, end_id: int) -> Iterator[bytes]:
+        """Each text's ids and ``end_id`` after them, as little-endian 32-bit integers."""
+        texts = pc.fill_null(texts, "")
+        for i, k in _groups(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64), BLOCK):
+            words = pc.ascii_split_whitespace(texts.slice(i, k - i))  # at WORD's white space
+            n_words = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+            words = words.flatten().dictionary_encode()
+            ids, starts, lengths = self._of_words(words.dictionary)
+            codes, at = words.indices.to_numpy(), np.cumsum(n_words)
+            # the end id is one more word, the last
+            ids, starts, lengths = np.append(ids, np.uint32(end_id)), np.append(starts, len(ids)), np.append(lengths, 1)
+            for a, b in _groups(n_words, TURN):
+                first = at[a] - n_words[a]
+                some = np.insert(codes[first:at[b - 1]], at[a:b] - first, len(lengths) - 1)
+                n = lengths[some]
+                laid = ids[_spans(starts[some], n)].astype("<u4", copy=False)
+                ends = np.cumsum(n)[at[a:b] - first + np.arange(b - a)]
+                for lo, hi in itertools.pairwise([0, *ends.tolist()]):
+                    yield laid[lo:hi].tobytes()
 
     def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, spaced(text).split(" ")))
+        return next(self.documents(pa.array([text], pa.string()), 0))[:-4]
 
 
 _KEPT: list[tuple[str, WordIds]] = []
@@ -145,15 +221,14 @@ def _windows(docs: DataFrame, tokenizer: str, end_id: int, size: int, keep: int,
     """Pieces in windows of one task: part, window, open (left over when the task ended), offset, doc_id,
     start, length, ids (binary), doc_tokens."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    end = struct.pack("<I", end_id)
-    names = ["part", "window", "open", "offset", "doc_id", "start", "length", "ids", "doc_tokens"]
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer)  # a vocabulary: it does not grow with the data
 
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         here, words, windows, number = TaskContext.get().partitionId(), kept_words(sent.value), _Windows(size, keep, min_cut), 0
         out: list[tuple] = []
+        id_type = None
 
         def close(pieces: list[tuple], is_open: bool) -> None:
             nonlocal number
@@ -163,31 +238,33 @@ def _windows(docs: DataFrame, tokenizer: str, end_id: int, size: int, keep: int,
                 at += len(ids) // 4
             number += 1
 
-        def frame() -> pd.DataFrame:
-            f = pd.DataFrame(out, columns=names)
+        def rows() -> pa.RecordBatch:
+            types = {"part": pa.int32(), "window": pa.int32(), "open": pa.bool_(), "offset": pa.int64(), "doc_id": id_type,
+                     "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64()}
+            made = [pa.array(column, t) for column, t in zip(zip(*out, strict=True), types.values(), strict=True)]
             out.clear()
-            return f
+            return pa.RecordBatch.from_arrays(made, names=[*types])
 
         for batch in batches:
-            held = 0
-            for doc, text in zip(batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None), batch["text"], strict=True):
-                ids = words.of(text) + end
+            held, id_type = 0, batch.column("doc_id").type
+            docs_of = zip(batch.column("doc_id").to_pylist(), words.documents(batch.column("text"), end_id), strict=True)
+            for doc, ids in docs_of:
                 n = len(ids) // 4
                 for start in range(0, n, size):
                     for pieces in windows.add((doc, n), start, ids[4 * start:4 * (start + size)]):
                         close(pieces, False)
                 held += n
-                if held > 4_000_000:  # 16 MB of ids
-                    yield frame()
+                if out and held > 4_000_000:  # 16 MB of ids
+                    yield rows()
                     held = 0
             if out:
-                yield frame()
+                yield rows()
         for pieces in windows.rest():
             close(pieces, True)
         if out:
-            yield frame()
+            yield rows()
 
-    return docs.mapInPandas(
+    return docs.mapInArrow(
         part, f"part int, window int, open boolean, offset bigint, doc_id {kind}, start bigint, length bigint, ids binary, "
               "doc_tokens bigint")
 

@@ -1,10 +1,12 @@
 """Packing: every id once, by the tokenizer itself; windows; padding; odd rows."""
 
+import json
 import struct
 import zlib
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 from candor.llm import packing as P
 from candor.sources.tables import table
 from llm_data import ODD, SF01, docs_of
@@ -54,6 +56,54 @@ def test_words_of_the_documents(spark):
         assert words.of(r["text"]) == struct.pack(f"<{len(ids_of(r['text'])) - 1}I", *ids_of(r["text"])[:-1])
 
 
+class Counted:
+    """Passes on what is asked of ``inner`` and counts it."""
+
+    def __init__(self, inner):
+        self.inner, self.calls = inner, 0
+
+    def __getattr__(self, name):
+        self.calls += 1
+        return getattr(self.inner, name)
+
+
+def test_new_pieces_are_looked_up_many_at_a_time():
+    words = P.WordIds(open(PATH, encoding="utf-8").read())
+    words.tokenizer, words.model = whole, model = Counted(words.tokenizer), Counted(words.model)
+    plain = [f"{a}{b}{c}à" for a in "bcdfghklmn" for b in "aeiou" for c in "prstvwxyz"]
+    text = " ".join(w + mark for w in plain for mark in ("", ".", "$$$", "'", "<|"))
+    assert words.of(text) == struct.pack(f"<{len(ids_of(text)) - 1}I", *ids_of(text)[:-1])
+    assert whole.calls + model.calls <= 3
+    model.calls = 0
+    text = " ".join(w.title() + "$$$" for w in plain)
+    assert words.of(text) == struct.pack(f"<{len(ids_of(text)) - 1}I", *ids_of(text)[:-1])
+    assert model.calls == 0
+
+
+def test_blocks_change_no_ids(monkeypatch):
+    texts = ["one two, three", None, "", " \t\v", "\u212belvin \u212aey \u0130 e\u0301t\u00e9 \u1e9e", "x" * 70 + " " + "y" * 64 + "...", "it's 'so' l'eau <|endoftext|>",
+             "100 000 a1b2", "日本 — “q”", "a\x1cb\xa0c\x85d", "ROCK'n'roll, O'Neil's!!", *[f"w{chr(97 + i)}x" * (1 + i % 5) + " the" * i for i in range(26)]]
+    want = [struct.pack(f"<{len(ids_of(t))}I", *ids_of(t)) for t in texts]
+    vocabulary = open(PATH, encoding="utf-8").read()
+    for block, turn, cache in ((P.BLOCK, P.TURN, P.CACHE), (1, 1, 1), (40, 7, 10)):
+        for name, value in (("BLOCK", block), ("TURN", turn), ("CACHE", cache)):
+            monkeypatch.setattr(P, name, value)
+        words = P.WordIds(vocabulary)
+        for kind in (pa.string(), pa.large_string()):
+            assert [*words.documents(pa.array(texts, kind), 2)] == want
+            assert [*words.documents(pa.array(["gone", *texts, "too"], kind).slice(1, len(texts)), 2)] == want
+            assert [*words.documents(pa.array([], kind), 2)] == []
+
+
+def test_model_without_mark_of_a_words_end():
+    changed = json.load(open(PATH, encoding="utf-8"))
+    changed["model"]["end_of_word_suffix"] = None
+    changed = json.dumps(changed)
+    text = "Hello, world... straße ÉTÉ $$$ a"
+    ids = Tokenizer.from_str(changed).encode(text, add_special_tokens=False).ids
+    assert P.WordIds(changed).of(text) == struct.pack(f"<{len(ids)}I", *ids) and ids != ids_of(text)[:-1]
+
+
 def test_odd_rows(spark, odd, empty):
     for window, keep in ((4096, 32), (64, 3), (7, 2), (4, 1)):
         pieces = P.pack(odd, PATH, 2, window=window, open_windows=keep, min_cut=1).collect()
