@@ -2,7 +2,8 @@
 
 Every per-user list is cut with a window limit *before* it is joined or collected
 (``WindowGroupLimit`` runs map-side), so a very active user contributes at most
-``last_n`` actions and each join fans out by a bounded neighbour/topic list.
+``last_n`` actions and each join fans out by a bounded neighbour/topic list. The neighbour lists of a user's
+actions are so many that they meet inside a task (``operators.lists``).
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import set_down
 from .forest import knn_forest
 from .knn import knn_exact, knn_lsh
+from .lists import best_of_lists
 from .skew import top_per_group
 
 
@@ -36,14 +39,11 @@ def recent_i2i_recall(actions: DataFrame, neighbours: DataFrame, *, last_n: int
     score = best similarity to any recent action; items already in the recent actions are
     excluded; top ``k`` per user by score, ties by pid.
     """
-    # score is a max, so repeated actions on one item add nothing: de-duplicate before the
-    # join to cut its fan-out (each source item brings up to k neighbours)
-    r = recent_actions(actions, last_n=last_n).select("mid", F.col("pid").alias("src")).distinct()
-    n = neighbours.select(F.col("pid").alias("src"), F.col("near_pid").alias("pid"), F.col("score"))
-    c = r.join(n, "src", "inner").groupBy("mid", "pid").agg(F.max("score").alias("score"))
-    seen = r.select("mid", F.col("src").alias("pid"))
-    c = c.join(seen, ["mid", "pid"], "left_anti")
-    return _top(c, ["mid"], [F.col("score").desc(), F.col("pid").asc()], k).drop("__rn")
+    # score is a max, so repeated actions on one item add nothing; a source that is null has no list and excludes nothing
+    r = recent_actions(actions, last_n=last_n).groupBy("mid").agg(F.collect_set("pid").alias("srcs"))
+    r = set_down(r.where(F.size("srcs") > 0))
+    n = neighbours.select(F.col("pid").alias("src"), F.col("near_pid").alias("pid"), "score")
+    return best_of_lists(r, n, k=k, most=last_n)
 
 
 def topic_interest_recall(
