@@ -127,6 +127,7 @@ def quota_merge(
         f = forced.select("mid", "pid", F.lit("forced").alias("source"), F.lit(None).cast("double").alias("score"),
                           F.lit(-1).alias("prio"), F.lit(0).alias("tier"))
         r = r.unionByName(f)
+    r = r.repartition("mid")  # travels once: all that follows is by user
     r = _top(r, ["mid", "pid"], [F.col("prio").asc(), F.col("score").desc_nulls_last()], 1).drop("__rn")
     w = Window.partitionBy("mid", "source").orderBy(F.col("score").desc_nulls_last(), F.col("pid").asc())
     r = r.withColumn("__rs", F.row_number().over(w))

@@ -161,9 +161,11 @@ _I2I_VIEWS = ("vectors", "pool", "tax", "counters", "standard")
 _I2I_CTES = [_NEAR_CTE, _VALID_CTE, _NEIGH_CTE]
 
 
-def neighbours(spark: SparkSession, d: str) -> DataFrame:
+def neighbours(spark: SparkSession, d: str, docs: DataFrame | None = None) -> DataFrame:
+    """Validated neighbours (``docs`` reuses derived posts: the pool's documents or its flat columns)."""
     pairs = knn_forest(X.item_vectors(spark, d), k=KNN_K, min_score=I2I_MIN_SCORE)
-    return i2i_neighbours(pairs, valid_posts(X.pool_docs(spark, d), as_of=AS_OF), min_score=I2I_MIN_SCORE)
+    docs = X.pool_docs(spark, d) if docs is None else docs
+    return i2i_neighbours(pairs, valid_posts(docs, as_of=AS_OF), min_score=I2I_MIN_SCORE)
 
 
 @register("i2i_neighbours", with_views("SELECT * FROM neigh", *_I2I_VIEWS, extra=_I2I_CTES), ["score", "sim"])

@@ -125,8 +125,8 @@ SELECT mid, pid, score FROM (
 WHERE rn <= {K_TOPIC})"""]
 
 
-def topic_recall(spark: SparkSession, d: str) -> DataFrame:
-    pool = X.pool(spark, d)
+def topic_recall(spark: SparkSession, d: str, pool: DataFrame | None = None) -> DataFrame:
+    pool = X.pool(spark, d) if pool is None else pool
     return topic_interest_recall(
         X.event_actions(spark, d), pool.select("pid", "tid"), pool.select("pid", F.col("ctr").alias("score")),
         as_of=EVENTS_AS_OF, days=TOPIC_DAYS, n_topics=N_TOPICS, per_topic=PER_TOPIC, k=K_TOPIC,
@@ -182,9 +182,11 @@ WHERE rank <= {K_MERGE}"""
 @register("quota_merge", _quota_sql(), ["score"])
 def q_quota_merge(spark: SparkSession, d: str) -> DataFrame:
     acts = X.event_actions(spark, d)
-    topic = set_down(topic_recall(spark, d))
+    # topics and neighbours read the same posts: lines and orders are joined and summed once
+    pool = set_down(X.pool(spark, d).select("pid", "tid", "ptype", "status", "ct", "rec", "ctr"))
+    topic = set_down(topic_recall(spark, d, pool))
     r = (
-        recent_i2i_recall(acts, neighbours(spark, d), last_n=LAST_N, k=K_I2I).withColumn("source", F.lit("i2i"))
+        recent_i2i_recall(acts, neighbours(spark, d, pool), last_n=LAST_N, k=K_I2I).withColumn("source", F.lit("i2i"))
         .unionByName(topic.withColumn("source", F.lit("topic")))
         .unionByName(user_vector_recall(acts, X.item_vectors(spark, d), last_n=U2I_LAST_N, k=K_U2I)
                      .withColumn("source", F.lit("u2i")))

@@ -6,8 +6,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from core_data import SF001
 from candor.operators import lists as L
-from candor.operators.recall import recent_actions, recent_i2i_recall
+from candor.operators.recall import quota_merge, recent_actions, recent_i2i_recall
+from candor.plans import q_recall
 
 ACTIONS = "mid long, pid long, ts timestamp, event_id long"
 NEIGHBOURS = "pid long, near_pid long, score double"
@@ -92,3 +94,23 @@ def test_entries_of_lists_are_not_shuffled_by_user(spark):
     got = recent_i2i_recall(a, n)
     assert len(got.collect()) == users * 50
     assert shuffled(got._jdf.queryExecution().executedPlan()) < users * sources
+
+
+def test_recalled_rows_are_shuffled_once(spark):
+    r = spark.range(9000).selectExpr("id div 90 AS mid", "id % 70 AS pid", "element_at(array('a', 'b', 'c'), cast(id % 3 + 1 AS int)) AS source",
+                                     "id * 7 % 101 / 101.0D AS score")
+    forced = spark.range(100).selectExpr("id AS mid", "id % 70 AS pid")
+    got = quota_merge(r, {"a": (5, 30), "b": (5, 20), "c": (5, 20)}, forced, k=60)
+    assert got.collect()
+    assert shuffled(got._jdf.queryExecution().executedPlan()) <= 9100
+
+
+def test_topics_and_neighbours_read_one_pool_that_is_set_down(spark, monkeypatch):
+    seen, neighbours, topic_recall = [], q_recall.neighbours, q_recall.topic_recall
+    monkeypatch.setattr(q_recall, "neighbours", lambda s, d, *pool: seen.extend(pool) or neighbours(s, d, *pool))
+    monkeypatch.setattr(q_recall, "topic_recall", lambda s, d, *pool: seen.extend(pool) or topic_recall(s, d, *pool))
+    q_recall.q_quota_merge(spark, SF001)
+    assert len(seen) == 2 and seen[0] is seen[1]
+    assert "l_orderkey" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(neighbours(spark, SF001, seen[0])) == rows(neighbours(spark, SF001))
+    assert rows(topic_recall(spark, SF001, seen[0])) == rows(topic_recall(spark, SF001))
